@@ -8,6 +8,7 @@ because the engine's own ``\\b`` does not see every script that way.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
@@ -58,6 +59,7 @@ REQUEST_PHRASES = [
     "i would like to know",
 ]
 
+_NO_WORD = r"[^\p{L}\p{N}_]+"
 _WORD_STARTS = r"(?<![\p{L}\p{N}_])"
 _WORD_ENDS = r"(?![\p{L}\p{N}_])"
 
@@ -66,49 +68,83 @@ def _any_of(words: list[str]) -> str:
     return "(?:" + "|".join(re.escape(w) for w in words) + ")"
 
 
-def keyword_pattern() -> str:
-    words = list(dict.fromkeys(w for ws in KEYWORDS.values() for w in ws))
-    return _WORD_STARTS + _any_of(words) + _WORD_ENDS
+def _either(conditions: Iterable[Column]) -> Column:
+    return reduce(or_, conditions)
 
 
-def structure_patterns() -> list[str]:
-    return [
-        "^" + _any_of(INVERTED_MODALS) + _WORD_ENDS,
-        "^" + _any_of(INVERTED_BE) + _WORD_ENDS,
-        _WORD_STARTS + _any_of(TURKISH_PARTICLES) + r"\?\z",
-        "^[^.!?]*" + _WORD_STARTS + _any_of(CLAUSE_MARKERS) + _WORD_ENDS,
-    ]
+def asks_by_mark(s: Column) -> Column:
+    """Ends with a question mark."""
+    return s.endswith("?")
 
 
-def request_pattern() -> str:
-    # Open on the left on purpose: a phrase may start inside a longer word.
-    return _any_of(REQUEST_PHRASES) + _WORD_ENDS
+def asks_by_structure(s: Column) -> Column:
+    """Opens like a question, or has a question particle or marker in place.
 
+    The plain string tests in front keep the regexes off most texts.
+    """
+    openings = INVERTED_MODALS + INVERTED_BE
+    opened = _either(s.startswith(w) for w in openings) & s.rlike(
+        "^" + _any_of(openings) + _WORD_ENDS
+    )
+    turkish = s.endswith("?") & s.rlike(
+        _WORD_STARTS + _any_of(TURKISH_PARTICLES) + r"\?\z"
+    )
+    marked = _either(s.contains(m) for m in CLAUSE_MARKERS) & s.rlike(
+        "^[^.!?]*" + _WORD_STARTS + _any_of(CLAUSE_MARKERS) + _WORD_ENDS
+    )
+    return asks_by_mark(s) | opened | turkish | marked
 
-def rule_conditions(text: Column) -> dict[str, Column]:
-    """The four rules by name, cheapest first, over one cleaned text."""
-    s = strip_lower(text)
-    return {
-        "punctuation": s.endswith("?"),
-        "structure": s.rlike("|".join(structure_patterns())),
-        "keyword": s.rlike(keyword_pattern()),
-        "request": s.rlike(request_pattern()),
-    }
+
+def asks_by_keyword(s: Column) -> Column:
+    """Has an interrogative word as a whole word.
+
+    One-word keywords are looked up among the words of the text; those with a
+    space or hyphen are searched for.
+    """
+    keywords = list(dict.fromkeys(w for ws in KEYWORDS.values() for w in ws))
+    single = [w for w in keywords if " " not in w and "-" not in w]
+    longer = [w for w in keywords if w not in single]
+    words = F.split(s, _NO_WORD)
+    return F.exists(words, lambda word: word.isin(single)) | _either(
+        s.contains(w) & s.rlike(_WORD_STARTS + re.escape(w) + _WORD_ENDS)
+        for w in longer
+    )
+
+
+def asks_by_request(s: Column) -> Column:
+    """Has a phrase that asks for something.
+
+    Open on the left on purpose: a phrase may start inside a longer word.
+    """
+    return _either(s.contains(p) for p in REQUEST_PHRASES) & s.rlike(
+        _any_of(REQUEST_PHRASES) + _WORD_ENDS
+    )
+
+
+# The rules by name, in the order in which they are reported.
+RULES = {
+    "punctuation": asks_by_mark,
+    "structure": asks_by_structure,
+    "keyword": asks_by_keyword,
+    "request": asks_by_request,
+}
+
+
+def is_question_clean(s: Column) -> Column:
+    """True when any rule holds for an already trimmed, lower-case text."""
+    found = _either(rule(s) for rule in RULES.values())
+    return F.coalesce(found, F.lit(False))
 
 
 def is_question(text: Column) -> Column:
     """True when any rule holds; null and empty texts are no question."""
-    return F.coalesce(reduce(or_, rule_conditions(text).values()), F.lit(False))
+    return is_question_clean(strip_lower(text))
 
 
 def fired_rule(text: Column) -> Column:
     """Name of the first rule that holds, null when none does."""
-    rules = iter(rule_conditions(text).items())
-    name, condition = next(rules)
-    chain = F.when(condition, name)
-    for name, condition in rules:
-        chain = chain.when(condition, name)
-    return chain
+    s = strip_lower(text)
+    return F.coalesce(*[F.when(rule(s), name) for name, rule in RULES.items()])
 
 
 def yes_no(condition: Column) -> Column:
@@ -117,7 +153,9 @@ def yes_no(condition: Column) -> Column:
 
 def label_by_rules(df: DataFrame, text: str = "Query") -> DataFrame:
     """Add ``Rules``: YES or NO for every row."""
-    return df.withColumn("Rules", yes_no(is_question(F.col(text))))
+    clean = df.withColumn("__clean", strip_lower(F.col(text)))
+    label = yes_no(is_question_clean(F.col("__clean")))
+    return clean.withColumn("Rules", label).drop("__clean")
 
 
 def keyword_rows(spark) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
@@ -19,29 +21,18 @@ BLANK_CHARS = (
 )
 ZERO_WIDTH_SPACE = "\u200b"
 
-# Characters that NFKC can neither change nor combine with a neighbour: a text
-# made of these only is already normalised (the Unicode "quick check").
-NFKC_STABLE = (
-    r"\x00-\x9f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf"  # ASCII, signs
-    r"\xc0-\u0131\u0134-\u013e\u0141-\u0148\u014a-\u017e"  # Latin
-    r"\u0388-\u03ce"  # Greek
-    r"\u0400-\u0482\u048a-\u052f"  # Cyrillic
-    r"\u0620-\u064a\u0660-\u066f\u0671-\u0674\u0679-\u06d5"  # Arabic, Persian
-    r"\u200b-\u200f\u2010\u2012-\u2016\u2018-\u2022"  # joiners, dashes, quotes
-    r"\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3"  # CJK, Hangul
-)
-
-
 @F.arrow_udf(returnType=T.StringType())
 def _nfkc(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    other = pc.fill_null(pc.invert(pc.string_is_ascii(texts)), False)
+    folded = [unicodedata.normalize("NFKC", t) for t in texts.filter(other).to_pylist()]
+    return pc.replace_with_mask(texts, other, pa.array(folded, texts.type))
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC. Spark has no such function, so a vectorised Arrow UDF
-    does it; texts that need no change are not sent to the Python worker."""
-    changed = _nfkc(F.when(text.rlike(f"[^{NFKC_STABLE}]"), text))
-    return F.coalesce(changed, text)
+    """Unicode NFKC. Spark has no such function, so an Arrow UDF calls Python's
+    for the texts that are not plain ASCII. (Arrow's own normaliser does not
+    compose characters again, so it will not do.)"""
+    return _nfkc(text)
 
 
 def collapse_blanks(text: Column) -> Column:

@@ -74,12 +74,11 @@ def distinct_texts(
 
 
 def assign_ids(distinct: DataFrame, out: str = "UniqueID") -> DataFrame:
-    """Number the distinct texts 1..N by first appearance."""
-    return number_by_ordinal(distinct, "first_ordinal", out)
-
+    """Number the distinct texts 1..N by first appearance.
 
-def dedupe(log: DataFrame, text: str = "Query", ordinal: str = "ordinal") -> DataFrame:
-    return assign_ids(distinct_texts(log, text, ordinal))
+    Numbering reads its input more than once, so give it a stage table.
+    """
+    return number_by_ordinal(distinct, "first_ordinal", out)
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -26,6 +26,16 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of an input with fewer splits than cores.
+
+    A larger input has splits enough and is left alone, so this never shuffles
+    a big table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def drop_null_texts(df: DataFrame, text: str = "Query") -> DataFrame:
     """Rows without a text go; blank texts stay."""
     return df.na.drop(subset=[text])
