@@ -141,7 +141,7 @@ def rater_label(rater: Column, names: dict[str, str]) -> Column:
     if not names:
         return rater
     pairs = [F.lit(x) for item in names.items() for x in item]
-    return F.coalesce(F.create_map(*pairs).getItem(rater), rater)
+    return F.coalesce(F.create_map(*pairs)[rater], rater)
 
 
 def agreement_matrix_long(

@@ -188,11 +188,6 @@ def widen_triage(triaged: DataFrame, models: list[str]) -> DataFrame:
     The fixed model list gives every column, with ``N/A`` where a model has no
     answer.
     """
-    answer = F.struct("category", "reasoning", "question")
-    wide = (
-        triaged.groupBy("UniqueID", "Query")
-        .agg(F.map_from_entries(F.collect_list(F.struct("model", answer))).alias("by"))
-    )
     columns = []
     for model in models:
         for prefix, field in (
@@ -200,6 +195,6 @@ def widen_triage(triaged: DataFrame, models: list[str]) -> DataFrame:
             (REASONING_COLUMN, "reasoning"),
             (QUESTION_COLUMN, "question"),
         ):
-            value = F.col("by").getItem(model).getField(field)
+            value = F.max(F.when(F.col("model") == model, F.col(field)))
             columns.append(or_not_available(value).alias(prefix + model))
-    return wide.select("UniqueID", "Query", *columns)
+    return triaged.groupBy("UniqueID", "Query").agg(*columns)

@@ -85,41 +85,31 @@ def distinct_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(sentence_log(spark, sf_dir))
 
 
-def model_label(run_name: Column, text: Column) -> Column:
-    """A rater that follows the rules but errs on some texts."""
-    errs = hex_digit(run_name, text) < F.lit("3")
-    says_yes = is_question(text) != errs
-    return F.when(says_yes, "YES").otherwise("NO")
+def model_label(run_name: Column) -> Column:
+    """A rater that follows the rules but errs on some texts, and leaves some
+    out."""
+    errs = hex_digit(run_name, F.col("Query")) < F.lit("3")
+    says_yes = (F.col("Rules") == "YES") != errs
+    present = hex_digit(F.lit("gap"), run_name, F.col("Query")) != "0"
+    return F.when(present, F.when(says_yes, "YES").otherwise("NO"))
 
 
 def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long labels of all runs; some texts have none in some runs."""
+    """Long labels of all runs."""
     names = F.array(*[F.lit(n) for n in RUN_NAMES])
     return (
-        distinct_texts(spark, sf_dir)
-        .select("UniqueID", "Query", F.explode(names).alias("run_name"))
-        .select(
-            "UniqueID",
-            "run_name",
-            F.when(
-                hex_digit(F.lit("gap"), F.col("run_name"), F.col("Query")) != "0",
-                model_label(F.col("run_name"), F.col("Query")),
-            ).alias("label"),
-        )
+        label_by_rules(distinct_texts(spark, sf_dir))
+        .select("UniqueID", "Query", "Rules", F.explode(names).alias("run_name"))
+        .select("UniqueID", "run_name", model_label(F.col("run_name")).alias("label"))
         .where(F.col("label").isNotNull())
     )
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct texts with rule labels and one column per run, in one pass."""
-    distinct = label_by_rules(distinct_texts(spark, sf_dir))
-    columns = {}
-    for name in RUN_NAMES:
-        present = hex_digit(F.lit("gap"), F.lit(name), F.col("Query")) != "0"
-        errs = hex_digit(F.lit(name), F.col("Query")) < F.lit("3")
-        says_yes = (F.col("Rules") == "YES") != errs
-        columns[name] = F.when(present, F.when(says_yes, "YES").otherwise("NO"))
-    return distinct.withColumns(columns)
+    return label_by_rules(distinct_texts(spark, sf_dir)).withColumns(
+        {name: model_label(F.lit(name)) for name in RUN_NAMES}
+    )
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:

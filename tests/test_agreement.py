@@ -1,0 +1,138 @@
+import itertools
+import random
+
+import pytest
+
+from asksift.operators import agreement as a
+from tests import study_tables as study
+
+
+def value(df, **where):
+    for k, v in where.items():
+        df = df.where(df[k] == v)
+    (row,) = df.collect()
+    return row.value
+
+
+def brute_rai(rows):
+    """Agreement over all ordered pairs of ratings, case by case."""
+    hits, total, by = 0, 0, {}
+    for row in rows:
+        seen = [x for x in row if x is not None]
+        for i, j in itertools.permutations(range(len(seen)), 2):
+            total += 1
+            hits += seen[i] == seen[j]
+            h, t = by.get(seen[i], (0, 0))
+            by[seen[i]] = (h + (seen[i] == seen[j]), t + 1)
+    return hits / total, {c: h / t for c, (h, t) in by.items()}
+
+
+def brute_kappa(rows, i, j):
+    rows = [r for r in rows if None not in r]
+    n = len(rows)
+    po = sum(r[i] == r[j] for r in rows) / n
+    cats = {r[i] for r in rows} | {r[j] for r in rows}
+    pe = sum(sum(r[i] == c for r in rows) * sum(r[j] == c for r in rows) for c in cats) / n / n
+    return None if pe == 1 else (po - pe) / (1 - pe)
+
+
+def test_published_figures(spark):
+    full = a.rating_patterns(study.frame(spark, study.FULL, study.RUNS), study.RUNS)
+    sets = {"runs": study.RUNS}
+    assert round(value(a.overall_agreement(full, sets)), 4) == 0.9607
+    specific = a.specific_agreement(full, sets)
+    assert round(value(specific, category=0), 4) == 0.9779
+    assert round(value(specific, category=1), 4) == 0.8212
+
+    raters = study.RUNS + study.MANUAL
+    sample = a.rating_patterns(study.frame(spark, study.SAMPLE, raters), raters)
+    sets = {"runs": study.RUNS, "all": raters, "manual": study.MANUAL}
+    overall = a.overall_agreement(sample, sets)
+    specific = a.specific_agreement(sample, sets)
+    assert round(value(overall, rater_set="runs"), 4) == 0.9725
+    assert round(value(specific, rater_set="runs", category=0), 4) == 0.9850
+    assert round(value(specific, rater_set="runs", category=1), 4) == 0.8401
+    # the two reviewers differ on 11 of 246 cases
+    assert value(overall, rater_set="manual") == (246 - 11) / 246
+
+
+@pytest.mark.parametrize("name", ["FULL", "SAMPLE"])
+def test_study_tables_against_brute_force(spark, name):
+    patterns = getattr(study, name)
+    raters = (study.RUNS + study.MANUAL)[: len(next(iter(patterns)))]
+    rows = [tuple(map(int, p)) for p, n in patterns.items() for _ in range(n)]
+    counted = a.rating_patterns(study.frame(spark, patterns, raters), raters)
+    overall, specific = brute_rai(rows)
+    assert value(a.overall_agreement(counted, {"x": raters})) == overall
+    got = {r.category: r.value for r in a.specific_agreement(counted, {"x": raters}).collect()}
+    assert got == specific
+    pairs = {(r.rater_i, r.rater_j): r.value for r in a.pair_agreement(counted, raters).collect()}
+    assert len(pairs) == len(raters) * (len(raters) + 1) // 2
+    for (x, y), v in pairs.items():
+        i, j = raters.index(x), raters.index(y)
+        assert v == sum(r[i] == r[j] for r in rows) / len(rows)
+        assert x != y or v == 1.0
+    kappas = {(r.rater_i, r.rater_j): r.kappa for r in a.cohen_kappa(counted, raters).collect()}
+    for (x, y), k in kappas.items():
+        assert k == pytest.approx(brute_kappa(rows, raters.index(x), raters.index(y)), abs=1e-12)
+    light = a.light_kappa(counted, raters).first()
+    assert light.n_pairs == len(kappas)
+    assert light.kappa == pytest.approx(sum(kappas.values()) / len(kappas), abs=1e-12)
+
+
+def test_several_categories_and_missing_ratings(spark):
+    rng = random.Random(3)
+    raters = ["a", "b", "c", "d"]
+    rows = [tuple(rng.choice(["F", "B", "U", None]) for _ in raters) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    counted = a.rating_patterns(df, raters)
+    overall, specific = brute_rai(rows)
+    assert value(a.overall_agreement(counted, {"x": raters})) == overall
+    got = {r.category: r.value for r in a.specific_agreement(counted, {"x": raters}).collect()}
+    assert got == specific
+    for r in a.cohen_kappa(counted, raters).collect():
+        i, j = raters.index(r.rater_i), raters.index(r.rater_j)
+        assert r.kappa == pytest.approx(brute_kappa(rows, i, j), abs=1e-12)
+    for r in a.pair_agreement(counted, raters).collect():
+        i, j = raters.index(r.rater_i), raters.index(r.rater_j)
+        both = [x for x in rows if x[i] is not None and x[j] is not None]
+        assert r.value == sum(x[i] == x[j] for x in both) / len(both)
+
+
+def test_no_room_for_agreement(spark):
+    df = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (1, 1, 1)], "a int, b int, c int")
+    counted = a.rating_patterns(df, ["a", "b", "c"])
+    kappas = {(r.rater_i, r.rater_j): r.kappa for r in a.cohen_kappa(counted, ["a", "b", "c"]).collect()}
+    assert kappas == {("a", "b"): None, ("a", "c"): 0.0, ("b", "c"): 0.0}
+    light = a.light_kappa(counted, ["a", "b", "c"]).first()
+    assert (light.n_pairs, light.kappa) == (3, 0.0)
+    lonely = a.rating_patterns(spark.createDataFrame([(1, None)], "a int, b int"), ["a", "b"])
+    assert value(a.specific_agreement(lonely, {"x": ["a", "b"]})) is None
+    assert {r.value for r in a.pair_agreement(lonely, ["a", "b"]).collect()} == {None, 1.0}
+
+
+def test_matrix(spark):
+    raters = study.RUNS + study.MANUAL
+    counted = a.rating_patterns(study.frame(spark, study.SAMPLE, raters), raters)
+    cells = a.agreement_matrix_long(counted, raters, {"Manual_1": "Manual 1"}).collect()
+    grid = {(r.rater_i, r.rater_j): r.value for r in cells}
+    assert len(cells) == len(grid) == 81
+    assert all(grid[x, y] == grid[y, x] for x, y in grid)
+    assert all(r.value_label == pytest.approx(round(r.value, 2)) for r in cells)
+    square = a.agreement_matrix(counted, raters, {"Manual_1": "Manual 1"})
+    assert square.count() == 9 and "Manual 1" in square.columns
+    for r in square.collect():
+        assert all(r[y] == grid[r.rater_i, y] for y in square.columns[1:])
+
+
+def test_recode_and_derived_rater(spark):
+    df = spark.createDataFrame([("YES", "NO"), ("NO", "NO"), (None, "YES"), ("NO", None)], "a string, b string")
+    out = a.any_of_raters(a.to_binary(df, ["a", "b"]), ["a", "b"], "any")
+    assert [tuple(r) for r in out.collect()] == [(1, 0, 1), (0, 0, 0), (None, 1, 1), (0, None, 0)]
+
+
+def test_long_and_wide_are_inverse(spark):
+    df = spark.createDataFrame([(1, 0, None), (2, 1, 1)], "case long, a int, b int")
+    long = a.long_ratings(df, "case", ["a", "b"])
+    assert long.count() == 4
+    assert sorted(map(tuple, a.wide_ratings(long, "case", ["a", "b"]).collect())) == sorted(map(tuple, df.collect()))

@@ -1,0 +1,109 @@
+from pyspark.sql import functions as F
+
+from asksift.operators import merging
+from asksift.operators.eligibility import columns_with_prefix, eligible, eligible_from_long, is_eligible
+from asksift.operators.reporting import head, review_sample, stage_funnel, tail
+
+
+def labels_of(spark):
+    return spark.createDataFrame(
+        [(1, "LLM_run1_a", "YES"), (2, "LLM_run1_a", "NO"), (2, "LLM_run2_a", None), (3, "LLM_run2_a", "YES")],
+        "UniqueID long, run_name string, label string",
+    )
+
+
+RUNS = ["LLM_run1_a", "LLM_run2_a", "LLM_run1_off"]
+
+
+def test_wide_labels_have_a_fixed_schema(spark):
+    wide = merging.widen_labels(labels_of(spark), RUNS)
+    assert wide.columns == ["UniqueID", *RUNS]
+    assert {tuple(r) for r in wide.collect()} == {
+        (1, "YES", None, None), (2, "NO", None, None), (3, None, "YES", None),
+    }
+
+
+def labelled_of(spark):
+    distinct = spark.createDataFrame(
+        [("hot", 0, 3000, 1), ("warm", 1, 10, 2), ("cold", 2, 1, 3), ("", 3, 1, 4)],
+        "Query string, first_ordinal long, n_rows long, UniqueID long",
+    )
+    ruled = distinct.withColumn("Rules", F.when(F.col("Query") == "warm", "YES").otherwise("NO"))
+    return merging.attach_labels(ruled, labels_of(spark), RUNS)
+
+
+def test_merge_back_keeps_every_row_and_splits_hot_texts(spark):
+    rows = [(i, q, f"e{i}") for i, q in enumerate(["hot"] * 3000 + ["warm"] * 10 + ["cold", ""])]
+    log = spark.createDataFrame(rows, "ordinal long, Query string, extra string")
+    labelled = labelled_of(spark)
+    plain = merging.merge_back(log, labelled)
+    split = merging.merge_back(log, labelled, hot_rows=100)
+    assert plain.columns == ["ordinal", "Query", "extra", "UniqueID", "Rules", *RUNS]
+    expected = {r.Query: r for r in labelled.collect()}
+    for df in (plain, split):
+        got = df.collect()
+        assert sorted(r.ordinal for r in got) == list(range(len(rows)))
+        for r in got:
+            e = expected[r.Query]
+            assert (r.UniqueID, r.Rules, r.LLM_run1_a) == (e.UniqueID, e.Rules, e.LLM_run1_a)
+
+
+def test_hot_rows_spread_over_join_tasks(spark):
+    log = spark.range(3000).select(F.col("id").alias("ordinal"), F.lit("hot").alias("Query"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = merging.merge_back(log, labelled_of(spark), hot_rows=100)
+        sizes = [
+            r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()
+        ]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 3000 and len(sizes) == 4 and max(sizes) < 1800
+
+
+def test_eligibility(spark):
+    labelled = labelled_of(spark)
+    assert columns_with_prefix(labelled) == RUNS
+    assert sorted(r.UniqueID for r in eligible(labelled).collect()) == [1, 2, 3]
+    # no rule column, no run columns, neither
+    assert sorted(r.UniqueID for r in eligible(labelled.drop("Rules")).collect()) == [1, 3]
+    assert [r.UniqueID for r in eligible(labelled.drop(*RUNS)).collect()] == [2]
+    assert eligible(labelled.drop("Rules", *RUNS)).count() == 0
+    # null never makes the answer null
+    assert labelled.where(is_eligible(labelled).isNull()).count() == 0
+
+
+def test_eligible_from_long(spark):
+    got = eligible_from_long(labelled_of(spark), labels_of(spark))
+    assert sorted(r.UniqueID for r in got.collect()) == [1, 3]
+
+
+def test_fill_not_available(spark):
+    df = spark.createDataFrame([(1, None, None), (2, 2.5, "x")], "UniqueID long, n double, s string")
+    filled = merging.fill_not_available(df)
+    assert [tuple(r) for r in filled.orderBy("UniqueID").collect()] == [("1", "N/A", "N/A"), ("2", "2.5", "x")]
+    kept = merging.fill_not_available(df, keep=("UniqueID",))
+    assert dict(kept.dtypes) == {"UniqueID": "bigint", "n": "string", "s": "string"}
+
+
+def test_attach_triage_has_one_text_column(spark):
+    triaged = spark.createDataFrame([(1, "hot", "Foreground")], "UniqueID long, Query string, c string")
+    all_rows = merging.attach_triage(labelled_of(spark), triaged)
+    assert all_rows.columns.count("Query") == 1
+    assert {r.UniqueID: r.c for r in all_rows.collect()} == {1: "Foreground", 2: None, 3: None, 4: None}
+
+
+def test_funnel(spark):
+    row = stage_funnel(labelled_of(spark)).first()
+    assert tuple(row) == (3012, 4, 3, 3011)
+
+
+def test_head_tail_and_sample(spark):
+    log = spark.range(100).select(F.col("id").alias("ordinal"), F.col("id").alias("UniqueID"))
+    assert [r.ordinal for r in head(log, 3).collect()] == [0, 1, 2]
+    assert sorted(r.ordinal for r in tail(log, 3).collect()) == [97, 98, 99]
+    first = {r.UniqueID for r in review_sample(log, 20, "s").collect()}
+    assert first == {r.UniqueID for r in review_sample(log.repartition(5), 20, "s").collect()}
+    assert len(first) == 20 and first != {r.UniqueID for r in review_sample(log, 20, "t").collect()}
