@@ -120,13 +120,17 @@ def triage_with_calls(
     calls: dict[str, CallFn],
     classify: Template = CLASSIFY,
     reformulate: Template = REFORMULATE,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Ask every model about every text, then once more for foreground texts.
 
     One straight plan without a self-join, so no call runs twice for a row.
-    Failed calls leave an empty answer and an error; the row stays.
+    Failed calls leave an empty answer and an error; the row stays. ``tasks``
+    sets how many tasks call at a time.
     """
     matrix = model_matrix(texts.select("UniqueID", "Query"), list(calls))
+    if tasks:
+        matrix = matrix.repartition(tasks, "UniqueID", "model")
     first = parse_triage(_ask(matrix, calls, classify, "raw", "error"))
     second = _ask(
         first.drop("raw"),

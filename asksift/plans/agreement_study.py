@@ -13,7 +13,7 @@ from ..operators.agreement import (
     rating_patterns,
     specific_agreement,
 )
-from ..sources.writers import stage
+from ..sources.stages import stage
 
 
 @dataclass(frozen=True)

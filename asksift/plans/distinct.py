@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.identity import assign_ids, distinct_texts
-from ..sources.writers import shared_folder, stage
+from ..sources.stages import shared_folder, stage
 
 
 def dedupe(

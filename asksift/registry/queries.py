@@ -63,8 +63,9 @@ from ..plans.question_detection import (
     write_requests,
 )
 from ..plans.triage_questions import triage_questions
-from ..sources.readers import read_log, read_ratings, read_table
-from ..sources.writers import append_dead_letters, shared_folder, stage, write_csv
+from ..sources.readers import read_log, read_ratings
+from ..sources.stages import read_table, shared_folder, stage
+from ..sources.writers import append_dead_letters, write_csv
 from . import inputs as given
 
 Query = Callable[[SparkSession, str], DataFrame]

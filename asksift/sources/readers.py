@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import normalize_text
 from ..operators.identity import number_rows
+from .stages import require_columns, shared_folder, stage
 
 # Cell texts that spreadsheet readers take for an empty cell.
 EMPTY_CELLS = [
@@ -16,14 +17,7 @@ EMPTY_CELLS = [
 
 # File ranks and split starts are joined in; up to this many of them go by
 # broadcast, beyond that the optimizer picks the join.
-MAX_BROADCAST_SPLITS = 1_000_000
-
-
-def require_columns(df: DataFrame, *names: str) -> DataFrame:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"missing column(s): {', '.join(missing)}")
-    return df
+MAX_BROADCAST_SPLITS = 200_000
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -62,37 +56,46 @@ def with_file_order(df: DataFrame, fmt: str) -> DataFrame:
     """Add ``ordinal``: a unique long that follows file name and row order.
 
     The file's rank takes the upper bits. Parquet knows the row's index in the
-    file; for line formats the split's start plus the row's place in the split
-    does the same job, since a row is at least one byte long. One row per file
-    or split is joined in.
+    file. For line formats the split's start plus the row's place in the split
+    does the same job, since a row is at least one byte long; that place is
+    counted while the log is landed as a stage table, which also spares later
+    passes the parsing. One row per file or split is joined in.
     """
-    place = [F.col("_metadata.file_path").alias("__file")]
+    file = F.col("_metadata.file_path").alias("__file")
+    zero = F.lit(0).cast("long")
     if fmt == "parquet":
-        place.append(F.col("_metadata.row_index").alias("__row"))
-        tagged = df.select("*", *place)
-        keys, first = ["__file"], F.lit(0).cast("long")
-        start = F.lit(0).cast("long")
+        tagged = df.select(
+            "*", file, zero.alias("__start"), F.col("_metadata.row_index").alias("__row")
+        )
+        first = zero
     else:
-        place.append(F.col("_metadata.file_block_start").alias("__start"))
-        tagged = df.select("*", *place, F.monotonically_increasing_id().alias("__row"))
-        keys, first = ["__file", "__start"], F.min("__row")
-        start = F.col("__start")
+        tagged = df.select(
+            "*",
+            file,
+            F.col("_metadata.file_block_start").alias("__start"),
+            F.monotonically_increasing_id().alias("__row"),
+        )
+        tagged = stage(tagged, shared_folder(df.sparkSession))
+        first = F.min("__row")
+    keys = ["__file", "__start"]
     splits = tagged.groupBy(*keys).agg(first.alias("__first")).persist()
-    n_splits = splits.count()
-    files = splits.select("__file").distinct()
+    small = splits.count() <= MAX_BROADCAST_SPLITS
     ranks = number_rows(
-        files, "__rank", order=[F.col("__file")], levels=[F.lit(0)]
+        splits.select("__file").distinct(),
+        "__rank",
+        order=[F.col("__file")],
+        levels=[F.lit(0)],
     )
-    splits = splits.join(ranks, "__file")
-    if n_splits <= MAX_BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
+    placed = splits.join(ranks, "__file")
     ordinal = (
         F.shiftleft(F.col("__rank").cast("long"), 40)
-        + start
+        + F.col("__start")
         + F.col("__row")
         - F.col("__first")
     )
-    return tagged.join(splits, keys).select(*df.columns, ordinal.alias("ordinal"))
+    return tagged.join(F.broadcast(placed) if small else placed, keys).select(
+        *df.columns, ordinal.alias("ordinal")
+    )
 
 
 def read_log(
@@ -123,11 +126,6 @@ def read_log(
     return prepare_log(ordered, text)
 
 
-def read_table(spark: SparkSession, path: str, *required: str) -> DataFrame:
-    """Read a stage table back."""
-    return require_columns(spark.read.parquet(path), *required)
-
-
 def to_numeric(df: DataFrame, columns: list[str], kind: str = "int") -> DataFrame:
     """Cells to numbers; what is no number becomes null."""
     return df.select(*[F.col(c).try_cast(kind).alias(c) for c in columns])

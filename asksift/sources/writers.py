@@ -1,35 +1,10 @@
-"""Stage tables, final tables, unreadable responses."""
+"""Final tables and unreadable responses."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..operators.labelling import dead_letters
-from .readers import read_table
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``; only a session without
-    that setting, such as a local test, gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{base.rstrip('/')}/asksift-{uuid.uuid4().hex}"
-
-
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write a stage table and go on from it, so that nothing before it, model
-    calls above all, runs again."""
-    write_table(df, path)
-    return read_table(df.sparkSession, path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";") -> None:

@@ -7,7 +7,8 @@ from asksift.operators.identity import keep_first
 from asksift.plans.agreement_study import agreement_study
 from asksift.plans.question_detection import detect_questions, label_log, rule_rate, write_requests
 from asksift.plans.triage_questions import triage_questions
-from asksift.sources.readers import prepare_log, read_table
+from asksift.sources.readers import prepare_log
+from asksift.sources.stages import read_table
 from tests import study_tables as study
 
 RUNS = two_runs(["m", "n"], "seed")

@@ -1,6 +1,6 @@
 import pytest
 
-from asksift.sources import readers, writers
+from asksift.sources import readers, stages
 
 
 def write_text(path, lines):
@@ -69,15 +69,15 @@ def test_rating_table(spark, folder):
 
 
 def test_stage_table(spark, folder):
-    df = writers.stage(spark.range(5), f"{folder}/s")
+    df = stages.stage(spark.range(5), f"{folder}/s")
     assert df.count() == 5
     with pytest.raises(ValueError):
-        readers.read_table(spark, f"{folder}/s", "other")
+        stages.read_table(spark, f"{folder}/s", "other")
 
 
 def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
-    one, two = writers.shared_folder(spark), writers.shared_folder(spark)
+    one, two = stages.shared_folder(spark), stages.shared_folder(spark)
     assert one != two
     if base:
         assert one.startswith(base.rstrip("/") + "/")
