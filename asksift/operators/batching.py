@@ -40,8 +40,13 @@ def two_runs(raters: list[str], seed: str) -> list[Run]:
     return runs
 
 
-def run_matrix(distinct: DataFrame, runs: list[Run]) -> DataFrame:
-    """Every text once per run: a map-side explode over the run list."""
+def _split_runs(runs: list[Run]) -> tuple[list[Run], list[Run]]:
+    plain = [run for run in runs if run.seed is None]
+    return plain, [run for run in runs if run.seed is not None]
+
+
+def run_matrix(df: DataFrame, runs: list[Run]) -> DataFrame:
+    """Every row once per run: a map-side explode over the run list."""
     configs = F.array(
         *[
             F.struct(
@@ -51,7 +56,7 @@ def run_matrix(distinct: DataFrame, runs: list[Run]) -> DataFrame:
             for run in runs
         ]
     )
-    return distinct.select("*", F.inline(configs))
+    return df.select("*", F.inline(configs))
 
 
 def shuffle_key(seed: Column, uid: Column) -> Column:
@@ -59,60 +64,63 @@ def shuffle_key(seed: Column, uid: Column) -> Column:
     return F.md5(F.concat_ws(":", seed, uid.cast("string")))
 
 
-def _cut(ranked: DataFrame, size: int) -> DataFrame:
-    start = F.col("__rank") - 1
-    return ranked.select(
-        "run_name",
-        "UniqueID",
-        "Query",
-        F.floor(start / size).cast("long").alias("batch_id"),
-        (start % size).cast("int").alias("pos"),
+def _cut(ranked: DataFrame, rank: str, size: int) -> DataFrame:
+    start = F.col(rank) - 1
+    return ranked.withColumns(
+        {
+            "batch_id": F.floor(start / size).cast("long"),
+            "pos": (start % size).cast("int"),
+        }
+    )
+
+
+def _cut_seeded(texts: DataFrame, runs: list[Run], size: int) -> DataFrame:
+    """Numbered by hash order, in 65,536 even buckets per run."""
+    keyed = run_matrix(texts, runs).withColumn(
+        "__key", shuffle_key(F.col("seed"), F.col("UniqueID"))
+    )
+    ranked = number_rows(
+        keyed,
+        "__rank",
+        order=[F.col("__key"), F.col("UniqueID")],
+        levels=[F.substring("__key", 1, 4)],
+        within=("run_name",),
     )
+    return _cut(ranked, "__rank", size)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def assign_batches(
     distinct: DataFrame, runs: list[Run], size: int = BATCH_SIZE
 ) -> DataFrame:
-    """Batch and position of every text in every run.
-
-    Unseeded runs follow the dense id, so they need no sort at all. Seeded
-    runs are numbered by hash order in 65,536 even buckets per run.
-    """
+    """Batch and position of every text in every run. Unseeded runs follow the
+    dense id, so they need no sort at all."""
     texts = distinct.select("UniqueID", "Query")
-    plain = [run for run in runs if run.seed is None]
-    seeded = [run for run in runs if run.seed is not None]
+    columns = ["run_name", "UniqueID", "Query", "batch_id", "pos"]
+    plain, seeded = _split_runs(runs)
     parts = []
     if plain:
-        ranked = run_matrix(texts, plain).withColumn("__rank", F.col("UniqueID"))
-        parts.append(_cut(ranked, size))
+        parts.append(_cut(run_matrix(texts, plain), "UniqueID", size).select(columns))
     if seeded:
-        keyed = run_matrix(texts, seeded).withColumn(
-            "__key", shuffle_key(F.col("seed"), F.col("UniqueID"))
-        )
-        ranked = number_rows(
-            keyed,
-            "__rank",
-            order=[F.col("__key"), F.col("UniqueID")],
-            levels=[F.substring("__key", 1, 4)],
-            within=("run_name",),
-        )
-        parts.append(_cut(ranked, size))
-    batched = parts[0]
-    for part in parts[1:]:
-        batched = batched.unionByName(part)
-    return batched
+        parts.append(_cut_seeded(texts, seeded, size).select(columns))
+    return _union(parts)
 
 
-def collect_batches(assigned: DataFrame) -> DataFrame:
-    """One row per batch with its ids and texts in order; a batch is bounded
-    by the batch size, so no row grows with the data."""
+def _collect(assigned: DataFrame, *keys: str) -> DataFrame:
+    """Ids and texts of a batch in order; bounded by the batch size, so no row
+    grows with the data."""
     members = F.array_sort(F.collect_list(F.struct("pos", "UniqueID", "Query")))
     return (
-        assigned.groupBy("run_name", "batch_id")
+        assigned.groupBy(*keys)
         .agg(members.alias("members"))
         .select(
-            "run_name",
-            "batch_id",
+            *keys,
             F.size("members").alias("n_queries"),
             F.col("members.UniqueID").alias("ids"),
             F.col("members.Query").alias("queries"),
@@ -120,6 +128,27 @@ def collect_batches(assigned: DataFrame) -> DataFrame:
     )
 
 
+def collect_batches(assigned: DataFrame) -> DataFrame:
+    """One row per run and batch from the assigned texts."""
+    return _collect(assigned, "run_name", "batch_id")
+
+
+def make_batches(
+    distinct: DataFrame, runs: list[Run], size: int = BATCH_SIZE
+) -> DataFrame:
+    """The same straight from the texts: all unseeded runs have the same
+    batches, so these are collected once and repeated per run afterwards."""
+    texts = distinct.select("UniqueID", "Query")
+    plain, seeded = _split_runs(runs)
+    parts = []
+    if plain:
+        shared = _collect(_cut(texts, "UniqueID", size), "batch_id")
+        parts.append(run_matrix(shared, plain).drop("seed"))
+    if seeded:
+        parts.append(collect_batches(_cut_seeded(texts, seeded, size)))
+    return _union(parts)
+
+
 def render_prompts(batches: DataFrame, preamble: str = DEFAULT_PREAMBLE) -> DataFrame:
     """Add ``prompt``: the preamble, then one ``- text`` line per query."""
     lines = F.concat(F.lit("- "), F.array_join("queries", "\n- "), F.lit("\n"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.rules import is_question, label_by_rules
-from ..operators.batching import assign_batches, collect_batches, two_runs
+from ..operators.batching import make_batches, two_runs
 from ..plans.distinct import dedupe
 from ..sources.readers import prepare_log, spread
 
@@ -113,7 +113,7 @@ def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collect_batches(assign_batches(distinct_texts(spark, sf_dir), RUNS))
+    return make_batches(distinct_texts(spark, sf_dir), RUNS)
 
 
 def model_responses(batched: DataFrame) -> DataFrame:

@@ -491,6 +491,10 @@ def oracles() -> dict[str, str]:
                 array_to_string(list_transform(queries, lambda q: '- ' || q || chr(10)), '') AS prompt
                 FROM batches""",
         ),
+        "batch_members": using(
+            [*ASSIGNED, "batches"],
+            "SELECT run_name, batch_id, array_to_string(ids, ' ') AS members FROM batches",
+        ),
         "triage_prompts": using(
             ELIGIBLE,
             f"""SELECT "UniqueID", {system} AS system_prompt,

@@ -208,6 +208,15 @@ def triage_prompts(spark, sf_dir):
     return render_triage_prompts(texts, CLASSIFY).drop("Query")
 
 
+@_query
+def batch_members(spark, sf_dir):
+    assigned = assign_batches(given.distinct_texts(spark, sf_dir), given.RUNS)
+    batched = collect_batches(assigned)
+    return batched.select(
+        "run_name", "batch_id", F.array_join("ids", " ").alias("members")
+    )
+
+
 # Responses and labels
 
 

@@ -55,6 +55,14 @@ def test_batches_and_prompts(texts):
     assert rows[3].prompt == "P:\n" + "".join(f"- text {i}\n" for i in range(301, 324))
 
 
+def test_batches_straight_from_the_texts_are_the_same(texts):
+    def rows(df):
+        return sorted((r.run_name, r.batch_id, r.n_queries, r.ids, r.queries) for r in df.collect())
+
+    assert rows(b.make_batches(texts, RUNS)) == rows(b.collect_batches(b.assign_batches(texts, RUNS)))
+    assert len(rows(b.make_batches(texts, RUNS[:1]))) == len(rows(b.make_batches(texts, RUNS[1:2]))) == 7
+
+
 def test_batch_sizes(texts):
     sizes = b.batch_sizes(b.assign_batches(texts, RUNS)).collect()
     assert sorted(r.n_queries for r in sizes) == [23] * 4 + [50] * 24
