@@ -431,7 +431,7 @@ def oracles() -> dict[str, str]:
         FROM turn_batches"""
 
     return {
-        "normalize_whole_texts": f"SELECT doc_id, {clean('text')} AS text_norm FROM documents",
+        "normalize_text": f"SELECT doc_id, {clean('text')} AS text_norm FROM documents",
         "nfkc_fullwidth": "SELECT doc_id, text AS folded FROM documents",
         "clean_log": using(LOG, "SELECT * FROM log"),
         "letter_case": using(
@@ -470,7 +470,7 @@ def oracles() -> dict[str, str]:
         "file_order": f"""
             SELECT doc_id, 1099511627776 + row_number() OVER (ORDER BY doc_id) - 1 AS ordinal,
                    length({clean('text')}) AS n_kept FROM documents""",
-        "run_list": using(
+        "run_matrix": using(
             TEXTS, f'SELECT "UniqueID", run_name, seed FROM texts, {RUN_TABLE} runs'
         ),
         "batch_assign": using(
@@ -502,7 +502,7 @@ def oracles() -> dict[str, str]:
                 {system} || chr(10) || chr(10) || {long_message} || "Query" AS single_prompt
                 FROM eligible""",
         ),
-        "parse_model_responses": using(GIVEN, "SELECT * FROM given"),
+        "parse_responses": using(GIVEN, "SELECT * FROM given"),
         "dead_letter": using(
             PARSED, "SELECT run_name, batch_id, raw FROM parsed WHERE items IS NULL"
         ),
@@ -511,7 +511,7 @@ def oracles() -> dict[str, str]:
             """SELECT run_name, count(*) AS n_batches, count(raw) AS n_with_text
                FROM parsed WHERE items IS NULL GROUP BY run_name""",
         ),
-        "align_model_labels": using(ALIGNED, "SELECT * FROM aligned"),
+        "align_labels": using(ALIGNED, "SELECT * FROM aligned"),
         "batch_label_udf": using(
             ASSIGNED,
             """SELECT run_name, batch_id, "UniqueID",
@@ -537,13 +537,13 @@ def oracles() -> dict[str, str]:
             [*LABELS, "wide"], "SELECT *, NULL AS \"LLM_run1_absent\" FROM wide"
         ),
         "attached_labels": using(LABELLED, "SELECT * FROM labelled"),
-        "merged_log": using(
+        "merge_back": using(
             LABELLED,
             f"""SELECT log.*, w."UniqueID", w."Rules", {wide_columns}
                 FROM log LEFT JOIN labelled w USING ("Query")""",
         ),
-        "eligible_texts": using(ELIGIBLE, 'SELECT "UniqueID", "Query" FROM eligible'),
-        "eligible_texts_from_long": using(
+        "eligible": using(ELIGIBLE, 'SELECT "UniqueID", "Query" FROM eligible'),
+        "eligible_from_long": using(
             LABELS,
             """SELECT "UniqueID", "Query" FROM texts
                WHERE "UniqueID" IN (SELECT "UniqueID" FROM labels WHERE label = 'YES')""",
@@ -592,6 +592,14 @@ def oracles() -> dict[str, str]:
             ["ratings"], f"SELECT doc_id, {rater_columns} FROM ratings"
         ),
         "agreement_overall": using(
+            VOTES,
+            f"""SELECT *, {RATIO} AS value FROM (
+                    SELECT rater_set, CAST(sum(agreeing) AS BIGINT) AS agreeing,
+                           CAST(sum(possible) AS BIGINT) AS possible
+                    FROM sums GROUP BY rater_set)""",
+            sums=category_sums("votes", {"all": DOC_RATERS}),
+        ),
+        "agreement_subsets": using(
             VOTES,
             f"""SELECT *, {RATIO} AS value FROM (
                     SELECT rater_set, CAST(sum(agreeing) AS BIGINT) AS agreeing,
@@ -607,7 +615,7 @@ def oracles() -> dict[str, str]:
         "agreement_pairs": using(
             VOTES, "SELECT *, n_same / n_both AS value FROM pairs", pairs=pair_sums(DOC_RATERS)
         ),
-        "agreement_matrix_cells": using(
+        "agreement_matrix_long": using(
             VOTES,
             f"""SELECT {display('a')} AS rater_i, {display('b')} AS rater_j, value,
                        round(value, 2) AS value_label
@@ -645,12 +653,12 @@ def oracles() -> dict[str, str]:
         "kappa_categories": using(
             [*WIDE, "model_votes"], "SELECT * FROM kappas", **kappa("model_votes", MODELS)
         ),
-        "review_sample_ids": using(
+        "review_sample": using(
             TEXTS,
             f"""SELECT "UniqueID", "Query" FROM texts
                 ORDER BY md5('review:' || "UniqueID"), "UniqueID" LIMIT {SAMPLE_SIZE}""",
         ),
-        "funnel": using(
+        "stage_funnel": using(
             ELIGIBLE,
             """SELECT (SELECT count(*) FROM log) AS log_rows,
                       (SELECT count(*) FROM texts) AS distinct_texts,

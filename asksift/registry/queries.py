@@ -81,9 +81,12 @@ PLAIN = [run for run in given.RUNS if run.seed is None]
 _REGISTRY: dict[str, Query] = {}
 
 
-def _query(fn: Query) -> Query:
-    _REGISTRY[fn.__name__] = fn
-    return fn
+def _query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        _REGISTRY[name] = fn
+        return fn
+
+    return register
 
 
 def registered() -> dict[str, Query]:
@@ -93,24 +96,24 @@ def registered() -> dict[str, Query]:
 # Text and rules
 
 
-@_query
+@_query("normalize_text")
 def normalize_whole_texts(spark, sf_dir):
     docs = given.documents(spark, sf_dir)
     return docs.select("doc_id", normalize_text(F.col("text")).alias("text_norm"))
 
 
-@_query
+@_query("nfkc_fullwidth")
 def nfkc_fullwidth(spark, sf_dir):
     wide = F.translate("text", ASCII, FULL_WIDTH)
     return given.documents(spark, sf_dir).select("doc_id", nfkc(wide).alias("folded"))
 
 
-@_query
+@_query("clean_log")
 def clean_log(spark, sf_dir):
     return given.sentence_log(spark, sf_dir)
 
 
-@_query
+@_query("letter_case")
 def letter_case(spark, sf_dir):
     text = F.col("Query")
     return given.raw_log(spark, sf_dir).select(
@@ -120,12 +123,12 @@ def letter_case(spark, sf_dir):
     )
 
 
-@_query
+@_query("rule_labels")
 def rule_labels(spark, sf_dir):
     return label_by_rules(given.question_log(spark, sf_dir))
 
 
-@_query
+@_query("rule_conditions")
 def rule_conditions(spark, sf_dir):
     log = given.question_log(spark, sf_dir)
     clean = log.select("ordinal", strip_lower(F.col("Query")).alias("s"))
@@ -134,20 +137,20 @@ def rule_conditions(spark, sf_dir):
     )
 
 
-@_query
+@_query("rule_fired")
 def rule_fired(spark, sf_dir):
     log = given.question_log(spark, sf_dir)
     rule = F.coalesce(fired_rule(F.col("Query")), F.lit("none"))
     return log.groupBy("lang", rule.alias("rule")).agg(F.count("*").alias("n_rows"))
 
 
-@_query
+@_query("rule_labels_whole_texts")
 def rule_labels_whole_texts(spark, sf_dir):
     docs = given.documents(spark, sf_dir).select("doc_id", "lang", "text")
     return label_by_rules(docs, "text").select("doc_id", "lang", "Rules")
 
 
-@_query
+@_query("rule_rate_by_lang")
 def rule_rate_by_lang(spark, sf_dir):
     return rule_rate(rule_label_log(given.sentence_log(spark, sf_dir)), "lang")
 
@@ -155,18 +158,18 @@ def rule_rate_by_lang(spark, sf_dir):
 # Identity
 
 
-@_query
+@_query("dedup_ids")
 def dedup_ids(spark, sf_dir):
     return given.distinct_texts(spark, sf_dir)
 
 
-@_query
+@_query("keep_first_by_key")
 def keep_first_by_key(spark, sf_dir):
     turns = given.table(spark, sf_dir, "conversations")
     return keep_first(turns, ["conv_id"], ["turn"])
 
 
-@_query
+@_query("file_order")
 def file_order(spark, sf_dir):
     log = read_log(spark, f"{sf_dir}/documents.parquet", text="text")
     return log.select("doc_id", "ordinal", F.length("text").alias("n_kept"))
@@ -175,40 +178,40 @@ def file_order(spark, sf_dir):
 # Batches and prompts
 
 
-@_query
+@_query("run_matrix")
 def run_list(spark, sf_dir):
     distinct = given.distinct_texts(spark, sf_dir)
     return run_matrix(distinct.select("UniqueID"), given.RUNS)
 
 
-@_query
+@_query("batch_assign")
 def batch_assign(spark, sf_dir):
     return assign_batches(given.distinct_texts(spark, sf_dir), PLAIN).drop("Query")
 
 
-@_query
+@_query("batch_assign_shuffled")
 def batch_assign_shuffled(spark, sf_dir):
     return assign_batches(given.distinct_texts(spark, sf_dir), SHUFFLED).drop("Query")
 
 
-@_query
+@_query("batch_size_table")
 def batch_size_table(spark, sf_dir):
     return batch_sizes(assign_batches(given.distinct_texts(spark, sf_dir), given.RUNS))
 
 
-@_query
+@_query("batch_prompts")
 def batch_prompts(spark, sf_dir):
     rendered = render_prompts(given.batches(spark, sf_dir), PREAMBLE)
     return rendered.select("run_name", "batch_id", "n_queries", "prompt")
 
 
-@_query
+@_query("triage_prompts")
 def triage_prompts(spark, sf_dir):
     texts = eligible(given.labelled_texts(spark, sf_dir)).select("UniqueID", "Query")
     return render_triage_prompts(texts, CLASSIFY).drop("Query")
 
 
-@_query
+@_query("batch_members")
 def batch_members(spark, sf_dir):
     assigned = assign_batches(given.distinct_texts(spark, sf_dir), given.RUNS)
     batched = collect_batches(assigned)
@@ -227,17 +230,17 @@ def _parsed(spark, sf_dir):
     return batched, stage(parsed, f"{folder}/parsed")
 
 
-@_query
+@_query("parse_responses")
 def parse_model_responses(spark, sf_dir):
     return explode_labels(_parsed(spark, sf_dir)[1])
 
 
-@_query
+@_query("dead_letter")
 def dead_letter(spark, sf_dir):
     return dead_letters(_parsed(spark, sf_dir)[1])
 
 
-@_query
+@_query("dead_letter_append")
 def dead_letter_append(spark, sf_dir):
     _, parsed = _parsed(spark, sf_dir)
     path = f"{shared_folder(spark)}/dead_letters"
@@ -248,7 +251,7 @@ def dead_letter_append(spark, sf_dir):
     )
 
 
-@_query
+@_query("align_labels")
 def align_model_labels(spark, sf_dir):
     return align_labels(*_parsed(spark, sf_dir))
 
@@ -261,7 +264,7 @@ def _longer_is_yes(texts: list[str]) -> list[dict]:
     ]
 
 
-@_query
+@_query("batch_label_udf")
 def batch_label_udf(spark, sf_dir):
     calls = {name: _longer_is_yes for name in given.RUN_NAMES}
     return classify_batches(given.batches(spark, sf_dir), calls)
@@ -272,7 +275,7 @@ def _answer_prompt(prompt: str) -> str:
     return "```json\n" + json.dumps(_longer_is_yes(texts.split("\n- "))) + "\n```"
 
 
-@_query
+@_query("batch_call_udf")
 def batch_call_udf(spark, sf_dir):
     folder = shared_folder(spark)
     prompts = render_prompts(given.batches(spark, sf_dir), PREAMBLE)
@@ -282,32 +285,32 @@ def batch_call_udf(spark, sf_dir):
     return align_labels(requests, parse_responses(responses))
 
 
-@_query
+@_query("wide_labels")
 def wide_labels(spark, sf_dir):
     labels = given.model_labels(spark, sf_dir)
     return widen_labels(labels, [*given.RUN_NAMES, "LLM_run1_absent"])
 
 
-@_query
+@_query("attached_labels")
 def attached_labels(spark, sf_dir):
     labels = given.model_labels(spark, sf_dir)
     distinct = given.distinct_texts(spark, sf_dir)
     return attach_labels(label_by_rules(distinct), labels, given.RUN_NAMES)
 
 
-@_query
+@_query("merge_back")
 def merged_log(spark, sf_dir):
     log = given.sentence_log(spark, sf_dir)
     labelled = given.labelled_texts(spark, sf_dir)
     return merge_back(log, labelled, hot_rows=given.HOT_ROWS)
 
 
-@_query
+@_query("eligible")
 def eligible_texts(spark, sf_dir):
     return eligible(given.labelled_texts(spark, sf_dir)).select("UniqueID", "Query")
 
 
-@_query
+@_query("eligible_from_long")
 def eligible_texts_from_long(spark, sf_dir):
     distinct = given.distinct_texts(spark, sf_dir)
     labels = given.model_labels(spark, sf_dir)
@@ -322,25 +325,25 @@ def _triage_rows(spark, sf_dir):
     return texts, *given.triage_responses(texts)
 
 
-@_query
+@_query("triage_parse")
 def triage_parse(spark, sf_dir):
     _, classified, _ = _triage_rows(spark, sf_dir)
     return parse_triage(classified).drop("raw")
 
 
-@_query
+@_query("triage_foreground")
 def triage_foreground(spark, sf_dir):
     _, classified, _ = _triage_rows(spark, sf_dir)
     return foreground(parse_triage(classified)).select("UniqueID", "model")
 
 
-@_query
+@_query("model_list")
 def model_list(spark, sf_dir):
     texts = eligible(given.labelled_texts(spark, sf_dir)).select("UniqueID")
     return model_matrix(texts, given.MODELS)
 
 
-@_query
+@_query("question_cleanup")
 def question_cleanup(spark, sf_dir):
     _, _, reformulated = _triage_rows(spark, sf_dir)
     question = structured_question(F.col("raw"))
@@ -357,17 +360,17 @@ def _triaged(spark, sf_dir):
     return triage_with_responses(texts, given.MODELS, classified, reformulated)
 
 
-@_query
+@_query("triage_two_stage")
 def triage_two_stage(spark, sf_dir):
     return _triaged(spark, sf_dir)
 
 
-@_query
+@_query("triage_wide")
 def triage_wide(spark, sf_dir):
     return widen_triage(_triaged(spark, sf_dir), given.MODELS)
 
 
-@_query
+@_query("triage_report")
 def triage_report(spark, sf_dir):
     return (
         _triaged(spark, sf_dir)
@@ -379,7 +382,7 @@ def triage_report(spark, sf_dir):
     )
 
 
-@_query
+@_query("triage_merge_na")
 def triage_merge_na(spark, sf_dir):
     distinct = given.labelled_texts(spark, sf_dir)
     triaged = widen_triage(_triaged(spark, sf_dir), given.MODELS)
@@ -405,7 +408,7 @@ def _model_call(model: str):
 MODEL_CALLS = {model: _model_call(model) for model in given.MODELS}
 
 
-@_query
+@_query("triage_call_udf")
 def triage_call_udf(spark, sf_dir):
     texts = eligible(given.labelled_texts(spark, sf_dir))
     return triage_with_calls(texts, MODEL_CALLS)
@@ -419,65 +422,71 @@ def _document_patterns(spark, sf_dir):
     return agree.rating_patterns(given.document_ratings(spark, sf_dir), raters)
 
 
-@_query
+@_query("rating_pattern_counts")
 def rating_pattern_counts(spark, sf_dir):
     return _document_patterns(spark, sf_dir)
 
 
-@_query
+@_query("long_document_ratings")
 def long_document_ratings(spark, sf_dir):
     ratings = given.document_ratings(spark, sf_dir)
     return agree.long_ratings(ratings, "doc_id", given.DOC_RATERS)
 
 
-@_query
+@_query("wide_document_ratings")
 def wide_document_ratings(spark, sf_dir):
     ratings = given.document_ratings(spark, sf_dir)
     long = agree.long_ratings(ratings, "doc_id", given.DOC_RATERS)
     return agree.wide_ratings(long, "doc_id", given.DOC_RATERS)
 
 
-@_query
+@_query("agreement_overall")
 def agreement_overall(spark, sf_dir):
+    patterns = _document_patterns(spark, sf_dir)
+    return agree.overall_agreement(patterns, {"all": given.DOC_RATERS})
+
+
+@_query("agreement_subsets")
+def agreement_subsets(spark, sf_dir):
     patterns = _document_patterns(spark, sf_dir)
     return agree.overall_agreement(patterns, given.RATER_SETS)
 
 
-@_query
+@_query("agreement_specific")
 def agreement_specific(spark, sf_dir):
     patterns = _document_patterns(spark, sf_dir)
     return agree.specific_agreement(patterns, given.RATER_SETS)
 
 
-@_query
+@_query("agreement_pairs")
 def agreement_pairs(spark, sf_dir):
     return agree.pair_agreement(_document_patterns(spark, sf_dir), given.DOC_RATERS)
 
 
-@_query
+@_query("agreement_matrix_long")
 def agreement_matrix_cells(spark, sf_dir):
     patterns = _document_patterns(spark, sf_dir)
     return agree.agreement_matrix_long(patterns, given.DOC_RATERS, given.DISPLAY)
 
 
-@_query
+@_query("agreement_matrix_square")
 def agreement_matrix_square(spark, sf_dir):
     return agree.agreement_matrix(_document_patterns(spark, sf_dir), given.DOC_RATERS)
 
 
-@_query
+@_query("kappa_pairs")
 def kappa_pairs(spark, sf_dir):
     return agree.cohen_kappa(_document_patterns(spark, sf_dir), given.DOC_RATERS)
 
 
-@_query
+@_query("kappa_light")
 def kappa_light(spark, sf_dir):
     patterns = _document_patterns(spark, sf_dir)
     light = agree.light_kappa(patterns, given.DOC_RATERS)
     return light.withColumn("kappa", F.round("kappa", 9))
 
 
-@_query
+@_query("agreement_runs")
 def agreement_runs(spark, sf_dir):
     """Rules and all model runs as raters of the distinct texts."""
     raters = ["Rules", *given.RUN_NAMES]
@@ -489,7 +498,7 @@ def agreement_runs(spark, sf_dir):
     )
 
 
-@_query
+@_query("agreement_categories")
 def agreement_categories(spark, sf_dir):
     """The models as raters with several categories, on the triaged texts."""
     wide = widen_triage(_triaged(spark, sf_dir), given.MODELS)
@@ -500,7 +509,7 @@ def agreement_categories(spark, sf_dir):
     return agree.specific_agreement(patterns, {"models": given.MODELS})
 
 
-@_query
+@_query("kappa_categories")
 def kappa_categories(spark, sf_dir):
     wide = widen_triage(_triaged(spark, sf_dir), given.MODELS)
     ratings = wide.select(
@@ -512,35 +521,35 @@ def kappa_categories(spark, sf_dir):
 # Reports, sources and whole jobs
 
 
-@_query
+@_query("review_sample")
 def review_sample_ids(spark, sf_dir):
     distinct = given.distinct_texts(spark, sf_dir)
     return review_sample(distinct, SAMPLE_SIZE, "review").select("UniqueID", "Query")
 
 
-@_query
+@_query("stage_funnel")
 def funnel(spark, sf_dir):
     return stage_funnel(given.labelled_texts(spark, sf_dir))
 
 
-@_query
+@_query("log_head")
 def log_head(spark, sf_dir):
     return head(given.sentence_log(spark, sf_dir), SLICE)
 
 
-@_query
+@_query("log_tail")
 def log_tail(spark, sf_dir):
     return tail(given.sentence_log(spark, sf_dir), SLICE)
 
 
-@_query
+@_query("csv_roundtrip")
 def csv_roundtrip(spark, sf_dir):
     path = f"{shared_folder(spark)}/ratings"
     write_csv(given.document_ratings(spark, sf_dir).select(*given.DOC_RATERS), path)
     return agree.rating_patterns(read_ratings(spark, path), given.DOC_RATERS)
 
 
-@_query
+@_query("csv_log_order")
 def csv_log_order(spark, sf_dir):
     """A log written as CSV and read back in file order."""
     path = f"{shared_folder(spark)}/log"
@@ -565,13 +574,13 @@ def _detection(spark, sf_dir):
     return label_log(log, folder, given.RUNS, given.model_responses(requests))
 
 
-@_query
+@_query("detection_job")
 def detection_job(spark, sf_dir):
     """The whole first job with stored responses, up to the labelled log."""
     return _detection(spark, sf_dir).log
 
 
-@_query
+@_query("detection_job_calls")
 def detection_job_calls(spark, sf_dir):
     """The whole first job with callables, on the conversation turns."""
     turns = given.table(spark, sf_dir, "conversations")
@@ -586,7 +595,7 @@ def detection_job_calls(spark, sf_dir):
     return done.log
 
 
-@_query
+@_query("triage_job")
 def triage_job(spark, sf_dir):
     """The whole second job after the first: all distinct texts, triaged."""
     detection = _detection(spark, sf_dir)
@@ -594,7 +603,7 @@ def triage_job(spark, sf_dir):
     return everything.drop("first_ordinal", "n_rows")
 
 
-@_query
+@_query("study_job")
 def study_job(spark, sf_dir):
     """The whole agreement study: every figure by name."""
     ratings = given.document_ratings(spark, sf_dir)

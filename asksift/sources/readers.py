@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.text import normalize_text
 from ..operators.identity import number_rows
@@ -55,46 +55,48 @@ def _scan(
 def with_file_order(df: DataFrame, fmt: str) -> DataFrame:
     """Add ``ordinal``: a unique long that follows file name and row order.
 
-    The file's rank takes the upper bits. Parquet knows the row's index in the
-    file. For line formats the split's start plus the row's place in the split
-    does the same job, since a row is at least one byte long; that place is
-    counted while the log is landed as a stage table, which also spares later
-    passes the parsing. One row per file or split is joined in.
+    The file's rank takes the upper bits, the row's place in the file the
+    lower 40. Parquet knows that place. Other formats know where a row's split
+    starts; the rows are landed as a stage table with a running number, and
+    the place is the rows of the splits before plus the row's place in its
+    own. Landing also spares later passes the parsing. One row per file or
+    split is joined in.
     """
+    columns = df.columns
     file = F.col("_metadata.file_path").alias("__file")
     zero = F.lit(0).cast("long")
     if fmt == "parquet":
-        tagged = df.select(
-            "*", file, zero.alias("__start"), F.col("_metadata.row_index").alias("__row")
-        )
+        start, row = zero, F.col("_metadata.row_index")
         first = zero
     else:
-        tagged = df.select(
-            "*",
-            file,
-            F.col("_metadata.file_block_start").alias("__start"),
-            F.monotonically_increasing_id().alias("__row"),
-        )
-        tagged = stage(tagged, shared_folder(df.sparkSession))
+        start, row = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
         first = F.min("__row")
+    df = df.select("*", file, start.alias("__start"), row.alias("__row"))
+    if fmt != "parquet":
+        df = stage(df, shared_folder(df.sparkSession))
+
     keys = ["__file", "__start"]
-    splits = tagged.groupBy(*keys).agg(first.alias("__first")).persist()
+    found = df.groupBy(*keys).agg(first.alias("__first"), F.count("*").alias("__n"))
+    splits = found.persist()
     small = splits.count() <= MAX_BROADCAST_SPLITS
+    earlier = Window.partitionBy("__file").orderBy("__start").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    before = F.coalesce(F.sum("__n").over(earlier), zero)
     ranks = number_rows(
         splits.select("__file").distinct(),
         "__rank",
         order=[F.col("__file")],
         levels=[F.lit(0)],
     )
-    placed = splits.join(ranks, "__file")
-    ordinal = (
-        F.shiftleft(F.col("__rank").cast("long"), 40)
-        + F.col("__start")
-        + F.col("__row")
-        - F.col("__first")
+    placed = (
+        splits.join(ranks, "__file")
+        .withColumn("__base", F.shiftleft(F.col("__rank").cast("long"), 40) + before)
+        .select(*keys, (F.col("__base") - F.col("__first")).alias("__base"))
     )
-    return tagged.join(F.broadcast(placed) if small else placed, keys).select(
-        *df.columns, ordinal.alias("ordinal")
+    joined = df.join(F.broadcast(placed) if small else placed, keys)
+    return joined.select(
+        *columns, (F.col("__base") + F.col("__row")).alias("ordinal")
     )
 
 

@@ -48,6 +48,14 @@ def test_parquet_order_over_files(spark, folder):
     assert [r.Query for r in sorted(log.collect(), key=lambda r: r.ordinal)] == expected
 
 
+def test_orc_order(spark, folder):
+    texts = [f"q{i}" for i in range(5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "Query string")
+    df.coalesce(1).write.orc(f"{folder}/x")
+    rows = readers.read_log(spark, f"{folder}/x", "orc").collect()
+    assert [r.Query for r in sorted(rows, key=lambda r: r.ordinal)] == texts
+
+
 def test_json_log_with_own_order(spark, folder):
     write_text(f"{folder}/log.json", ['{"Query": " b ", "at": 2}', '{"Query": null, "at": 3}', '{"Query": "a", "at": 1}'])
     log = readers.read_log(spark, f"{folder}/log.json", "json", schema="Query string, at long", ordinal="at")
