@@ -12,6 +12,7 @@ from ..functions.rules import is_question, label_by_rules
 from ..operators.batching import make_batches, two_runs
 from ..plans.distinct import dedupe
 from ..sources.readers import prepare_log, spread
+from ..sources.stages import shared_folder, stage
 
 RATERS = ["alpha", "beta", "gamma"]
 SEED = "round"
@@ -106,10 +107,12 @@ def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct texts with rule labels and one column per run, in one pass."""
-    return label_by_rules(distinct_texts(spark, sf_dir)).withColumns(
+    """Distinct texts with rule labels and one column per run, as the stage
+    table that the detection job leaves."""
+    labelled = label_by_rules(distinct_texts(spark, sf_dir)).withColumns(
         {name: model_label(F.lit(name)) for name in RUN_NAMES}
     )
+    return stage(labelled, f"{shared_folder(spark)}/distinct_labelled")
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
