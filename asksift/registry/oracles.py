@@ -469,7 +469,7 @@ def oracles() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
         "file_order": f"""
             SELECT doc_id, 1099511627776 + row_number() OVER (ORDER BY doc_id) - 1 AS ordinal,
-                   length({clean('text')}) AS n_kept FROM documents""",
+                   CAST(length({clean('text')}) AS INTEGER) AS n_kept FROM documents""",
         "run_matrix": using(
             TEXTS, f'SELECT "UniqueID", run_name, seed FROM texts, {RUN_TABLE} runs'
         ),
@@ -487,7 +487,7 @@ def oracles() -> dict[str, str]:
         ),
         "batch_prompts": using(
             [*ASSIGNED, "batches"],
-            f"""SELECT run_name, batch_id, n_queries, {text(PREAMBLE)} ||
+            f"""SELECT run_name, batch_id, CAST(n_queries AS INTEGER) AS n_queries, {text(PREAMBLE)} ||
                 array_to_string(list_transform(queries, lambda q: '- ' || q || chr(10)), '') AS prompt
                 FROM batches""",
         ),
@@ -534,7 +534,7 @@ def oracles() -> dict[str, str]:
                WHERE NOT bad AND run_name NOT LIKE '%beta%'""",
         ),
         "wide_labels": using(
-            [*LABELS, "wide"], "SELECT *, NULL AS \"LLM_run1_absent\" FROM wide"
+            [*LABELS, "wide"], "SELECT *, CAST(NULL AS VARCHAR) AS \"LLM_run1_absent\" FROM wide"
         ),
         "attached_labels": using(LABELLED, "SELECT * FROM labelled"),
         "merge_back": using(
@@ -686,7 +686,7 @@ def oracles() -> dict[str, str]:
                  turn_batches AS ({turn_batches}), turn_labels AS ({turn_labels})
             SELECT t.ordinal, t.role, t."Query", u."UniqueID",
                    {yes_no(is_question('t."Query"'))} AS "Rules",
-                   a.label AS "LLM_run1_x", b.label AS "LLM_run2_x", NULL AS "LLM_run1_off"
+                   a.label AS "LLM_run1_x", b.label AS "LLM_run2_x", CAST(NULL AS VARCHAR) AS "LLM_run1_off"
             FROM turns t JOIN turn_texts u USING ("Query")
             LEFT JOIN turn_labels a ON a."UniqueID" = u."UniqueID" AND a.run_name = 'LLM_run1_x'
             LEFT JOIN turn_labels b ON b."UniqueID" = u."UniqueID" AND b.run_name = 'LLM_run2_x'""",
