@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from asksift.operators import merging
@@ -48,6 +49,14 @@ def test_merge_back_keeps_every_row_and_splits_hot_texts(spark):
             assert (r.UniqueID, r.Rules, r.LLM_run1_a) == (e.UniqueID, e.Rules, e.LLM_run1_a)
 
 
+def test_merge_back_refuses_to_choose_between_two_labels(spark):
+    log = spark.createDataFrame([(0, "hot", "NO", 5)], "ordinal long, Query string, Rules string, n_rows int")
+    with pytest.raises(ValueError, match="Rules"):
+        merging.merge_back(log, labelled_of(spark))
+    row = merging.merge_back(log.drop("Rules"), labelled_of(spark)).first()
+    assert (row.n_rows, row.UniqueID, row.LLM_run1_a) == (5, 1, "YES")
+
+
 def test_hot_rows_spread_over_join_tasks(spark):
     log = spark.range(3000).select(F.col("id").alias("ordinal"), F.lit("hot").alias("Query"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
