@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from asksift.registry.oracles import oracles
+from asksift.registry.queries import registered
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -25,18 +27,20 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(registered()) == set(oracles())
+    assert set(registered()) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert set(entry_points.entry(spark).columns) == {"lang", "Rules", "n_rows", "n_texts"}
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query_matches_sql(spark, duck, name):
-    got = entry_points.queries()[name](spark, SF)
+    got = registered()[name](spark, SF)
     columns = sorted(got.columns)
-    relation = duck.sql(entry_points.oracle_sql()[name])
+    relation = duck.sql(oracles()[name])
     assert sorted(relation.columns) == columns
     picked = ", ".join(f'"{c}"' for c in columns)
     expected = duck.sql(f"SELECT {picked} FROM relation").fetchall()
