@@ -40,6 +40,17 @@ def contamination(docs: str = "documents", window: int = 13) -> str:
 
 
 SQL: dict[str, str] = {
+    "op6_warc": """WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+    best AS (SELECT hex, max(page_id) AS response FROM p GROUP BY hex),
+    parts AS (SELECT *, [CAST('0x' || substr(hex, i, 5) AS INTEGER) FOR i IN range(1, 41, 5)] AS v
+              FROM p JOIN best USING (hex))
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+           array_to_string(flatten([[substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((x >> s) & 31), 1) FOR s IN [15, 10, 5, 0]] FOR x IN v]), '') AS payload_digest,
+           CASE WHEN page_id IS DISTINCT FROM response THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM response THEN response END AS refers_to
+    FROM parts""",
     "op10_decontamination": f"""WITH {contamination()}
     SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM judged""",
 }

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..sources.stages import shared_folder, stage
+from . import warc
 from .decontamination import decontaminate
+from .fingerprints import fingerprint_edits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and that of its edited text."""
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived with a dictionary, and read back."""
+    pages = table(spark, sf_dir, "pages")
+    folder = shared_folder(spark)
+    marked = warc.mark_revisits(pages)
+    files = warc.write_archives(marked, f"{folder}/archives", warc.build_dictionary(pages))
+    files = stage(files, f"{folder}/files")
+    return warc.read_archives(warc.spread_files(spark, files), payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share 13-word windows with benchmark items."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -29,5 +49,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_fingerprints": op2_fingerprints,
+    "op6_warc": op6_warc,
     "op10_decontamination": op10_decontamination,
 }
