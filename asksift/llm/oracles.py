@@ -39,7 +39,68 @@ def contamination(docs: str = "documents", window: int = 13) -> str:
                FROM dw LEFT JOIN hit USING (r) LEFT JOIN named USING (r))"""
 
 
+def hashed(*parts: str) -> str:
+    joined = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"CAST('0x' || substr(md5({joined}), 1, 12) AS BIGINT)"
+
+
+def mixture(docs: str = "documents", target: float = 0.95, repeats: float = 4.0) -> str:
+    """CTEs that end in ``drawn``: the draws of the temperature mixture."""
+    middle = "(lo + hi) / 2"
+    entropy = (
+        f"(SELECT ln(sum(pow(share, {middle}))) - {middle} * sum(pow(share, {middle}) * ln(share)) "
+        f"/ sum(pow(share, {middle})) FROM shares)"
+    )
+    most = f"(SELECT max(pow(share, {middle} - 1)) / sum(pow(share, {middle})) FROM shares)"
+    return f"""
+    counted AS MATERIALIZED (
+        SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS id, doc_id, coalesce(source, '') AS source,
+               CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\r\\f]+')) AS BIGINT) AS n_tokens
+        FROM {docs}),
+    shares AS MATERIALIZED (
+        SELECT source, tokens, tokens / sum(tokens) OVER () AS share, sum(tokens) OVER () AS total
+        FROM (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM counted GROUP BY source)
+        WHERE tokens > 0),
+    halved AS (
+        SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+        UNION ALL
+        SELECT i + 1, CASE WHEN up THEN {middle} ELSE lo END, CASE WHEN up THEN hi ELSE {middle} END
+        FROM (SELECT *, {entropy} > {target} * (SELECT ln(count(*)) FROM shares) AS up FROM halved WHERE i < 40)),
+    limited AS (
+        SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+        UNION ALL
+        SELECT i + 1, CASE WHEN up THEN {middle} ELSE lo END, CASE WHEN up THEN hi ELSE {middle} END
+        FROM (SELECT *, {most} > {repeats} AS up FROM limited WHERE i < 40)),
+    chosen AS MATERIALIZED (
+        SELECT greatest((SELECT round(hi, 9) FROM halved WHERE i = 40),
+                        (SELECT round(hi, 9) FROM limited WHERE i = 40)) AS a),
+    budgets AS MATERIALIZED (
+        SELECT source, tokens, least(CAST(ceil(tokens / 65536) AS BIGINT), 4096) AS blocks,
+               CAST(round(pow(share, a) / sum(pow(share, a)) OVER () * total) AS BIGINT) AS budget
+        FROM shares, chosen),
+    placed AS (
+        SELECT c.*, b.tokens, b.budget, {hashed("'mix'", "'block'", "id")} % blocks AS block,
+               unnest(range(0, CASE WHEN budget > 0 THEN (budget - 1) // tokens + 1 ELSE 0 END)) AS epoch
+        FROM counted c JOIN budgets b USING (source)),
+    in_block AS (
+        SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch, block
+            ORDER BY {hashed("'mix'", "epoch", "id")}, doc_id, n_tokens
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM placed),
+    starts AS (
+        SELECT source, epoch, block, coalesce(sum(t) OVER (PARTITION BY source, epoch
+            ORDER BY {hashed("'mix'", "epoch", "source", "block")}, block
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS block_start
+        FROM (SELECT source, epoch, block, sum(n_tokens) AS t FROM placed GROUP BY ALL)),
+    drawn AS (
+        SELECT doc_id, source, n_tokens, epoch, block,
+               CAST(epoch * tokens + block_start + ahead AS BIGINT) AS "start",
+               CAST(epoch * tokens + block_start + ahead AS BIGINT) / budget AS "at"
+        FROM in_block JOIN starts USING (source, epoch, block)
+        WHERE epoch * tokens + block_start + ahead < budget)"""
+
+
 SQL: dict[str, str] = {
+    "op1_mixing": f"WITH RECURSIVE {mixture()} SELECT * FROM drawn",
     "op6_warc": """WITH p AS (
         SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
     best AS (SELECT hex, max(page_id) AS response FROM p GROUP BY hex),

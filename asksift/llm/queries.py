@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.stages import shared_folder, stage
 from . import warc
 from .decontamination import decontaminate
+from .extraction import extract_text
 from .fingerprints import fingerprint_edits
+from .mixing import mix_sources
+from .quality import held_out, score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,11 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents drawn by source at 95 % of the highest entropy."""
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and that of its edited text."""
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extract_text(pages).select("page_id", "url", "text")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages archived with a dictionary, and read back."""
     pages = table(spark, sf_dir, "pages")
@@ -35,6 +50,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share 13-word windows with benchmark items."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,6 +71,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing": op1_mixing,
+    "op3_extraction": op3_extraction,
+    "op7_quality": op7_quality,
     "op2_fingerprints": op2_fingerprints,
     "op6_warc": op6_warc,
     "op10_decontamination": op10_decontamination,
