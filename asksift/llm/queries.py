@@ -11,6 +11,7 @@ from . import warc
 from .decontamination import decontaminate
 from .extraction import extract_text
 from .fingerprints import fingerprint_edits
+from .licences import background_lines, fit_licences, scan_licences
 from .mixing import mix_sources
 from .quality import held_out, score_quality
 
@@ -38,6 +39,13 @@ def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence paragraph of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_licences(background_lines(docs))
+    return scan_licences(docs, model).withColumnRenamed("text", "line")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages archived with a dictionary, and read back."""
     pages = table(spark, sf_dir, "pages")
@@ -75,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op3_extraction": op3_extraction,
     "op7_quality": op7_quality,
     "op2_fingerprints": op2_fingerprints,
+    "op5_licences": op5_licences,
     "op6_warc": op6_warc,
     "op10_decontamination": op10_decontamination,
 }
