@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.stages import require_columns
+from .sampling import hash_sample
 
 # Short public statements by which works name their licence.
 STATEMENTS: dict[str, list[str]] = {
@@ -142,7 +143,7 @@ VARIANTS = 24
 STEPS = 160
 L1 = 4e-4
 SEED = 5
-#: Background lines of the corpus to learn from: at most so many, each up to so
+#: Background lines of the corpus to learn from: about so many, each up to so
 #: many characters.
 BACKGROUND_LINES = 400
 BACKGROUND_CHARS = 600
@@ -259,13 +260,12 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def background_lines(docs: DataFrame, text: str = "text") -> list[str]:
+def background_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[str]:
     """A bounded sample of first lines, picked by hash."""
     head = F.substring_index(F.substring(F.col(text).cast("string"), 1, BACKGROUND_CHARS), "\n", 1)
-    lines = docs.select(head.alias("line")).where(F.length("line") > 0)
+    picked = hash_sample(docs, BACKGROUND_LINES, doc_id).select(head.alias("line"))
     licence = F.lower("line").rlike("licen[cs]e|copyright|rights reserved|public domain")
-    picked = lines.where(~licence).orderBy(F.xxhash64("line"), "line").limit(BACKGROUND_LINES)
-    return [r["line"] for r in picked.collect()]
+    return [r["line"] for r in picked.where((F.length("line") > 0) & ~licence).collect()]
 
 
 def _native_words(line: Column) -> Column:

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.stages import require_columns
+from .sampling import hash_sample
 from .words import CHUNK_BYTES, mixed, runs_of_texts, text_buffers
 
 BUCKET_BITS = 16
@@ -33,8 +34,8 @@ RATE = 0.5
 VECTOR_STEP = 30.0
 #: Zero vectors in every average.
 PRIOR = 20
-#: The model learns from at most so many labelled rows, picked by hash, and
-#: from texts of at most so many bytes each.
+#: The model learns from about so many labelled rows, picked by hash, never from
+#: twice as many, and from texts of at most so many bytes each.
 SAMPLE_ROWS = 4_000
 SAMPLE_TEXT_BYTES = 64 << 10
 SEED = 7
@@ -143,16 +144,15 @@ def train(
 def sample(
     docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS
 ) -> tuple[list[str], list[int]]:
-    """At most ``rows`` labelled texts. Label rows are picked by hash first, so
+    """About ``rows`` labelled texts. Label rows are picked by hash first, so
     only their texts are read out of the documents, and no text is shuffled."""
     require_columns(docs, "doc_id", "text")
     require_columns(labels, "doc_id", label)
     picked = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
-        .limit(rows)
     )
+    picked = hash_sample(picked, rows, "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = (
         texts.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
