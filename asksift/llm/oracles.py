@@ -99,7 +99,35 @@ def mixture(docs: str = "documents", target: float = 0.95, repeats: float = 4.0)
         WHERE epoch * tokens + block_start + ahead < budget)"""
 
 
+def similarity(docs: str = "documents") -> str:
+    """CTEs that end in ``joined``: groups and links at Jaccard 0.8 or more."""
+    cut = "greatest(len(w) - 4, least(len(w), 1))"
+    return f"""
+    dw AS MATERIALIZED (SELECT doc_id, {words_of("text")} AS w FROM {docs}),
+    ds AS MATERIALIZED (
+        SELECT doc_id, list_sort(list_distinct(
+            [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, {cut} + 1)])) AS s FROM dw),
+    classes AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY min(doc_id)) AS c, s, min(doc_id) AS rep, count(*) AS copies
+        FROM ds GROUP BY s),
+    tokens AS MATERIALIZED (SELECT c, len(s) AS n, unnest(s) AS t FROM classes),
+    pairs AS MATERIALIZED (
+        SELECT a.c AS a, b.c AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.c <> b.c
+        WHERE 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+        GROUP BY a.c, b.c, a.n, b.n HAVING 10 * count(*) >= 8 * (a.n + b.n - count(*))),
+    reached AS (SELECT c AS a, c AS b FROM classes
+                UNION SELECT r.a, p.b FROM reached r JOIN pairs p ON r.b = p.a),
+    grouped AS (SELECT a AS c, min(rep) AS class_id FROM reached JOIN classes ON classes.c = b GROUP BY a),
+    linked AS (SELECT a AS c, count(*) AS sets, sum(copies) AS docs FROM pairs JOIN classes ON c = b GROUP BY a),
+    joined AS (
+        SELECT ds.doc_id, class_id, rep AS set_id,
+               CAST(coalesce(linked.docs, 0) + copies - 1 AS BIGINT) AS n_links,
+               CAST(coalesce(linked.sets, 0) AS BIGINT) AS n_linked_sets
+        FROM ds JOIN classes USING (s) JOIN grouped USING (c) LEFT JOIN linked USING (c))"""
+
+
 SQL: dict[str, str] = {
+    "op4_jaccard_join": f"WITH RECURSIVE {similarity()} SELECT * FROM joined",
     "op1_mixing": f"WITH RECURSIVE {mixture()} SELECT * FROM drawn",
     "op6_warc": """WITH p AS (
         SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),

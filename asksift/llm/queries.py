@@ -11,6 +11,7 @@ from . import warc
 from .decontamination import decontaminate
 from .extraction import extract_text
 from .fingerprints import fingerprint_edits
+from .jaccard_join import jaccard_join
 from .licences import background_lines, fit_licences, scan_licences
 from .mixing import mix_sources
 from .quality import held_out, score_quality
@@ -39,6 +40,11 @@ def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group and links at a similarity of 0.8 or more."""
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every licence paragraph of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -83,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op3_extraction": op3_extraction,
     "op7_quality": op7_quality,
     "op2_fingerprints": op2_fingerprints,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_licences": op5_licences,
     "op6_warc": op6_warc,
     "op10_decontamination": op10_decontamination,
