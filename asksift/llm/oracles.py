@@ -126,7 +126,45 @@ def similarity(docs: str = "documents") -> str:
         FROM ds JOIN classes USING (s) JOIN grouped USING (c) LEFT JOIN linked USING (c))"""
 
 
+def paragraphs(docs: str = "documents") -> str:
+    """CTEs that end in ``removed`` (doc_id, line): paragraphs of 30 words or
+    more that repeat an earlier one, by components of Jaccard 0.8 or more."""
+    return f"""
+    lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t,
+                     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line FROM {docs}),
+    pw AS (SELECT doc_id, line, {words_of("t")} AS w FROM lines),
+    ps AS MATERIALIZED (
+        SELECT doc_id, line, list_sort(list_distinct(
+            [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])) AS s FROM pw WHERE len(w) >= 30),
+    pclasses AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY min(ROW(doc_id, line))) AS c, s, min(ROW(doc_id, line)) AS first
+        FROM ps GROUP BY s),
+    ptokens AS MATERIALIZED (SELECT c, len(s) AS n, unnest(s) AS t FROM pclasses),
+    ppairs AS MATERIALIZED (
+        SELECT a.c AS a, b.c AS b FROM ptokens a JOIN ptokens b ON a.t = b.t AND a.c <> b.c
+        GROUP BY a.c, b.c, a.n, b.n HAVING 10 * count(*) >= 8 * (a.n + b.n - count(*))),
+    preached AS (SELECT c AS a, c AS b FROM pclasses
+                 UNION SELECT r.a, p.b FROM preached r JOIN ppairs p ON r.b = p.a),
+    pheads AS (SELECT a AS c, min(first) AS head FROM preached JOIN pclasses ON pclasses.c = b GROUP BY a),
+    removed AS (SELECT doc_id, line FROM ps JOIN pclasses USING (s) JOIN pheads USING (c)
+                WHERE ROW(doc_id, line) <> head)"""
+
+
+def without_removed(docs: str = "documents") -> str:
+    """CTEs that end in ``cleaned``: documents without those paragraphs."""
+    return f"""
+    gone AS (SELECT doc_id, list_sort(list(CAST(line AS INTEGER))) AS g FROM removed GROUP BY doc_id),
+    cleaned AS (
+        SELECT d.* REPLACE (CASE WHEN g IS NULL THEN text ELSE array_to_string(
+                   [x FOR x, i IN string_split(text, chr(10)) IF NOT list_contains(g, i - 1)], chr(10)) END AS text),
+               coalesce(g, []) AS removed_lines
+        FROM {docs} d LEFT JOIN gone USING (doc_id))"""
+
+
 SQL: dict[str, str] = {
+    "op9_paragraphs": f"""WITH RECURSIVE {paragraphs()}, {without_removed()}
+    SELECT doc_id, len(removed_lines) AS n_removed, removed_lines, text,
+           sha256(coalesce(text, '')) AS kept_sha256 FROM cleaned""",
     "op4_jaccard_join": f"WITH RECURSIVE {similarity()} SELECT * FROM joined",
     "op1_mixing": f"WITH RECURSIVE {mixture()} SELECT * FROM drawn",
     "op6_warc": """WITH p AS (

@@ -14,6 +14,7 @@ from .fingerprints import fingerprint_edits
 from .jaccard_join import jaccard_join
 from .licences import background_lines, fit_licences, scan_licences
 from .mixing import mix_sources
+from .paragraphs import dedupe_paragraphs
 from .quality import held_out, score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,19 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated paragraphs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = dedupe_paragraphs(docs)
+    return found.select(
+        "doc_id",
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        "removed_lines",
+        "text",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share 13-word windows with benchmark items."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -92,5 +106,6 @@ QUERIES: dict[str, Query] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_licences": op5_licences,
     "op6_warc": op6_warc,
+    "op9_paragraphs": op9_paragraphs,
     "op10_decontamination": op10_decontamination,
 }
