@@ -16,6 +16,7 @@ from .licences import background_lines, fit_licences, scan_licences
 from .mixing import mix_sources
 from .paragraphs import dedupe_paragraphs
 from .quality import held_out, score_quality
+from .substrings import dedupe_substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes without repeated strings of 100 bytes."""
+    found = dedupe_substrings(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated paragraphs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_licences": op5_licences,
     "op6_warc": op6_warc,
+    "op8_substrings": op8_substrings,
     "op9_paragraphs": op9_paragraphs,
     "op10_decontamination": op10_decontamination,
 }
