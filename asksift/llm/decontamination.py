@@ -319,6 +319,14 @@ def covered(starts: str, ends: str) -> F.Column:
     )
 
 
+def judge(hits: DataFrame, one_in: int) -> DataFrame:
+    """Add ``n_hit`` and ``contaminated`` to rows of ``phrase_matches``."""
+    n_hit = F.col("n_hit")
+    return hits.withColumn("n_hit", covered("starts", "ends")).withColumn(
+        "contaminated", (n_hit > 0) & (n_hit * one_in >= F.col("n_words"))
+    )
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -334,8 +342,17 @@ def decontaminate(
     """
     folder = shared_folder(docs.sparkSession)
     index = stage(build_index(docs, doc_id, text), f"{folder}/index")
-    hits = phrase_matches(index, benchmark, window)
-    n_hit = covered("starts", "ends")
-    return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), "items").withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words"))
-    )
+    hits = judge(phrase_matches(index, benchmark, window), one_in)
+    return hits.select("doc_id", "n_words", "n_hit", "items", "contaminated")
+
+
+def decontaminate_documents(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, one_in: int = 20
+) -> DataFrame:
+    """The documents that are not contaminated, with all their columns.
+
+    Rows that share an id go together, if any of them is contaminated.
+    """
+    found = decontaminate(docs, benchmark, window, one_in).where("contaminated")
+    bad = found.select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
