@@ -157,8 +157,3 @@ def label_by_rules(df: DataFrame, text: str = "Query") -> DataFrame:
     label = yes_no(is_question_clean(F.col("__clean")))
     return clean.withColumn("Rules", label).drop("__clean")
 
-
-def keyword_rows(spark) -> DataFrame:
-    """The interrogative words as a table, one row per language and word."""
-    rows = [(lang, w) for lang, words in KEYWORDS.items() for w in words]
-    return spark.createDataFrame(rows, "lang string, keyword string")

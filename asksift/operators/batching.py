@@ -14,8 +14,8 @@ BATCH_SIZE = 50
 RUN_PREFIX = "LLM_run"
 
 DEFAULT_PREAMBLE = (
-    "The list below holds search queries in several languages. Decide for each "
-    "one whether it explicitly asks a question.\n\n"
+    "The list below holds search queries in several languages. Say for each one "
+    "whether it explicitly asks a question.\n\n"
     "Answer with a JSON array and nothing else, one element per query, in the "
     "order given:\n"
     '{ "query": "<query text>", "explicit_question": "YES" or "NO" }\n\n'
@@ -75,8 +75,9 @@ def _cut(ranked: DataFrame, rank: str, size: int) -> DataFrame:
 
 
 def _cut_seeded(texts: DataFrame, runs: list[Run], size: int) -> DataFrame:
-    """Numbered by hash order, in 65,536 even buckets per run."""
-    keyed = run_matrix(texts, runs).withColumn(
+    """Numbered by hash order, in 65,536 even buckets per run. Only ids are
+    numbered; the texts join once, after that."""
+    keyed = run_matrix(texts.select("UniqueID"), runs).withColumn(
         "__key", shuffle_key(F.col("seed"), F.col("UniqueID"))
     )
     ranked = number_rows(
@@ -86,7 +87,7 @@ def _cut_seeded(texts: DataFrame, runs: list[Run], size: int) -> DataFrame:
         levels=[F.substring("__key", 1, 4)],
         within=("run_name",),
     )
-    return _cut(ranked, "__rank", size)
+    return _cut(ranked, "__rank", size).join(texts, "UniqueID")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows with the same ordinal >> 20 share a numbering bucket. Ordinals are
-# unique, so a bucket holds at most 2^20 rows whatever the data looks like.
-BUCKET_BITS = 20
-
+from ..sources.stages import shared_folder, stage
 
 def number_rows(
     df: DataFrame,
@@ -49,14 +46,27 @@ def number_rows(
     )
 
 
-def number_by_ordinal(df: DataFrame, ordinal: str, out: str) -> DataFrame:
-    """Dense 1..N in the order of a unique long column."""
-    key = F.col(ordinal).cast("long")
-    return number_rows(
-        df,
-        out,
-        order=[F.col(ordinal)],
-        levels=[F.shiftright(key, BUCKET_BITS), F.shiftright(key, 2 * BUCKET_BITS)],
+def number_sorted(df: DataFrame, out: str, order: list[Column], folder: str) -> DataFrame:
+    """Add ``out`` = 1..N in a total order, through one distributed sort.
+
+    The sorted rows are written once, each with its partition and its place in
+    it (the upper and lower bits of Spark's increasing id). What comes before a
+    partition is a running sum over one count per partition, a table that is as
+    long as there are sort partitions. Rows of the written table never change
+    their number, whatever is recomputed.
+    """
+    placed = df.sort(*order).withColumn("__place", F.monotonically_increasing_id())
+    placed = stage(placed, f"{folder}/sorted")
+    part = F.shiftright("__place", 33)
+    counts = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    before = counts.select("__part", shift.alias("__before"))
+    inside = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.withColumn("__part", part)
+        .join(F.broadcast(before), "__part")
+        .select(*df.columns, (F.col("__before") + inside + 1).alias(out))
     )
 
 
@@ -73,12 +83,17 @@ def distinct_texts(
     )
 
 
-def assign_ids(distinct: DataFrame, out: str = "UniqueID") -> DataFrame:
+def assign_ids(
+    distinct: DataFrame, out: str = "UniqueID", text: str = "Query", folder: str | None = None
+) -> DataFrame:
     """Number the distinct texts 1..N by first appearance.
 
-    Numbering reads its input more than once, so give it a stage table.
+    Texts that first appear at the same ordinal follow each other by text, and
+    texts without an ordinal come last, so every text has a number and a retry
+    gives the same one.
     """
-    return number_by_ordinal(distinct, "first_ordinal", out)
+    order = [F.col("first_ordinal").asc_nulls_last(), F.col(text)]
+    return number_sorted(distinct, out, order, folder or shared_folder(distinct.sparkSession))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from ..functions.responses import (
     triage_category,
     triage_reasoning,
 )
+from ..sources.stages import shared_folder, stage
 from .merging import NOT_AVAILABLE
 
 CallFn = Callable[[str, str], str]
@@ -121,17 +122,22 @@ def triage_with_calls(
     classify: Template = CLASSIFY,
     reformulate: Template = REFORMULATE,
     tasks: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Ask every model about every text, then once more for foreground texts.
 
-    One straight plan without a self-join, so no call runs twice for a row.
-    Failed calls leave an empty answer and an error; the row stays. ``tasks``
-    sets how many tasks call at a time.
+    The first answers are written to a stage table before the second question,
+    so a task lost later does not ask again. Failed calls leave an empty answer
+    and an error; the row stays. ``tasks`` sets how many tasks call at a time.
     """
+    folder = folder or shared_folder(texts.sparkSession)
     matrix = model_matrix(texts.select("UniqueID", "Query"), list(calls))
     if tasks:
         matrix = matrix.repartition(tasks, "UniqueID", "model")
-    first = parse_triage(_ask(matrix, calls, classify, "raw", "error"))
+    asked = _ask(matrix, calls, classify, "raw", "error")
+    first = stage(parse_triage(asked), f"{folder}/classified")
+    if tasks:
+        first = first.repartition(tasks, "UniqueID", "model")
     second = _ask(
         first.drop("raw"),
         calls,
@@ -160,25 +166,40 @@ def triage_with_responses(
     """The same from stored responses ``(UniqueID, model, raw)`` of both stages.
 
     A missing response counts as an empty one. Answers of the second stage are
-    used for foreground texts only.
+    used for foreground texts only; of several answers to one question the last
+    in text order counts. Answers are parsed first and gathered per text, a row
+    with one entry per model, so texts and both tables meet by id alone and no
+    text is copied per model before that.
     """
-    first = parse_triage(
-        model_matrix(texts.select("UniqueID", "Query"), models).join(
-            classified.select("UniqueID", "model", "raw"), ["UniqueID", "model"], "left"
+    parsed = parse_triage(classified.select("UniqueID", "model", "raw"))
+    first = _per_text(parsed, "first", "category", "reasoning")
+    second = _per_text(reformulated.select("UniqueID", "model", "raw"), "second", "raw")
+    joined = texts.select("UniqueID", "Query").join(first, "UniqueID", "left").join(second, "UniqueID", "left")
+
+    def row(model: str) -> Column:
+        answer, again = _of_model("first", model), _of_model("second", model)
+        category = F.coalesce(answer["category"], F.lit(""))
+        asked = F.when(category == FOREGROUND, again["raw"])
+        return F.struct(
+            F.lit(model).alias("model"),
+            category.alias("category"),
+            F.coalesce(answer["reasoning"], F.lit("")).alias("reasoning"),
+            structured_question(asked).alias("question"),
         )
-    )
-    answers = reformulated.select(
-        "UniqueID", "model", F.col("raw").alias("raw_question")
-    )
-    asked = F.when(F.col("category") == FOREGROUND, F.col("raw_question"))
-    return first.join(answers, ["UniqueID", "model"], "left").select(
-        "UniqueID",
-        "Query",
-        "model",
-        "category",
-        "reasoning",
-        structured_question(asked).alias("question"),
-    )
+
+    return joined.select("UniqueID", "Query", F.inline(F.array(*[row(m) for m in models])))
+
+
+def _per_text(answers: DataFrame, out: str, *fields: str) -> DataFrame:
+    """The answers to a text as one array of (model, fields), sorted; as long as
+    there are models."""
+    entries = F.array_sort(F.collect_list(F.struct("model", *fields)))
+    return answers.groupBy("UniqueID").agg(entries.alias(out))
+
+
+def _of_model(entries: str, model: str) -> Column:
+    """The last entry of a model, or null."""
+    return F.try_element_at(F.filter(F.col(entries), lambda e: e["model"] == model), F.lit(-1))
 
 
 def or_not_available(text: Column) -> Column:
@@ -190,15 +211,16 @@ def widen_triage(triaged: DataFrame, models: list[str]) -> DataFrame:
     """One row per text with three columns per model; no voting.
 
     The fixed model list gives every column, with ``N/A`` where a model has no
-    answer.
+    answer. Of several rows for one text and model the last in text order counts.
     """
+    fields = ("category", "reasoning", "question")
+    wide = triaged.groupBy("UniqueID").agg(
+        F.first("Query").alias("Query"),
+        F.array_sort(F.collect_list(F.struct("model", *fields))).alias("answers"),
+    )
     columns = []
     for model in models:
-        for prefix, field in (
-            (CATEGORY_COLUMN, "category"),
-            (REASONING_COLUMN, "reasoning"),
-            (QUESTION_COLUMN, "question"),
-        ):
-            value = F.max(F.when(F.col("model") == model, F.col(field)))
-            columns.append(or_not_available(value).alias(prefix + model))
-    return triaged.groupBy("UniqueID", "Query").agg(*columns)
+        answer = _of_model("answers", model)
+        for prefix, field in zip((CATEGORY_COLUMN, REASONING_COLUMN, QUESTION_COLUMN), fields):
+            columns.append(or_not_available(answer[field]).alias(prefix + model))
+    return wide.select("UniqueID", "Query", *columns)

@@ -22,4 +22,4 @@ def dedupe(
     """
     folder = folder or shared_folder(log.sparkSession)
     found = stage(distinct_texts(log, text, ordinal), f"{folder}/distinct_texts")
-    return stage(assign_ids(found), f"{folder}/distinct")
+    return stage(assign_ids(found, text=text, folder=folder), f"{folder}/distinct")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.rules import is_question, label_by_rules
 from ..operators.batching import make_batches, two_runs
 from ..plans.distinct import dedupe
-from ..sources.readers import prepare_log, spread
+from ..sources.readers import prepare_log
 from ..sources.stages import shared_folder, stage
 
 RATERS = ["alpha", "beta", "gamma"]
@@ -28,7 +28,8 @@ RATER_SETS = {
 }
 DISPLAY = {"rules": "Rules", "quality": "Manual 1", "toxic": "Manual 2"}
 LONG_TEXT = 1500
-HOT_ROWS = 200
+# A document has fewer sentences, a conversation fewer turns than that.
+ROW_STEP = 1 << 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def hex_digit(*parts: Column) -> Column:
@@ -52,7 +53,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             "doc_id", "lang", F.posexplode(F.split("text", r"\.")).alias("pos", "Query")
         )
         .select(
-            (F.col("doc_id") * (1 << 20) + F.col("pos")).alias("ordinal"),
+            (F.col("doc_id") * ROW_STEP + F.col("pos")).alias("ordinal"),
             "doc_id",
             "lang",
             F.nullif("Query", F.lit("")).alias("Query"),
@@ -95,11 +96,11 @@ def model_label(run_name: Column) -> Column:
     return F.when(present, F.when(says_yes, "YES").otherwise("NO"))
 
 
-def model_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long labels of all runs."""
+def model_labels(distinct: DataFrame) -> DataFrame:
+    """Long labels of all runs for distinct texts."""
     names = F.array(*[F.lit(n) for n in RUN_NAMES])
     return (
-        label_by_rules(distinct_texts(spark, sf_dir))
+        label_by_rules(distinct)
         .select("UniqueID", "Query", "Rules", F.explode(names).alias("run_name"))
         .select("UniqueID", "run_name", model_label(F.col("run_name")).alias("label"))
         .where(F.col("label").isNotNull())

@@ -1,7 +1,9 @@
 """The registered queries in SQL, for the check against another engine.
 
-Stated independently of the Spark code: plain joins and windows over the whole
-tables, with the rules as single regular expressions.
+The logic is stated apart from the Spark code: plain joins and windows over the
+whole tables, with the rules as single regular expressions. The word lists,
+run and rater names and templates are the library's own; ``tests`` count and
+probe them with data of their own.
 """
 
 from __future__ import annotations
@@ -106,7 +108,7 @@ CTE = {
                generate_subscripts(string_split(text, '.'), 1) - 1 AS pos
         FROM documents""",
     "log": f"""
-        SELECT doc_id * 1048576 + pos AS ordinal, doc_id, lang, {clean('cell')} AS "Query"
+        SELECT doc_id * 4294967296 + pos AS ordinal, doc_id, lang, {clean('cell')} AS "Query"
         FROM cells WHERE cell <> ''""",
     "questions": f"""
         SELECT ordinal, doc_id, lang, CASE {digit('"Query"')}
@@ -268,8 +270,8 @@ CTE = {
     + "\n UNION ALL SELECT \"UniqueID\", 'any_run', CAST(max(CAST(label = 'YES' AS INTEGER)) AS VARCHAR)"
     + ' FROM labels GROUP BY "UniqueID"',
     "model_votes": "\n UNION ALL ".join(
-        f'SELECT "UniqueID" AS id, {text(m)} AS rater, "ARIA_Category_{m}" AS rating '
-        "FROM triage_wide"
+        f"SELECT \"UniqueID\" AS id, model AS rater, category AS rating FROM triaged "
+        f"WHERE model = {text(m)} AND category <> ''"
         for m in MODELS
     ),
 }
@@ -315,14 +317,19 @@ def category_sums(votes: str, rater_sets: dict[str, list[str]]) -> str:
 
 
 RATIO = "agreeing / nullif(possible, 0)"
+PAIRS = "SELECT *, n_same / n_both AS value FROM pairs"
+OVERALL = f"""SELECT *, {RATIO} AS value FROM (
+    SELECT rater_set, CAST(sum(agreeing) AS BIGINT) AS agreeing,
+           CAST(sum(possible) AS BIGINT) AS possible
+    FROM sums GROUP BY rater_set)"""
 
 
-def pair_sums(raters: list[str]) -> str:
+def pair_sums(raters: list[str], votes: str = "votes") -> str:
     ranks = table_of("rater, r", [f"({text(x)}, {i})" for i, x in enumerate(raters)])
     return f"""
         SELECT a.rater AS rater_i, b.rater AS rater_j,
                count(*) FILTER (a.rating = b.rating) AS n_same, count(*) AS n_both
-        FROM (votes JOIN {ranks} p USING (rater)) a JOIN (votes JOIN {ranks} q USING (rater)) b
+        FROM ({votes} JOIN {ranks} p USING (rater)) a JOIN ({votes} JOIN {ranks} q USING (rater)) b
           ON a.id = b.id AND a.r <= b.r
         GROUP BY a.rater, b.rater"""
 
@@ -408,8 +415,19 @@ def oracles() -> dict[str, str]:
             f"coalesce(CAST(\"{c}\" AS VARCHAR), 'N/A') AS \"{c}\"" for c in columns
         )
 
+    model_sets = {"models": MODELS, "first": ["north", "south"], "last": ["south", "west"]}
+    job = {
+        "job_wide": job_wide,
+        "job_labelled": job_labelled,
+        "job_eligible": job_eligible,
+        "job_called": job_called,
+        "job_triage": job_triage,
+    }
+    # Without rule labels a text is eligible by its model labels alone.
+    bare = job | {"job_eligible": job_eligible.replace("\"Rules\" = 'YES' OR ", "")}
+
     turns = f"""
-        SELECT conv_id * 1048576 + turn AS ordinal, role, {clean('text')} AS "Query"
+        SELECT conv_id * 4294967296 + turn AS ordinal, role, {clean('text')} AS "Query"
         FROM conversations"""
     turn_texts = """
         SELECT "Query", row_number() OVER (ORDER BY min(ordinal)) AS "UniqueID"
@@ -436,7 +454,7 @@ def oracles() -> dict[str, str]:
         "clean_log": using(LOG, "SELECT * FROM log"),
         "letter_case": using(
             ["cells"],
-            f"""SELECT doc_id * 1048576 + pos AS ordinal,
+            f"""SELECT doc_id * 4294967296 + pos AS ordinal,
                 lower({strip("nullif(cell, '')")}) AS lower_text,
                 upper(replace({strip("nullif(cell, '')")}, 'ß', 'SS')) AS upper_text FROM cells""",
         ),
@@ -468,7 +486,7 @@ def oracles() -> dict[str, str]:
             SELECT * FROM conversations
             QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
         "file_order": f"""
-            SELECT doc_id, 1099511627776 + row_number() OVER (ORDER BY doc_id) - 1 AS ordinal,
+            SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place,
                    CAST(length({clean('text')}) AS INTEGER) AS n_kept FROM documents""",
         "run_matrix": using(
             TEXTS, f'SELECT "UniqueID", run_name, seed FROM texts, {RUN_TABLE} runs'
@@ -504,7 +522,9 @@ def oracles() -> dict[str, str]:
         ),
         "parse_responses": using(GIVEN, "SELECT * FROM given"),
         "dead_letter": using(
-            PARSED, "SELECT run_name, batch_id, raw FROM parsed WHERE items IS NULL"
+            PARSED,
+            """SELECT run_name, batch_id, raw, CAST(NULL AS VARCHAR) AS error
+               FROM parsed WHERE items IS NULL""",
         ),
         "dead_letter_append": using(
             PARSED,
@@ -646,12 +666,20 @@ def oracles() -> dict[str, str]:
             ),
         ),
         "agreement_categories": using(
-            [*WIDE, "model_votes"],
+            [*TRIAGED, "model_votes"],
             f"SELECT *, {RATIO} AS value FROM sums",
-            sums=category_sums("model_votes", {"models": MODELS}),
+            sums=category_sums("model_votes", model_sets),
+        ),
+        "agreement_category_subsets": using(
+            [*TRIAGED, "model_votes"],
+            OVERALL,
+            sums=category_sums("model_votes", model_sets),
+        ),
+        "agreement_category_pairs": using(
+            [*TRIAGED, "model_votes"], PAIRS, pairs=pair_sums(MODELS, "model_votes")
         ),
         "kappa_categories": using(
-            [*WIDE, "model_votes"], "SELECT * FROM kappas", **kappa("model_votes", MODELS)
+            [*TRIAGED, "model_votes"], "SELECT * FROM kappas", **kappa("model_votes", MODELS)
         ),
         "review_sample": using(
             TEXTS,
@@ -695,12 +723,24 @@ def oracles() -> dict[str, str]:
             'SELECT "UniqueID", "Query", '
             + na(["Rules", *RUN_NAMES, *triage_names])
             + ' FROM job_labelled LEFT JOIN job_triage USING ("UniqueID")',
-            job_wide=job_wide,
-            job_labelled=job_labelled,
-            job_eligible=job_eligible,
-            job_called=job_called,
-            job_triage=job_triage,
+            **job,
+        ),
+        "triage_from_log": using(
+            [*ALIGNED, "ruled"],
+            'SELECT "UniqueID", "Query", '
+            + na(["Rules", *RUN_NAMES, *triage_names])
+            + ' FROM job_labelled LEFT JOIN job_triage USING ("UniqueID")',
+            **job,
+        ),
+        "triage_from_log_without_rules": using(
+            [*ALIGNED, "ruled"],
+            'SELECT "UniqueID", "Query", '
+            + na([*RUN_NAMES, *triage_names])
+            + ' FROM job_labelled LEFT JOIN job_triage USING ("UniqueID")',
+            **bare,
         ),
+        "ratings_cells": """
+            SELECT CAST(doc_id AS INTEGER) AS doc_id, quality, toxic FROM labels""",
         "study_job": using(
             VOTES,
             f"""SELECT 'overall' AS figure, rater_set AS name,

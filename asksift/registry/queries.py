@@ -58,13 +58,12 @@ from ..plans.agreement_study import agreement_study
 from ..plans.question_detection import (
     detect_questions,
     label_log,
-    rule_label_log,
     rule_rate,
     write_requests,
 )
-from ..plans.triage_questions import triage_questions
+from ..plans.triage_questions import triage_labelled_log, triage_questions
 from ..sources.readers import read_log, read_ratings
-from ..sources.stages import read_table, shared_folder, stage
+from ..sources.stages import read_table, shared_folder, stage, write_table
 from ..sources.writers import append_dead_letters, write_csv
 from . import inputs as given
 
@@ -152,7 +151,7 @@ def rule_labels_whole_texts(spark, sf_dir):
 
 @_query("rule_rate_by_lang")
 def rule_rate_by_lang(spark, sf_dir):
-    return rule_rate(rule_label_log(given.sentence_log(spark, sf_dir)), "lang")
+    return rule_rate(given.sentence_log(spark, sf_dir), "lang")
 
 
 # Identity
@@ -172,7 +171,7 @@ def keep_first_by_key(spark, sf_dir):
 @_query("file_order")
 def file_order(spark, sf_dir):
     log = read_log(spark, f"{sf_dir}/documents.parquet", text="text")
-    return log.select("doc_id", "ordinal", F.length("text").alias("n_kept"))
+    return log.select("doc_id", F.col("ordinal.row").alias("place"), F.length("text").alias("n_kept"))
 
 
 # Batches and prompts
@@ -287,14 +286,14 @@ def batch_call_udf(spark, sf_dir):
 
 @_query("wide_labels")
 def wide_labels(spark, sf_dir):
-    labels = given.model_labels(spark, sf_dir)
+    labels = given.model_labels(given.distinct_texts(spark, sf_dir))
     return widen_labels(labels, [*given.RUN_NAMES, "LLM_run1_absent"])
 
 
 @_query("attached_labels")
 def attached_labels(spark, sf_dir):
-    labels = given.model_labels(spark, sf_dir)
     distinct = given.distinct_texts(spark, sf_dir)
+    labels = given.model_labels(distinct)
     return attach_labels(label_by_rules(distinct), labels, given.RUN_NAMES)
 
 
@@ -302,7 +301,7 @@ def attached_labels(spark, sf_dir):
 def merged_log(spark, sf_dir):
     log = given.sentence_log(spark, sf_dir)
     labelled = given.labelled_texts(spark, sf_dir)
-    return merge_back(log, labelled, hot_rows=given.HOT_ROWS)
+    return merge_back(log, labelled)
 
 
 @_query("eligible")
@@ -313,15 +312,15 @@ def eligible_texts(spark, sf_dir):
 @_query("eligible_from_long")
 def eligible_texts_from_long(spark, sf_dir):
     distinct = given.distinct_texts(spark, sf_dir)
-    labels = given.model_labels(spark, sf_dir)
-    return eligible_from_long(distinct, labels).select("UniqueID", "Query")
+    return eligible_from_long(distinct, given.model_labels(distinct)).select("UniqueID", "Query")
 
 
 # Triage
 
 
-def _triage_rows(spark, sf_dir):
-    texts = eligible(given.labelled_texts(spark, sf_dir)).select("UniqueID", "Query")
+def _triage_rows(spark, sf_dir, labelled=None):
+    labelled = given.labelled_texts(spark, sf_dir) if labelled is None else labelled
+    texts = eligible(labelled).select("UniqueID", "Query")
     return texts, *given.triage_responses(texts)
 
 
@@ -355,8 +354,8 @@ def question_cleanup(spark, sf_dir):
     )
 
 
-def _triaged(spark, sf_dir):
-    texts, classified, reformulated = _triage_rows(spark, sf_dir)
+def _triaged(spark, sf_dir, labelled=None):
+    texts, classified, reformulated = _triage_rows(spark, sf_dir, labelled)
     return triage_with_responses(texts, given.MODELS, classified, reformulated)
 
 
@@ -385,7 +384,7 @@ def triage_report(spark, sf_dir):
 @_query("triage_merge_na")
 def triage_merge_na(spark, sf_dir):
     distinct = given.labelled_texts(spark, sf_dir)
-    triaged = widen_triage(_triaged(spark, sf_dir), given.MODELS)
+    triaged = widen_triage(_triaged(spark, sf_dir, distinct), given.MODELS)
     return fill_not_available(attach_triage(distinct, triaged))
 
 
@@ -498,24 +497,39 @@ def agreement_runs(spark, sf_dir):
     )
 
 
+def _category_patterns(spark, sf_dir):
+    """The models as raters with several categories; a missing answer is no
+    rating."""
+    long = _triaged(spark, sf_dir).select(
+        "UniqueID",
+        F.col("model").alias("rater"),
+        F.nullif("category", F.lit("")).alias("rating"),
+    )
+    wide = agree.wide_ratings(long, "UniqueID", given.MODELS)
+    return agree.rating_patterns(wide, given.MODELS)
+
+
+MODEL_SETS = {"models": given.MODELS, "first": given.MODELS[:2], "last": given.MODELS[1:]}
+
+
 @_query("agreement_categories")
 def agreement_categories(spark, sf_dir):
-    """The models as raters with several categories, on the triaged texts."""
-    wide = widen_triage(_triaged(spark, sf_dir), given.MODELS)
-    ratings = wide.select(
-        *[F.col(f"ARIA_Category_{m}").alias(m) for m in given.MODELS]
-    )
-    patterns = agree.rating_patterns(ratings, given.MODELS)
-    return agree.specific_agreement(patterns, {"models": given.MODELS})
+    return agree.specific_agreement(_category_patterns(spark, sf_dir), MODEL_SETS)
+
+
+@_query("agreement_category_subsets")
+def agreement_category_subsets(spark, sf_dir):
+    return agree.overall_agreement(_category_patterns(spark, sf_dir), MODEL_SETS)
+
+
+@_query("agreement_category_pairs")
+def agreement_category_pairs(spark, sf_dir):
+    return agree.pair_agreement(_category_patterns(spark, sf_dir), given.MODELS)
 
 
 @_query("kappa_categories")
 def kappa_categories(spark, sf_dir):
-    wide = widen_triage(_triaged(spark, sf_dir), given.MODELS)
-    ratings = wide.select(
-        *[F.col(f"ARIA_Category_{m}").alias(m) for m in given.MODELS]
-    )
-    return agree.cohen_kappa(agree.rating_patterns(ratings, given.MODELS), given.MODELS)
+    return agree.cohen_kappa(_category_patterns(spark, sf_dir), given.MODELS)
 
 
 # Reports, sources and whole jobs
@@ -549,6 +563,18 @@ def csv_roundtrip(spark, sf_dir):
     return agree.rating_patterns(read_ratings(spark, path), given.DOC_RATERS)
 
 
+@_query("ratings_cells")
+def ratings_cells(spark, sf_dir):
+    """Labels in the cell texts of spreadsheets, read back as numbers."""
+    path = f"{shared_folder(spark)}/cells"
+    labels = given.table(spark, sf_dir, "labels")
+    said = F.when(F.col("toxic") == 1, "TRUE").when(F.col("toxic") == 0, "FALSE").otherwise("NA")
+    write_csv(
+        labels.select("doc_id", F.concat("quality", F.lit(".0")).alias("quality"), said.alias("toxic")), path
+    )
+    return read_ratings(spark, path)
+
+
 @_query("csv_log_order")
 def csv_log_order(spark, sf_dir):
     """A log written as CSV and read back in file order."""
@@ -571,7 +597,7 @@ def _detection(spark, sf_dir):
     log = given.sentence_log(spark, sf_dir)
     folder = shared_folder(spark)
     requests = write_requests(log, folder, given.RUNS, BATCH_SIZE, PREAMBLE)
-    return label_log(log, folder, given.RUNS, given.model_responses(requests))
+    return label_log(folder, given.RUNS, given.model_responses(requests))
 
 
 @_query("detection_job")
@@ -585,7 +611,7 @@ def detection_job_calls(spark, sf_dir):
     """The whole first job with callables, on the conversation turns."""
     turns = given.table(spark, sf_dir, "conversations")
     log = turns.select(
-        (F.col("conv_id") * (1 << 20) + F.col("turn")).alias("ordinal"),
+        (F.col("conv_id") * given.ROW_STEP + F.col("turn")).alias("ordinal"),
         "role",
         normalize_text(F.col("text")).alias("Query"),
     )
@@ -603,6 +629,28 @@ def triage_job(spark, sf_dir):
     return everything.drop("first_ordinal", "n_rows")
 
 
+def _triage_log(spark, sf_dir, *columns):
+    """The second job from the labelled log that the first has stored."""
+    detection = _detection(spark, sf_dir)
+    folder = shared_folder(spark)
+    path = f"{detection.path}/labelled_log"
+    if columns:
+        path = f"{folder}/log"
+        write_table(detection.log.drop(*columns), path)
+    _, everything = triage_labelled_log(spark, path, folder, MODEL_CALLS)
+    return everything
+
+
+@_query("triage_from_log")
+def triage_from_log(spark, sf_dir):
+    return _triage_log(spark, sf_dir)
+
+
+@_query("triage_from_log_without_rules")
+def triage_from_log_without_rules(spark, sf_dir):
+    return _triage_log(spark, sf_dir, "Rules", "ordinal")
+
+
 @_query("study_job")
 def study_job(spark, sf_dir):
     """The whole agreement study: every figure by name."""

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import normalize_text
-from ..operators.identity import number_rows
 from .stages import require_columns, shared_folder, stage
 
 # Cell texts that spreadsheet readers take for an empty cell.
@@ -15,21 +14,6 @@ EMPTY_CELLS = [
     "nan", "null",
 ]
 
-# File ranks and split starts are joined in; up to this many of them go by
-# broadcast, beyond that the optimizer picks the join.
-MAX_BROADCAST_SPLITS = 200_000
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input with fewer splits than cores.
-
-    A larger input has splits enough and is left alone, so this never shuffles
-    a big table.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def drop_null_texts(df: DataFrame, text: str = "Query") -> DataFrame:
     """Rows without a text go; blank texts stay."""
     return df.na.drop(subset=[text])
@@ -52,52 +36,37 @@ def _scan(
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def natural_key(path: Column) -> Column:
+    """A text that sorts paths by folder and name with numbers as numbers, so
+    that ``part-100000`` follows ``part-99999``."""
+    runs = F.regexp_extract_all(path, F.lit(r"(\d+|\D+)"), F.lit(1))
+    digits = F.lit(40)
+    padded = F.transform(
+        runs, lambda r: F.when(r.rlike(r"^\d"), F.lpad(r, F.greatest(F.length(r), digits), "0")).otherwise(r)
+    )
+    return F.array_join(padded, "")
+
+
 def with_file_order(df: DataFrame, fmt: str) -> DataFrame:
-    """Add ``ordinal``: a unique long that follows file name and row order.
-
-    The file's rank takes the upper bits, the row's place in the file the
-    lower 40. Parquet knows that place. Other formats know where a row's split
-    starts; the rows are landed as a stage table with a running number, and
-    the place is the rows of the splits before plus the row's place in its
-    own. Landing also spares later passes the parsing. One row per file or
-    split is joined in.
+    """Add ``ordinal``: a struct that follows file name and row order.
+
+    It holds the file's sort key, where the row's split starts, and the row's
+    place: in the file for parquet, else a number that increases along the
+    split. Each row carries its own, so nothing is joined, ranked or shuffled.
+    Formats other than parquet are landed as a stage table, which fixes those
+    numbers and spares later passes the parsing.
     """
-    columns = df.columns
-    file = F.col("_metadata.file_path").alias("__file")
     zero = F.lit(0).cast("long")
     if fmt == "parquet":
         start, row = zero, F.col("_metadata.row_index")
-        first = zero
     else:
         start, row = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
-        first = F.min("__row")
-    df = df.select("*", file, start.alias("__start"), row.alias("__row"))
-    if fmt != "parquet":
-        df = stage(df, shared_folder(df.sparkSession))
-
-    keys = ["__file", "__start"]
-    found = df.groupBy(*keys).agg(first.alias("__first"), F.count("*").alias("__n"))
-    splits = found.persist()
-    small = splits.count() <= MAX_BROADCAST_SPLITS
-    earlier = Window.partitionBy("__file").orderBy("__start").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = F.coalesce(F.sum("__n").over(earlier), zero)
-    ranks = number_rows(
-        splits.select("__file").distinct(),
-        "__rank",
-        order=[F.col("__file")],
-        levels=[F.lit(0)],
-    )
-    placed = (
-        splits.join(ranks, "__file")
-        .withColumn("__base", F.shiftleft(F.col("__rank").cast("long"), 40) + before)
-        .select(*keys, (F.col("__base") - F.col("__first")).alias("__base"))
-    )
-    joined = df.join(F.broadcast(placed) if small else placed, keys)
-    return joined.select(
-        *columns, (F.col("__base") + F.col("__row")).alias("ordinal")
+    path = F.col("_metadata.file_path")
+    ordinal = F.struct(
+        natural_key(path).alias("file"), path.alias("path"), start.alias("start"), row.alias("row")
     )
+    placed = df.select("*", ordinal.alias("ordinal"))
+    return placed if fmt == "parquet" else stage(placed, shared_folder(df.sparkSession))
 
 
 def read_log(
@@ -112,8 +81,8 @@ def read_log(
 ) -> DataFrame:
     """Read a query log: ``ordinal``, the normalised text, and all other columns.
 
-    ``ordinal`` names a unique long column that gives the row order; without
-    one the order in the files counts. ``empty_cells`` lists texts to be read
+    ``ordinal`` names a column that gives the row order; without one the order
+    in the files counts. ``empty_cells`` lists texts to be read
     as null, as a spreadsheet reader would (``EMPTY_CELLS``).
     """
     raw = require_columns(_scan(spark, path, fmt, schema, options), text)
@@ -129,8 +98,22 @@ def read_log(
 
 
 def to_numeric(df: DataFrame, columns: list[str], kind: str = "int") -> DataFrame:
-    """Cells to numbers; what is no number becomes null."""
-    return df.select(*[F.col(c).try_cast(kind).alias(c) for c in columns])
+    """Cells to whole numbers: ``1.0`` is 1, TRUE and FALSE are 1 and 0, blank
+    cells and those of ``EMPTY_CELLS`` are null. Any other cell is an error."""
+
+    def number(name: str) -> Column:
+        cell = F.trim(F.col(name).cast("string"))
+        whole = cell.try_cast("double")
+        return (
+            F.when(cell.isNull() | cell.isin(EMPTY_CELLS), F.lit(None))
+            .when(F.upper(cell).isin("TRUE", "T"), F.lit(1))
+            .when(F.upper(cell).isin("FALSE", "F"), F.lit(0))
+            .when(whole == F.floor(whole), whole)
+            .otherwise(F.raise_error(F.concat(F.lit(f"no whole number in {name}: "), cell)).cast("double"))
+            .cast(kind)
+        )
+
+    return df.select(*[number(c).alias(c) for c in columns])
 
 
 def read_ratings(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:

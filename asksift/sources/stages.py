@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,13 +19,26 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder that all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only a session without
-    that setting, such as a local test, gets a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
+    leave it unset and gets a temporary folder; elsewhere executors would each
+    write to their own disk, so that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        base = tempfile.mkdtemp()
     return f"{base.rstrip('/')}/asksift-{uuid.uuid4().hex}"
 
 
+def drop_stages(spark: SparkSession, folder: str) -> None:
+    """Delete the stage tables below a folder that are no longer needed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -23,6 +23,17 @@ def test_ids_follow_first_appearance(spark, spread):
         assert (r.first_ordinal, r.n_rows) == (min(places), len(places))
 
 
+def test_null_and_tied_ordinals(spark):
+    rows = [(1, "a"), (None, "b"), (2, "d"), (2, "c"), (None, "e"), (1 << 62, "z")]
+    for parts in (1, 4):
+        got = {r.Query: r.UniqueID for r in dedupe(log_of(spark, rows, parts)).collect()}
+        assert got == {"a": 1, "c": 2, "d": 3, "z": 4, "b": 5, "e": 6}
+
+
+def test_empty_log(spark):
+    assert dedupe(log_of(spark, [])).count() == 0
+
+
 def test_partitioning_does_not_matter(spark):
     rows = [(i * 7919 % 100_003 << 15, f"q{i % 50}") for i in range(500)]
     results = []

@@ -116,3 +116,9 @@ def test_head_tail_and_sample(spark):
     first = {r.UniqueID for r in review_sample(log, 20, "s").collect()}
     assert first == {r.UniqueID for r in review_sample(log.repartition(5), 20, "s").collect()}
     assert len(first) == 20 and first != {r.UniqueID for r in review_sample(log, 20, "t").collect()}
+
+
+def test_triage_columns_that_are_there_already(spark):
+    texts = spark.createDataFrame([(1, "q", "x")], "UniqueID long, Query string, ARIA_Category_m string")
+    with pytest.raises(ValueError, match="ARIA_Category_m"):
+        merging.attach_triage(texts, texts)

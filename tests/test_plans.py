@@ -1,14 +1,15 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from asksift.operators.batching import two_runs
 from asksift.operators.identity import keep_first
 from asksift.plans.agreement_study import agreement_study
 from asksift.plans.question_detection import detect_questions, label_log, rule_rate, write_requests
-from asksift.plans.triage_questions import triage_questions
+from asksift.plans.triage_questions import triage_labelled_log, triage_questions
 from asksift.sources.readers import prepare_log
-from asksift.sources.stages import read_table
+from asksift.sources.stages import read_table, write_table
 from tests import study_tables as study
 
 RUNS = two_runs(["m", "n"], "seed")
@@ -48,7 +49,10 @@ def test_detection_job(spark, folder):
     }
     dead = read_table(spark, f"{folder}/dead_letters").collect()
     assert [(r.run_name, r.raw) for r in dead] == [("LLM_run1_n", "sorry")] * 3
-    assert rule_rate(done.log, "Rules").count() == 2
+    rates = {r.Rules: (r.n_rows, r.n_texts) for r in rule_rate(done.log.drop("Rules").withColumn("g", F.lit(1)), "g").collect()}
+    assert sum(n for n, _ in rates.values()) == done.log.count()
+    assert sum(t for _, t in rates.values()) == done.distinct.count()
+    assert "ArrowEvalPython" not in done.log._jdf.queryExecution().executedPlan().toString()
 
 
 def test_stored_responses_give_the_same(spark, folder):
@@ -58,7 +62,7 @@ def test_stored_responses_give_the_same(spark, folder):
         (r.run_name, r.batch_id, CALLS[r.run_name](r.prompt)) for r in requests.collect() if r.run_name in CALLS
     ]
     responses = spark.createDataFrame(answers, "run_name string, batch_id long, raw string")
-    stored = label_log(log, f"{folder}/a", RUNS, responses)
+    stored = label_log(f"{folder}/a", RUNS, responses)
     called = detect_questions(log, f"{folder}/b", RUNS, CALLS, 2, PREAMBLE)
     assert sorted(map(tuple, stored.log.collect())) == sorted(map(tuple, called.log.collect()))
 
@@ -81,6 +85,29 @@ def test_triage_job(spark, folder):
     assert sorted(r.UniqueID for r in first.collect()) == sorted(r.UniqueID for r in done.distinct.collect())
 
 
+@pytest.mark.parametrize("gone", [[], ["Rules"], ["ordinal"], ["Rules", "ordinal"]])
+def test_triage_of_a_stored_log(spark, folder, gone):
+    done = detect_questions(log_of(spark), f"{folder}/d", RUNS, CALLS, 2, PREAMBLE)
+    write_table(done.log.drop(*gone), f"{folder}/log")
+    triaged, everything = triage_labelled_log(spark, f"{folder}/log", f"{folder}/t", {"x": triager})
+    direct, _ = triage_questions(done.distinct.drop(*gone), f"{folder}/u", {"x": triager})
+    assert sorted(r.Query for r in triaged.collect()) == sorted(r.Query for r in direct.collect())
+    assert everything.count() == 5 and ("Rules" in everything.columns) == ("Rules" not in gone)
+
+
+def test_job_normalises_once(spark, folder):
+    raw = spark.createDataFrame([(i, f"ｑ{i % 3}") for i in range(9)], "ordinal long, Query string")
+    raw.write.parquet(f"{folder}/raw")
+    seen = []
+    log = prepare_log(spark.read.parquet(f"{folder}/raw"))
+    requests = write_requests(log, f"{folder}/j", RUNS, 2, PREAMBLE)
+    for name in ("distinct", "requests"):
+        seen.append(spark.read.parquet(f"{folder}/j/{name}").count())
+    assert seen[0] == 3 and requests.count() == seen[1]
+    landed = spark.read.parquet(f"{folder}/j/log")
+    assert {r.Query for r in landed.collect()} == {"q0", "q1", "q2"}
+
+
 def test_agreement_job(spark, folder):
     raters = study.RUNS + study.MANUAL
     ratings = study.frame(spark, study.SAMPLE, raters)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from asksift.functions.rules import label_by_rules
 from asksift.operators import agreement, batching, labelling, merging, triage
 from asksift.operators.identity import assign_ids, distinct_texts
+from asksift.plans.question_detection import rule_rate
 from asksift.sources.readers import prepare_log
 
 
@@ -63,6 +64,26 @@ def test_labels_widen_in_one_shuffle(spark):
         "UniqueID long, Query string, model string, category string, reasoning string, question string",
     )
     assert shuffles(triage.widen_triage(triaged, ["m"])) == 1
+    assert "SortAggregate" not in plan_of(triage.widen_triage(triaged, ["m"]))
+
+
+def test_triage_answers_meet_by_id_alone(spark):
+    texts = spark.createDataFrame([(1, "q")], "UniqueID long, Query string")
+    answers = spark.createDataFrame([(1, "m", "x")], "UniqueID long, model string, raw string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = triage.triage_with_responses(texts, ["m", "n"], answers, answers)
+        wide = triage.widen_triage(done, ["m", "n"])
+        assert shuffles(done) == 3 and "SortAggregate" not in plan_of(wide) and shuffles(wide) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rule_rate_reads_the_log_once(log):
+    rate = rule_rate(prepare_log(log.withColumn("lang", F.lit("x"))), "lang")
+    plan = plan_of(rate)
+    assert shuffles(rate) <= 2 and "Join" not in plan
+    assert plan.count("Scan parquet") == 1 and plan.count("ArrowEvalPython") == 1
 
 
 def test_agreement_counts_patterns_before_the_shuffle(log):

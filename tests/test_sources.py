@@ -1,4 +1,7 @@
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from asksift.sources import readers, stages
 
@@ -70,10 +73,32 @@ def test_empty_cells(spark, folder):
 
 
 def test_rating_table(spark, folder):
-    write_text(f"{folder}/r.csv", ["a;b", "1;0", "x;1", ";0"])
+    write_text(f"{folder}/r.csv", ["a;b", "1.0;FALSE", "NA;TRUE", ";0", " 2 ;T"])
     df = readers.read_ratings(spark, f"{folder}/r.csv")
     assert dict(df.dtypes) == {"a": "int", "b": "int"}
-    assert sorted(map(tuple, df.collect()), key=str) == [(1, 0), (None, 0), (None, 1)]
+    assert sorted(map(tuple, df.collect()), key=str) == [(1, 0), (2, 1), (None, 0), (None, 1)]
+
+
+@pytest.mark.parametrize("cell", ["x", "1.5", "yes"])
+def test_cells_that_are_no_whole_numbers(spark, folder, cell):
+    write_text(f"{folder}/r.csv", ["a;b", f"1;{cell}"])
+    with pytest.raises(Exception, match="no whole number in b"):
+        readers.read_ratings(spark, f"{folder}/r.csv").collect()
+
+
+def test_files_follow_each_other_by_number(spark):
+    paths = ["d/part-100000-x.parquet", "d/part-99999-x.parquet", "d/part-2.parquet", "c/part-5.parquet", "d/part-02.parquet"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = rows.select("p", readers.natural_key(F.col("p")).alias("k")).orderBy("k", "p").collect()
+    assert [r.p for r in got] == [
+        "c/part-5.parquet", "d/part-02.parquet", "d/part-2.parquet", "d/part-99999-x.parquet", "d/part-100000-x.parquet",
+    ]
+
+
+def test_file_order_costs_no_shuffle(spark, folder):
+    spark.range(100).select(F.concat(F.lit("q"), "id").alias("Query")).repartition(3).write.parquet(f"{folder}/x")
+    plan = readers.read_log(spark, f"{folder}/x")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
 
 
 def test_stage_table(spark, folder):
@@ -91,7 +116,24 @@ def test_shared_folder_follows_the_session(spark):
         assert one.startswith(base.rstrip("/") + "/")
 
 
-def test_spread_leaves_wide_inputs_alone(spark):
-    narrow, wide = spark.range(10).coalesce(1), spark.range(10).repartition(9)
-    assert readers.spread(narrow, "id").rdd.getNumPartitions() == 4
-    assert readers.spread(wide, "id") is wide
+class Elsewhere:
+    """A session on a cluster that names no shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(name, default=None):
+            return default
+
+    class sparkContext:
+        master = "yarn"
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stages.shared_folder(Elsewhere)
+
+
+def test_stages_can_be_dropped(spark, folder):
+    stages.stage(spark.range(5), f"{folder}/s/one")
+    stages.drop_stages(spark, f"{folder}/s")
+    assert not os.path.exists(f"{folder}/s")
