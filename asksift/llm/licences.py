@@ -145,7 +145,7 @@ L1 = 4e-4
 SEED = 5
 #: Background lines of the corpus to learn from: about so many, each up to so
 #: many characters.
-BACKGROUND_LINES = 400
+BACKGROUND_LINES = 2_000
 BACKGROUND_CHARS = 600
 #: A family must reach the precision below on held-out variants.
 PRECISION = 0.995
@@ -322,7 +322,8 @@ def scan_licences(
         "row", F.monotonically_increasing_id()
     )
     count = len(model.classes)
-    grams = _native_grams("words")
+    known = F.array(*[F.lit(g) for g in model.grams])
+    grams = F.array_intersect(_native_grams("words"), known)
     features = near.select("row", "doc_id", "paragraph", "text", F.explode(grams).alias("gram"))
     summed = (
         features.join(F.broadcast(_weights_table(spark, model)), "gram")

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.stages import require_columns
+from .sampling import hash_sample
 
 # Frame magic, record headers and profile of the formats.
 SKIPPABLE_MAGIC = 0x184D2A5D
@@ -42,7 +43,7 @@ RECORDS_SCHEMA = (
     "payload_digest string, payload_bytes long, refers_to long, payload binary"
 )
 DICTIONARY_BYTES = 32 << 10
-#: The dictionary is built from at most so many records, each up to so many bytes.
+#: The dictionary is built from about so many records, each up to so many bytes.
 SAMPLE_RECORDS = 400
 SAMPLE_BYTES = 16 << 10
 FILE_BYTES = 256 << 20
@@ -78,7 +79,7 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .select("digest", "response", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     other = ~F.col("page_id").eqNullSafe(F.col("response"))
-    return rows.join(repeated, ["digest", "salt"], "left").select(
+    return rows.join(repeated.hint("merge"), ["digest", "salt"], "left").select(
         "page_id", "url", "html", F.when(other, F.col("response")).alias("refers_to")
     )
 
@@ -86,14 +87,9 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def build_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample of the records to be archived, picked
     by hash. Too few records to train on become the dictionary themselves."""
-    sample = [
-        bytes(r["head"])
-        for r in pages.select(F.encode(F.substring("html", 1, SAMPLE_BYTES), "utf-8").alias("head"), "page_id")
-        .where(F.octet_length("head") > 0)
-        .orderBy(F.xxhash64("page_id", "head"))
-        .limit(SAMPLE_RECORDS)
-        .collect()
-    ]
+    head = F.encode(F.substring("html", 1, SAMPLE_BYTES), "utf-8").alias("head")
+    picked = hash_sample(pages, SAMPLE_RECORDS, "page_id").select(head)
+    sample = sorted(bytes(r["head"]) for r in picked.where(F.octet_length("head") > 0).collect())
     texts = [_response(None, None, s) for s in sample]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()

@@ -1,0 +1,76 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from asksift.llm import decontamination as d
+from asksift.sources.stages import stage
+from tests.llm.test_words import plain_words
+
+DOCS = "text string, extra string, doc_id long"
+ITEMS = "extra string, item_id long, text string"
+
+
+def brute_force(docs, items, window=13):
+    out = []
+    for doc, text in docs:
+        words = plain_words(text)
+        hit, found = set(), set()
+        for item, phrase in items:
+            p = plain_words(phrase)
+            size = min(window, len(p))
+            for i in range(len(p) - size + 1 if size else 0):
+                for j in range(len(words) - size + 1):
+                    if words[j : j + size] == p[i : i + size]:
+                        hit.update(range(j, j + size))
+                        found.add("null" if item is None else str(item))
+        out.append((doc, len(words), len(hit), tuple(sorted(found)), bool(hit) and 20 * len(hit) >= len(words)))
+    return sorted(out, key=str)
+
+
+def run(spark, docs, items, window=13):
+    df = spark.createDataFrame([(t, "x", i) for i, t in docs], DOCS).repartition(2)
+    bench = spark.createDataFrame([("x", i, t) for i, t in items], ITEMS)
+    rows = d.decontaminate(df, bench, window).collect()
+    return sorted(((r.doc_id, r.n_words, r.n_hit, tuple(sorted(r["items"])), r.contaminated) for r in rows), key=str)
+
+
+def texts(seed, n, longest):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice("ab cd Ef gh é1 the of".split()) for _ in range(rng.randrange(longest))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("per_pass", [20_000, 3])
+def test_against_brute_force(spark, monkeypatch, per_pass):
+    monkeypatch.setattr(d, "ITEMS_PER_PASS", per_pass)
+    items = list(enumerate(texts(1, 8, 9))) + [(None, "ab ab ab"), (90, ""), (91, None), (92, "AB, cd!")]
+    docs = list(enumerate(texts(2, 60, 40))) + [(5, "ab cd"), (None, "cd ab cd"), (70, None), (71, "...")]
+    docs += [(72, docs[0][1]), (0, docs[0][1])]
+    assert run(spark, docs, items, 4) == brute_force(docs, items, 4)
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], [(1, "a b")]) == []
+    assert run(spark, [(1, "a b")], []) == [(1, 2, 0, (), False)]
+
+
+def test_words_of_neighbouring_documents_do_not_join(spark):
+    assert run(spark, [(1, "a b"), (2, "c d")], [(1, "b c")], 2)[0][2] == 0
+
+
+def test_proximity(spark, folder):
+    docs = [(1, "red x x blue x x x red"), (2, "blue red"), (3, "red x x x x x x blue"), (4, "red"), (5, "blue")]
+    df = spark.createDataFrame([(t, "x", i) for i, t in docs], DOCS)
+    index = stage(d.build_index(df), f"{folder}/index")
+    items = spark.createDataFrame([("x", 7, "blue red")], ITEMS)
+    rows = {r.doc_id: r for r in d.proximity_matches(index, items, 3).collect()}
+    assert [i for i in rows if rows[i].starts] == [1, 2] and rows[2]["items"] == ["7"]
+    whole = {r.doc_id for r in d.phrase_matches(index, items, None).where(F.size("starts") > 0).collect()}
+    assert whole == {2}
+
+
+def test_documents_that_stay(spark):
+    docs = spark.createDataFrame([("a b c", "x", 1), ("q r s", "x", 2), (None, "x", None)], DOCS)
+    bench = spark.createDataFrame([("x", 1, "a b c")], ITEMS)
+    kept = d.decontaminate_documents(docs, bench)
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "None"]

@@ -1,0 +1,88 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from asksift.llm import quality as q
+
+SCHEMA = "score string, text string, doc_id long"
+
+
+def texts(seed, n):
+    """Good texts of ordinary words, bad ones of marks, shouts or one word."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        words = [rng.choice(["the", "and", "river", "stone", "of", "green"]) + rng.choice(["", "s", "ly"]) for _ in range(rng.randrange(5, 80))]
+        kind = rng.randrange(6)
+        if kind == 0:
+            out.append((" ".join(w + "###" for w in words), 0))
+        elif kind == 1:
+            out.append((" ".join([f"x{rng.randrange(999)}"] * len(words)), 0))
+        else:
+            out.append((" ".join(words) + ".", 1))
+    return out
+
+
+def test_features_stay_inside_their_text():
+    parts = ["", "a", "ab", "abc d", None, "abcd abcd", "é", " "]
+    data, offsets = q.text_buffers(pa.array(parts, pa.string()))
+    together = [[] for _ in parts]
+    for found, places in q.buckets(data, offsets):
+        for i, (a, b) in enumerate(zip(places[:-1], places[1:])):
+            together[i] += found[a:b].tolist()
+    for part, found in zip(parts, together):
+        assert sorted(found) == sorted(q.features(part or "").tolist())
+    size = len("abc d")
+    assert len(together[3]) == 2 + 1 + (size - 2) + (size - 3)
+
+
+def test_learns_and_generalises():
+    train, test = texts(1, 500), texts(2, 300)
+    model = q.train([t for t, _ in train], [y for _, y in train])
+    weights = model.weights()
+
+    def score(text):
+        found = q.features(text)
+        return 1 / (1 + np.exp(-weights[found].sum() / (len(found) + q.PRIOR)))
+
+    right = [(score(t) >= q.THRESHOLD) == bool(y) for t, y in test]
+    assert np.mean(right) > 0.97
+    again = q.train([t for t, _ in train], [y for _, y in train])
+    assert (again.vectors == model.vectors).all()
+
+
+def test_scores_in_spark_are_those_of_the_model(spark):
+    rows = [t for t, _ in texts(3, 60)] + ["", None, "word " * 60_000]
+    model = q.train([t for t, _ in texts(4, 200)], [y for _, y in texts(4, 200)])
+    df = spark.createDataFrame([(None, t, i) for i, t in enumerate(rows)], SCHEMA).repartition(3)
+    got = {r.doc_id: r.found for r in q.score_texts(df, model, into="found").collect()}
+    for i, text in enumerate(rows):
+        found = q.features(text or "")
+        logit = model.weights()[found].sum() / (len(found) + q.PRIOR)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
+    assert got[60] == got[61] == 0.5
+    assert q.score_texts(df.limit(0), model, into="found").count() == 0
+
+
+def test_held_out_labels_teach_nothing(spark):
+    rows = texts(5, 400)
+    docs = spark.createDataFrame([(None, t, i) for i, (t, _) in enumerate(rows)], SCHEMA).drop("score")
+    ids = {r.doc_id for r in docs.where(q.held_out()).collect()}
+    import zlib
+
+    assert ids == {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0}
+    labels = [(i, y) for i, (_, y) in enumerate(rows)]
+    poisoned = [(i, 1 - y if i in ids else y) for i, y in labels] + [(None, 1), (3, None), (9999, 0), (5, 7)]
+    table = lambda x: spark.createDataFrame(x, "doc_id long, quality int")
+    a, b = q.fit_quality(docs, table(labels)), q.fit_quality(docs, table(poisoned))
+    assert (a.vectors == b.vectors).all()
+    scored = q.score_quality(docs, table(labels)).collect()
+    assert np.mean([r.predicted == rows[r.doc_id][1] for r in scored if r.doc_id in ids]) > 0.95
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([("a b", 1)], "text string, doc_id long")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.predicted for r in q.score_quality(docs, labels).collect()] == [1]
