@@ -27,7 +27,7 @@ from ..sources.stages import require_columns, shared_folder, stage
 from .components import connected_components, salted_join
 from .jaccard_join import FIRST_ID, set_key
 from .verification import link_members
-from .words import mixed, runs_of_texts, shingle_hashes, word_hashes
+from .words import minima, mixed, runs_of_texts, shingle_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 TENTHS = 8
@@ -54,7 +54,7 @@ def tune_bands(similarity: float = 0.8, recall: float = TARGET_RECALL, most: int
 def band_keys(tokens: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One key per band of a set's MinHash signature."""
     spread = tokens ^ (tokens >> np.uint64(29))
-    low = np.array([(spread * p).min() for p in _PERMUTE[: bands * rows]], np.uint64)
+    low = minima(spread, _PERMUTE[: bands * rows])
     joined = (mixed(low).reshape(bands, rows) * _BAND[:rows]).sum(1, dtype=np.uint64)
     return mixed(joined + _BAND[rows : rows + bands]).astype(np.int64)
 

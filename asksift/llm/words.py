@@ -36,6 +36,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def minima(tokens: np.ndarray, factors: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    """The smallest of the tokens' products with each factor."""
+    low = np.full(len(factors), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for start in range(0, len(tokens), at_once):
+        part = tokens[start : start + at_once, None] * factors[None, :]
+        low = np.minimum(low, part.min(0))
+    return low
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n+1 offsets of its texts; a null
     counts as empty."""
