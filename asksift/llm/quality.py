@@ -29,6 +29,8 @@ from .words import CHUNK_BYTES, mixed, runs_of_texts, text_buffers
 BUCKET_BITS = 16
 DIMENSION = 8
 EPOCHS = 3
+#: Few labelled rows are gone through more often, for so many steps in all.
+LEAST_STEPS = 4_000
 RATE = 0.5
 #: Step of the vectors against that of the layer.
 VECTOR_STEP = 30.0
@@ -120,8 +122,9 @@ def train(
     for text in texts:
         found, counts = np.unique(features(text), return_counts=True)
         documents.append((found, counts / (counts.sum() + PRIOR)))
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(texts))))
     steps, done = max(1, epochs * len(texts)), 0
-    for _ in range(epochs):
+    for _ in range(epochs if texts else 0):
         for i in random.permutation(len(texts)):
             found, share = documents[i]
             now = rate * (1 - done / steps)
