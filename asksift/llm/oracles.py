@@ -150,21 +150,7 @@ def paragraphs(docs: str = "documents") -> str:
                 WHERE ROW(doc_id, line) <> head)"""
 
 
-def without_removed(docs: str = "documents") -> str:
-    """CTEs that end in ``cleaned``: documents without those paragraphs."""
-    return f"""
-    gone AS (SELECT doc_id, list_sort(list(CAST(line AS INTEGER))) AS g FROM removed GROUP BY doc_id),
-    cleaned AS (
-        SELECT d.* REPLACE (CASE WHEN g IS NULL THEN text ELSE array_to_string(
-                   [x FOR x, i IN string_split(text, chr(10)) IF NOT list_contains(g, i - 1)], chr(10)) END AS text),
-               coalesce(g, []) AS removed_lines
-        FROM {docs} d LEFT JOIN gone USING (doc_id))"""
-
-
 SQL: dict[str, str] = {
-    "op9_paragraphs": f"""WITH RECURSIVE {paragraphs()}, {without_removed()}
-    SELECT doc_id, len(removed_lines) AS n_removed, removed_lines, text,
-           sha256(coalesce(text, '')) AS kept_sha256 FROM cleaned""",
     "op4_jaccard_join": f"WITH RECURSIVE {similarity()} SELECT * FROM joined",
     "op1_mixing": f"WITH RECURSIVE {mixture()} SELECT * FROM drawn",
     "op6_warc": """WITH p AS (

@@ -1,13 +1,18 @@
 """Near-duplicate paragraphs: MinHash banding, exact check, removal by component.
 
-A paragraph is a line of at least ``MIN_WORDS`` words; shorter ones are left
-alone. Paragraphs with equal shingle sets are one class. The bands of a class's
+A paragraph is a line of at least ``MIN_WORDS`` words. Paragraphs with equal shingle sets are one class. The bands of a class's
 MinHash signature are tuned so that a pair right at the threshold shares one
 with the target probability; classes that collide in a band become candidates,
 and candidates are compared exactly within their components, by Jaccard
 similarity of word shingles. Of each component of links the first paragraph, by
 document id and place, stays and all others are removed.
 
+Passages that repeat inside otherwise different paragraphs are found in a second
+step: lines are cut into pieces of a few words at places that depend on the
+words around them only, equal pieces meet, and runs of adjoining pieces that
+also stand earlier are removed from ``MIN_RUN_WORDS`` words on. Shorter lines
+and runs, such as headings that many documents share, are left alone.
+
 Null and empty texts have no paragraphs and come back unchanged, as do texts
 without repeats. Repeated rows repeat each other's paragraphs: of rows with
 equal id and text, the paragraphs of one stay. A null id comes before all
@@ -17,6 +22,7 @@ others. Other columns pass through.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,17 +32,31 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.stages import require_columns, shared_folder, stage
 from .components import connected_components, salted_join
 from .jaccard_join import FIRST_ID, set_key
-from .verification import link_members
-from .words import minima, mixed, runs_of_texts, shingle_hashes, word_hashes
+from .verification import groups_in_order, link_members
+from .words import minima, mixed, runs_of_texts, shingle_hashes, text_buffers, word_hashes
 
 SHINGLE_WORDS = 5
 TENTHS = 8
 MIN_WORDS = 30
 TARGET_RECALL = 0.9999
-MAX_BANDS = 24
+MAX_BANDS = 16
+#: A repeated passage inside a paragraph goes from so many words on.
+MIN_RUN_WORDS = 20
+REACH = 2
+#: Pieces that a task holds before it passes them on, and buckets per partition.
+FLUSH_PIECES = 1 << 20
+BUCKETS = 4
+SALTS = 16
+
+PIECE = np.dtype(
+    [("piece", "u8"), ("doc", "i8"), ("first_doc", "i8"), ("line", "i4"), ("first_line", "i4"),
+     ("start", "i4"), ("words", "i4")]
+)
+_WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 
 _random = np.random.default_rng(9)
 _PERMUTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
+_PLACE = _random.integers(0, 1 << 63, 1024, dtype=np.uint64) * 2 + 1
 _BAND = _random.integers(0, 1 << 63, 64, dtype=np.uint64) * 2 + 1
 
 
@@ -158,7 +178,12 @@ def repeated_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
     first_doc_id, first_line`` (where the component's first paragraph stands)
     and ``removed``, false for that one only."""
     require_columns(docs, "doc_id", "text")
-    folder = shared_folder(docs.sparkSession)
+    found = _repeated(docs, tenths, shared_folder(docs.sparkSession))
+    named = {c: F.nullif(c, F.lit(FIRST_ID)) for c in ("doc_id", "first_doc_id")}
+    return found.withColumns(named)
+
+
+def _repeated(docs: DataFrame, tenths: int, folder: str) -> DataFrame:
     bands, rows = tune_bands(tenths / 10)
     paragraphs = stage(enter_paragraphs(docs), f"{folder}/paragraphs")
     entered = stage(enter_bands(docs, bands, rows).distinct(), f"{folder}/bands")
@@ -185,37 +210,213 @@ def repeated_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
     out = salted_join(paragraphs, placed.select("class", "first"), ["class"], "doc_id")
     here = F.struct("doc_id", "line")
     return out.select(
-        F.nullif("doc_id", F.lit(FIRST_ID)).alias("doc_id"), "line", "words",
-        F.nullif("first.doc_id", F.lit(FIRST_ID)).alias("first_doc_id"),
+        "doc_id", "line", "words",
+        F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.line").alias("first_line"),
         (here != F.col("first")).alias("removed"),
     )
 
 
-def remove_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
-    """Documents without the removed lines, and their numbers as
-    ``removed_lines``. Lines are collected per document id; a row beyond the
-    first of equal rows loses its first paragraphs too."""
+def cut_places(words: np.ndarray, firsts: np.ndarray, reach: int = REACH) -> np.ndarray:
+    """Where the pieces of some lines begin: at every line's first word, and at
+    words whose hash is the least within ``reach`` words of the same line. A
+    passage is so cut alike wherever it stands, but for its ends."""
+    owner = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+    least = np.ones(len(words), bool)
+    for step in range(1, reach + 1):
+        same = owner[step:] == owner[:-step]
+        least[step:] &= ~(same & (words[:-step] <= words[step:]))
+        least[:-step] &= ~(same & (words[step:] < words[:-step]))
+    least[firsts[:-1][np.diff(firsts) > 0]] = True
+    return np.flatnonzero(least)
+
+
+def pieces_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash, line, first word and number of words of every piece."""
+    at = cut_places(words, firsts)
+    sizes = np.diff(np.append(at, len(words)))
+    if not len(at):
+        return at.astype(np.uint64), at, at, at
+    place = np.arange(len(words)) - np.repeat(at, sizes)
+    hashes = mixed(np.add.reduceat(words * _PLACE[place & 1023], at))
+    line = np.searchsorted(firsts, at, "right") - 1
+    return hashes, line, at - firsts[line], sizes
+
+
+def enter_pieces(docs: DataFrame, buckets: int) -> DataFrame:
+    """All pieces of all lines, packed by bucket of hashes. Of equal pieces in a
+    task the first is passed on, and the others as repeats of it."""
+
+    def packed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        kept, repeats = first_pieces(np.concatenate(parts))
+        bucket = (mixed(kept["piece"]) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        kept, bucket = kept[order], bucket[order]
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+        rows = [(int(bucket[a]), False, x.tobytes()) for a, x in zip(cuts, np.split(kept, cuts[1:]))]
+        first = int(kept["piece"][0] % np.uint64(buckets)) if len(kept) else 0
+        for number, x in enumerate(np.array_split(repeats, max(1, len(repeats) >> 14))):
+            rows.append(((first + number) % buckets, True, x.tobytes()))
+        for start in range(0, len(rows), 256):
+            bucket_ids, flags, runs = zip(*rows[start : start + 256])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket_ids, pa.int32()), pa.array(flags), pa.array(runs, pa.binary())],
+                ["bucket", "repeats", "pieces"],
+            )
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            data, offsets = text_buffers(batch.column(1))
+            for first, last in runs_of_texts(offsets):
+                low, high = int(offsets[first]), int(offsets[last])
+                breaks = np.flatnonzero(data[low:high] == 10) + low + 1
+                ends = np.unique(np.concatenate([offsets[first : last + 1], breaks]))
+                words, firsts = word_hashes(data, ends)
+                piece, line, start, size = pieces_of(words, firsts)
+                row = np.searchsorted(offsets, ends[:-1], "right") - 1
+                out = np.zeros(len(piece), PIECE)
+                out["piece"], out["start"], out["words"] = piece, start, size
+                out["doc"] = ids[row[line]]
+                out["line"] = line - np.searchsorted(ends, offsets[row[line]])
+                out["first_doc"], out["first_line"] = out["doc"], out["line"]
+                held.append(out)
+                count += len(out)
+                if count >= FLUSH_PIECES:
+                    yield from packed(held)
+                    held, count = [], 0
+        if held:
+            yield from packed(held)
+
+    return _keyed(docs).mapInArrow(enter, "bucket int, repeats boolean, pieces binary")
+
+
+def first_pieces(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of equal pieces, and the others with its place filled in.
+    Pieces at the same place of repeated rows are not repeats of each other."""
+    pieces = pieces[np.lexsort((pieces["start"], pieces["line"], pieces["doc"], pieces["piece"]))]
+    new = np.ones(len(pieces), bool)
+    new[1:] = pieces["piece"][1:] != pieces["piece"][:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(pieces)), 0))
+    pieces["first_doc"], pieces["first_line"] = pieces["first_doc"][head], pieces["first_line"][head]
+    same = ~new
+    for field in ("doc", "line", "start"):
+        same &= pieces[field] == pieces[field][head]
+    return pieces[new], pieces[~new & ~same]
+
+
+def repeated_pieces(docs: DataFrame) -> DataFrame:
+    """Pieces that also stand at an earlier place: ``doc_id, line, start, words``
+    (of the line), ``first_doc_id, first_line`` (an earlier place)."""
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = ["doc", "line", "start", "words", "first_doc", "first_line"]
+    kinds = [np.int64, np.int32, np.int32, np.int32, np.int64, np.int32]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups_in_order(batches, ["bucket"]):
+            rows = [np.frombuffer(x.as_py(), PIECE) for x in table.column("pieces")]
+            flags = table.column("repeats").to_pylist()
+            parts = [r for r, f in zip(rows, flags) if f]
+            open_rows = [r for r, f in zip(rows, flags) if not f]
+            if open_rows:
+                pieces = np.concatenate(open_rows)
+                ordered = np.sort(pieces["piece"])
+                again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+                if len(again):
+                    at = np.minimum(np.searchsorted(again, pieces["piece"]), len(again) - 1)
+                    parts.append(first_pieces(pieces[again[at] == pieces["piece"]])[1])
+            for part in parts:
+                if len(part):
+                    columns = [pa.array(part[n].astype(k)) for n, k in zip(names, kinds)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names[1:4], "first_doc_id", "first_line"])
+
+    ordered = enter_pieces(docs, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(
+        meet, "doc_id long, line int, start int, words int, first_doc_id long, first_line int"
+    )
+
+
+def kept_text(text: str, lines: list[int], pieces: list[dict]) -> tuple[str, int]:
+    """A text without some lines and without the runs of adjoining pieces that
+    are long enough, and the number of words in those runs. A line of which no
+    word is left goes as well."""
+    by_line: dict[int, list[tuple[int, int]]] = {}
+    for piece in pieces:
+        by_line.setdefault(piece["line"], []).append((piece["start"], piece["start"] + piece["words"]))
+    gone, out, removed = set(lines), [], 0
+    for number, line in enumerate(text.split("\n")):
+        if number in gone:
+            continue
+        runs: list[list[int]] = []
+        for start, stop in sorted(by_line.get(number, [])):
+            if runs and start <= runs[-1][1]:
+                runs[-1][1] = max(stop, runs[-1][1])
+            else:
+                runs.append([start, stop])
+        runs = [r for r in runs if r[1] - r[0] >= MIN_RUN_WORDS]
+        if runs:
+            places = [m.start() for m in _WORD.finditer(line)]
+            edges = [0, *places[1:], len(line)]
+            parts, at = [], 0
+            for start, stop in runs:
+                parts.append(line[at : edges[start]])
+                at = edges[stop]
+                removed += stop - start
+            line = "".join([*parts, line[at:]]).rstrip() if at == len(line) else "".join([*parts, line[at:]])
+            if not _WORD.search(line):
+                continue
+        out.append(line)
+    return "\n".join(out), removed
+
+
+def remove_repeats(docs: DataFrame, repeats: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Documents without the removed lines and without long runs of repeated
+    pieces; adds ``removed_lines`` and ``removed_words`` (those of runs). What is
+    removed meets per document id; rows that share an id are treated alike."""
     require_columns(docs, "doc_id", "text")
-    clash = [c for c in ("removed_lines", "__id", "__copy") if c in docs.columns]
+    clash = [c for c in ("removed_lines", "removed_words", "__lines", "__pieces", "__id", "__kept") if c in docs.columns]
     if clash:
         raise ValueError(f"column(s) already there: {', '.join(clash)}")
-    per_document = repeats.groupBy("doc_id").agg(
-        F.collect_set(F.when(F.col("removed"), F.col("line"))).alias("removed_lines")
+    lines = repeats.where("removed").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("__lines"))
+    runs = pieces.groupBy("doc_id").agg(
+        F.collect_list(F.struct("line", "start", "words")).alias("__pieces"), F.sum("words").alias("n")
     )
-    per_document = per_document.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(per_document, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
-    gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
-    lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(gone, i))
-    return joined.withColumns(
+    runs = runs.where(F.col("n") >= MIN_RUN_WORDS).drop("n")
+    found = lines.join(runs, "doc_id", "full").withColumnRenamed("doc_id", "__id")
+    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
+    joined = docs.join(found, ids == F.col("__id"), "left").drop("__id")
+
+    @F.arrow_udf("struct<text:string,words:long>")
+    def keep(texts: pa.Array, lines: pa.Array, pieces: pa.Array) -> pa.Array:
+        rows = [
+            {"text": t, "words": 0} if t is None or not (n or p) else dict(zip(("text", "words"), kept_text(t, n or [], p or [])))
+            for t, n, p in zip(texts.to_pylist(), lines.to_pylist(), pieces.to_pylist())
+        ]
+        return pa.array(rows, pa.struct([("text", pa.string()), ("words", pa.int64())]))
+
+    kept = joined.withColumn("__kept", keep(F.col("text").cast("string"), F.col("__lines"), F.col("__pieces")))
+    return kept.withColumns(
         {
-            "text": F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(F.col("text")),
-            "removed_lines": F.array_sort(gone),
+            "text": F.col("__kept.text"),
+            "removed_lines": F.coalesce("__lines", F.array().cast("array<int>")),
+            "removed_words": F.col("__kept.words"),
         }
-    )
+    ).drop("__lines", "__pieces", "__kept")
 
 
 def dedupe_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
-    """Documents without their repeated paragraphs; see ``remove_repeats``."""
-    return remove_repeats(docs, repeated_paragraphs(docs, tenths))
+    """Documents without their repeated paragraphs and without long passages
+    inside other paragraphs that also stand earlier; see ``remove_repeats``."""
+    require_columns(docs, "doc_id", "text")
+    folder = shared_folder(docs.sparkSession)
+    repeats = stage(_repeated(docs, tenths, folder), f"{folder}/repeats")
+    pieces = stage(repeated_pieces(docs), f"{folder}/pieces")
+    # A piece whose earlier place goes with its whole line stays.
+    gone = repeats.where("removed").select(F.col("doc_id").alias("first_doc_id"), F.col("line").alias("first_line"))
+    places = ["first_doc_id", "first_line"]
+    lost = pieces.select(*places).distinct().join(gone, places, "left_semi")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = pieces.withColumn("salt", F.pmod(F.hash("doc_id", "line"), F.lit(SALTS)))
+    kept = salted.join(lost.select("*", salts).hint("merge"), [*places, "salt"], "left_anti").drop("salt")
+    return remove_repeats(docs, repeats, kept)

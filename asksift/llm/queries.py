@@ -89,6 +89,7 @@ def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size("removed_lines").cast("long").alias("n_removed"),
         "removed_lines",
+        "removed_words",
         "text",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )

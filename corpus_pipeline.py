@@ -37,11 +37,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def remove_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without paragraphs that an earlier one has; a document of which
+    """Documents without paragraphs and passages that stand earlier; a document of which
     nothing is left goes."""
     cleaned = dedupe_paragraphs(docs)
-    emptied = (F.size("removed_lines") > 0) & (F.trim("text") == "")
-    n_chars = F.when(F.size("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    changed = (F.size("removed_lines") > 0) | (F.col("removed_words") > 0)
+    emptied = changed & (F.trim("text") == "")
+    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", n_chars).select(*docs.columns)
 
 

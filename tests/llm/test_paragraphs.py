@@ -1,10 +1,13 @@
+import os
 import random
+from itertools import accumulate
 
 import pytest
 
 from asksift.llm import paragraphs as p
+from asksift.llm.oracles import paragraphs
 from tests.llm.test_fingerprints import jaccard
-from tests.llm.test_words import plain_words
+from tests.llm.test_words import all_words, plain_words
 
 SCHEMA = "line int, text string, doc_id long, other string"
 
@@ -52,16 +55,63 @@ def brute_force(rows):
 def run(spark, rows):
     docs = spark.createDataFrame([(1, t, i, "x") for i, t in rows], SCHEMA).repartition(3)
     out = p.dedupe_paragraphs(docs)
-    assert out.columns == [*docs.columns, "removed_lines"]
+    assert out.columns == [*docs.columns, "removed_lines", "removed_words"]
     return {r.doc_id: (r.removed_lines, r.text) for r in out.collect()}
 
 
-def test_against_brute_force(spark):
+def test_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(p, "MIN_RUN_WORDS", 1 << 30)
     rows = corpus(1)
     rows += [(100, None), (101, ""), (102, "\n\n"), (103, rows[0][1]), (None, rows[1][1]), (104, "word " * 30000)]
     assert run(spark, rows) == brute_force(rows)
 
 
+def test_passages_inside_paragraphs(spark):
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(60)]
+
+    def words(n):
+        return [f"u{rng.randrange(10**6)}" for _ in range(n)]
+
+    heading = "A heading of ten words that many documents do share"
+    rows = []
+    for i in range(12):
+        inside = words(rng.randrange(5, 60)) + (passage if i % 2 else []) + words(rng.randrange(5, 60))
+        rows.append((i, f"{heading}\n{' '.join(words(40))}.\n{' '.join(inside)}"))
+    got = run(spark, rows)
+    for i, text in rows:
+        if i % 2 == 0 or i == 1:
+            assert got[i] == ([], text)
+        else:
+            left = got[i][1]
+            assert sum(w in left.split() for w in passage) <= 16 and len(left.split()) >= len(text.split()) - 60
+            assert left.startswith(heading) and left.split()[-1] == text.split()[-1]
+
+
+def test_pieces_of_a_passage_are_cut_alike():
+    rng = random.Random(8)
+    passage = [f"p{rng.randrange(999)}" for _ in range(60)]
+    found = []
+    for _ in range(2):
+        line = [f"u{rng.randrange(999)}" for _ in range(30)] + passage + [f"u{rng.randrange(999)}" for _ in range(9)]
+        hashes, _, start, size = p.pieces_of(*all_words([" ".join(line)]))
+        assert start.tolist() == [0, *accumulate(size.tolist())][:-1] and sum(size) == len(line)
+        found.append(dict(zip(hashes.tolist(), size.tolist())))
+    assert sum(n for h, n in found[0].items() if h in found[1]) >= 40
+
+
+def test_lines_match_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}'")
+    expected = connection.sql(f"WITH RECURSIVE {paragraphs()} SELECT doc_id, line FROM removed").fetchall()
+    got = p.repeated_paragraphs(spark.read.parquet(path)).where("removed").select("doc_id", "line").collect()
+    assert sorted(map(tuple, got)) == sorted(expected) and expected
+
+
 def test_small_tables(spark):
     assert run(spark, []) == {}
     line = " ".join(f"w{i}" for i in range(60))
