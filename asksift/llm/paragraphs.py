@@ -42,16 +42,16 @@ TARGET_RECALL = 0.9999
 MAX_BANDS = 16
 #: A repeated passage inside a paragraph goes from so many words on.
 MIN_RUN_WORDS = 20
-REACH = 2
+REACH = 3
+#: A piece has at most so many words.
+MAX_PIECE = 1 << 15
 #: Pieces that a task holds before it passes them on, and buckets per partition.
 FLUSH_PIECES = 1 << 20
 BUCKETS = 4
 SALTS = 16
 
-PIECE = np.dtype(
-    [("piece", "u8"), ("doc", "i8"), ("first_doc", "i8"), ("line", "i4"), ("first_line", "i4"),
-     ("start", "i4"), ("words", "i4")]
-)
+PIECE = np.dtype([("piece", "u8"), ("doc", "i8"), ("line", "u4"), ("start", "u4"), ("words", "u2")])
+REPEAT = np.dtype([*PIECE.descr, ("first_doc", "i8"), ("first_line", "u4")])
 _WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 
 _random = np.random.default_rng(9)
@@ -227,7 +227,7 @@ def cut_places(words: np.ndarray, firsts: np.ndarray, reach: int = REACH) -> np.
         same = owner[step:] == owner[:-step]
         least[step:] &= ~(same & (words[:-step] <= words[step:]))
         least[:-step] &= ~(same & (words[step:] < words[:-step]))
-    least[firsts[:-1][np.diff(firsts) > 0]] = True
+    least |= (np.arange(len(words)) - firsts[owner]) % MAX_PIECE == 0
     return np.flatnonzero(least)
 
 
@@ -280,7 +280,6 @@ def enter_pieces(docs: DataFrame, buckets: int) -> DataFrame:
                 out["piece"], out["start"], out["words"] = piece, start, size
                 out["doc"] = ids[row[line]]
                 out["line"] = line - np.searchsorted(ends, offsets[row[line]])
-                out["first_doc"], out["first_line"] = out["doc"], out["line"]
                 held.append(out)
                 count += len(out)
                 if count >= FLUSH_PIECES:
@@ -299,11 +298,14 @@ def first_pieces(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(pieces), bool)
     new[1:] = pieces["piece"][1:] != pieces["piece"][:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(pieces)), 0))
-    pieces["first_doc"], pieces["first_line"] = pieces["first_doc"][head], pieces["first_line"][head]
-    same = ~new
+    same = np.ones(len(pieces), bool)
     for field in ("doc", "line", "start"):
         same &= pieces[field] == pieces[field][head]
-    return pieces[new], pieces[~new & ~same]
+    repeats = np.zeros(int((~same).sum()), REPEAT)
+    for field in PIECE.names:
+        repeats[field] = pieces[field][~same]
+    repeats["first_doc"], repeats["first_line"] = pieces["doc"][head][~same], pieces["line"][head][~same]
+    return pieces[new], repeats
 
 
 def repeated_pieces(docs: DataFrame) -> DataFrame:
@@ -315,10 +317,9 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_in_order(batches, ["bucket"]):
-            rows = [np.frombuffer(x.as_py(), PIECE) for x in table.column("pieces")]
-            flags = table.column("repeats").to_pylist()
-            parts = [r for r, f in zip(rows, flags) if f]
-            open_rows = [r for r, f in zip(rows, flags) if not f]
+            rows = list(zip(table.column("repeats").to_pylist(), table.column("pieces").to_pylist()))
+            parts = [np.frombuffer(r, REPEAT) for repeats, r in rows if repeats]
+            open_rows = [np.frombuffer(r, PIECE) for repeats, r in rows if not repeats]
             if open_rows:
                 pieces = np.concatenate(open_rows)
                 ordered = np.sort(pieces["piece"])
