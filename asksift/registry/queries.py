@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.responses import (
     is_too_vague,
     structured_question,
-    triage_category,
-    triage_reasoning,
 )
 from ..functions.rules import RULES, fired_rule, label_by_rules
 from ..functions.text import nfkc, normalize_text, strip_lower, strip_upper
