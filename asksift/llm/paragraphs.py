@@ -99,22 +99,24 @@ def _lines(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, int]]:
             yield rows[first + k], numbers[first + k], tokens, int(counts[k])
 
 
-def enter_paragraphs(docs: DataFrame) -> DataFrame:
-    """One row per paragraph: document, line number, class and words."""
+def enter_paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """One row per paragraph: document, line number, class, words, and the band
+    keys of its class."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(r, n, set_key(t), w) for r, n, t, w in _lines(batch.column(1))]
-            rows, numbers, keys, words = zip(*found) if found else ((), (), (), ())
+            found = [(r, n, set_key(t), w, band_keys(t, bands, rows)) for r, n, t, w in _lines(batch.column(1))]
+            owners, numbers, keys, words, marks = zip(*found) if found else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(rows, pa.int64())),
+                    batch.column(0).take(pa.array(owners, pa.int64())),
                     pa.array(numbers, pa.int32()), pa.array(keys, pa.int64()), pa.array(words, pa.int32()),
+                    pa.array(marks, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "line", "class", "words"],
+                ["doc_id", "line", "class", "words", "bands"],
             )
 
-    return _keyed(docs).mapInArrow(enter, "doc_id long, line int, class long, words int")
+    return _keyed(docs).mapInArrow(enter, "doc_id long, line int, class long, words int, bands array<long>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -124,21 +126,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def enter_bands(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """The band keys of every paragraph's class, each class once per task."""
-
-    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys: dict[int, np.ndarray] = {}
-            for _, _, tokens, _ in _lines(batch.column(1)):
-                key = set_key(tokens)
-                if key not in keys:
-                    keys[key] = band_keys(tokens, bands, rows)
-            classes = np.repeat(np.array(list(keys), np.int64), bands)
-            found = np.concatenate(list(keys.values())) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(classes)], ["band", "class"])
-
-    return _keyed(docs).mapInArrow(enter, "band long, class long")
+def class_bands(paragraphs: DataFrame) -> DataFrame:
+    """``band, class`` with every class once; copies combine before the shuffle."""
+    classes = paragraphs.groupBy("class").agg(F.first("bands").alias("bands"))
+    return classes.select(F.explode("bands").alias("band"), "class")
 
 
 def colliding(bands: DataFrame) -> DataFrame:
@@ -185,8 +176,8 @@ def repeated_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
 
 def _repeated(docs: DataFrame, tenths: int, folder: str) -> DataFrame:
     bands, rows = tune_bands(tenths / 10)
-    paragraphs = stage(enter_paragraphs(docs), f"{folder}/paragraphs")
-    entered = stage(enter_bands(docs, bands, rows).distinct(), f"{folder}/bands")
+    paragraphs = stage(enter_paragraphs(docs, bands, rows), f"{folder}/paragraphs")
+    entered = stage(class_bands(paragraphs), f"{folder}/bands")
     edges = stage(colliding(entered), f"{folder}/candidates")
     candidates = connected_components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
     candidates = stage(candidates, f"{folder}/groups")
