@@ -7,11 +7,13 @@ and candidates are compared exactly within their components, by Jaccard
 similarity of word shingles. Of each component of links the first paragraph, by
 document id and place, stays and all others are removed.
 
-Passages that repeat inside otherwise different paragraphs are found in a second
-step: lines are cut into pieces of a few words at places that depend on the
-words around them only, equal pieces meet, and runs of adjoining pieces that
-also stand earlier are removed from ``MIN_RUN_WORDS`` words on. Shorter lines
-and runs, such as headings that many documents share, are left alone.
+Passages that repeat inside otherwise different paragraphs, or over several
+lines, are found in a second step. Seeds, short runs of words picked by their
+hashes alone, meet; around the seeds that stand in several places all runs of
+``MIN_RUN_WORDS`` words are compared, and the words of every run that also
+stands earlier are removed, to the word. Removed paragraphs take no part in
+that, so the first place of a run is one that stays. Shorter repeats, such as
+headings that many documents share, are left alone.
 
 Null and empty texts have no paragraphs and come back unchanged, as do texts
 without repeats. Repeated rows repeat each other's paragraphs: of rows with
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,24 +42,25 @@ TENTHS = 8
 MIN_WORDS = 30
 TARGET_RECALL = 0.9999
 MAX_BANDS = 16
-#: A repeated passage inside a paragraph goes from so many words on.
+#: A repeated passage outside of repeated paragraphs goes from so many words on.
 MIN_RUN_WORDS = 20
-REACH = 3
-#: A piece has at most so many words.
-MAX_PIECE = 1 << 15
+#: Runs of so many words are seeds, at least one of any so many in a row. A
+#: passage must hold one, so both together are at most MIN_RUN_WORDS + 1.
+SEED_WORDS = 8
+SEED_GAP = 13
 #: Pieces that a task holds before it passes them on, and buckets per partition.
 FLUSH_PIECES = 1 << 20
 BUCKETS = 4
-SALTS = 16
 
-PIECE = np.dtype([("piece", "u8"), ("doc", "i8"), ("line", "u4"), ("start", "u4"), ("words", "u2")])
-REPEAT = np.dtype([*PIECE.descr, ("first_doc", "i8"), ("first_line", "u4")])
+PIECE = np.dtype([("piece", "u8"), ("doc", "i8"), ("start", "u4")])
+SPAN = np.dtype([("doc", "i8"), ("start", "u4"), ("words", "u4")])
 _WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 
 _random = np.random.default_rng(9)
 _PERMUTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
-_PLACE = _random.integers(0, 1 << 63, 1024, dtype=np.uint64) * 2 + 1
 _BAND = _random.integers(0, 1 << 63, 64, dtype=np.uint64) * 2 + 1
+_BASE = _random.integers(0, 1 << 61, dtype=np.uint64) * 8 + 5
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def tune_bands(similarity: float = 0.8, recall: float = TARGET_RECALL, most: int = MAX_BANDS) -> tuple[int, int]:
@@ -208,38 +211,148 @@ def _repeated(docs: DataFrame, tenths: int, folder: str) -> DataFrame:
     )
 
 
-def cut_places(words: np.ndarray, firsts: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Where the pieces of some lines begin: at every line's first word, and at
-    words whose hash is the least within ``reach`` words of the same line. A
-    passage is so cut alike wherever it stands, but for its ends."""
-    owner = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-    least = np.ones(len(words), bool)
-    for step in range(1, reach + 1):
-        same = owner[step:] == owner[:-step]
-        least[step:] &= ~(same & (words[:-step] <= words[step:]))
-        least[:-step] &= ~(same & (words[step:] < words[:-step]))
-    least |= (np.arange(len(words)) - firsts[owner]) % MAX_PIECE == 0
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every run of ``size`` words, also of those across texts."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    powers, back = (np.full(len(words), b, np.uint64) for b in (_BASE, _INVERSE))
+    powers[0] = back[0] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * np.cumprod(powers))])
+    return mixed((sums[size:] - sums[:-size]) * np.cumprod(back)[: len(words) - size + 1])
+
+
+def _sliding(values: np.ndarray, size: int, pick: np.ufunc) -> np.ndarray:
+    """The least or greatest of every ``size`` values in a row."""
+    done = 1
+    while done < size:
+        step = min(done, size - done)
+        values = pick(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def cut_places(words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Where the pieces of some texts begin: at every text's first word, and where
+    a run of ``SEED_WORDS`` words has the least hash of ``SEED_GAP`` such runs in
+    a row. Every ``SEED_WORDS + SEED_GAP - 1`` words of a text hold such a run,
+    the same one wherever those words stand."""
+    least = np.zeros(len(words), bool)
+    least[firsts[:-1][np.diff(firsts) > 0]] = True
+    whole = SEED_WORDS + SEED_GAP - 1
+    if len(words) >= whole:
+        owner = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+        grams = run_hashes(words, SEED_WORDS)
+        low = _sliding(grams, SEED_GAP, np.minimum)
+        low = np.where(owner[whole - 1 :] == owner[: len(low)], low, np.uint64(0))
+        rim = np.zeros(SEED_GAP - 1, np.uint64)
+        high = _sliding(np.concatenate([rim, low, rim]), SEED_GAP, np.maximum)
+        least[: len(grams)] |= (grams == high) & (high > 0)
     return np.flatnonzero(least)
 
 
 def pieces_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hash, line, first word and number of words of every piece."""
+    """Hash of its first ``SEED_WORDS`` words, text, first word and number of
+    words of every piece. Near the end of a text the hash stands for nothing."""
     at = cut_places(words, firsts)
-    sizes = np.diff(np.append(at, len(words)))
-    if not len(at):
-        return at.astype(np.uint64), at, at, at
-    place = np.arange(len(words)) - np.repeat(at, sizes)
-    hashes = mixed(np.add.reduceat(words * _PLACE[place & 1023], at))
-    line = np.searchsorted(firsts, at, "right") - 1
-    return hashes, line, at - firsts[line], sizes
-
-
-def enter_pieces(docs: DataFrame, buckets: int) -> DataFrame:
-    """All pieces of all lines, packed by bucket of hashes. Of equal pieces in a
-    task the first is passed on, and the others as repeats of it."""
+    grams = np.concatenate([run_hashes(words, SEED_WORDS), np.zeros(SEED_WORDS, np.uint64)])
+    text = np.searchsorted(firsts, at, "right") - 1
+    return grams[at], text, at - firsts[text], np.diff(np.append(at, len(words)))
+
+
+def _pieces(hashes: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(hashes), PIECE)
+    out["piece"], out["doc"], out["start"] = hashes, docs, starts
+    return out
+
+
+def cut_seeds(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The seeds of ``doc_id, text``."""
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    data, offsets = text_buffers(batch.column(1))
+    for first, last in runs_of_texts(offsets):
+        words, firsts = word_hashes(data, offsets[first : last + 1])
+        hashes, text, start, _ = pieces_of(words, firsts)
+        long = np.diff(firsts)[text] >= SEED_WORDS + SEED_GAP - 1
+        yield _pieces(hashes[long], ids[first + text[long]], start[long])
+
+
+def cut_runs(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
+    """The runs of ``size`` words of ``doc_id, text, lines, spans`` that begin in
+    a span and touch none of the lines."""
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    data, offsets = text_buffers(batch.column(1))
+    gone, spans = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+    for first, last in runs_of_texts(offsets):
+        low, high = int(offsets[first]), int(offsets[last])
+        breaks = np.flatnonzero(data[low:high] == 10) + low + 1
+        ends = np.unique(np.concatenate([offsets[first : last + 1], breaks]))
+        words, of_lines = word_hashes(data, ends)
+        hashes = run_hashes(words, size)
+        line = np.searchsorted(ends, offsets[first : last + 1])
+        firsts = of_lines[line]
+        lost = np.zeros(len(words) + 1, np.int64)
+        for row in range(last - first):
+            for number in gone[first + row] or ():
+                if line[row] + number < line[row + 1]:
+                    lost[of_lines[line[row] + number] + 1 : of_lines[line[row] + number + 1] + 1] = 1
+        lost = np.cumsum(lost)
+        for row in range(last - first):
+            begin, stop = int(firsts[row]), int(firsts[row + 1]) - size + 1
+            if stop <= begin:
+                continue
+            open_at = np.zeros(stop - begin, bool)
+            for span in spans[first + row]:
+                open_at[span["start"] : span["start"] + span["words"]] = True
+            at = begin + np.flatnonzero(open_at)
+            at = at[lost[at + size] == lost[at]]
+            yield _pieces(hashes[at], np.full(len(at), ids[first + row]), at - begin)
+
+
+def first_pieces(pieces: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first of equal pieces, and the spans of the others. Pieces at the same
+    place of repeated rows are not repeats of each other. The spans are: for seeds
+    (``size`` below 0) where runs of ``-size`` words around any of the equal ones
+    begin, and for runs of ``size`` words what lies behind the first one."""
+    pieces = pieces[np.lexsort((pieces["start"], pieces["doc"], pieces["piece"]))]
+    new = np.ones(len(pieces), bool)
+    new[1:] = pieces["piece"][1:] != pieces["piece"][:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(pieces)), 0))
+    doc, start = pieces["doc"], pieces["start"].astype(np.int64)
+    near = doc == doc[head]
+    again = ~near | (start != start[head])
+    if size < 0:
+        again[head[again]] = True
+        stop = start + 1
+        start = np.maximum(stop + size + SEED_WORDS - 1, 0)
+    else:
+        stop = start + size
+        start = np.where(near, np.maximum(start, start[head] + size), start)
+    return pieces[new], merged_spans(doc[again], start[again], stop[again])
+
+
+def merged_spans(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Spans of words, those of a document that meet or overlap made one."""
+    if not len(doc):
+        return np.zeros(0, SPAN)
+    order = np.lexsort((start, doc))
+    doc, start, stop = doc[order], start[order], stop[order]
+    shift = np.cumsum(np.append(0, doc[1:] != doc[:-1])) << 33
+    furthest = np.maximum.accumulate(stop + shift)
+    at = np.flatnonzero(np.append(True, (start + shift)[1:] > furthest[:-1]))
+    out = np.zeros(len(at), SPAN)
+    out["doc"], out["start"] = doc[at], start[at]
+    out["words"] = (furthest - shift)[np.append(at[1:], len(doc)) - 1] - start[at]
+    return out
+
+
+def meeting_pieces(docs: DataFrame, cut: Callable[[pa.RecordBatch], Iterator[np.ndarray]], size: int) -> DataFrame:
+    """Spans ``doc_id, start, words`` of equal pieces, see ``first_pieces``. Of equal
+    pieces in a task the first is passed on, packed by bucket of hashes, and the
+    spans of the others are found at once."""
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def packed(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        kept, repeats = first_pieces(np.concatenate(parts))
+        kept, repeats = first_pieces(np.concatenate(parts), size)
         bucket = (mixed(kept["piece"]) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         kept, bucket = kept[order], bucket[order]
@@ -258,19 +371,7 @@ def enter_pieces(docs: DataFrame, buckets: int) -> DataFrame:
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            data, offsets = text_buffers(batch.column(1))
-            for first, last in runs_of_texts(offsets):
-                low, high = int(offsets[first]), int(offsets[last])
-                breaks = np.flatnonzero(data[low:high] == 10) + low + 1
-                ends = np.unique(np.concatenate([offsets[first : last + 1], breaks]))
-                words, firsts = word_hashes(data, ends)
-                piece, line, start, size = pieces_of(words, firsts)
-                row = np.searchsorted(offsets, ends[:-1], "right") - 1
-                out = np.zeros(len(piece), PIECE)
-                out["piece"], out["start"], out["words"] = piece, start, size
-                out["doc"] = ids[row[line]]
-                out["line"] = line - np.searchsorted(ends, offsets[row[line]])
+            for out in cut(batch):
                 held.append(out)
                 count += len(out)
                 if count >= FLUSH_PIECES:
@@ -279,37 +380,10 @@ def enter_pieces(docs: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield from packed(held)
 
-    return _keyed(docs).mapInArrow(enter, "bucket int, repeats boolean, pieces binary")
-
-
-def first_pieces(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first of equal pieces, and the others with its place filled in.
-    Pieces at the same place of repeated rows are not repeats of each other."""
-    pieces = pieces[np.lexsort((pieces["start"], pieces["line"], pieces["doc"], pieces["piece"]))]
-    new = np.ones(len(pieces), bool)
-    new[1:] = pieces["piece"][1:] != pieces["piece"][:-1]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(pieces)), 0))
-    same = np.ones(len(pieces), bool)
-    for field in ("doc", "line", "start"):
-        same &= pieces[field] == pieces[field][head]
-    repeats = np.zeros(int((~same).sum()), REPEAT)
-    for field in PIECE.names:
-        repeats[field] = pieces[field][~same]
-    repeats["first_doc"], repeats["first_line"] = pieces["doc"][head][~same], pieces["line"][head][~same]
-    return pieces[new], repeats
-
-
-def repeated_pieces(docs: DataFrame) -> DataFrame:
-    """Pieces that also stand at an earlier place: ``doc_id, line, start, words``
-    (of the line), ``first_doc_id, first_line`` (an earlier place)."""
-    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = ["doc", "line", "start", "words", "first_doc", "first_line"]
-    kinds = [np.int64, np.int32, np.int32, np.int32, np.int64, np.int32]
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_in_order(batches, ["bucket"]):
             rows = list(zip(table.column("repeats").to_pylist(), table.column("pieces").to_pylist()))
-            parts = [np.frombuffer(r, REPEAT) for repeats, r in rows if repeats]
+            parts = [np.frombuffer(r, SPAN) for repeats, r in rows if repeats]
             open_rows = [np.frombuffer(r, PIECE) for repeats, r in rows if not repeats]
             if open_rows:
                 pieces = np.concatenate(open_rows)
@@ -317,38 +391,64 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
                 again = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
                 if len(again):
                     at = np.minimum(np.searchsorted(again, pieces["piece"]), len(again) - 1)
-                    parts.append(first_pieces(pieces[again[at] == pieces["piece"]])[1])
+                    parts.append(first_pieces(pieces[again[at] == pieces["piece"]], size)[1])
             for part in parts:
                 if len(part):
-                    columns = [pa.array(part[n].astype(k)) for n, k in zip(names, kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names[1:4], "first_doc_id", "first_line"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part["doc"]), pa.array(part["start"].astype(np.int32)), pa.array(part["words"].astype(np.int32))],
+                        ["doc_id", "start", "words"],
+                    )
 
-    ordered = enter_pieces(docs, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(
-        meet, "doc_id long, line int, start int, words int, first_doc_id long, first_line int"
-    )
+    entered = docs.mapInArrow(enter, "bucket int, repeats boolean, pieces binary")
+    ordered = entered.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(meet, "doc_id long, start int, words int")
+
+
+def _removed_lines(repeats: DataFrame) -> DataFrame:
+    return repeats.where("removed").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("__lines"))
+
+
+def _spans(pieces: DataFrame) -> DataFrame:
+    return pieces.groupBy("doc_id").agg(F.collect_list(F.struct("start", "words")).alias("__pieces"))
+
+
+def repeated_runs(docs: DataFrame, repeats: DataFrame, folder: str) -> DataFrame:
+    """Spans ``doc_id, start, words`` of the document's words, counted through all
+    its lines, that lie in runs of ``MIN_RUN_WORDS`` words which also stand
+    earlier. Runs in removed lines are none. Seeds that several places share tell
+    which runs to compare; no run is compared otherwise."""
+    size = MIN_RUN_WORDS
+    seeds = stage(meeting_pieces(_keyed(docs), cut_seeds, -size), f"{folder}/seeds")
+    found = _spans(seeds).join(_removed_lines(repeats), "doc_id", "left")
+    texts = _keyed(docs).join(found, "doc_id").select("doc_id", "text", "__lines", "__pieces")
+    return meeting_pieces(texts, lambda batch: cut_runs(batch, size), size)
 
 
 def kept_text(text: str, lines: list[int], pieces: list[dict]) -> tuple[str, int]:
-    """A text without some lines and without the runs of adjoining pieces that
-    are long enough, and the number of words in those runs. A line of which no
-    word is left goes as well."""
-    by_line: dict[int, list[tuple[int, int]]] = {}
-    for piece in pieces:
-        by_line.setdefault(piece["line"], []).append((piece["start"], piece["start"] + piece["words"]))
-    gone, out, removed = set(lines), [], 0
+    """A text without some lines and without some spans of words, and the number
+    of words in those spans. A line of which no word is left goes as well."""
+    spans: list[list[int]] = []
+    for start, stop in sorted((p["start"], p["start"] + p["words"]) for p in pieces):
+        if spans and start <= spans[-1][1]:
+            spans[-1][1] = max(stop, spans[-1][1])
+        else:
+            spans.append([start, stop])
+    gone, out, removed, first, at_span = set(lines), [], 0, 0, 0
     for number, line in enumerate(text.split("\n")):
+        places = [m.start() for m in _WORD.finditer(line)] if at_span < len(spans) else []
+        last = first + len(places)
+        runs = []
+        while at_span < len(spans) and spans[at_span][0] < last:
+            start, stop = max(spans[at_span][0], first) - first, min(spans[at_span][1], last) - first
+            if start < stop:
+                runs.append((start, stop))
+            if spans[at_span][1] > last:
+                break
+            at_span += 1
+        first = last
         if number in gone:
             continue
-        runs: list[list[int]] = []
-        for start, stop in sorted(by_line.get(number, [])):
-            if runs and start <= runs[-1][1]:
-                runs[-1][1] = max(stop, runs[-1][1])
-            else:
-                runs.append([start, stop])
-        runs = [r for r in runs if r[1] - r[0] >= MIN_RUN_WORDS]
         if runs:
-            places = [m.start() for m in _WORD.finditer(line)]
             edges = [0, *places[1:], len(line)]
             parts, at = [], 0
             for start, stop in runs:
@@ -363,18 +463,13 @@ def kept_text(text: str, lines: list[int], pieces: list[dict]) -> tuple[str, int
 
 
 def remove_repeats(docs: DataFrame, repeats: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Documents without the removed lines and without long runs of repeated
-    pieces; adds ``removed_lines`` and ``removed_words`` (those of runs). What is
+    """Documents without the removed lines and without some spans of words; adds ``removed_lines`` and ``removed_words`` (those of spans). What is
     removed meets per document id; rows that share an id are treated alike."""
     require_columns(docs, "doc_id", "text")
     clash = [c for c in ("removed_lines", "removed_words", "__lines", "__pieces", "__id", "__kept") if c in docs.columns]
     if clash:
         raise ValueError(f"column(s) already there: {', '.join(clash)}")
-    lines = repeats.where("removed").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("__lines"))
-    runs = pieces.groupBy("doc_id").agg(
-        F.collect_list(F.struct("line", "start", "words")).alias("__pieces"), F.sum("words").alias("n")
-    )
-    runs = runs.where(F.col("n") >= MIN_RUN_WORDS).drop("n")
+    lines, runs = _removed_lines(repeats), _spans(pieces)
     found = lines.join(runs, "doc_id", "full").withColumnRenamed("doc_id", "__id")
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
     joined = docs.join(found, ids == F.col("__id"), "left").drop("__id")
@@ -399,16 +494,9 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame, pieces: DataFrame) -> Da
 
 def dedupe_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
     """Documents without their repeated paragraphs and without long passages
-    inside other paragraphs that also stand earlier; see ``remove_repeats``."""
+    elsewhere that also stand earlier; see ``remove_repeats``."""
     require_columns(docs, "doc_id", "text")
     folder = shared_folder(docs.sparkSession)
     repeats = stage(_repeated(docs, tenths, folder), f"{folder}/repeats")
-    pieces = stage(repeated_pieces(docs), f"{folder}/pieces")
-    # A piece whose earlier place goes with its whole line stays.
-    gone = repeats.where("removed").select(F.col("doc_id").alias("first_doc_id"), F.col("line").alias("first_line"))
-    places = ["first_doc_id", "first_line"]
-    lost = pieces.select(*places).distinct().join(gone, places, "left_semi")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    salted = pieces.withColumn("salt", F.pmod(F.hash("doc_id", "line"), F.lit(SALTS)))
-    kept = salted.join(lost.select("*", salts).hint("merge"), [*places, "salt"], "left_anti").drop("salt")
-    return remove_repeats(docs, repeats, kept)
+    pieces = stage(repeated_runs(docs, repeats, folder), f"{folder}/pieces")
+    return remove_repeats(docs, repeats, pieces)

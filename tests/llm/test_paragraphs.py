@@ -133,3 +133,52 @@ def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a", 1)], "doc_id long, text string, removed_lines int")
     with pytest.raises(ValueError, match="removed_lines"):
         p.dedupe_paragraphs(docs)
+
+
+def runs_by_force(rows, size=20):
+    """The words that stay of each document: not those in runs of words which
+    stand earlier, where repeats that overlap their first place count behind it."""
+    seen, left = {}, {}
+    for doc, text in sorted(rows):
+        words = plain_words(text)
+        gone = set()
+        for at in range(len(words) - size + 1):
+            first = seen.setdefault(tuple(words[at : at + size]), (doc, at))
+            if first != (doc, at):
+                low = max(at, first[1] + size) if first[0] == doc else at
+                gone.update(range(low, at + size))
+        left[doc] = [w for i, w in enumerate(words) if i not in gone]
+    return left
+
+
+def unlike(rng, n):
+    return [f"u{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def test_passage_of_a_removed_copy_goes_elsewhere(spark):
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(40)]
+    line = " ".join(unlike(rng, 100) + passage + unlike(rng, 100))
+    rows = [(1, line), (2, line)]
+    for i in range(3, 9):
+        rows.append((i, " ".join(unlike(rng, 50) + passage + unlike(rng, 50))))
+    # One task has the removed copy and later documents, not the first one.
+    docs = spark.createDataFrame([(1, t, i, "x") for i, t in rows[:1]], SCHEMA).coalesce(1)
+    docs = docs.union(spark.createDataFrame([(1, t, i, "x") for i, t in rows[1:]], SCHEMA).coalesce(1))
+    got = {r.doc_id: r for r in p.dedupe_paragraphs(docs).collect()}
+    assert got[1].text == line and got[2].removed_lines == [0]
+    for i, text in rows[2:]:
+        assert plain_words(got[i].text) == [w for w in plain_words(text) if w not in passage]
+
+
+def test_passage_whose_first_place_goes_as_a_near_copy(spark):
+    rng = random.Random(12)
+    head, passage = unlike(rng, 300), [f"p{i}" for i in range(25)]
+    near = head[:150] + passage + head[150:]
+    rows = [(1, " ".join(head)), (2, " ".join(near))]
+    for i in range(3, 8):
+        rows.append((i, " ".join(unlike(rng, 50) + passage + unlike(rng, 50))))
+    got = run(spark, rows)
+    assert got[2] == ([0], "") and got[3] == ([], rows[2][1])
+    for i, text in rows[3:]:
+        assert plain_words(got[i][1]) == [w for w in plain_words(text) if w not in passage]
