@@ -17,7 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,8 +43,15 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S,
 )
-_HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"display\s*:\s*none|\bhidden\b|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
+HINT_ATTRIBUTES = ("class", "id", "role", "aria-label")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?=;|$)", re.I)
+#: Names that tell a state, or what the text is about, rather than the part of the page.
+_STATE = re.compile(
+    r"(?:has|is|no|not|with|without|show|hide|js|category|cat|format|type|status|tags?(?![_-]+(?:cloud|lists?|links)$))[_-].*|"
+    r".*[_-](?:open|opened|closed|on|off|enabled|disabled|allowed|active|visible|collapsed|expanded)",
+    re.I,
+)
 _BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|"
     r"side-?bar\w*|widgets?|footer|foot|footnav|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notice\w*|alert\w*|popup\w*|"
@@ -65,6 +72,7 @@ WEIGHTS = {
     "in_boilerplate": -7.0,
     "content_hint": 1.4,
     "boilerplate_hint": -7.0,
+    "container_hint": -2.0,
     "header": -5.0,
     "paragraph": 0.6,
     "heading": 0.3,
@@ -87,10 +95,19 @@ class _Element(NamedTuple):
     tag: str
     number: int
     flags: frozenset[str]
+    hints: tuple[int, ...]
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    """Attributes by name; of a repeated one the first counts."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), html.unescape(value.strip("\"'")))
+    return out
 
 
-def _flags(tag: str, attributes: str, above: frozenset[str]) -> frozenset[str]:
-    """What an element says about the blocks below it."""
+def _flags(tag: str, attributes: str, above: frozenset[str]) -> set[str]:
+    """What an element by itself says about the blocks below it."""
     new = set()
     if tag in CONTENT_TAGS:
         new.add("in_content")
@@ -104,22 +121,31 @@ def _flags(tag: str, attributes: str, above: frozenset[str]) -> frozenset[str]:
         new.add("heading")
     if tag in ("li", "dt", "dd", "option"):
         new.add("list_item")
-    if "=" in attributes or "hidden" in attributes:
-        for found in _HINT.finditer(attributes):
-            hint = found[1].strip("\"'")
-            if tag not in ("body", "html") and _BOILERPLATE.search(hint):
-                new.add("boilerplate_hint")
-            elif _CONTENT.search(hint):
+    if attributes.strip(" /"):
+        named = _attributes(attributes)
+        for name in HINT_ATTRIBUTES:
+            hints = [t for t in named.get(name, "").split() if not _STATE.fullmatch(t)]
+            if tag not in ("body", "html") and any(map(_BOILERPLATE.search, hints)):
+                new.add("container_hint" if tag in CONTENT_TAGS else "boilerplate_hint")
+            elif any(map(_CONTENT.search, hints)):
                 new.add("content_hint")
-        if _HIDDEN.search(attributes):
+        if "hidden" in named or named.get("aria-hidden", "").strip().lower() == "true" or _UNSEEN.search(named.get("style", "")):
             new.add("hidden")
-    return above | new if new else above
+    return new
+
+
+def _hint_flags(flags: frozenset[str], hints: tuple[int, ...], wide: set[int]) -> frozenset[str]:
+    """A name that speaks for boilerplate counts less on an element around most
+    of the page's text, unless another one inside says so, too."""
+    if all(h in wide for h in hints):
+        return flags | {"container_hint"} if hints else flags
+    return (flags | {"boilerplate_hint"}) - {"container_hint"}
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page with their places and classifier scores."""
-    out: list[Block] = []
-    stack = [_Element("", 0, frozenset())]
+    found_blocks: list[tuple[str, tuple[int, ...], int, frozenset[str], tuple[int, ...]]] = []
+    stack = [_Element("", 0, frozenset(), ())]
     parts: list[str] = []
     linked = 0
     links = 0
@@ -131,7 +157,7 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text and "hidden" not in stack[-1].flags:
             path = tuple(e.number for e in stack if e.tag not in INLINE)
-            out.append(Block(text, path, _score(text, linked, stack[-1].flags)))
+            found_blocks.append((text, path, linked, stack[-1].flags, stack[-1].hints))
         parts.clear()
         linked = 0
 
@@ -175,9 +201,23 @@ def blocks_of(page: str) -> list[Block]:
             links = sum(e.tag == "a" for e in stack)
         number += 1
         links += tag == "a"
-        stack.append(_Element(tag, number, _flags(tag, found[3], stack[-1].flags)))
+        _, _, flags, hints = stack[-1]
+        new = _flags(tag, found[3], flags)
+        if "boilerplate_hint" in new:
+            new.remove("boilerplate_hint")
+            hints = (*hints, number)
+        stack.append(_Element(tag, number, flags | new if new else flags, hints))
     end_block()
-    return out
+    under: Counter[int] = Counter()
+    for text, _, _, _, hints in found_blocks:
+        for h in hints:
+            under[h] += len(text)
+    whole = sum(len(b[0]) for b in found_blocks)
+    wide = {h for h, n in under.items() if 2 * n > whole}
+    return [
+        Block(text, path, _score(text, linked, _hint_flags(flags, hints, wide)))
+        for text, path, linked, flags, hints in found_blocks
+    ]
 
 
 def _close_implied(stack: list[_Element], tag: str) -> None:

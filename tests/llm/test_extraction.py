@@ -68,3 +68,35 @@ def test_columns_pass_through(spark):
     blocks = e.extract_blocks(df).collect()[1].blocks
     assert [b.text for b in blocks if b.content] == MAIN and len(blocks) > len(MAIN)
     assert e.extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("open_tag", [
+    '<article class="overflow-hidden">', '<article style="overflow:hidden">', '<article aria-hidden="false">',
+    '<article data-x="hidden">', '<article class="post tag-news">', '<div class="content has-sidebar">',
+    '<main class="comments-open">', '<div class="layout-sidebar"><article>', "<main id=no-nav class='search-enabled'>",
+    '<article class="share">',
+])
+def test_names_of_wrappers_do_not_hide_the_text(open_tag):
+    text = [f"Paragraph {i} of the article has words. It goes on for a while, as such texts do." for i in range(5)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    page = f"<body><nav><a href='/'>Home</a></nav>{open_tag}{body}</body>"
+    assert e.main_text(page) == "\n\n".join(text)
+
+
+@pytest.mark.parametrize("open_tag", [
+    "<div hidden>", '<div aria-hidden="true">', '<div style="color:red; display: none !important">',
+    '<div style="visibility:hidden">', '<div class="site-footer">', '<div class="has-x sidebar-left">',
+    '<div id="comments" class="comments-open">', '<div class="tag-cloud">', '<div class="cookie-notice">',
+])
+def test_what_is_hidden_or_boilerplate_still_goes(open_tag):
+    text = [f"Paragraph {i} of the article has words. It goes on for a while, as such texts do." for i in range(5)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    page = f"<body><article>{body}{open_tag}<p>I am not of the article. Not at all.</p></div></article></body>"
+    assert e.main_text(page) == "\n\n".join(text)
+
+
+def test_comments_longer_than_the_article_go():
+    text = "A short article with one paragraph only. It has two sentences."
+    comments = "".join(f"<p>Comment {i} of many comments here. They are long indeed.</p>" for i in range(30))
+    page = f'<body><article><p>{text}</p></article><section id="comments">{comments}</section></body>'
+    assert e.main_text(page) == text
