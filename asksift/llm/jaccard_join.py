@@ -261,6 +261,12 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTH
     linked documents), ``set_id`` (the smallest id with an equal set),
     ``n_links`` (other documents that are at least as similar as asked, copies
     included) and ``n_linked_sets`` (different sets among them)."""
+    return _joined(docs, size, tenths).drop("class", "head")
+
+
+def _joined(docs: DataFrame, size: int, tenths: int) -> DataFrame:
+    """The same with each row's ``class`` and ``head``, the class of the first
+    document of its group."""
     require_columns(docs, "doc_id", "text")
     folder = shared_folder(docs.sparkSession)
     entries = stage(enter_sets(docs, runs_needed(), size, tenths), f"{folder}/entries")
@@ -293,9 +299,11 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTH
     heads = (
         found.join(classes.select(F.col("class").alias("node"), "rep"), "node")
         .groupBy("component")
-        .agg(F.min("rep").alias("class_id"))
+        .agg(F.min(F.struct("rep", "node")).alias("first"))
+    )
+    grouped = salted_join(found, heads, ["component"], "node").select(
+        F.col("node").alias("id"), F.col("first.rep").alias("class_id"), F.col("first.node").alias("head")
     )
-    grouped = salted_join(found, heads, ["component"], "node").select(F.col("node").alias("id"), "class_id")
     judged = (
         classes.select(F.col("class").alias("id"), "rep", "copies")
         .join(degrees, "id", "left")
@@ -304,13 +312,14 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTH
             F.col("id").alias("class"),
             F.coalesce("class_id", "rep").alias("class_id"),
             F.col("rep").alias("set_id"),
+            F.coalesce("head", "id").alias("head"),
             (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("links", F.lit(0)).cast("long").alias("n_linked_sets"),
         )
     )
     out = salted_join(entries.select("doc_id", "class"), judged, ["class"], "doc_id")
     unnamed = [F.nullif(c, F.lit(FIRST_ID)).alias(c) for c in ("doc_id", "class_id", "set_id")]
-    return out.select(*unnamed, "n_links", "n_linked_sets")
+    return out.select(*unnamed, "n_links", "n_linked_sets", "class", "head")
 
 
 def _sets_of_classes(docs: DataFrame, named: DataFrame, size: int) -> DataFrame:
@@ -337,9 +346,25 @@ def _sets_of_classes(docs: DataFrame, named: DataFrame, size: int) -> DataFrame:
 
 
 def keep_one_of_each_group(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTHS) -> DataFrame:
-    """The documents with the smallest id of their group of linked documents;
-    of repeated rows, one."""
-    joined = jaccard_join(docs, size, tenths)
-    kept = joined.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__kept"))
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest id of each group of linked documents. Rows
+    that only share an id, or have none, are documents of their own; of rows with
+    equal id and equal set, one stays."""
+    clash = [c for c in ("__id", "__class") if c in docs.columns]
+    if clash:
+        raise ValueError(f"column(s) already there: {', '.join(clash)}")
+
+    @F.arrow_udf("long")
+    def class_of(texts: pa.Array) -> pa.Array:
+        return pa.array([set_key(t) for t in token_sets(texts, size)], pa.int64())
+
+    joined = _joined(docs, size, tenths)
+    kept = joined.where((F.col("class") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = kept.select(F.coalesce("doc_id", F.lit(FIRST_ID)).alias("__id"), F.col("class").alias("__class")).distinct()
+    named = docs.withColumns(
+        {
+            "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)),
+            "__class": class_of(F.col("text").cast("string")),
+        }
+    )
+    found = named.join(kept, ["__id", "__class"], "left_semi").dropDuplicates(["__id", "__class"])
+    return found.select(*docs.columns)

@@ -112,3 +112,16 @@ def test_intersections_in_blocks():
 def test_equal_sets_have_equal_names():
     a, b = j.token_sets(pa.array(["a b c d e f", "A b. c d E f!"]))
     assert j.set_key(a) == j.set_key(b) > 0 and j.set_key(a[:0]) == j.EMPTY_SET
+
+
+def test_documents_without_an_id_of_their_own_stay(spark):
+    texts = [" ".join(f"d{k}w{i}" for i in range(40)) for k in range(8)]
+    near = " ".join(texts[0].split()[:-1])
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:]]
+    rows += [(7, texts[4]), (None, texts[1]), (9, texts[2]), (None, near), (8, texts[5] + " more")]
+    docs = spark.createDataFrame([("x", t, i) for i, t in rows], SCHEMA).repartition(5)
+    kept = [(r.doc_id, r.text) for r in j.keep_one_of_each_group(docs).collect()]
+    first = [r for r in kept if r[1] in (texts[0], near)]
+    assert len(first) == 1 and first[0][0] is None
+    others = sorted((r for r in kept if r not in first), key=str)
+    assert others == sorted([(None, t) for t in texts[1:4]] + [(7, t) for t in texts[4:]], key=str)
