@@ -1,6 +1,8 @@
 """Near-duplicate paragraphs: MinHash banding, exact check, removal by component.
 
-A paragraph is a line of at least ``MIN_WORDS`` words. Paragraphs with equal shingle sets are one class. The bands of a class's
+A paragraph is a line of at least ``MIN_WORDS`` words. Shorter lines in a row,
+with no empty one between them, are together one, if they have as many words;
+``repeated_paragraphs`` leaves these blocks out. Paragraphs with equal shingle sets are one class. The bands of a class's
 MinHash signature are tuned so that a pair right at the threshold shares one
 with the target probability; classes that collide in a band become candidates,
 and candidates are compared exactly within their components, by Jaccard
@@ -26,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -82,15 +85,17 @@ def band_keys(tokens: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mixed(joined + _BAND[rows : rows + bands]).astype(np.int64)
 
 
-def _lines(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, int]]:
-    """Row, line number, shingle set and words of every paragraph."""
-    rows, numbers, parts = [], [], []
+def _lines(texts: pa.Array, blocks: bool) -> Iterator[tuple[int, int, int, np.ndarray, int]]:
+    """Row, line number, number of lines, shingle set and words of every
+    paragraph, with ``blocks`` also of blocks of shorter lines."""
+    rows, numbers, heights, parts = [], [], [], []
     for row, text in enumerate(texts.to_pylist()):
-        for number, line in enumerate((text or "").split("\n")):
-            if len(line) >= 2 * MIN_WORDS - 1:
+        for number, height, part in _parts((text or "").split("\n"), blocks):
+            if len(part) >= 2 * MIN_WORDS - 1:
                 rows.append(row)
                 numbers.append(number)
-                parts.append(line.encode())
+                heights.append(height)
+                parts.append(part.encode())
     ends = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
     data = np.frombuffer(b"".join(parts), np.uint8)
     for first, last in runs_of_texts(ends):
@@ -99,27 +104,54 @@ def _lines(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, int]]:
         hashes, places = shingle_hashes(words, firsts, SHINGLE_WORDS)
         for k in np.flatnonzero(counts >= MIN_WORDS):
             tokens = np.unique(hashes[places[k] : places[k + 1]])
-            yield rows[first + k], numbers[first + k], tokens, int(counts[k])
+            yield rows[first + k], numbers[first + k], heights[first + k], tokens, int(counts[k])
+
+
+def _parts(lines: list[str], blocks: bool) -> Iterator[tuple[int, int, str]]:
+    """Number, height and text of every line; with ``blocks``, lines in a row
+    that have words, but fewer than ``MIN_WORDS``, are one."""
+    if not blocks:
+        yield from ((number, 1, line) for number, line in enumerate(lines))
+        return
+    held: list[str] = []
+    for number, line in enumerate([*lines, ""]):
+        words = _words_up_to(line, MIN_WORDS)
+        if 0 < words < MIN_WORDS:
+            held.append(line)
+            continue
+        if held:
+            yield number - len(held), len(held), "\n".join(held)
+            held = []
+        if words:
+            yield number, 1, line
+
+
+def _words_up_to(line: str, most: int) -> int:
+    """The number of words of a line, or ``most`` if there are more."""
+    return sum(1 for _ in islice(_WORD.finditer(line), most))
 
 
-def enter_paragraphs(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """One row per paragraph: document, line number, class, words, and the band
-    keys of its class."""
+def enter_paragraphs(docs: DataFrame, bands: int, rows: int, blocks: bool = False) -> DataFrame:
+    """One row per paragraph: document, line number, number of lines, class,
+    words, and the band keys of its class."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(r, n, set_key(t), w, band_keys(t, bands, rows)) for r, n, t, w in _lines(batch.column(1))]
-            owners, numbers, keys, words, marks = zip(*found) if found else ((), (), (), (), ())
+            found = [
+                (r, n, h, set_key(t), w, band_keys(t, bands, rows)) for r, n, h, t, w in _lines(batch.column(1), blocks)
+            ]
+            owners, numbers, heights, keys, words, marks = zip(*found) if found else ((), (), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(owners, pa.int64())),
-                    pa.array(numbers, pa.int32()), pa.array(keys, pa.int64()), pa.array(words, pa.int32()),
+                    pa.array(numbers, pa.int32()), pa.array(heights, pa.int32()),
+                    pa.array(keys, pa.int64()), pa.array(words, pa.int32()),
                     pa.array(marks, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "line", "class", "words", "bands"],
+                ["doc_id", "line", "lines", "class", "words", "bands"],
             )
 
-    return _keyed(docs).mapInArrow(enter, "doc_id long, line int, class long, words int, bands array<long>")
+    return _keyed(docs).mapInArrow(enter, "doc_id long, line int, lines int, class long, words int, bands array<long>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -145,7 +177,7 @@ def colliding(bands: DataFrame) -> DataFrame:
     return met.where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, blocks: bool) -> DataFrame:
     """``class, tokens`` of the wanted classes, each read at its first place
     (``doc_id, line, class``)."""
     places = wanted.groupBy("doc_id").agg(F.collect_set("class").alias("wanted"))
@@ -154,7 +186,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             wanted_here = batch.column(1).to_pylist()
             keys, tokens_of = [], []
-            for row, _, tokens, _ in _lines(batch.column(0)):
+            for row, _, _, tokens, _ in _lines(batch.column(0), blocks):
                 key = set_key(tokens)
                 if key in wanted_here[row]:
                     keys.append(key)
@@ -172,14 +204,14 @@ def repeated_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
     first_doc_id, first_line`` (where the component's first paragraph stands)
     and ``removed``, false for that one only."""
     require_columns(docs, "doc_id", "text")
-    found = _repeated(docs, tenths, shared_folder(docs.sparkSession))
+    found = _repeated(docs, tenths, shared_folder(docs.sparkSession)).drop("lines")
     named = {c: F.nullif(c, F.lit(FIRST_ID)) for c in ("doc_id", "first_doc_id")}
     return found.withColumns(named)
 
 
-def _repeated(docs: DataFrame, tenths: int, folder: str) -> DataFrame:
+def _repeated(docs: DataFrame, tenths: int, folder: str, blocks: bool = False) -> DataFrame:
     bands, rows = tune_bands(tenths / 10)
-    paragraphs = stage(enter_paragraphs(docs, bands, rows), f"{folder}/paragraphs")
+    paragraphs = stage(enter_paragraphs(docs, bands, rows, blocks), f"{folder}/paragraphs")
     entered = stage(class_bands(paragraphs), f"{folder}/bands")
     edges = stage(colliding(entered), f"{folder}/candidates")
     candidates = connected_components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
@@ -189,7 +221,7 @@ def _repeated(docs: DataFrame, tenths: int, folder: str) -> DataFrame:
     )
     classes = stage(firsts.join(candidates, "class", "left").where("copies > 1 OR group IS NOT NULL"), f"{folder}/classes")
     wanted = classes.where("group IS NOT NULL")
-    sets = _sets(docs, wanted.select("first.doc_id", "class"))
+    sets = _sets(docs, wanted.select("first.doc_id", "class"), blocks)
     members = wanted.join(sets, "class").select(
         "group", F.col("class").alias("id"), F.col("copies").alias("weight"), "tokens"
     )
@@ -204,7 +236,7 @@ def _repeated(docs: DataFrame, tenths: int, folder: str) -> DataFrame:
     out = salted_join(paragraphs, placed.select("class", "first"), ["class"], "doc_id")
     here = F.struct("doc_id", "line")
     return out.select(
-        "doc_id", "line", "words",
+        "doc_id", "line", "lines", "words",
         F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.line").alias("first_line"),
         (here != F.col("first")).alias("removed"),
@@ -405,7 +437,9 @@ def meeting_pieces(docs: DataFrame, cut: Callable[[pa.RecordBatch], Iterator[np.
 
 
 def _removed_lines(repeats: DataFrame) -> DataFrame:
-    return repeats.where("removed").groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("__lines"))
+    line = F.explode(F.sequence("line", F.col("line") + F.col("lines") - 1)).alias("line")
+    removed = repeats.where("removed").select("doc_id", line)
+    return removed.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("__lines"))
 
 
 def _spans(pieces: DataFrame) -> DataFrame:
@@ -497,6 +531,6 @@ def dedupe_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
     elsewhere that also stand earlier; see ``remove_repeats``."""
     require_columns(docs, "doc_id", "text")
     folder = shared_folder(docs.sparkSession)
-    repeats = stage(_repeated(docs, tenths, folder), f"{folder}/repeats")
+    repeats = stage(_repeated(docs, tenths, folder, blocks=True), f"{folder}/repeats")
     pieces = stage(repeated_runs(docs, repeats, folder), f"{folder}/pieces")
     return remove_repeats(docs, repeats, pieces)

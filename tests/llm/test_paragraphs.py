@@ -182,3 +182,33 @@ def test_passage_whose_first_place_goes_as_a_near_copy(spark):
     assert got[2] == ([0], "") and got[3] == ([], rows[2][1])
     for i, text in rows[3:]:
         assert plain_words(got[i][1]) == [w for w in plain_words(text) if w not in passage]
+
+
+def test_passages_over_several_lines_go(spark):
+    rng = random.Random(13)
+    verse = [unlike(rng, 8) for _ in range(9)]
+    rows = []
+    for i in range(6):
+        body = [unlike(rng, 12), *verse, unlike(rng, 12)] if i % 2 else [sum(verse, [])[:60]] * (i == 0) + [unlike(rng, 45)]
+        rows.append((i, "\n\n".join(" ".join(line) for line in body)))
+    got = run(spark, rows)
+    assert got[0] == ([], rows[0][1]) and got[2] == ([], rows[2][1])
+    assert plain_words(got[1][1]) == plain_words(rows[1][1])[:12] + plain_words(rows[1][1])[72:]
+    for i in (3, 5):
+        lines = rows[i][1].split("\n\n")
+        assert plain_words(got[i][1]) == plain_words(lines[0] + " " + lines[-1])
+
+
+def test_near_copies_of_blocks_of_short_lines_go(spark):
+    rng = random.Random(14)
+    block = [unlike(rng, 10) for _ in range(40)]
+    near = [list(line) for line in block]
+    for k in range(0, 40, 7):
+        near[k][k % 10] = "edit"
+    text = lambda lines: "\n".join(map(" ".join, lines))
+    rows = [(1, f"Head\n\n{text(block)}"), (2, f"{text([unlike(rng, 35)])}\n{text(near)}\n\nend")]
+    got = run(spark, rows)
+    assert got[1] == ([], rows[0][1])
+    assert got[2] == ([*range(1, 41)], rows[1][1].split("\n")[0] + "\n\nend")
+    docs = spark.createDataFrame([(1, t, i, "x") for i, t in rows], SCHEMA)
+    assert p.repeated_paragraphs(docs).count() == 0
