@@ -212,3 +212,30 @@ def test_near_copies_of_blocks_of_short_lines_go(spark):
     assert got[2] == ([*range(1, 41)], rows[1][1].split("\n")[0] + "\n\nend")
     docs = spark.createDataFrame([(1, t, i, "x") for i, t in rows], SCHEMA)
     assert p.repeated_paragraphs(docs).count() == 0
+
+
+@pytest.mark.parametrize("seed", [15, 16])
+def test_runs_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    shared = [f"s{rng.randrange(400)}" for _ in range(600)]
+    rows = [(900, "word " * 3000), (901, None), (902, "a b c " * 30)]
+    for i in range(60):
+        words = unlike(rng, 45)
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(570)
+            words += shared[at : at + rng.randrange(5, 80)] + unlike(rng, rng.randrange(60))
+        words += unlike(rng, 30)
+        if i % 2:
+            lines = []
+            while words:
+                n = rng.randrange(1, 29)
+                lines.append(" ".join(words[:n]))
+                words = words[n:]
+            rows.append((i, "\n\n".join(lines)))
+        else:
+            rows.append((i, " ".join(words)))
+    expected = runs_by_force([(i, t or "") for i, t in rows])
+    assert sum(map(len, expected.values())) < sum(len(plain_words(t or "")) for _, t in rows) - 1000
+    docs = spark.createDataFrame([(1, t, i, "x") for i, t in rows], SCHEMA).repartition(3)
+    for r in p.dedupe_paragraphs(docs).collect():
+        assert r.removed_lines == [] and plain_words(r.text or "") == expected[r.doc_id], r.doc_id
