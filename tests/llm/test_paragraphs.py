@@ -239,3 +239,11 @@ def test_runs_against_brute_force(spark, seed):
     docs = spark.createDataFrame([(1, t, i, "x") for i, t in rows], SCHEMA).repartition(3)
     for r in p.dedupe_paragraphs(docs).collect():
         assert r.removed_lines == [] and plain_words(r.text or "") == expected[r.doc_id], r.doc_id
+
+
+def test_parts_that_stand_in_different_places_are_no_passage(spark):
+    rng = random.Random(17)
+    words = unlike(rng, 60)
+    rows = [(i, " ".join(unlike(rng, 30) + words[5 * i : 5 * i + 19] + unlike(rng, 30))) for i in range(12)]
+    rows.append((50, " ".join(unlike(rng, 30) + words + unlike(rng, 30))))
+    assert run(spark, rows) == {i: ([], text) for i, text in rows}
