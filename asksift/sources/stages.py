@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -32,11 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/asksift-{uuid.uuid4().hex}"
 
 
-def drop_stages(spark: SparkSession, folder: str) -> None:
-    """Delete the stage tables below a folder that are no longer needed."""
+def drop_stages(spark: SparkSession, *folders: str) -> None:
+    """Delete stage tables, or all below a folder, that are no longer needed."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -50,6 +51,16 @@ def read_table(spark: SparkSession, path: str, *required: str) -> DataFrame:
 
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write a stage table and go on from it, so that nothing before it, model
-    calls above all, runs again; a lost executor costs a read, not a rerun."""
+    calls above all, runs again; a lost executor costs a read, not a rerun. The
+    schema is known, so reading it back takes no job."""
     write_table(df, path)
-    return read_table(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted_stage(df: DataFrame, path: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """The same, with aggregates of the rows taken while they are written, so
+    that no second scan is needed for them."""
+    seen = Observation()
+    observed = df.observe(seen, *[column.alias(name) for name, column in metrics.items()])
+    write_table(observed, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
