@@ -2,15 +2,16 @@
 
 Large-star and small-star steps alternate until the edges stop changing; what
 is left is one star per component around its smallest node. Every step is
-written to a stage table, so lost executors cost a read. A node that a third of
-all edges touch is spread over many join keys.
+written to a stage table, so lost executors cost a read, and the one before it is
+dropped; whether the edges still change is told while they are written. A node
+that a third of all edges touch is spread over many join keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.stages import shared_folder, stage
+from ..sources.stages import counted_stage, drop_stages, shared_folder
 
 SALTS = 16
 MAX_ROUNDS = 60
@@ -43,16 +44,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     a component is named by its smallest node. Loops and repeats do no harm."""
     spark = edges.sparkSession
     folder = shared_folder(spark)
-    now = stage(edges.select("a", "b").where("a <> b").distinct(), f"{folder}/edges")
-    seen = None
-    for number in range(MAX_ROUNDS):
-        now = stage(_small_star(_large_star(now)).distinct(), f"{folder}/round-{number}")
-        sign = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sign == seen:
+    sign = {"n": F.count("*"), "sum": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
+    path = f"{folder}/edges"
+    now, seen = counted_stage(edges.select("a", "b").where("a <> b").distinct(), path, **sign)
+    for number in range(MAX_ROUNDS if seen["n"] else 0):
+        last, path = path, f"{folder}/round-{number}"
+        now, found = counted_stage(_small_star(_large_star(now)).distinct(), path, **sign)
+        drop_stages(spark, last)
+        if found == seen:
             break
-        seen = sign
+        seen = found
     else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+        if seen["n"]:
+            raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     members = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     heads = now.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
     return members.unionByName(heads)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.stages import require_columns, shared_folder, stage
-from .words import runs_of_texts, text_buffers, word_hashes
+from .words import runs_of_texts, text_buffers, unused, word_hashes
 
 INDEX_SCHEMA = (
     "block long, doc_ids array<long>, doc_words array<int>, "
@@ -349,10 +349,13 @@ def decontaminate(
 def decontaminate_documents(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, one_in: int = 20
 ) -> DataFrame:
-    """The documents that are not contaminated, with all their columns.
-
-    Rows that share an id go together, if any of them is contaminated.
-    """
-    found = decontaminate(docs, benchmark, window, one_in).where("contaminated")
-    bad = found.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """The documents that are not contaminated, with all their columns, whatever
+    their names. Rows are told apart by their text alone, so each row, with a
+    shared id or none, is judged on its own."""
+    require_columns(docs, "doc_id", "text")
+    name = unused(docs.columns, "__name")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    named = docs.withColumn(name, F.xxhash64(text))
+    found = decontaminate(named, benchmark, window, one_in, doc_id=name).where("contaminated")
+    bad = found.select(F.col("doc_id").alias(name)).distinct()
+    return named.join(bad, name, "left_anti").select(*docs.columns)

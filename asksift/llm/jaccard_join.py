@@ -17,8 +17,10 @@ exactly, shingle set by shingle set, so links and counts are exact.
 
 Null and empty texts, and texts without words, have the empty set; all of these
 are copies of each other. A text of fewer words than a shingle is one shingle.
-Repeated rows are copies. A null id comes before all others. Extra columns are
-ignored; an empty table gives an empty result.
+Repeated rows are copies. Rows that share an id, or have none, are told apart by
+the hash of their text. A null id comes before all others. Extra columns are
+ignored by the join and pass through ``keep_one_of_each_group``, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,10 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.stages import require_columns, shared_folder, stage
+from ..sources.stages import drop_stages, require_columns, shared_folder, stage
 from .components import connected_components, salted_join
 from .verification import groups_in_order, link_members
-from .words import mixed, runs_of_texts, shingle_hashes, shingle_sets, text_buffers, word_hashes
+from .words import (
+    mixed, runs_of_texts, set_keys, set_minima, shingle_hashes, shingle_sets, text_buffers, unused, word_hashes,
+)
 
 SHINGLE_WORDS = 5
 #: Similarity of a link, in tenths.
@@ -76,59 +80,87 @@ def children(tokens: np.ndarray, node: np.uint64, tenths: int = TENTHS) -> np.nd
     return mixed(chosen * _CHILD + node)
 
 
-def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Sixteen bits of the minimum of the set under each of many hashes."""
-    if not len(tokens):
-        return np.zeros(SKETCH_SIZE, np.uint16)
-    mixed_once = tokens ^ (tokens >> np.uint64(31))
-    low = [(mixed_once * f).min() for f in _SKETCH]
-    return (mixed(np.array(low, np.uint64)) >> np.uint64(48)).astype(np.uint16)
+def first_nodes(tokens: np.ndarray, ends: np.ndarray, runs: int, tenths: int = TENTHS) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes that many sets choose first, in all runs, set by set; and the
+    n+1 places where those of a set begin."""
+    sizes = np.diff(ends)
+    share = np.minimum(1.0, BRANCH * 10 / (tenths * np.maximum(sizes, 1)))
+    limits = np.minimum(share * 2.0**64, 2.0**64 - 2049).astype(np.uint64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    limit = limits[owner]
+    nodes, owners = [], []
+    for node in _RUN[:runs]:
+        chosen = mixed((tokens ^ node) * _CHOICE) <= limit
+        nodes.append(mixed(tokens[chosen] * _CHILD + node))
+        owners.append(owner[chosen])
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    places = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
+    return np.concatenate(nodes)[order], places
+
+
+def sketches(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Per set, sixteen bits of its minimum under each of many hashes."""
+    out = np.zeros((len(ends) - 1, SKETCH_SIZE), np.uint16)
+    some = np.flatnonzero(np.diff(ends))
+    low = set_minima(tokens ^ (tokens >> np.uint64(31)), np.append(ends[some], len(tokens)), _SKETCH)
+    out[some] = (mixed(low) >> np.uint64(48)).astype(np.uint16)
+    return out
+
+
+def token_runs(column: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges of a column, the sorted shingle sets of their texts in one
+    array, and the n+1 places where they begin."""
+    data, offsets = text_buffers(column)
+    for first, last in runs_of_texts(offsets):
+        hashes, places = shingle_hashes(*word_hashes(data, offsets[first : last + 1]), size)
+        yield first, last, *shingle_sets(hashes, places)
 
 
 def token_sets(column: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
     """The sorted shingle set of every text of a column."""
-    data, offsets = text_buffers(column)
-    for first, last in runs_of_texts(offsets):
-        hashes, places = shingle_hashes(*word_hashes(data, offsets[first : last + 1]), size)
-        hashes, places = shingle_sets(hashes, places)
-        for a, b in zip(places[:-1], places[1:]):
-            yield hashes[a:b]
+    for _, _, tokens, ends in token_runs(column, size):
+        for a, b in zip(ends[:-1], ends[1:]):
+            yield tokens[a:b]
 
 
 def set_key(tokens: np.ndarray) -> int:
     """A 63-bit name of a set."""
-    if not len(tokens):
-        return EMPTY_SET
-    total = np.append(mixed(tokens), np.uint64(len(tokens))).sum(dtype=np.uint64, keepdims=True)
-    return int(mixed(total)[0] >> np.uint64(1)) or 1
+    return int(set_keys(tokens, np.array([0, len(tokens)]))[0])
 
 
-ENTRY_SCHEMA = "doc_id long, class long, size int, nodes array<long>, sketch binary"
+def named_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, name, text``: nulls filled, and the hash of the text, which tells
+    rows apart that share an id."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
+        F.xxhash64(text).alias("name"),
+        text.alias("text"),
+    )
+
+
+ENTRY_SCHEMA = "doc_id long, name long, class long, size int, nodes array<long>, sketch binary"
 
 
 def enter_sets(docs: DataFrame, runs: int, size: int = SHINGLE_WORDS, tenths: int = TENTHS) -> DataFrame:
     """Per document its class, set size, first nodes of all runs, and sketch."""
-    picked = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-    )
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, nodes, sketches = [], [], [], []
-            for tokens in token_sets(batch.column(1), size):
-                keys.append(set_key(tokens))
-                sizes.append(len(tokens))
-                found = [children(tokens, _RUN[r], tenths) for r in range(runs)]
-                nodes.append(np.concatenate(found).astype(np.int64))
-                sketches.append(sketch(tokens).tobytes())
-            columns = [
-                batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()),
-                pa.array(nodes, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "class", "size", "nodes", "sketch"])
-
-    return picked.mapInArrow(enter, ENTRY_SCHEMA)
+            for first, last, tokens, ends in token_runs(batch.column(2), size):
+                nodes, places = first_nodes(tokens, ends, runs, tenths)
+                marks = sketches(tokens, ends).tobytes()
+                width = 2 * SKETCH_SIZE
+                columns = [
+                    batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first),
+                    pa.array(set_keys(tokens, ends)), pa.array(np.diff(ends).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(nodes.astype(np.int64))),
+                    pa.array([marks[i : i + width] for i in range(0, len(marks), width)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "class", "size", "nodes", "sketch"])
+
+    return named_texts(docs).mapInArrow(enter, ENTRY_SCHEMA)
 
 
 def _agreement(a: str, b: str) -> F.Column:
@@ -151,15 +183,14 @@ def _pivot_links(rows: DataFrame) -> DataFrame:
     )
     small = pivots.where("n > 1").select("node", F.col("p.class").alias("pivot"), F.col("p.sketch").alias("pivot_sketch"))
     joined = salted_join(rows, small, ["node"], "class")
-    return joined.withColumn("like", _agreement("sketch", "pivot_sketch"))
+    return joined.withColumn("like", _agreement("sketch", "pivot_sketch")).drop("pivot_sketch")
 
 
 def _brute_force(rows: DataFrame) -> DataFrame:
-    """Links of candidates within nodes, by sketch. A node larger than a block
-    is compared in pairs of blocks."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("n"))
+    """Links of candidates within nodes, by sketch; ``n`` is the size of a row's
+    node. A node larger than a block is compared in pairs of blocks."""
     blocks = F.ceil(F.col("n") / (8 * SMALL_NODE)).cast("int")
-    placed = salted_join(rows, sizes.where("n > 1").select("node", blocks.alias("blocks")), ["node"], "class")
+    placed = rows.withColumn("blocks", blocks)
     placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
@@ -228,31 +259,32 @@ def candidate_links(classes: DataFrame, sets, folder: str, tenths: int = TENTHS)
     ``sets`` gives the shingle sets of some classes when a level needs them; the
     rows of a level are those of nodes with more than one member.
     """
+    spark = classes.sparkSession
     entered = classes.select(F.explode("nodes").alias("node"), "class")
     met = entered.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     shared = salted_join(entered, met, ["node"], "class").distinct()
     rows = shared.join(classes.select("class", "sketch"), "class").select("node", "class", "sketch")
-    edges = None
+    found = []
     for depth in range(1, MAX_DEPTH + 1):
         compared = stage(_pivot_links(rows), f"{folder}/depth-{depth}")
         links = compared.where((F.col("like") >= LINK_FROM) & (F.col("class") != F.col("pivot")))
         links = links.select(F.col("class").alias("a"), F.col("pivot").alias("b"))
         left = compared.where((F.col("class") != F.col("pivot")) & (F.col("like") < DONE_FROM))
         left = left.select("node", "class", "sketch")
-        sizes = left.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        sizes = stage(left.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), f"{folder}/sizes-{depth}")
         limit = SMALL_NODE if depth < MAX_DEPTH else 1 << 62
-        little = salted_join(left, sizes.where(F.col("n") <= limit).select("node"), ["node"], "class")
+        little = salted_join(left, sizes.where(F.col("n") <= limit), ["node"], "class")
         links = links.unionByName(_brute_force(little))
-        edges = links if edges is None else edges.unionByName(links)
-        if depth == MAX_DEPTH:
-            break
-        large = stage(
-            salted_join(left, sizes.where(F.col("n") > limit).select("node"), ["node"], "class"),
-            f"{folder}/large-{depth}",
-        )
-        if large.isEmpty():
+        found.append(stage(links.distinct(), f"{folder}/links-{depth}"))
+        large = sizes.where(F.col("n") > limit).select("node")
+        if depth == MAX_DEPTH or large.isEmpty():
             break
+        large = stage(salted_join(left, large, ["node"], "class"), f"{folder}/large-{depth}")
         rows = _split(large, sets(large.select("class").distinct()), tenths)
+        drop_stages(spark, f"{folder}/depth-{depth}")
+    edges = found[0]
+    for links in found[1:]:
+        edges = edges.unionByName(links)
     return edges
 
 
@@ -261,31 +293,31 @@ def jaccard_join(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTH
     linked documents), ``set_id`` (the smallest id with an equal set),
     ``n_links`` (other documents that are at least as similar as asked, copies
     included) and ``n_linked_sets`` (different sets among them)."""
-    return _joined(docs, size, tenths).drop("class", "head")
+    return _joined(docs, size, tenths).drop("name", "first")
 
 
 def _joined(docs: DataFrame, size: int, tenths: int) -> DataFrame:
-    """The same with each row's ``class`` and ``head``, the class of the first
-    document of its group."""
+    """The same with each row's text name, and ``first``: is it the first document
+    of its group?"""
     require_columns(docs, "doc_id", "text")
     folder = shared_folder(docs.sparkSession)
     entries = stage(enter_sets(docs, runs_needed(), size, tenths), f"{folder}/entries")
     classes = stage(
         entries.groupBy("class").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
+            F.min(F.struct("doc_id", "name")).alias("rep"), F.count("*").alias("copies"),
             F.first("nodes").alias("nodes"), F.first("sketch").alias("sketch"),
         ),
         f"{folder}/classes",
     )
 
-    known = {"n": 0}
+    read: list[str] = []
 
     def sets(wanted: DataFrame) -> DataFrame:
-        known["n"] += 1
         named = wanted.join(classes.select("class", "rep"), "class")
-        return stage(_sets_of_classes(docs, named, size), f"{folder}/sets-{known['n']}")
+        read.append(f"{folder}/sets-{len(read)}")
+        return stage(_sets_of_classes(docs, named, size), read[-1])
 
-    edges = stage(candidate_links(classes, sets, folder, tenths), f"{folder}/candidates")
+    edges = candidate_links(classes, sets, f"{folder}/paths", tenths)
     groups = connected_components(edges)
     groups = stage(groups.select(F.col("node").alias("class"), F.col("component").alias("group")), f"{folder}/groups")
     members = (
@@ -302,7 +334,7 @@ def _joined(docs: DataFrame, size: int, tenths: int) -> DataFrame:
         .agg(F.min(F.struct("rep", "node")).alias("first"))
     )
     grouped = salted_join(found, heads, ["component"], "node").select(
-        F.col("node").alias("id"), F.col("first.rep").alias("class_id"), F.col("first.node").alias("head")
+        F.col("node").alias("id"), F.col("first.rep").alias("head")
     )
     judged = (
         classes.select(F.col("class").alias("id"), "rep", "copies")
@@ -310,61 +342,47 @@ def _joined(docs: DataFrame, size: int, tenths: int) -> DataFrame:
         .join(grouped, "id", "left")
         .select(
             F.col("id").alias("class"),
-            F.coalesce("class_id", "rep").alias("class_id"),
-            F.col("rep").alias("set_id"),
-            F.coalesce("head", "id").alias("head"),
+            F.coalesce("head", "rep").alias("head"),
+            F.col("rep.doc_id").alias("set_id"),
             (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("links", F.lit(0)).cast("long").alias("n_linked_sets"),
         )
     )
-    out = salted_join(entries.select("doc_id", "class"), judged, ["class"], "doc_id")
+    judged = stage(judged, f"{folder}/judged")
+    drop_stages(docs.sparkSession, *[f"{folder}/{name}" for name in ("classes", "paths", "groups", "links")], *read)
+    out = salted_join(entries.select("doc_id", "name", "class"), judged, ["class"], "doc_id")
+    out = out.withColumn("class_id", F.col("head.doc_id"))
     unnamed = [F.nullif(c, F.lit(FIRST_ID)).alias(c) for c in ("doc_id", "class_id", "set_id")]
-    return out.select(*unnamed, "n_links", "n_linked_sets", "class", "head")
+    first = F.struct("doc_id", "name") == F.col("head")
+    return out.select(*unnamed, "n_links", "n_linked_sets", "name", first.alias("first"))
 
 
 def _sets_of_classes(docs: DataFrame, named: DataFrame, size: int) -> DataFrame:
-    """``class, tokens`` of the wanted classes, read from one of their documents
-    each. A document that only shares its id with that one is left out."""
-    picked = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("rep"),
-        F.col("text").cast("string").alias("text"),
-    )
+    """``class, tokens`` of the wanted classes, each read from its first document
+    (``rep``, an id and a text name)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(0).to_numpy()
-            found = list(token_sets(batch.column(1), size))
-            keep = [i for i, t in enumerate(found) if set_key(t) == wanted[i]]
-            columns = [
-                pa.array([wanted[i] for i in keep], pa.int64()),
-                pa.array([found[i].tobytes() for i in keep], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["class", "tokens"])
+            found = [t.tobytes() for t in token_sets(batch.column(1), size)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["class", "tokens"])
 
-    texts = picked.join(named, "rep").select("class", "text")
+    wanted = named.select("class", F.col("rep.doc_id").alias("doc_id"), F.col("rep.name").alias("name"))
+    texts = named_texts(docs).join(wanted, ["doc_id", "name"]).select("class", "text")
     return texts.mapInArrow(sets, "class long, tokens binary").dropDuplicates(["class"])
 
 
 def keep_one_of_each_group(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTHS) -> DataFrame:
     """The document with the smallest id of each group of linked documents. Rows
     that only share an id, or have none, are documents of their own; of rows with
-    equal id and equal set, one stays."""
-    clash = [c for c in ("__id", "__class") if c in docs.columns]
-    if clash:
-        raise ValueError(f"column(s) already there: {', '.join(clash)}")
-
-    @F.arrow_udf("long")
-    def class_of(texts: pa.Array) -> pa.Array:
-        return pa.array([set_key(t) for t in token_sets(texts, size)], pa.int64())
-
-    joined = _joined(docs, size, tenths)
-    kept = joined.where((F.col("class") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = kept.select(F.coalesce("doc_id", F.lit(FIRST_ID)).alias("__id"), F.col("class").alias("__class")).distinct()
+    equal id and equal text, one stays."""
+    doc_id, name = unused(docs.columns, "__id"), unused(docs.columns, "__name")
+    first = _joined(docs, size, tenths).where("first")
+    first = first.select(F.coalesce("doc_id", F.lit(FIRST_ID)).alias(doc_id), F.col("name").alias(name)).distinct()
     named = docs.withColumns(
         {
-            "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)),
-            "__class": class_of(F.col("text").cast("string")),
+            doc_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)),
+            name: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))),
         }
     )
-    found = named.join(kept, ["__id", "__class"], "left_semi").dropDuplicates(["__id", "__class"])
+    found = named.join(first, [doc_id, name], "left_semi").dropDuplicates([doc_id, name])
     return found.select(*docs.columns)

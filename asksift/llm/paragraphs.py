@@ -18,9 +18,12 @@ that, so the first place of a run is one that stays. Shorter repeats, such as
 headings that many documents share, are left alone.
 
 Null and empty texts have no paragraphs and come back unchanged, as do texts
-without repeats. Repeated rows repeat each other's paragraphs: of rows with
-equal id and text, the paragraphs of one stay. A null id comes before all
-others. Other columns pass through.
+without repeats. Rows that share an id, or have none, are documents of their own,
+told apart and ordered by the hash of their text; rows with equal id and text are
+one document, given more than once, and all lose the same. A null id comes before
+all others. Other columns pass through; if one is called ``removed_lines`` or
+``removed_words``, that is an error, and ``names`` can rename these. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,17 +31,19 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
-from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.stages import require_columns, shared_folder, stage
+from ..sources.stages import drop_stages, require_columns, shared_folder, stage
 from .components import connected_components, salted_join
-from .jaccard_join import FIRST_ID, set_key
+from .jaccard_join import FIRST_ID, named_texts
 from .verification import groups_in_order, link_members
-from .words import minima, mixed, runs_of_texts, shingle_hashes, text_buffers, word_hashes
+from .words import (
+    mixed, runs_of_texts, set_keys, set_minima, shingle_hashes, shingle_sets, text_buffers, unused, word_hashes,
+)
 
 SHINGLE_WORDS = 5
 TENTHS = 8
@@ -55,8 +60,8 @@ SEED_GAP = 13
 FLUSH_PIECES = 1 << 20
 BUCKETS = 4
 
-PIECE = np.dtype([("piece", "u8"), ("doc", "i8"), ("start", "u4")])
-SPAN = np.dtype([("doc", "i8"), ("start", "u4"), ("words", "u4")])
+PIECE = np.dtype([("piece", "u8"), ("doc", "i8"), ("name", "i8"), ("start", "u4")])
+SPAN = np.dtype([("doc", "i8"), ("name", "i8"), ("start", "u4"), ("words", "u4")])
 _WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 
 _random = np.random.default_rng(9)
@@ -77,88 +82,92 @@ def tune_bands(similarity: float = 0.8, recall: float = TARGET_RECALL, most: int
     return best
 
 
-def band_keys(tokens: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One key per band of a set's MinHash signature."""
-    spread = tokens ^ (tokens >> np.uint64(29))
-    low = minima(spread, _PERMUTE[: bands * rows])
-    joined = (mixed(low).reshape(bands, rows) * _BAND[:rows]).sum(1, dtype=np.uint64)
+def band_keys(tokens: np.ndarray, ends: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key per set (none empty) and band of its MinHash signature."""
+    low = set_minima(tokens ^ (tokens >> np.uint64(29)), ends, _PERMUTE[: bands * rows])
+    joined = (mixed(low).reshape(-1, bands, rows) * _BAND[:rows]).sum(2, dtype=np.uint64)
     return mixed(joined + _BAND[rows : rows + bands]).astype(np.int64)
 
 
-def _lines(texts: pa.Array, blocks: bool) -> Iterator[tuple[int, int, int, np.ndarray, int]]:
-    """Row, line number, number of lines, shingle set and words of every
-    paragraph, with ``blocks`` also of blocks of shorter lines."""
-    rows, numbers, heights, parts = [], [], [], []
-    for row, text in enumerate(texts.to_pylist()):
-        for number, height, part in _parts((text or "").split("\n"), blocks):
-            if len(part) >= 2 * MIN_WORDS - 1:
-                rows.append(row)
-                numbers.append(number)
-                heights.append(height)
-                parts.append(part.encode())
-    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    for first, last in runs_of_texts(ends):
-        words, firsts = word_hashes(data, ends[first : last + 1])
-        counts = np.diff(firsts)
-        hashes, places = shingle_hashes(words, firsts, SHINGLE_WORDS)
-        for k in np.flatnonzero(counts >= MIN_WORDS):
-            tokens = np.unique(hashes[places[k] : places[k + 1]])
-            yield rows[first + k], numbers[first + k], heights[first + k], tokens, int(counts[k])
-
-
-def _parts(lines: list[str], blocks: bool) -> Iterator[tuple[int, int, str]]:
-    """Number, height and text of every line; with ``blocks``, lines in a row
-    that have words, but fewer than ``MIN_WORDS``, are one."""
-    if not blocks:
-        yield from ((number, 1, line) for number, line in enumerate(lines))
-        return
-    held: list[str] = []
-    for number, line in enumerate([*lines, ""]):
-        words = _words_up_to(line, MIN_WORDS)
-        if 0 < words < MIN_WORDS:
-            held.append(line)
-            continue
-        if held:
-            yield number - len(held), len(held), "\n".join(held)
-            held = []
-        if words:
-            yield number, 1, line
-
-
-def _words_up_to(line: str, most: int) -> int:
-    """The number of words of a line, or ``most`` if there are more."""
-    return sum(1 for _ in islice(_WORD.finditer(line), most))
+class Paragraphs(NamedTuple):
+    """The paragraphs of some texts: number of the text, first line, number of
+    lines and of words of each; all shingle sets in one array, and the n+1 places
+    where they begin."""
+
+    row: np.ndarray
+    line: np.ndarray
+    lines: np.ndarray
+    words: np.ndarray
+    tokens: np.ndarray
+    ends: np.ndarray
+
+
+def line_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where every line of some texts begins, and the n+1 numbers of the first
+    line of each text. A text of n line breaks has n + 1 lines."""
+    breaks = np.flatnonzero(data[: offsets[-1]] == 10) + 1
+    text = np.searchsorted(offsets, breaks - 1, "right") - 1
+    count = np.bincount(text, minlength=len(offsets) - 1) + 1
+    first = np.concatenate([[0], np.cumsum(count)])
+    starts = np.empty(first[-1], np.int64)
+    inner = np.ones(first[-1], bool)
+    inner[first[:-1]] = False
+    starts[first[:-1]], starts[inner] = offsets[:-1], breaks
+    return starts, first
+
+
+def paragraphs_of(data: np.ndarray, offsets: np.ndarray, blocks: bool) -> Paragraphs:
+    """The paragraphs of a run of texts; with ``blocks``, shorter lines in a row,
+    none of them without words, are one."""
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    starts, first = line_starts(data, offsets)
+    words, firsts = word_hashes(data, np.append(starts, len(data)))
+    count = np.diff(firsts)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    begins = count > 0
+    if blocks:
+        short = begins & (count < MIN_WORDS)
+        goes_on = short.copy()
+        goes_on[1:] &= short[:-1] & (row[1:] == row[:-1])
+        goes_on[:1] = False
+        begins &= ~goes_on
+    at = np.flatnonzero(begins)
+    part = np.cumsum(begins)[count > 0] - 1
+    lines = np.bincount(part, minlength=len(at))
+    sizes = np.diff(np.append(firsts[at], len(words)))
+    keep = sizes >= MIN_WORDS
+    kept = np.concatenate([[0], np.cumsum(sizes[keep])])
+    hashes, places = shingle_hashes(words[np.repeat(keep, sizes)], kept, SHINGLE_WORDS)
+    at, lines, sizes = at[keep], lines[keep], sizes[keep]
+    return Paragraphs(row[at], at - first[row[at]], lines, sizes, *shingle_sets(hashes, places))
 
 
 def enter_paragraphs(docs: DataFrame, bands: int, rows: int, blocks: bool = False) -> DataFrame:
-    """One row per paragraph: document, line number, number of lines, class,
-    words, and the band keys of its class."""
+    """One row per paragraph: document, text name, line number, number of lines,
+    class, words, and the band keys of its class."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                (r, n, h, set_key(t), w, band_keys(t, bands, rows)) for r, n, h, t, w in _lines(batch.column(1), blocks)
-            ]
-            owners, numbers, heights, keys, words, marks = zip(*found) if found else ((), (), (), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(owners, pa.int64())),
-                    pa.array(numbers, pa.int32()), pa.array(heights, pa.int32()),
-                    pa.array(keys, pa.int64()), pa.array(words, pa.int32()),
-                    pa.array(marks, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "line", "lines", "class", "words", "bands"],
-            )
-
-    return _keyed(docs).mapInArrow(enter, "doc_id long, line int, lines int, class long, words int, bands array<long>")
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
+            data, offsets = text_buffers(batch.column(2))
+            for first, last in runs_of_texts(offsets):
+                found = paragraphs_of(data, offsets[first : last + 1], blocks)
+                if not len(found.row):
+                    continue
+                marks = band_keys(found.tokens, found.ends, bands, rows)
+                at = pa.array(first + found.row)
+                places = pa.array(np.arange(len(found.row) + 1, dtype=np.int32) * bands)
+                columns = [
+                    batch.column(0).take(at), batch.column(1).take(at),
+                    pa.array(found.line.astype(np.int32)), pa.array(found.lines.astype(np.int32)),
+                    pa.array(set_keys(found.tokens, found.ends)), pa.array(found.words.astype(np.int32)),
+                    pa.ListArray.from_arrays(places, pa.array(marks.ravel())),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    columns, ["doc_id", "name", "line", "lines", "class", "words", "bands"]
+                )
+
+    schema = "doc_id long, name long, line int, lines int, class long, words int, bands array<long>"
+    return named_texts(docs).mapInArrow(enter, schema)
 
 
 def class_bands(paragraphs: DataFrame) -> DataFrame:
@@ -179,23 +188,23 @@ def colliding(bands: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame, blocks: bool) -> DataFrame:
     """``class, tokens`` of the wanted classes, each read at its first place
-    (``doc_id, line, class``)."""
-    places = wanted.groupBy("doc_id").agg(F.collect_set("class").alias("wanted"))
+    (``doc_id, name, class``)."""
+    places = wanted.groupBy("doc_id", "name").agg(F.collect_set("class").alias("wanted"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted_here = batch.column(1).to_pylist()
-            keys, tokens_of = [], []
-            for row, _, _, tokens, _ in _lines(batch.column(0), blocks):
-                key = set_key(tokens)
-                if key in wanted_here[row]:
-                    keys.append(key)
-                    tokens_of.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(tokens_of, pa.binary())], ["class", "tokens"]
-            )
-
-    texts = _keyed(docs).join(places, "doc_id").select("text", "wanted")
+            wanted_here = [set(x) for x in batch.column(1).to_pylist()]
+            data, offsets = text_buffers(batch.column(0))
+            for first, last in runs_of_texts(offsets):
+                found = paragraphs_of(data, offsets[first : last + 1], blocks)
+                keys = set_keys(found.tokens, found.ends).tolist()
+                picked = [i for i, key in enumerate(keys) if key in wanted_here[first + found.row[i]]]
+                tokens = [found.tokens[found.ends[i] : found.ends[i + 1]].tobytes() for i in picked]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[i] for i in picked], pa.int64()), pa.array(tokens, pa.binary())], ["class", "tokens"]
+                )
+
+    texts = named_texts(docs).join(places, ["doc_id", "name"]).select("text", "wanted")
     return texts.mapInArrow(sets, "class long, tokens binary").dropDuplicates(["class"])
 
 
@@ -204,39 +213,40 @@ def repeated_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
     first_doc_id, first_line`` (where the component's first paragraph stands)
     and ``removed``, false for that one only."""
     require_columns(docs, "doc_id", "text")
-    found = _repeated(docs, tenths, shared_folder(docs.sparkSession)).drop("lines")
+    found = _repeated(docs, tenths, shared_folder(docs.sparkSession)).drop("lines", "name")
     named = {c: F.nullif(c, F.lit(FIRST_ID)) for c in ("doc_id", "first_doc_id")}
     return found.withColumns(named)
 
 
 def _repeated(docs: DataFrame, tenths: int, folder: str, blocks: bool = False) -> DataFrame:
+    spark = docs.sparkSession
     bands, rows = tune_bands(tenths / 10)
     paragraphs = stage(enter_paragraphs(docs, bands, rows, blocks), f"{folder}/paragraphs")
     entered = stage(class_bands(paragraphs), f"{folder}/bands")
     edges = stage(colliding(entered), f"{folder}/candidates")
     candidates = connected_components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
     candidates = stage(candidates, f"{folder}/groups")
-    firsts = paragraphs.groupBy("class").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("copies")
-    )
+    drop_stages(spark, f"{folder}/bands", f"{folder}/candidates")
+    here = F.struct("doc_id", "name", "line")
+    firsts = paragraphs.groupBy("class").agg(F.min(here).alias("first"), F.count("*").alias("copies"))
     classes = stage(firsts.join(candidates, "class", "left").where("copies > 1 OR group IS NOT NULL"), f"{folder}/classes")
     wanted = classes.where("group IS NOT NULL")
-    sets = _sets(docs, wanted.select("first.doc_id", "class"), blocks)
+    sets = _sets(docs, wanted.select("first.doc_id", "first.name", "class"), blocks)
     members = wanted.join(sets, "class").select(
         "group", F.col("class").alias("id"), F.col("copies").alias("weight"), "tokens"
     )
     links = stage(link_members(members, tenths), f"{folder}/links")
     found = connected_components(links.select(F.col("id").alias("a"), F.col("head").alias("b")))
     found = stage(found.select(F.col("node").alias("class"), "component"), f"{folder}/found")
+    drop_stages(spark, f"{folder}/groups", f"{folder}/links")
     named = classes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
     heads = named.groupBy("component").agg(
         F.min("first").alias("first"), F.sum("copies").alias("n")
     ).where("n > 1").select("component", "first")
     placed = salted_join(named.select("class", "component"), heads, ["component"], "class")
     out = salted_join(paragraphs, placed.select("class", "first"), ["class"], "doc_id")
-    here = F.struct("doc_id", "line")
     return out.select(
-        "doc_id", "line", "lines", "words",
+        "doc_id", "name", "line", "lines", "words",
         F.col("first.doc_id").alias("first_doc_id"),
         F.col("first.line").alias("first_line"),
         (here != F.col("first")).alias("removed"),
@@ -291,36 +301,35 @@ def pieces_of(words: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, ...]:
     return grams[at], text, at - firsts[text], np.diff(np.append(at, len(words)))
 
 
-def _pieces(hashes: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def _pieces(hashes: np.ndarray, docs: np.ndarray, names: np.ndarray, starts: np.ndarray) -> np.ndarray:
     out = np.zeros(len(hashes), PIECE)
-    out["piece"], out["doc"], out["start"] = hashes, docs, starts
+    out["piece"], out["doc"], out["name"], out["start"] = hashes, docs, names, starts
     return out
 
 
 def cut_seeds(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """The seeds of ``doc_id, text``."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
-    data, offsets = text_buffers(batch.column(1))
+    """The seeds of ``doc_id, name, text``."""
+    ids, names = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    data, offsets = text_buffers(batch.column(2))
     for first, last in runs_of_texts(offsets):
         words, firsts = word_hashes(data, offsets[first : last + 1])
         hashes, text, start, _ = pieces_of(words, firsts)
         long = np.diff(firsts)[text] >= SEED_WORDS + SEED_GAP - 1
-        yield _pieces(hashes[long], ids[first + text[long]], start[long])
+        yield _pieces(hashes[long], ids[first + text[long]], names[first + text[long]], start[long])
 
 
 def cut_runs(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
-    """The runs of ``size`` words of ``doc_id, text, lines, spans`` that begin in
-    a span and touch none of the lines."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
-    data, offsets = text_buffers(batch.column(1))
-    gone, spans = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+    """The runs of ``size`` words of ``doc_id, name, text, lines, spans`` that begin
+    in a span and touch none of the lines."""
+    ids, names = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    data, offsets = text_buffers(batch.column(2))
+    gone, spans = batch.column(3).to_pylist(), batch.column(4).to_pylist()
     for first, last in runs_of_texts(offsets):
-        low, high = int(offsets[first]), int(offsets[last])
-        breaks = np.flatnonzero(data[low:high] == 10) + low + 1
-        ends = np.unique(np.concatenate([offsets[first : last + 1], breaks]))
-        words, of_lines = word_hashes(data, ends)
+        inside = offsets[first : last + 1] - offsets[first]
+        part = data[offsets[first] : offsets[last]]
+        starts, line = line_starts(part, inside)
+        words, of_lines = word_hashes(part, np.append(starts, len(part)))
         hashes = run_hashes(words, size)
-        line = np.searchsorted(ends, offsets[first : last + 1])
         firsts = of_lines[line]
         lost = np.zeros(len(words) + 1, np.int64)
         for row in range(last - first):
@@ -337,7 +346,8 @@ def cut_runs(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
                 open_at[span["start"] : span["start"] + span["words"]] = True
             at = begin + np.flatnonzero(open_at)
             at = at[lost[at + size] == lost[at]]
-            yield _pieces(hashes[at], np.full(len(at), ids[first + row]), at - begin)
+            who = [np.full(len(at), x[first + row]) for x in (ids, names)]
+            yield _pieces(hashes[at], *who, at - begin)
 
 
 def first_pieces(pieces: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -345,12 +355,18 @@ def first_pieces(pieces: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]
     place of repeated rows are not repeats of each other. The spans are: for seeds
     (``size`` below 0) where runs of ``-size`` words around any of the equal ones
     begin, and for runs of ``size`` words what lies behind the first one."""
-    pieces = pieces[np.lexsort((pieces["start"], pieces["doc"], pieces["piece"]))]
+    order = np.argsort(pieces["piece"])
+    ordered = pieces["piece"][order]
+    shared = np.zeros(len(order), bool)
+    shared[1:] = ordered[1:] == ordered[:-1]
+    shared[:-1] |= shared[1:]
+    single, pieces = pieces[order[~shared]], pieces[order[shared]]
+    pieces = pieces[np.lexsort((pieces["start"], pieces["name"], pieces["doc"], pieces["piece"]))]
     new = np.ones(len(pieces), bool)
     new[1:] = pieces["piece"][1:] != pieces["piece"][:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(pieces)), 0))
-    doc, start = pieces["doc"], pieces["start"].astype(np.int64)
-    near = doc == doc[head]
+    doc, name, start = pieces["doc"], pieces["name"], pieces["start"].astype(np.int64)
+    near = (doc == doc[head]) & (name == name[head])
     again = ~near | (start != start[head])
     if size < 0:
         again[head[again]] = True
@@ -359,26 +375,27 @@ def first_pieces(pieces: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]
     else:
         stop = start + size
         start = np.where(near, np.maximum(start, start[head] + size), start)
-    return pieces[new], merged_spans(doc[again], start[again], stop[again])
+    spans = merged_spans(doc[again], name[again], start[again], stop[again])
+    return np.concatenate([single, pieces[new]]), spans
 
 
-def merged_spans(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+def merged_spans(doc: np.ndarray, name: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Spans of words, those of a document that meet or overlap made one."""
     if not len(doc):
         return np.zeros(0, SPAN)
-    order = np.lexsort((start, doc))
-    doc, start, stop = doc[order], start[order], stop[order]
-    shift = np.cumsum(np.append(0, doc[1:] != doc[:-1])) << 33
+    order = np.lexsort((start, name, doc))
+    doc, name, start, stop = doc[order], name[order], start[order], stop[order]
+    shift = np.cumsum(np.append(0, (doc[1:] != doc[:-1]) | (name[1:] != name[:-1]))) << 33
     furthest = np.maximum.accumulate(stop + shift)
     at = np.flatnonzero(np.append(True, (start + shift)[1:] > furthest[:-1]))
     out = np.zeros(len(at), SPAN)
-    out["doc"], out["start"] = doc[at], start[at]
+    out["doc"], out["name"], out["start"] = doc[at], name[at], start[at]
     out["words"] = (furthest - shift)[np.append(at[1:], len(doc)) - 1] - start[at]
     return out
 
 
 def meeting_pieces(docs: DataFrame, cut: Callable[[pa.RecordBatch], Iterator[np.ndarray]], size: int) -> DataFrame:
-    """Spans ``doc_id, start, words`` of equal pieces, see ``first_pieces``. Of equal
+    """Spans ``doc_id, name, start, words`` of equal pieces, see ``first_pieces``. Of equal
     pieces in a task the first is passed on, packed by bucket of hashes, and the
     spans of the others are found at once."""
     buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -426,35 +443,34 @@ def meeting_pieces(docs: DataFrame, cut: Callable[[pa.RecordBatch], Iterator[np.
                     parts.append(first_pieces(pieces[again[at] == pieces["piece"]], size)[1])
             for part in parts:
                 if len(part):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part["doc"]), pa.array(part["start"].astype(np.int32)), pa.array(part["words"].astype(np.int32))],
-                        ["doc_id", "start", "words"],
-                    )
+                    columns = [pa.array(part["doc"]), pa.array(part["name"])]
+                    columns += [pa.array(part[c].astype(np.int32)) for c in ("start", "words")]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "start", "words"])
 
     entered = docs.mapInArrow(enter, "bucket int, repeats boolean, pieces binary")
     ordered = entered.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(meet, "doc_id long, start int, words int")
+    return ordered.mapInArrow(meet, "doc_id long, name long, start int, words int")
 
 
 def _removed_lines(repeats: DataFrame) -> DataFrame:
     line = F.explode(F.sequence("line", F.col("line") + F.col("lines") - 1)).alias("line")
-    removed = repeats.where("removed").select("doc_id", line)
-    return removed.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("__lines"))
+    removed = repeats.where("removed").select("doc_id", "name", line)
+    return removed.groupBy("doc_id", "name").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 
 def _spans(pieces: DataFrame) -> DataFrame:
-    return pieces.groupBy("doc_id").agg(F.collect_list(F.struct("start", "words")).alias("__pieces"))
+    return pieces.groupBy("doc_id", "name").agg(F.collect_list(F.struct("start", "words")).alias("pieces"))
 
 
 def repeated_runs(docs: DataFrame, repeats: DataFrame, folder: str) -> DataFrame:
-    """Spans ``doc_id, start, words`` of the document's words, counted through all
-    its lines, that lie in runs of ``MIN_RUN_WORDS`` words which also stand
+    """Spans ``doc_id, name, start, words`` of the document's words, counted through
+    all its lines, that lie in runs of ``MIN_RUN_WORDS`` words which also stand
     earlier. Runs in removed lines are none. Seeds that several places share tell
     which runs to compare; no run is compared otherwise."""
     size = MIN_RUN_WORDS
-    seeds = stage(meeting_pieces(_keyed(docs), cut_seeds, -size), f"{folder}/seeds")
-    found = _spans(seeds).join(_removed_lines(repeats), "doc_id", "left")
-    texts = _keyed(docs).join(found, "doc_id").select("doc_id", "text", "__lines", "__pieces")
+    seeds = stage(meeting_pieces(named_texts(docs), cut_seeds, -size), f"{folder}/seeds")
+    found = _spans(seeds).join(_removed_lines(repeats), ["doc_id", "name"], "left")
+    texts = named_texts(docs).join(found, ["doc_id", "name"]).select("doc_id", "name", "text", "lines", "pieces")
     return meeting_pieces(texts, lambda batch: cut_runs(batch, size), size)
 
 
@@ -496,17 +512,28 @@ def kept_text(text: str, lines: list[int], pieces: list[dict]) -> tuple[str, int
     return "\n".join(out), removed
 
 
-def remove_repeats(docs: DataFrame, repeats: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Documents without the removed lines and without some spans of words; adds ``removed_lines`` and ``removed_words`` (those of spans). What is
-    removed meets per document id; rows that share an id are treated alike."""
+def remove_repeats(
+    docs: DataFrame,
+    repeats: DataFrame,
+    pieces: DataFrame,
+    names: tuple[str, str] = ("removed_lines", "removed_words"),
+) -> DataFrame:
+    """Documents without the removed lines and without some spans of words; adds
+    ``removed_lines`` and ``removed_words`` (those of spans), or columns of other
+    names. What is removed meets per document id and text."""
     require_columns(docs, "doc_id", "text")
-    clash = [c for c in ("removed_lines", "removed_words", "__lines", "__pieces", "__id", "__kept") if c in docs.columns]
+    clash = [c for c in names if c in docs.columns]
     if clash:
         raise ValueError(f"column(s) already there: {', '.join(clash)}")
-    lines, runs = _removed_lines(repeats), _spans(pieces)
-    found = lines.join(runs, "doc_id", "full").withColumnRenamed("doc_id", "__id")
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
-    joined = docs.join(found, ids == F.col("__id"), "left").drop("__id")
+    doc_id, name, lines, runs, kept = (unused([*docs.columns, *names], f"__{c}") for c in ("id", "name", "lines", "runs", "kept"))
+    found = _removed_lines(repeats).join(_spans(pieces), ["doc_id", "name"], "full").toDF(doc_id, name, lines, runs)
+    named = docs.withColumns(
+        {
+            doc_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)),
+            name: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))),
+        }
+    )
+    joined = named.join(found, [doc_id, name], "left")
 
     @F.arrow_udf("struct<text:string,words:long>")
     def keep(texts: pa.Array, lines: pa.Array, pieces: pa.Array) -> pa.Array:
@@ -516,21 +543,24 @@ def remove_repeats(docs: DataFrame, repeats: DataFrame, pieces: DataFrame) -> Da
         ]
         return pa.array(rows, pa.struct([("text", pa.string()), ("words", pa.int64())]))
 
-    kept = joined.withColumn("__kept", keep(F.col("text").cast("string"), F.col("__lines"), F.col("__pieces")))
-    return kept.withColumns(
-        {
-            "text": F.col("__kept.text"),
-            "removed_lines": F.coalesce("__lines", F.array().cast("array<int>")),
-            "removed_words": F.col("__kept.words"),
-        }
-    ).drop("__lines", "__pieces", "__kept")
+    done = joined.withColumn(kept, keep(F.col("text").cast("string"), F.col(lines), F.col(runs)))
+    columns = [F.col(f"{kept}.text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return done.select(
+        *columns,
+        F.coalesce(lines, F.array().cast("array<int>")).alias(names[0]),
+        F.col(f"{kept}.words").alias(names[1]),
+    )
 
 
-def dedupe_paragraphs(docs: DataFrame, tenths: int = TENTHS) -> DataFrame:
+def dedupe_paragraphs(
+    docs: DataFrame, tenths: int = TENTHS, names: tuple[str, str] = ("removed_lines", "removed_words")
+) -> DataFrame:
     """Documents without their repeated paragraphs and without long passages
     elsewhere that also stand earlier; see ``remove_repeats``."""
     require_columns(docs, "doc_id", "text")
     folder = shared_folder(docs.sparkSession)
     repeats = stage(_repeated(docs, tenths, folder, blocks=True), f"{folder}/repeats")
+    drop_stages(docs.sparkSession, *[f"{folder}/{name}" for name in ("paragraphs", "classes", "found")])
     pieces = stage(repeated_runs(docs, repeats, folder), f"{folder}/pieces")
-    return remove_repeats(docs, repeats, pieces)
+    drop_stages(docs.sparkSession, f"{folder}/seeds")
+    return remove_repeats(docs, repeats, pieces, names)

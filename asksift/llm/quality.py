@@ -5,12 +5,15 @@ and 4-byte string of a text is hashed to a bucket with a learned vector; all
 pairs of a word with itself share one. A document is the average of its vectors
 and of a few zero vectors, which keep short texts near the middle; a softmax layer turns it into class probabilities. Vectors and layer
 are trained together by stochastic gradient descent in numpy, on a bounded
-sample of labelled rows. Scoring reads whole texts in tasks: since the layer is
-linear in the average, a bucket's vector and the layer fold into one weight.
+sample of labelled rows, in one task; the driver sees the fitted model only.
+Scoring reads whole texts in tasks: since the layer is linear in the average, a
+bucket's vector and the layer fold into one weight.
 
 Null and empty texts have no features and get the score of the zero vector.
 Repeated rows are scored one by one; label rows without a label, or without a
-document, teach nothing. Extra columns pass through scoring.
+document, teach nothing, and without any every score is 0.5. Extra columns pass
+through scoring; a column that is called like the score is an error, and ``into``
+gives another name.
 """
 
 from __future__ import annotations
@@ -37,9 +40,11 @@ VECTOR_STEP = 30.0
 #: Zero vectors in every average.
 PRIOR = 20
 #: The model learns from about so many labelled rows, picked by hash, never from
-#: twice as many, and from texts of at most so many bytes each.
+#: twice as many, from texts of at most so many bytes each, and from so many bytes
+#: in all.
 SAMPLE_ROWS = 4_000
 SAMPLE_TEXT_BYTES = 64 << 10
+SAMPLE_BYTES = 64 << 20
 SEED = 7
 THRESHOLD = 0.3
 
@@ -121,7 +126,7 @@ def train(
     documents = []
     for text in texts:
         found, counts = np.unique(features(text), return_counts=True)
-        documents.append((found, counts / (counts.sum() + PRIOR)))
+        documents.append((found, (counts / (counts.sum() + PRIOR)).astype(np.float32)))
     epochs = max(epochs, -(-LEAST_STEPS // max(1, len(texts))))
     steps, done = max(1, epochs * len(texts)), 0
     for _ in range(epochs if texts else 0):
@@ -144,11 +149,10 @@ def train(
     return Model(vectors, layer)
 
 
-def sample(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS
-) -> tuple[list[str], list[int]]:
-    """About ``rows`` labelled texts. Label rows are picked by hash first, so
-    only their texts are read out of the documents, and no text is shuffled."""
+def sample(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``doc_id, label, text`` of about ``rows`` labelled texts. Label rows are
+    picked by hash first, so only their texts are read out of the documents, and
+    only those are shuffled."""
     require_columns(docs, "doc_id", "text")
     require_columns(labels, "doc_id", label)
     picked = (
@@ -157,18 +161,40 @@ def sample(
     )
     picked = hash_sample(picked, rows, "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = (
-        texts.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
-        .join(F.broadcast(picked), "doc_id")
-        .collect()
-    )
-    found.sort(key=lambda r: (r["doc_id"], r["label"], r["text"]))
-    return [r["text"] for r in found], [r["label"] for r in found]
+    short = texts.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
+    return short.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
+
+
+def fit(sampled: DataFrame) -> Model:
+    """The model learned from rows of ``sample``, in one task. Rows count in the
+    order of their hash, up to ``SAMPLE_BYTES``."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels, room = [], [], SAMPLE_BYTES
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                room -= len(text.encode())
+                if room < 0:
+                    break
+                texts.append(text)
+                labels.append(label)
+        model = train(texts, labels)
+        parts = [pa.array([part.tobytes()], pa.binary()) for part in model]
+        yield pa.RecordBatch.from_arrays(parts, ["vectors", "layer"])
+
+    keys = [F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "label", "text"]
+    one = sampled.repartition(1).sortWithinPartitions(*keys).select("label", "text")
+    row = one.mapInArrow(learn, "vectors binary, layer binary").first()
+    if row is None:
+        return train([], [])
+    return Model(*(np.frombuffer(part, np.float64).reshape(-1, width) for part, width in zip(row, (DIMENSION, 2))))
 
 
 def score_texts(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
     """Add the probability of class 1 of every whole text."""
     require_columns(docs, text)
+    if into in docs.columns:
+        raise ValueError(f"column(s) already there: {into}")
     weights = model.weights()
 
     @F.arrow_udf("double")
@@ -195,11 +221,13 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> Model:
     """The model learned from the labels of documents that are not held out."""
-    return train(*sample(docs, labels.where(~held_out())))
+    return fit(sample(docs, labels.where(~held_out())))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, into: str = "score") -> DataFrame:
     """Add ``score`` and ``predicted`` (1 from a score of 0.3 on) to documents,
     by a model learned from the labels that are not held out."""
-    scored = score_texts(docs, fit_quality(docs, labels))
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    if "predicted" in docs.columns:
+        raise ValueError("column(s) already there: predicted")
+    scored = score_texts(docs, fit_quality(docs, labels), into=into)
+    return scored.withColumn("predicted", (F.col(into) >= THRESHOLD).cast("int"))

@@ -36,13 +36,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def minima(tokens: np.ndarray, factors: np.ndarray, at_once: int = 4096) -> np.ndarray:
-    """The smallest of the tokens' products with each factor."""
-    low = np.full(len(factors), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for start in range(0, len(tokens), at_once):
-        part = tokens[start : start + at_once, None] * factors[None, :]
-        low = np.minimum(low, part.min(0))
-    return low
+def set_minima(tokens: np.ndarray, ends: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Per set (none empty) the smallest of its tokens' products with each factor."""
+    out = np.empty((len(ends) - 1, len(factors)), np.uint64)
+    for j, factor in enumerate(factors if len(out) else ()):
+        out[:, j] = np.minimum.reduceat(tokens * factor, ends[:-1])
+    return out
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +116,29 @@ def shingle_sets(
     shingles: np.ndarray, places: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """The same, sorted and without repeats within each text."""
-    parts = [np.unique(shingles[a:b]) for a, b in zip(places[:-1], places[1:])]
-    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
-    return (np.concatenate(parts) if parts else shingles), ends
+    ordered, cuts = shingles.copy(), places.tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        ordered[a:b].sort()
+    keep = np.ones(len(ordered), bool)
+    keep[1:] = ordered[1:] != ordered[:-1]
+    keep[places[:-1][np.diff(places) > 0]] = True
+    ends = np.concatenate([[0], np.cumsum(keep)])[places]
+    return ordered[keep], ends
+
+
+def set_keys(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 63-bit name of every set; 0 is that of the empty one."""
+    counts = np.diff(ends)
+    keys = np.zeros(len(counts), np.uint64)
+    some = np.flatnonzero(counts)
+    if len(some):
+        totals = np.add.reduceat(mixed(tokens), ends[some]) + counts[some].astype(np.uint64)
+        keys[some] = np.maximum(mixed(totals) >> np.uint64(1), np.uint64(1))
+    return keys.astype(np.int64)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that is not taken yet."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
