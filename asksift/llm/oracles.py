@@ -150,7 +150,79 @@ def paragraphs(docs: str = "documents") -> str:
                 WHERE ROW(doc_id, line) <> head)"""
 
 
+def whole_vectors(scale: int, extra: str) -> str:
+    """A query of the usable vectors, times ``scale`` and rounded down."""
+    return f"""SELECT vec_id, {extra} AS label,
+               [floor({scale} * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(CAST(x AS DOUBLE))]) = 0"""
+
+
+def hard_negatives() -> str:
+    """CTEs that end in ``mined``."""
+    moved = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+    return f"""
+    v AS MATERIALIZED (SELECT * FROM ({whole_vectors(256, moved)}) WHERE label IS NOT NULL),
+    scored AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+               CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place
+                       FROM scored WHERE same) WHERE place <= 5),
+    mined AS (
+        SELECT * FROM (
+            SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score,
+                   s.score AS negative_score,
+                   CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS "rank"
+            FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 80 * p.score <= 100 * s.score AND s.score <= p.score) WHERE "rank" <= 5)"""
+
+
+def vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """CTEs that end in ``coded``."""
+    size = f"(len(e) // {parts})"
+    books = f"""
+    v AS MATERIALIZED ({whole_vectors(1024, "label")}),
+    pieces AS MATERIALIZED (
+        SELECT vec_id, label, p, [CAST(y AS BIGINT) FOR y IN e[p * {size} + 1 : (p + 1) * {size}]] AS x
+        FROM v, range({parts}) AS t(p)),
+    book0 AS MATERIALIZED (
+        SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS c
+        FROM pieces QUALIFY k < {entries})"""
+
+    def nearest(book: str) -> str:
+        apart = "list_sum([(x[i] - c[i]) * (x[i] - c[i]) FOR i IN range(1, len(x) + 1)])"
+        return f"""SELECT vec_id, label, p, x, min(ROW(CAST({apart} AS BIGINT), k)) AS best
+        FROM pieces JOIN {book} USING (p) GROUP BY vec_id, label, p, x"""
+
+    for n in range(rounds):
+        books += f""",
+    near{n} AS MATERIALIZED ({nearest(f"book{n}")}),
+    means{n} AS (
+        SELECT p, k, list(m ORDER BY i) AS m
+        FROM (SELECT p, k, i, CAST(floor(sum(y) / count(*)) AS BIGINT) AS m
+              FROM (SELECT p, best[2] AS k, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM near{n})
+              GROUP BY p, k, i) GROUP BY p, k),
+    book{n + 1} AS MATERIALIZED (
+        SELECT p, k, coalesce(m, c) AS c FROM book{n} LEFT JOIN means{n} USING (p, k))"""
+    return f"""{books},
+    final AS MATERIALIZED ({nearest(f"book{rounds}")}),
+    whole AS (
+        SELECT vec_id, label, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code,
+               CAST(sum(best[1]) AS BIGINT) AS error FROM final GROUP BY vec_id, label),
+    digest AS (
+        SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM book{rounds}),
+    coded AS (
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               codebooks_sha256 FROM whole, digest)"""
+
+
 SQL: dict[str, str] = {
+    "op12_hard_negatives": f"""WITH {hard_negatives()}
+    SELECT anchor_id, positive_id, "rank", negative_id, positive_score, negative_score FROM mined""",
+    "op13_vector_codes": f"WITH {vector_codes()} SELECT * FROM coded",
     "op4_jaccard_join": f"WITH RECURSIVE {similarity()} SELECT * FROM joined",
     "op1_mixing": f"WITH RECURSIVE {mixture()} SELECT * FROM drawn",
     "op6_warc": """WITH p AS (

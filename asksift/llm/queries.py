@@ -11,12 +11,15 @@ from . import warc
 from .decontamination import decontaminate
 from .extraction import extract_text
 from .fingerprints import fingerprint_edits
+from .hard_negatives import mine_hard_negatives
 from .jaccard_join import jaccard_join
 from .licences import background_lines, fit_licences, scan_licences
 from .mixing import mix_sources
+from .packing import pack_examples
 from .paragraphs import dedupe_paragraphs
 from .quality import held_out, score_quality
 from .substrings import dedupe_substrings
+from .vector_codes import books_digest, encode_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +111,38 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Where the public tokenizers' files are, if not where their package says.
+TOKENIZERS: str | None = None
+
+
+def tokenizer_file(name: str) -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1,024 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return pack_examples(docs, tokenizer_file("byte_bpe_50k.json"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; a seventh of the labels is moved."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine_hard_negatives(vectors, vec_id % 100 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code of four bytes and its error."""
+    coded, books = encode_vectors(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books_digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op3_extraction": op3_extraction,
@@ -119,4 +154,7 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_paragraphs": op9_paragraphs,
     "op10_decontamination": op10_decontamination,
+    "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_vector_codes": op13_vector_codes,
 }

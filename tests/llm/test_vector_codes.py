@@ -1,0 +1,112 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from asksift.llm import vector_codes as c
+
+SCHEMA = "code string, vec_id long, embedding array<float>, label string, error int"
+
+
+def brute_force(rows, entries=256, rounds=4, parts=4, scale=1024):
+    kept = [
+        (i, [math.floor(scale * float(np.float32(x))) for x in v], y)
+        for i, v, y in rows
+        if v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    width = max((len(v) for _, v, _ in kept), default=0)
+    width = -(-max(width, 1) // parts) * parts
+    kept = [(i, v + [0] * (width - len(v)), y) for i, v, y in kept]
+    size = width // parts
+    heads = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    books = [[r[1][p * size : (p + 1) * size] for r in heads] for p in range(parts)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds if kept else 0):
+        new = []
+        for p in range(parts):
+            groups = {}
+            for _, v, _ in kept:
+                part = v[p * size : (p + 1) * size]
+                groups.setdefault(nearest(part, books[p])[1], []).append(part)
+            new.append([
+                [sum(x) // len(groups[k]) for x in zip(*groups[k])] if k in groups else e for k, e in enumerate(books[p])
+            ])
+        books = new
+    coded, by_label = [], {}
+    for i, v, y in kept:
+        found = [nearest(v[p * size : (p + 1) * size], books[p]) for p in range(parts)]
+        error = sum(d for d, _ in found)
+        by_label[y] = by_label.get(y, 0) + error
+        coded.append((i, "".join(f"{k:02x}" for _, k in found), error, y))
+    text = ",".join(str(x) for book in books for e in book for x in e)
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    return sorted(((i, k, e, by_label[y]) for i, k, e, y in coded), key=str), digest
+
+
+def run(spark, rows, **how):
+    df = spark.createDataFrame([("x", i, v, y, 1) for i, v, y in rows], SCHEMA).repartition(3)
+    coded, books = c.encode_vectors(df, **how)
+    assert coded.columns == ["vec_id", "label", "code", "error", "label_error"]
+    return sorted(((r.vec_id, r.code, r.error, r.label_error) for r in coded.collect()), key=str), c.books_digest(books)
+
+
+def vectors(seed, n, width=12):
+    rng = random.Random(seed)
+    common = [rng.gauss(0, 0.1) for _ in range(width)]
+    rows = []
+    for i in range(n):
+        v = list(common) if i % 3 == 0 else [rng.gauss(0, 0.1) for _ in range(width)]
+        rows.append((i, v, rng.choice(["a", "b", None])))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("share, room", [(0.5, 1 << 16), (3.0, 5), (0.02, 1 << 16)])
+def test_against_brute_force(spark, monkeypatch, share, room):
+    monkeypatch.setattr(c, "CELL_SHARE", share)
+    monkeypatch.setattr(c.CellMemo.__init__, "__defaults__", (room,))
+    rows = vectors(1, 120)
+    rows += [(900, None, "a"), (901, [None] * 12, "a"), (902, [math.nan] * 12, "a"), (903, [math.inf] * 12, "a")]
+    rows += [(904, [], "a"), (905, [1.0, -2.5], None), (None, rows[1][1], "b"), (7, rows[2][1], "c"), (7, rows[2][1], "c")]
+    assert run(spark, rows, entries=16) == brute_force(rows, 16)
+
+
+def test_more_entries_than_vectors(spark):
+    rows = vectors(2, 20, 6)
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_small_tables(spark):
+    assert run(spark, []) == ([], hashlib.sha256(b"").hexdigest())
+    assert run(spark, [(1, None, "a")]) == ([], hashlib.sha256(b"").hexdigest())
+    assert run(spark, [(5, [0.5, 0.25], "a")])[0] == [(5, "00000000", 0, 0)]
+
+
+@pytest.mark.parametrize("side", [1, 7, 50, 1000])
+def test_cells_give_the_nearest_entry(side):
+    rng = np.random.default_rng(side)
+    book = rng.integers(-80, 80, (64, 5))
+    book[40] = book[3]
+    parts = np.concatenate([rng.integers(-100, 100, (3000, 5)), book, np.repeat(book[:1], 500, 0)])
+    memo = c.CellMemo(book, side, room=200)
+    for _ in range(2):
+        code, error = memo.nearest(parts)
+        distance = ((parts[:, None] - book[None]) ** 2).sum(2)
+        assert (code == distance.argmin(1)).all() and (error == distance.min(1)).all()
+    assert 0 < len(memo.lists) <= 200
+
+
+def test_boxes_that_share_a_hash(monkeypatch):
+    rng = np.random.default_rng(5)
+    book, parts = rng.integers(-80, 80, (32, 4)), rng.integers(-100, 100, (2000, 4))
+    monkeypatch.setattr(c, "mixed", lambda h: h % np.uint64(50))
+    memo = c.CellMemo(book, 20)
+    for part in np.split(parts, 4):
+        code, _ = memo.nearest(part)
+        assert (code == ((part[:, None] - book[None]) ** 2).sum(2).argmin(1)).all()
+    assert len(memo.lists) <= 50
