@@ -5,13 +5,16 @@ one megabyte, with a sorted term list and, per term, the word positions. It is
 partitioned by document, so it needs no shuffle, its blocks are bounded and a
 term that fills a third of all postings is spread over all of them.
 
-Test phrases are looked up block by block: the list of a phrase's rarest term
-gives candidate starts, and the lists of the next rarest terms, shifted by
-their offsets, are intersected with them until none are left or all terms
-agree. How rare a term is, is counted over all blocks.
+Test phrases are looked up block by block, for all phrases at once whose rarest term
+the block has: its list gives candidate starts, and those that the lists of the
+next rarest terms, shifted by their offsets, do not have drop out until all terms
+agree. How rare a term is, is counted over all blocks. Test items are taken in passes
+of bounded bytes, so neither the driver nor a task holds a whole large benchmark.
 
 Nulls and empty texts have no words. Repeated rows are indexed one by one, and
-so are rows with equal or null ids. Extra columns are ignored. An empty corpus
+so are rows with equal or null ids. A null item id counts as "null", an item
+without words has no phrases, and items that are given twice count once. Extra
+columns are ignored, or pass through where documents come back. An empty corpus
 gives an empty result; without test phrases nothing is hit.
 """
 
@@ -35,17 +38,24 @@ INDEX_SCHEMA = (
 WINDOW_WORDS = 13
 #: Bytes of text in one index block; a longer document is a block of its own.
 BLOCK_BYTES = 1 << 20
-#: Test items that are looked up together; more are taken in several passes.
-ITEMS_PER_PASS = 20_000
+#: Bytes of test items that are looked up together; more take several passes, a
+#: longer item one of its own.
+PASS_BYTES = 2 << 20
 
 
 class Phrases(NamedTuple):
-    """Distinct phrases: term hashes in a matrix, their lengths, and the items
-    that contain each."""
-
-    terms: np.ndarray
+    """Distinct phrases of some items: all words of the items as numbers in the
+    sorted ``vocabulary``, where each phrase starts there and how long it is, the
+    names of the items, and those that contain each phrase: ``owners`` from
+    ``firsts`` on."""
+
+    vocabulary: np.ndarray
+    words: np.ndarray
+    starts: np.ndarray
     lengths: np.ndarray
-    items: list[list[str]]
+    names: list[str]
+    firsts: np.ndarray
+    owners: np.ndarray
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -94,19 +104,33 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def test_phrases(rows: list[tuple[str, str | None]], window: int | None) -> Phrases:
     """The distinct windows of ``window`` words of (item, text) rows; a shorter
     text, or any text if ``window`` is None, is one phrase."""
-    found: dict[tuple[int, ...], set[str]] = {}
-    for item, text in rows:
-        data, offsets = text_buffers(pa.array([text], pa.string()))
-        words = word_hashes(data, offsets)[0].tolist()
-        size = len(words) if window is None else min(window, len(words))
-        for start in range(len(words) - size + 1 if size else 0):
-            found.setdefault(tuple(words[start : start + size]), set()).add(item)
-    longest = max(map(len, found), default=1)
-    terms = np.zeros((len(found), longest), np.uint64)
-    for i, phrase in enumerate(found):
-        terms[i, : len(phrase)] = phrase
-    lengths = np.array([len(p) for p in found], np.int64)
-    return Phrases(terms, lengths, [sorted(v) for v in found.values()])
+    data, offsets = text_buffers(pa.array([text for _, text in rows], pa.string()))
+    hashes, places = word_hashes(data, offsets)
+    vocabulary, words = np.unique(hashes, return_inverse=True)
+    words = words.astype(np.int32)
+    counts = np.diff(places)
+    sizes = counts if window is None else np.minimum(counts, window)
+    n = np.where(counts > 0, counts - sizes + 1, 0)
+    row = np.repeat(np.arange(len(rows)), n)
+    starts = np.repeat(places[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    lengths = sizes[row]
+    names = sorted({item for item, _ in rows})
+    number = {name: i for i, name in enumerate(names)}
+    owner = np.array([number[item] for item, _ in rows], np.int64)[row] if len(rows) else row
+    # Equal phrases get one number, by the runs of words they hold.
+    key = np.zeros(len(starts), np.int64)
+    for size in np.unique(lengths).tolist():
+        mine = np.flatnonzero(lengths == size)
+        seen = np.zeros(len(mine), np.int64)
+        for j in range(size):
+            pair = seen * len(vocabulary) + words[starts[mine] + j]
+            seen = np.unique(pair, return_inverse=True)[1]
+        key[mine] = seen + key.max(initial=-1) + 1
+    key, first, which = np.unique(key, return_index=True, return_inverse=True)
+    pairs = np.unique(which * max(1, len(names)) + owner)
+    phrase, owners = np.divmod(pairs, max(1, len(names)))
+    firsts = np.searchsorted(phrase, np.arange(len(key) + 1))
+    return Phrases(vocabulary, words, starts[first], lengths[first], names, firsts, owners)
 
 
 def term_counts(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
@@ -151,33 +175,13 @@ class _Block:
         self.ends = np.cumsum(np.frombuffer(counts, np.int32))
         self.positions = np.frombuffer(positions, np.int32)
         self.docs = np.concatenate([[0], np.cumsum(np.array(doc_words, np.int64))])
+        #: Which term's list has each position.
+        self.lists = np.empty(len(self.positions), np.int32)
+        self.lists[self.positions] = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.frombuffer(counts, np.int32))
 
     def list_of(self, place: int) -> np.ndarray:
         return self.positions[self.ends[place - 1] if place else 0 : self.ends[place]]
 
-    def places(self, terms: np.ndarray) -> np.ndarray:
-        """Where each term stands in the term list, or -1."""
-        at = np.searchsorted(self.terms, terms)
-        known = at < len(self.terms)
-        known[known] = self.terms[at[known]] == terms[known]
-        return np.where(known, at, -1)
-
-    def in_one_document(self, starts: np.ndarray, length: int) -> np.ndarray:
-        doc = np.searchsorted(self.docs, starts, "right") - 1
-        return starts[(starts >= 0) & (starts + length <= self.docs[np.minimum(doc + 1, len(self.docs) - 1)])]
-
-    def exact(self, places: list[int], offsets: list[int], length: int) -> np.ndarray:
-        """Starts of a phrase, given its terms from the rarest on."""
-        starts = self.list_of(places[0]) - offsets[0]
-        starts = self.in_one_document(starts, length)
-        for place, offset in zip(places[1:], offsets[1:]):
-            if not len(starts):
-                break
-            there = self.list_of(place)
-            at = np.minimum(np.searchsorted(there, starts + offset), len(there) - 1)
-            starts = starts[there[at] == starts + offset]
-        return starts
-
     def near(self, places: list[int], reach: int) -> np.ndarray:
         """Positions of the rarest term that have every other term within
         ``reach`` words, in the same document."""
@@ -196,46 +200,79 @@ HITS_SCHEMA = (
     "block long, row int, doc_id long, n_words long, "
     "starts array<int>, ends array<int>, items array<string>"
 )
-
-
-def _hits(index: DataFrame, phrases: Phrases, spans: Callable) -> DataFrame:
-    """One row per indexed document with what ``spans`` finds in its block."""
-    known = np.arange(phrases.terms.shape[1]) < phrases.lengths[:, None]
-    vocabulary = np.unique(phrases.terms[known])
-    number = np.where(known, np.searchsorted(vocabulary, phrases.terms), -1)
-    rare = term_counts(index, vocabulary)
-    if len(vocabulary):
-        weight = np.where(known, rare[number], np.iinfo(np.int64).max)
-        by_rarity = np.argsort(weight, axis=1, kind="stable")
-    lengths, items = phrases.lengths, phrases.items
+Found = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+class _Lookup:
+    """Phrases with their terms from the rarest on, and by their rarest term."""
+
+    def __init__(self, phrases: Phrases, rare: np.ndarray):
+        self.phrases = phrases
+        longest = int(phrases.lengths.max(initial=1))
+        weight = np.full((len(phrases.starts), longest), np.iinfo(np.int64).max)
+        for j in range(longest):
+            has = np.flatnonzero(phrases.lengths > j)
+            weight[has, j] = rare[phrases.words[phrases.starts[has] + j]]
+        #: Offsets in each phrase, that of the rarest term first.
+        self.order = np.argsort(weight, axis=1, kind="stable").astype(np.int32)
+        rarest = self.terms(np.arange(len(phrases.starts)), 0)
+        self.by_term = np.argsort(rarest, kind="stable")
+        self.ends = np.searchsorted(rarest[self.by_term], np.arange(len(phrases.vocabulary) + 1))
+
+    def terms(self, which: np.ndarray, rank: int) -> np.ndarray:
+        """The term of some phrases that so many are rarer than."""
+        return self.phrases.words[self.phrases.starts[which] + self.order[which, rank]]
+
+    def candidates(self, block: _Block) -> tuple[np.ndarray, np.ndarray]:
+        """The phrases whose terms are all in the block; where the block has each
+        term of the vocabulary, or -1."""
+        vocabulary = self.phrases.vocabulary
+        at = np.searchsorted(vocabulary, block.terms)
+        known = np.flatnonzero(at < len(vocabulary))
+        known = known[vocabulary[at[known]] == block.terms[known]]
+        place = np.full(len(vocabulary), -1, np.int64)
+        place[at[known]] = known
+        here = np.sort(at[known])
+        n = self.ends[here + 1] - self.ends[here]
+        which = self.by_term[np.repeat(self.ends[here] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        for rank in range(1, self.order.shape[1]):
+            # A phrase without so many terms asks for its rarest again.
+            asked = np.where(self.phrases.lengths[which] > rank, self.order[which, rank], self.order[which, 0])
+            which = which[place[self.phrases.words[self.phrases.starts[which] + asked]] >= 0]
+        return which, place
+
+
+def _hits(index: DataFrame, phrases: Phrases, spans: Callable[[_Block, _Lookup], Found]) -> DataFrame:
+    """One row per indexed document with what ``spans`` finds in its block: phrase,
+    start and end of every match."""
+    lookup = _Lookup(phrases, term_counts(index, phrases.vocabulary))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 block = _Block(row["doc_words"], row["terms"], row["counts"], row["positions"])
-                hits: dict[int, tuple[list, list, set]] = {}
-                at = block.places(vocabulary)
-                whole = ((at[number] >= 0) | ~known).all(axis=1) if len(vocabulary) else []
-                for p in np.flatnonzero(whole):
-                    offsets = by_rarity[p, : lengths[p]].tolist()
-                    places = at[number[p, offsets]].tolist()
-                    for start, end in spans(block, places, offsets, int(lengths[p])):
-                        doc = int(np.searchsorted(block.docs, start, "right")) - 1
-                        base = int(block.docs[doc])
-                        mine = hits.setdefault(doc, ([], [], set()))
-                        mine[0].append(start - base)
-                        mine[1].append(end - base)
-                        mine[2].update(items[p])
+                phrase, start, end = spans(block, lookup)
+                doc = np.searchsorted(block.docs, start, "right") - 1
+                order = np.lexsort((start, doc))
+                phrase, start, end, doc = phrase[order], start[order], end[order], doc[order]
                 n = len(row["doc_ids"])
-                per_doc = [hits.get(i, ([], [], ())) for i in range(n)]
+                places = np.searchsorted(doc, np.arange(n + 1))
+                # Every item of every match, once per document.
+                many = phrases.firsts[phrase + 1] - phrases.firsts[phrase]
+                owner = phrases.owners[
+                    np.repeat(phrases.firsts[phrase] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                ]
+                pairs = np.unique(np.repeat(doc, many) * max(1, len(phrases.names)) + owner)
+                of_doc, item = np.divmod(pairs, max(1, len(phrases.names)))
+                items = np.searchsorted(of_doc, np.arange(n + 1))
                 columns = [
                     pa.array([row["block"]] * n, pa.int64()),
                     pa.array(range(n), pa.int32()),
                     pa.array(row["doc_ids"], pa.int64()),
                     pa.array(row["doc_words"], pa.int64()),
-                    pa.array([h[0] for h in per_doc], pa.list_(pa.int32())),
-                    pa.array([h[1] for h in per_doc], pa.list_(pa.int32())),
-                    pa.array([sorted(h[2]) for h in per_doc], pa.list_(pa.string())),
+                    _listed(places, pa.array((start - block.docs[doc]).astype(np.int32))),
+                    _listed(places, pa.array((end - block.docs[doc]).astype(np.int32))),
+                    _listed(items, pa.array([phrases.names[i] for i in item.tolist()], pa.string())),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     columns, ["block", "row", "doc_id", "n_words", "starts", "ends", "items"]
@@ -244,20 +281,71 @@ def _hits(index: DataFrame, phrases: Phrases, spans: Callable) -> DataFrame:
     return index.mapInArrow(found, HITS_SCHEMA)
 
 
+def _listed(places: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), values)
+
+
+def _exact(block: _Block, lookup: _Lookup) -> Found:
+    """Every occurrence of every phrase. The rarest term's list gives the starts;
+    a start stays while the list of each further term has its place."""
+    which, place = lookup.candidates(block)
+    lengths = lookup.phrases.lengths
+    term = place[lookup.terms(which, 0)]
+    low = np.where(term > 0, block.ends[np.maximum(term - 1, 0)], 0)
+    n = block.ends[term] - low
+    begins = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    phrase = np.repeat(which, n)
+    start = block.positions[begins].astype(np.int64) - lookup.order[phrase, 0]
+    doc = np.maximum(np.searchsorted(block.docs, start, "right") - 1, 0)
+    inside = (start >= block.docs[doc]) & (start + lengths[phrase] <= block.docs[np.minimum(doc + 1, len(block.docs) - 1)])
+    phrase, start = phrase[inside], start[inside]
+    for rank in range(1, lookup.order.shape[1]):
+        if not len(phrase):
+            break
+        long = lengths[phrase] > rank
+        offset = np.where(long, lookup.order[phrase, rank], lookup.order[phrase, 0])
+        term = place[lookup.phrases.words[lookup.phrases.starts[phrase] + offset]]
+        stays = block.lists[start + offset] == term
+        phrase, start = phrase[stays], start[stays]
+    return phrase, start, start + lengths[phrase]
+
+
+def _near(reach: int) -> Callable[[_Block, _Lookup], Found]:
+    def spans(block: _Block, lookup: _Lookup) -> Found:
+        which, place = lookup.candidates(block)
+        phrase, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for p in which.tolist():
+            ranks = range(int(lookup.phrases.lengths[p]))
+            terms = [int(place[lookup.terms(np.array([p]), rank)[0]]) for rank in ranks]
+            found = block.near(list(dict.fromkeys(terms)), reach)
+            phrase.append(np.full(len(found), p))
+            start.append(found)
+        start = np.concatenate(start)
+        return np.concatenate(phrase), start, start + 1
+
+    return spans
+
+
 def _in_passes(
-    index: DataFrame, items: DataFrame, item_id: str, text: str, window: int | None, spans: Callable
+    index: DataFrame,
+    items: DataFrame,
+    item_id: str,
+    text: str,
+    window: int | None,
+    spans: Callable[[_Block, _Lookup], Found],
 ) -> DataFrame:
-    """Look items up, so many at a time; rows of several passes are merged."""
+    """Look items up, so many bytes at a time; rows of several passes are merged."""
     require_columns(items, item_id, text)
     named = items.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"),
         F.col(text).cast("string").alias("text"),
-    )
-    passes = max(1, -(-named.count() // ITEMS_PER_PASS))
+    ).distinct()
+    size = named.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
+    passes = max(1, -(-size // PASS_BYTES))
     share = F.pmod(F.xxhash64("item", "text"), F.lit(passes))
     parts = []
     for n in range(passes):
-        rows = [tuple(r) for r in named.where(share == n).collect()]
+        rows = sorted(tuple(r) for r in named.where((share == n) & F.col("text").isNotNull()).collect())
         parts.append(_hits(index, test_phrases(rows, window), spans))
     if passes == 1:
         return parts[0]
@@ -281,10 +369,7 @@ def phrase_matches(
     spans of word numbers (``starts``, ``ends`` past the last) and the items.
     ``window=None`` looks for whole items."""
 
-    def spans(block: _Block, places: list[int], offsets: list[int], length: int):
-        return [(s, s + length) for s in block.exact(places, offsets, length).tolist()]
-
-    return _in_passes(index, items, item_id, text, window, spans)
+    return _in_passes(index, items, item_id, text, window, _exact)
 
 
 def proximity_matches(
@@ -297,10 +382,7 @@ def proximity_matches(
     """Places where all distinct terms of an item stand within ``reach`` words
     of its rarest term, in any order. Spans are the place of that term."""
 
-    def spans(block: _Block, places: list[int], offsets: list[int], length: int):
-        return [(s, s + 1) for s in block.near(list(dict.fromkeys(places)), reach).tolist()]
-
-    return _in_passes(index, items, item_id, text, None, spans)
+    return _in_passes(index, items, item_id, text, None, _near(reach))
 
 
 def covered(starts: str, ends: str) -> F.Column:

@@ -1,15 +1,20 @@
 """Main-text extraction from HTML by minimum-cut labelling of blocks.
 
 A page is cut into text blocks at block-level tags. A linear classifier over a
-block's own text and its place in the document gives each block the cost of
-being called content or boilerplate; these are its capacities to source and
-sink. Blocks that follow each other, and blocks under one parent, are joined by
-edges that weaken with their distance in the document tree. The minimum cut,
-found by maximum flow, labels all blocks at once.
+block's own text and its place in the document gives each block its log-odds of
+being content, bounded, so that no hint alone decides; these are its capacities to
+source and sink. Blocks that follow each other, and blocks under one parent, are
+joined by edges that weaken with their distance in the document tree and that
+together can outweigh a doubtful block. The minimum cut, found by maximum flow, labels
+all blocks at once.
 
 Text of scripts, styles, templates and of the page's head is no block at all.
 A null or empty page has an empty text; a page cut off in a tag is read up to
-there. Repeated rows are extracted one by one and extra columns pass through.
+there. Elements that are left open end with the one around them, and a quote inside an
+unquoted attribute is part of it, as browsers have it. Ties of the cut go to
+boilerplate. Repeated rows are extracted one by one. Extra columns pass through; one
+that is called like the result is an error, and ``into`` gives another name. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,12 +32,15 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.stages import require_columns
 
 # Element names of HTML by their use.
-RAW_TEXT = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object", "math", "title"}
+RAW_TEXT = {"script", "style", "template", "textarea", "svg", "iframe", "title"}
+#: Those of them that are passed over when they are not closed.
+LEFT_OPEN = {"svg", "iframe", "template", "title"}
 VOID = {"br", "img", "input", "hr", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em",
     "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike",
-    "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "ruby", "rt", "rp",
+    "math", "mi", "mn", "mo", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup",
 }
 CLOSES_ITSELF = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 STOPS_CLOSING = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body", "nav", "aside", "footer", "header", "form", "blockquote"}
@@ -40,7 +48,7 @@ CONTENT_TAGS = {"article", "main"}
 BOILERPLATE_TAGS = {"nav", "aside", "footer", "form", "menu", "button", "select", "dialog", "fieldset"}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
@@ -52,6 +60,12 @@ _STATE = re.compile(
     r".*[_-](?:open|opened|closed|on|off|enabled|disabled|allowed|active|visible|collapsed|expanded)",
     re.I,
 )
+#: Names of parts of the article itself: its header, or a text that is set apart.
+_OF_CONTENT = re.compile(
+    r"(?:article|post|entry|story|content|page)[_-]+(?:header|head|heading|title)|"
+    r"(?:alert|notice|legal|promo)[_-]+(?:text|title|heading|lead)",
+    re.I,
+)
 _BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|"
     r"side-?bar\w*|widgets?|footer|foot|footnav|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notice\w*|alert\w*|popup\w*|"
@@ -81,6 +95,8 @@ WEIGHTS = {
     "sentences": 0.6,
     "length": 0.3,
 }
+#: The largest log-odds of a block, whatever speaks for or against it.
+BOUND = 2.0
 SMOOTHNESS = 0.8
 REACH = 2.0
 
@@ -124,7 +140,7 @@ def _flags(tag: str, attributes: str, above: frozenset[str]) -> set[str]:
     if attributes.strip(" /"):
         named = _attributes(attributes)
         for name in HINT_ATTRIBUTES:
-            hints = [t for t in named.get(name, "").split() if not _STATE.fullmatch(t)]
+            hints = [t for t in named.get(name, "").split() if not _STATE.fullmatch(t) and not _OF_CONTENT.fullmatch(t)]
             if tag not in ("body", "html") and any(map(_BOILERPLATE.search, hints)):
                 new.add("container_hint" if tag in CONTENT_TAGS else "boilerplate_hint")
             elif any(map(_CONTENT.search, hints)):
@@ -186,6 +202,8 @@ def blocks_of(page: str) -> list[Block]:
             closing = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             if tag == "head" and closing is None:
                 continue
+            if closing is None and tag in LEFT_OPEN:
+                continue
             if not found[3].endswith("/"):
                 at = closing.end() if closing else len(page)
             parts.append(" ")
@@ -236,7 +254,8 @@ def _score(text: str, linked: int, flags: frozenset[str]) -> float:
     score = BIAS + sum(WEIGHTS[f] for f in flags)
     score += WEIGHTS["link_share"] * min(1.0, linked / len(text))
     score += WEIGHTS["sentences"] * bool(_SENTENCE.search(text))
-    return score + WEIGHTS["length"] * (min(math.log10(len(text)), 3.0) - 1.0)
+    score += WEIGHTS["length"] * (min(math.log10(len(text)), 3.0) - 1.0)
+    return BOUND * math.tanh(score / BOUND)
 
 
 def edges_of(blocks: list[Block]) -> dict[tuple[int, int], float]:
@@ -353,9 +372,15 @@ def main_text(page: str | None) -> str:
 BLOCKS_TYPE = "array<struct<text:string,score:double,content:boolean>>"
 
 
+def _free(pages: DataFrame, into: str) -> None:
+    if into in pages.columns:
+        raise ValueError(f"column(s) already there: {into}")
+
+
 def extract_text(pages: DataFrame, page: str = "html", into: str = "text") -> DataFrame:
     """Add the main text of a column of HTML; other columns pass through."""
     require_columns(pages, page)
+    _free(pages, into)
 
     @F.arrow_udf("string")
     def texts(column: pa.Array) -> pa.Array:
@@ -367,6 +392,7 @@ def extract_text(pages: DataFrame, page: str = "html", into: str = "text") -> Da
 def extract_blocks(pages: DataFrame, page: str = "html", into: str = "blocks") -> DataFrame:
     """Add all blocks of a page with their classifier scores and labels."""
     require_columns(pages, page)
+    _free(pages, into)
     kind = pa.list_(pa.struct([("text", pa.string()), ("score", pa.float64()), ("content", pa.bool_())]))
 
     def rows(column: pa.Array) -> Iterator[list[dict]]:

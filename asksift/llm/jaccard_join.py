@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.stages import drop_stages, require_columns, shared_folder, stage
-from .components import connected_components, salted_join
+from .components import connected_components, salted_join, trees
 from .verification import groups_in_order, link_members
 from .words import (
     mixed, runs_of_texts, set_keys, set_minima, shingle_hashes, shingle_sets, text_buffers, unused, word_hashes,
@@ -208,30 +208,13 @@ def _brute_force(rows: DataFrame) -> DataFrame:
                 left.append(np.full(len(near), ids[i]))
                 right.append(ids[i + 1 + near])
             if left:
-                yield _forest(np.concatenate(left), np.concatenate(right))
+                found = trees(np.concatenate(left), np.concatenate(right))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b"])
 
     spread = paired.repartition("node", "low", "high").sortWithinPartitions("node", "low", "high")
     return spread.mapInArrow(compare, "a long, b long")
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """Edges to the smallest node of each component of some edges: as many as
-    there are nodes, whatever the number of edges."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    label = np.arange(len(nodes))
-    left, right = at[: len(a)], at[len(a) :]
-    while len(a):
-        low = np.minimum(label[left], label[right])
-        new = label.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["a", "b"])
-
-
 def _split(rows: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
     """The children that the members of large nodes choose."""
 
@@ -275,7 +258,7 @@ def candidate_links(classes: DataFrame, sets, folder: str, tenths: int = TENTHS)
         limit = SMALL_NODE if depth < MAX_DEPTH else 1 << 62
         little = salted_join(left, sizes.where(F.col("n") <= limit), ["node"], "class")
         links = links.unionByName(_brute_force(little))
-        found.append(stage(links.distinct(), f"{folder}/links-{depth}"))
+        found.append(stage(links, f"{folder}/links-{depth}"))
         large = sizes.where(F.col("n") > limit).select("node")
         if depth == MAX_DEPTH or large.isEmpty():
             break

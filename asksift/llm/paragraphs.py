@@ -177,13 +177,12 @@ def class_bands(paragraphs: DataFrame) -> DataFrame:
 
 
 def colliding(bands: DataFrame) -> DataFrame:
-    """Edges from every class to the smallest class in each of its bands. Equal
-    rows are combined before the shuffle, and a band that many classes share is
-    never gathered."""
+    """Edges from every class to the smallest class in each of its bands. A band
+    that many classes share is never gathered."""
     least = bands.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     several = least.where("least < most").select("band", "least")
     met = salted_join(bands, several, ["band"], "class")
-    return met.where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
+    return met.where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, blocks: bool) -> DataFrame:
@@ -223,10 +222,9 @@ def _repeated(docs: DataFrame, tenths: int, folder: str, blocks: bool = False) -
     bands, rows = tune_bands(tenths / 10)
     paragraphs = stage(enter_paragraphs(docs, bands, rows, blocks), f"{folder}/paragraphs")
     entered = stage(class_bands(paragraphs), f"{folder}/bands")
-    edges = stage(colliding(entered), f"{folder}/candidates")
-    candidates = connected_components(edges).select(F.col("node").alias("class"), F.col("component").alias("group"))
+    candidates = connected_components(colliding(entered)).select(F.col("node").alias("class"), F.col("component").alias("group"))
     candidates = stage(candidates, f"{folder}/groups")
-    drop_stages(spark, f"{folder}/bands", f"{folder}/candidates")
+    drop_stages(spark, f"{folder}/bands")
     here = F.struct("doc_id", "name", "line")
     firsts = paragraphs.groupBy("class").agg(F.min(here).alias("first"), F.count("*").alias("copies"))
     classes = stage(firsts.join(candidates, "class", "left").where("copies > 1 OR group IS NOT NULL"), f"{folder}/classes")

@@ -9,7 +9,9 @@ or the bucket they meet in. Where one anchor has several contexts, the first run
 of each context goes on: their texts are indexed together, and the expansion of
 prefix intervals on the Burrows-Wheeler transform (``bwt``) tells which of their
 windows are equal. An anchor with very many contexts is divided before that by
-the bytes that its windows have in common.
+the bytes that its windows have in common. Texts that meet under one key and are
+more than ``HOT_BYTES`` together are not gathered: their windows go on one by one,
+by digest, and the first place of each is found by a combining aggregate.
 
 Texts are UTF-8 bytes; matches never cross documents. Nulls count as empty. A
 null id comes before all others. Rows that repeat id and text are treated alike
@@ -27,8 +29,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.stages import require_columns, shared_folder, stage
+from ..sources.stages import counted_stage, drop_stages, require_columns, shared_folder, stage
 from .bwt import repeats_of_length
+from .components import salted_join, salted_lookup
 from .jaccard_join import FIRST_ID
 from .verification import groups_in_order
 from .words import mixed, runs_of_texts, text_buffers
@@ -47,6 +50,10 @@ MANY_CONTEXTS = 512
 PARTS = 4
 #: Bytes of text indexed together.
 INDEX_BYTES = 1 << 18
+#: Bytes of one key that are gathered in a task, and keys beyond that whose list is
+#: broadcast (8 bytes each); a longer list is joined.
+HOT_BYTES = 1 << 20
+HOT_KEYS = 1 << 20
 
 _random = np.random.default_rng(8)
 _BYTE = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * 2 + 1
@@ -321,8 +328,9 @@ def repeats_in(pieces: pa.Table, length: int) -> list[np.ndarray]:
 
 
 def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
-    """Ranges of repeats among pieces with equal keys. Groups are indexed
-    together up to a bound; one piece alone has nothing to repeat."""
+    """Ranges of repeats among pieces with equal keys, none of more than
+    ``HOT_BYTES``. Groups are indexed together up to a bound; one piece alone has
+    nothing to repeat."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -349,6 +357,54 @@ def compare_pieces(pieces: DataFrame, length: int) -> DataFrame:
     return ordered.mapInArrow(compare, RANGES_SCHEMA)
 
 
+WINDOWS_SCHEMA = "high long, low long, doc_id long, name long, start int"
+
+
+def compare_windows(pieces: DataFrame, length: int) -> DataFrame:
+    """The same for pieces of keys that are too large to gather: every window is a
+    row with its 128-bit digest. The first place of a digest is combined before the
+    shuffle and comes back spread over many join keys."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, owners, starts = [], [], []
+            begins = batch.column(2).to_pylist()
+            for i, piece in enumerate(batch.column(3).to_pylist()):
+                n = len(piece) - length + 1
+                digests += [xxhash.xxh3_128_digest(piece[k : k + length]) for k in range(n)]
+                owners += [i] * n
+                starts += range(begins[i], begins[i] + n)
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            at = pa.array(owners, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(halves[:, 0]), pa.array(halves[:, 1]), batch.column(0).take(at),
+                    batch.column(1).take(at), pa.array(starts, pa.int32()),
+                ],
+                ["high", "low", "doc_id", "name", "start"],
+            )
+
+    found = pieces.select("doc_id", "name", "start", "bytes").mapInArrow(windows, WINDOWS_SCHEMA)
+    firsts = found.groupBy("high", "low").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    met = salted_join(found, firsts, ["high", "low"], "name")
+    later = met.where(F.struct("doc_id", "start") != F.col("first"))
+    return later.select("doc_id", "name", "start", (F.col("start") + length).cast("int").alias("stop"))
+
+
+def _compared(pieces: DataFrame, length: int, folder: str) -> DataFrame:
+    sizes = pieces.groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("size"))
+    hot, seen = counted_stage(sizes.where(F.col("size") > HOT_BYTES).select("key"), f"{folder}/hot", n=F.count("*"))
+    if not seen["n"]:
+        return compare_pieces(pieces, length)
+    hot = hot.withColumn("hot", F.lit(True))
+    if seen["n"] <= HOT_KEYS:
+        marked = pieces.join(F.broadcast(hot), "key", "left")
+    else:
+        marked = salted_lookup(pieces, hot, "key", "name", "hot")
+    small = compare_pieces(marked.where("hot IS NULL").drop("hot"), length)
+    return small.unionByName(compare_windows(marked.where("hot"), length))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID)).alias("doc_id"),
@@ -367,8 +423,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = _keyed(docs)
     buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = stage(meet_runs(enter_runs(texts, buckets, length), length), f"{folder}/met")
-    pieces = cut_pieces(texts, met.where("open"), length)
-    compared = stage(compare_pieces(pieces, length), f"{folder}/compared")
+    pieces = stage(cut_pieces(texts, met.where("open"), length), f"{folder}/pieces")
+    compared = stage(_compared(pieces, length, folder), f"{folder}/compared")
+    drop_stages(spark, f"{folder}/pieces", f"{folder}/hot")
     return met.where("NOT open").select("doc_id", "name", "start", "stop").unionByName(compared)
 
 

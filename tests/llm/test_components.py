@@ -1,5 +1,6 @@
 import random
 
+from asksift.llm import components
 from asksift.llm.components import connected_components
 
 
@@ -29,3 +30,22 @@ def test_random_graphs(spark):
 def test_star_and_nothing(spark):
     check(spark, [(500, i) for i in range(60)])
     check(spark, [])
+
+
+def test_long_paths_over_many_tasks(spark, monkeypatch):
+    """Paths whose edges are dealt out one by one do not shrink by trees alone."""
+    monkeypatch.setattr(components, "TREE_EDGES", 1)
+    used = []
+    stars = components._by_stars
+    monkeypatch.setattr(components, "_by_stars", lambda *x: used.append(1) or stars(*x))
+    rng = random.Random(3)
+    names = rng.sample(range(1000), 120)
+    check(spark, [e for low in (0, 60) for e in zip(names[low : low + 60], names[low + 1 : low + 60])])
+    assert used
+
+
+def test_a_hot_node_among_small_groups(spark):
+    rng = random.Random(4)
+    edges = [(5, 1000 + i) for i in range(400)] + [(i, i + rng.randrange(1, 4)) for i in range(2000, 2300)]
+    rng.shuffle(edges)
+    check(spark, edges)

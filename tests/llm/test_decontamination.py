@@ -40,9 +40,9 @@ def texts(seed, n, longest):
     return [" ".join(rng.choice("ab cd Ef gh é1 the of".split()) for _ in range(rng.randrange(longest))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("per_pass", [20_000, 3])
+@pytest.mark.parametrize("per_pass", [d.PASS_BYTES, 40])
 def test_against_brute_force(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(d, "ITEMS_PER_PASS", per_pass)
+    monkeypatch.setattr(d, "PASS_BYTES", per_pass)
     items = list(enumerate(texts(1, 8, 9))) + [(None, "ab ab ab"), (90, ""), (91, None), (92, "AB, cd!")]
     docs = list(enumerate(texts(2, 60, 40))) + [(5, "ab cd"), (None, "cd ab cd"), (70, None), (71, "...")]
     docs += [(72, docs[0][1]), (0, docs[0][1])]
@@ -74,3 +74,41 @@ def test_documents_that_stay(spark):
     bench = spark.createDataFrame([("x", 1, "a b c")], ITEMS)
     kept = d.decontaminate_documents(docs, bench)
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "None"]
+
+
+def test_phrases_are_windows_once_each():
+    rng = random.Random(6)
+    rows = [(f"i{rng.randrange(9)}", " ".join(rng.choice("abc") for _ in range(rng.randrange(9)))) for _ in range(40)]
+    rows += [("i1", None), ("i2", "")]
+    found = d.test_phrases(rows, 3)
+    expected = {}
+    for item, text in rows:
+        words = plain_words(text or "")
+        size = min(3, len(words))
+        for i in range(len(words) - size + 1 if size else 0):
+            expected.setdefault(tuple(words[i : i + size]), set()).add(item)
+    plain = {hash(tuple(found.vocabulary[found.words[s : s + n]].tolist())) for s, n in zip(found.starts, found.lengths)}
+    assert len(plain) == len(found.starts) == len(expected)
+    owners = [{found.names[k] for k in found.owners[a:b]} for a, b in zip(found.firsts, found.firsts[1:])]
+    assert sorted(map(sorted, owners)) == sorted(map(sorted, expected.values()))
+
+
+def test_a_large_benchmark_in_bounded_passes(spark, monkeypatch):
+    """Many items of which few occur, over blocks of a few documents each."""
+    monkeypatch.setattr(d, "BLOCK_BYTES", 2000)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(5, 30)))) for i in range(3000)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(80))) for i in range(60)]
+    docs += [(100 + i, f"{docs[i][1]} {items[7 * i][1]} {docs[i + 1][1]}") for i in range(20)]
+    got = run(spark, docs, items)
+    few = [items[7 * i] for i in range(20)]
+    assert got == brute_force(docs, few)
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    rows = [("a b c", "x", None), ("q r s", "y", None), ("a b c", "z", 4), ("t u v", "w", 4), (None, "n", 4)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], f"{DOCS}, __id int").withColumnRenamed("extra", "__name")
+    bench = spark.createDataFrame([("x", None, "a b c"), ("x", 1, None)], ITEMS)
+    kept = d.decontaminate_documents(docs, bench)
+    assert kept.columns == docs.columns and sorted(r["__name"] for r in kept.collect()) == ["n", "w", "y"]

@@ -100,3 +100,43 @@ def test_comments_longer_than_the_article_go():
     comments = "".join(f"<p>Comment {i} of many comments here. They are long indeed.</p>" for i in range(30))
     page = f'<body><article><p>{text}</p></article><section id="comments">{comments}</section></body>'
     assert e.main_text(page) == text
+
+
+LONG = [f"Paragraph {i} of the article has words. It goes on for a while, as such texts do." for i in range(6)]
+
+
+@pytest.mark.parametrize("blocks, kept", [
+    ([f"<div>{LONG[0]}</div>", "<div>Yes</div>", f"<div>{LONG[1]}</div>"], [LONG[0], "Yes", LONG[1]]),
+    (["<h1>A title of this</h1>", "<div>By A. Writer</div>", f"<p>{LONG[0]}</p>"], ["A title of this", "By A. Writer", LONG[0]]),
+    (["<div><a href=a>Home</a></div>", "<div>All of it is here. Yes.</div>", "<div><a href=b>About us</a></div>"], []),
+    (["<a href=a>Mail</a><hr><p>Sent.</p><hr>", "<div><a href=b>One</a></div>", "<div><a href=b>Two</a></div>"], []),
+])
+def test_the_cut_is_right_where_the_sign_errs(blocks, kept):
+    found = e.label_blocks(f"<body><div>{''.join(blocks)}</div></body>")
+    assert [t for t, _, keep in found if keep] == kept
+    assert [t for t, score, _ in found if score > 0] != kept
+
+
+@pytest.mark.parametrize("page, kept", [
+    (f'<div class="story"><div class="post-header"><h1>A title</h1></div><p class="alert-text">{LONG[0]}</p></div>', ["A title", LONG[0]]),
+    (f"<article><p>Let <math><mi>x</mi> = <mn>2</mn></math> be so. It is.</p><p>{LONG[0]}</p></article>", ["Let x = 2 be so. It is.", LONG[0]]),
+    (f"<article><p>{LONG[0]}</p><iframe src=x><p>{LONG[1]}</p></article>", [LONG[0], LONG[1]]),
+    (f"<article><p>{LONG[0]}</p><svg><p>{LONG[1]}</p></article>", [LONG[0], LONG[1]]),
+    (f"<article><p title=don't>{LONG[0]}</p><p>{LONG[1]} Don't.</p></article>", [LONG[0], f"{LONG[1]} Don't."]),
+    (f"<article><noscript><p>{LONG[0]}</p></noscript><p>{LONG[1]}</p></article>", [LONG[0], LONG[1]]),
+    (f"<article><p data-x='a>b' title = \"c>d\">{LONG[0]}</p><svg><text>no</text></svg></article>", [LONG[0]]),
+])
+def test_pages_as_browsers_read_them(page, kept):
+    assert e.main_text(f"<body><nav><a href='/'>Home</a></nav>{page}</body>") == "\n\n".join(kept)
+
+
+def test_scores_are_bounded():
+    for _, score, _ in e.label_blocks(PAGE.format("article", "article")):
+        assert -e.BOUND < score < e.BOUND
+
+
+def test_a_column_of_the_result_s_name(spark):
+    df = spark.createDataFrame([("a", "b")], "html string, text string")
+    with pytest.raises(ValueError, match="text"):
+        e.extract_text(df)
+    assert e.extract_text(df, into="main").columns == ["html", "text", "main"]

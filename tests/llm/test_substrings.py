@@ -23,9 +23,13 @@ def passages(seed, n, size):
     return ["".join(rng.choice("abcdé f\x00") for _ in range(size)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("many", [512, 1])
-def test_against_brute_force(spark, monkeypatch, many):
+@pytest.mark.parametrize("many, hot, listed", [(512, 1 << 20, 9), (1, 1 << 20, 9), (512, 300, 1 << 20), (1, 0, 1)])
+def test_against_brute_force(spark, monkeypatch, many, hot, listed):
+    """``hot`` and ``listed``: gathered, some windows spread with a list that is
+    broadcast, and all of them with one that is joined."""
     monkeypatch.setattr(s, "MANY_CONTEXTS", many)
+    monkeypatch.setattr(s, "HOT_BYTES", hot)
+    monkeypatch.setattr(s, "HOT_KEYS", listed)
     rng = random.Random(2)
     shared = passages(3, 6, 150)
     rows = []
@@ -58,3 +62,25 @@ def test_repeated_rows_and_null_ids(spark):
     rows = [(r.doc_id, r.n_removed) for r in s.dedupe_substrings(docs).collect()]
     n = len(b.encode())
     assert sorted(rows, key=str) == sorted([(1, 0), (1, 0), (None, 0), (5, n)], key=str)
+
+
+def test_a_passage_of_many_documents_is_not_gathered(spark, monkeypatch):
+    """Passages of 90 to 130 bytes in unlike surroundings meet under one key."""
+    monkeypatch.setattr(s, "HOT_BYTES", 4000)
+    groups = s.groups_in_order
+
+    def seen(batches, keys):
+        for table in groups(batches, keys):
+            if keys == ["key"]:
+                assert table.column("bytes").nbytes <= 3 * 4000
+            yield table
+
+    monkeypatch.setattr(s, "groups_in_order", seen)
+    (a,) = passages(8, 1, 130)
+    rows = []
+    for i in range(150):
+        rng = random.Random(i)
+        around = ["".join(rng.choice("ghijklmn ") for _ in range(160)) for _ in range(2)]
+        rows.append((i, around[0] + a[: rng.randrange(90, 131)] + around[1]))
+    got = check(spark, rows)
+    assert sum(x[1] > 0 for x in got.values()) > 100
