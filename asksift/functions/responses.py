@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
-from .text import BLANK, strip, strip_quotes
+from .text import BLANK, strip, strip_quotes, strip_upper
 
 # Keys of a label item and the label of an item without one.
 TEXT_KEY = "query"
@@ -20,15 +19,6 @@ CATEGORIES = ["Foreground", "Background", "Unrelated"]
 FOREGROUND = "Foreground"
 TOO_VAGUE = "Error: Intervention too vague."
 
-LABEL_ITEM = T.StructType(
-    [
-        T.StructField(TEXT_KEY, T.StringType()),
-        T.StructField(LABEL_KEY, T.StringType()),
-    ]
-)
-_ARROW_ITEMS = pa.list_(pa.struct([(TEXT_KEY, pa.string()), (LABEL_KEY, pa.string())]))
-
-
 def json_array_text(raw: Column) -> Column:
     """From the first ``[`` to the last ``]``, null when there is none.
 
@@ -37,39 +27,39 @@ def json_array_text(raw: Column) -> Column:
     return F.nullif(F.regexp_extract(raw, r"(?s)\[.*\]", 0), F.lit(""))
 
 
-def _label_item(item) -> dict:
-    if not isinstance(item, dict):
-        return {TEXT_KEY: None, LABEL_KEY: None}
-    echo, label = item.get(TEXT_KEY, ""), item.get(LABEL_KEY, DEFAULT_LABEL)
-    return {
-        TEXT_KEY: echo.strip() if isinstance(echo, str) else None,
-        LABEL_KEY: label.strip().upper() if isinstance(label, str) else None,
-    }
-
+def _label_item(item: Column) -> Column:
+    """A JSON value as (query, explicit_question)."""
 
-def _label_items(text: str | None) -> list[dict] | None:
-    if text is None:
-        return None
-    try:
-        return [_label_item(item) for item in json.loads(text)]
-    except (ValueError, RecursionError):
-        return None
+    def field(name: str, default: str, tidy: Callable[[Column], Column]) -> Column:
+        value = F.try_variant_get(item, f"$.{name}", "variant")
+        said = F.try_variant_get(item, f"$.{name}", "string")
+        is_text = F.schema_of_variant(value) == "STRING"
+        return F.when(value.isNull(), F.lit(default)).when(is_text, tidy(said))
 
-
-@F.arrow_udf(returnType=T.ArrayType(LABEL_ITEM))
-def _strict_items(texts: pa.Array) -> pa.Array:
-    return pa.array([_label_items(t) for t in texts.to_pylist()], type=_ARROW_ITEMS)
+    is_object = F.schema_of_variant(item).startswith("OBJECT")
+    return F.struct(
+        F.when(is_object, field(TEXT_KEY, "", strip)).alias(TEXT_KEY),
+        F.when(is_object, field(LABEL_KEY, DEFAULT_LABEL, strip_upper)).alias(LABEL_KEY),
+    )
 
 
 def parse_labels(raw: Column) -> Column:
     """Response text to an array of (query, explicit_question).
 
-    Null when the text holds no well-formed JSON array. Spark's own JSON
-    readers accept text after the array, so the strict parse runs in an Arrow
-    UDF: one call per response, that is per batch of texts. An item that is no
-    object, or whose label is no string, keeps its place with a null label.
+    Null when the text holds no well-formed JSON array. Spark's JSON readers stop
+    at the end of the first value and accept text behind it; so the array is read
+    inside brackets, where it has to be the only value, and inside an object: what
+    could end the one early is an error in the other. An item that is no object, or whose label is no string,
+    keeps its place with a null label. A key that comes twice in an item, or a
+    number that is none in JSON (NaN), makes the whole text unreadable.
     """
-    return _strict_items(json_array_text(raw))
+    text = json_array_text(raw)
+    inside = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    values = F.try_variant_get(inside, "$", "array<variant>")
+    alone = (F.size(values) == 1) & named.isNotNull()
+    items = F.when(alone, F.try_variant_get(values[0], "$", "array<variant>"))
+    return F.transform(items, _label_item)
 
 
 def triage_category(raw: Column) -> Column:

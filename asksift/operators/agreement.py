@@ -122,12 +122,16 @@ def _rater_pairs(
 def pair_agreement(patterns: DataFrame, raters: list[str]) -> DataFrame:
     """Share of equal ratings for every pair of raters, self pairs included.
     A case counts where both have rated it."""
+    return agreement_of_pairs(_rater_pairs(patterns, raters, with_self=True))
+
+
+def agreement_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The same from ``rater_i, rater_j, rating_i, rating_j, n_cases``."""
     both = F.col("rating_i").isNotNull() & F.col("rating_j").isNotNull()
     same = F.col("rating_i") == F.col("rating_j")
     zero = F.lit(0).cast("long")
     return (
-        _rater_pairs(patterns, raters, with_self=True)
-        .groupBy("rater_i", "rater_j")
+        pairs.groupBy("rater_i", "rater_j")
         .agg(
             F.sum(F.when(same, F.col("n_cases")).otherwise(zero)).alias("n_same"),
             F.sum(F.when(both, F.col("n_cases")).otherwise(zero)).alias("n_both"),
@@ -136,6 +140,43 @@ def pair_agreement(patterns: DataFrame, raters: list[str]) -> DataFrame:
     )
 
 
+def pair_contingency(
+    long: DataFrame, case: str, raters: list[str], complete: bool = False, with_self: bool = True
+) -> DataFrame:
+    """How many cases two raters put where: ``rater_i, rater_j, rating_i, rating_j,
+    n_cases``, for every pair in the order of ``raters``.
+
+    For many raters, where hardly two cases have the same ratings throughout: a
+    case's ratings (one per rater; of several the greatest counts) meet in an array
+    that is as long as there are raters, and its pairs are counted before they
+    are shuffled, so what is shuffled then is raters^2 times categories^2 rows per
+    task at most. Missing ratings make no pair; with ``complete``, only cases that
+    all raters have rated count.
+    """
+    places = F.create_map(*[F.lit(x) for i, r in enumerate(raters) for x in (r, i)])
+    rated = long.where(F.col("rating").isNotNull() & F.col("rater").isin(raters))
+    one = rated.groupBy(case, "rater").agg(F.max("rating").alias("rating"))
+    entry = F.struct(places[F.col("rater")].alias("place"), "rater", "rating")
+    cases = one.groupBy(case).agg(F.array_sort(F.collect_list(entry)).alias("__ratings"))
+    if complete:
+        cases = cases.where(F.size("__ratings") == len(raters))
+    ratings = F.col("__ratings")
+
+    def with_later(x: Column, i: Column) -> Column:
+        begin = i + (1 if with_self else 2)
+        later = F.slice(ratings, begin, F.greatest(F.size(ratings) - begin + 1, F.lit(0)))
+        return F.transform(
+            later,
+            lambda y: F.struct(
+                x["rater"].alias("rater_i"), y["rater"].alias("rater_j"),
+                x["rating"].alias("rating_i"), y["rating"].alias("rating_j"),
+            ),
+        )
+
+    pairs = cases.select(F.inline(F.flatten(F.transform(ratings, with_later))))
+    return pairs.groupBy(*pairs.columns).agg(F.count("*").alias("n_cases"))
+
+
 def rater_label(rater: Column, names: dict[str, str]) -> Column:
     """Display name of a rater, its own name where none is given."""
     if not names:
@@ -180,13 +221,18 @@ def agreement_matrix(
 
 
 def cohen_kappa(patterns: DataFrame, raters: list[str]) -> DataFrame:
-    """Cohen's kappa of every pair, over the cases that all raters have rated.
+    """Cohen's kappa of every pair, over the cases that all raters have rated."""
+    complete = patterns.na.drop(subset=raters)
+    return kappa_of_pairs(_rater_pairs(complete, raters, with_self=False))
+
+
+def kappa_of_pairs(pairs: DataFrame) -> DataFrame:
+    """Cohen's kappa per ``rater_i, rater_j`` from ``rating_i, rating_j, n_cases``.
 
     With N cases, D of them on the diagonal and E the sum over categories of
     row total times column total, kappa = (D N - E) / (N^2 - E); null when
     chance alone explains everything (N^2 = E).
     """
-    complete = patterns.na.drop(subset=raters)
     n = F.col("n_cases")
     zero = F.lit(0).cast("long")
     same = F.col("rating_i") == F.col("rating_j")
@@ -205,8 +251,7 @@ def cohen_kappa(patterns: DataFrame, raters: list[str]) -> DataFrame:
         ),
     )
     margins = (
-        _rater_pairs(complete, raters, with_self=False)
-        .select("rater_i", "rater_j", "n_cases", "rating_i", "rating_j")
+        pairs.select("rater_i", "rater_j", "n_cases", "rating_i", "rating_j")
         .select("rater_i", "rater_j", F.inline(sides))
         .groupBy("rater_i", "rater_j", "category")
         .agg(

@@ -13,6 +13,9 @@ from .identity import number_rows
 BATCH_SIZE = 50
 RUN_PREFIX = "LLM_run"
 
+# A bucket of reshuffled ids has about so many before buckets get finer.
+BUCKET_IDS = 4096
+
 DEFAULT_PREAMBLE = (
     "The list below holds search queries in several languages. Say for each one "
     "whether it explicitly asks a question.\n\n"
@@ -75,8 +78,11 @@ def _cut(ranked: DataFrame, rank: str, size: int) -> DataFrame:
 
 
 def _cut_seeded(texts: DataFrame, runs: list[Run], size: int) -> DataFrame:
-    """Numbered by hash order, in 65,536 even buckets per run. Only ids are
-    numbered; the texts join once, after that."""
+    """Numbered by hash order, in even buckets of some thousand ids, at most 65,536
+    per run. Only ids are numbered; the texts join once, after that."""
+    ids, digits = texts.count(), 1
+    while digits < 4 and ids >> (4 * digits) > BUCKET_IDS:
+        digits += 1
     keyed = run_matrix(texts.select("UniqueID"), runs).withColumn(
         "__key", shuffle_key(F.col("seed"), F.col("UniqueID"))
     )
@@ -84,7 +90,7 @@ def _cut_seeded(texts: DataFrame, runs: list[Run], size: int) -> DataFrame:
         keyed,
         "__rank",
         order=[F.col("__key"), F.col("UniqueID")],
-        levels=[F.substring("__key", 1, 4)],
+        levels=[F.substring("__key", 1, digits)],
         within=("run_name",),
     )
     return _cut(ranked, "__rank", size).join(texts, "UniqueID")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,7 +16,9 @@ from ..functions.responses import (
     triage_category,
     triage_reasoning,
 )
-from ..sources.stages import shared_folder, stage
+from ..sources.stages import shared_folder
+from .asking import ask_open, last_answers
+from .calls import Pool, in_order
 from .merging import NOT_AVAILABLE
 
 CallFn = Callable[[str, str], str]
@@ -85,34 +88,23 @@ def foreground(triaged: DataFrame) -> DataFrame:
 
 
 def _ask(
-    df: DataFrame,
-    calls: dict[str, CallFn],
-    template: Template,
-    raw: str,
-    error: str,
-    only: str | None = None,
+    df: DataFrame, calls: dict[str, CallFn], template: Template, tasks: int | None, pool: Pool
 ) -> DataFrame:
-    """Add the answer of each row's model and the error of a failed call. With
-    ``only``, rows whose category differs are not asked."""
+    """Add the answer of each row's model, empty if the call failed, and its error."""
     lead, system = template.lead, template.system
+    if tasks:
+        df = df.repartition(tasks, "UniqueID", "model")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            wanted = frame["category"] == only if only else [True] * len(frame)
-            answers, errors = [], []
-            for text, model, ask in zip(frame["Query"], frame["model"], wanted):
-                answer, problem = None, None
-                if ask:
-                    try:
-                        answer = calls[model](system, f"{lead}\n{text}")
-                    except Exception as failure:
-                        answer, problem = "", str(failure)
-                answers.append(answer)
-                errors.append(problem)
-            yield frame.assign(**{raw: answers, error: errors})
+            rows = zip(frame["Query"], frame["model"])
+            asks = (partial(calls[model], system, f"{lead}\n{text}") for text, model in rows)
+            answers = list(in_order(asks, pool))
+            raws = [raw if error is None else "" for raw, error in answers]
+            yield frame.assign(raw=raws, error=[error for _, error in answers])
 
     fields = [f"`{name}` {kind}" for name, kind in df.dtypes]
-    schema = ", ".join([*fields, f"{raw} string", f"{error} string"])
+    schema = ", ".join([*fields, "raw string", "error string"])
     return df.mapInPandas(run, schema)
 
 
@@ -123,36 +115,41 @@ def triage_with_calls(
     reformulate: Template = REFORMULATE,
     tasks: int | None = None,
     folder: str | None = None,
+    pool: Pool = Pool(),
+    waves: int = 1,
+    rounds: int = 1,
 ) -> DataFrame:
     """Ask every model about every text, then once more for foreground texts.
 
-    The first answers are written to a stage table before the second question,
-    so a task lost later does not ask again. Failed calls leave an empty answer
-    and an error; the row stays. ``tasks`` sets how many tasks call at a time.
+    All answers are kept in tables below ``folder``; called again with the same
+    folder, only what has no answer yet is asked. ``waves`` and ``rounds`` are those
+    of ``ask_open``. Failed calls leave an empty answer and an error; the row stays.
+    ``tasks`` sets how many tasks call at a time, ``pool`` how each of them does.
     """
     folder = folder or shared_folder(texts.sparkSession)
+    keys = ["UniqueID", "model", "Query"]
+    answered = F.col("error").isNull()
+
+    def first(rows: DataFrame) -> DataFrame:
+        return parse_triage(_ask(rows, calls, classify, tasks, pool)).drop("raw")
+
+    def second(rows: DataFrame) -> DataFrame:
+        asked = _ask(rows.select(*keys), calls, reformulate, tasks, pool)
+        return asked.select(*keys, structured_question(F.col("raw")).alias("question"), "error")
+
     matrix = model_matrix(texts.select("UniqueID", "Query"), list(calls))
-    if tasks:
-        matrix = matrix.repartition(tasks, "UniqueID", "model")
-    asked = _ask(matrix, calls, classify, "raw", "error")
-    first = stage(parse_triage(asked), f"{folder}/classified")
-    if tasks:
-        first = first.repartition(tasks, "UniqueID", "model")
-    second = _ask(
-        first.drop("raw"),
-        calls,
-        reformulate,
-        "raw_question",
-        "question_error",
-        only=FOREGROUND,
-    )
-    return second.select(
+    classified = ask_open(matrix, keys, f"{folder}/classified", first, answered, waves, rounds)
+    classified = last_answers(classified, keys, ["category", "reasoning", "error"])
+    wanted = foreground(classified)
+    asked = ask_open(wanted, keys, f"{folder}/reformulated", second, answered, waves, rounds)
+    asked = last_answers(asked, keys, ["question", "error"]).withColumnRenamed("error", "question_error")
+    return classified.join(asked, keys, "left").select(
         "UniqueID",
         "Query",
         "model",
         "category",
         "reasoning",
-        structured_question(F.col("raw_question")).alias("question"),
+        F.coalesce("question", F.lit("")).alias("question"),
         F.coalesce("error", "question_error").alias("error"),
     )
 

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.identity import assign_ids, distinct_texts
-from ..sources.stages import shared_folder, stage
+from ..sources.stages import drop_stages, shared_folder, stage
+
+
+def number_distinct(
+    log: DataFrame, folder: str, text: str = "Query", ordinal: str = "ordinal"
+) -> DataFrame:
+    """One row per text: the text, its first ordinal, its log rows, its id. The
+    distinct rows are sorted straight out of the one shuffle of the log and written
+    below ``folder`` with their places, which the result reads."""
+    return assign_ids(distinct_texts(log, text, ordinal), text=text, folder=folder)
 
 
 def dedupe(
@@ -14,12 +23,9 @@ def dedupe(
     text: str = "Query",
     ordinal: str = "ordinal",
 ) -> DataFrame:
-    """One row per text: the text, its first ordinal, its log rows, its id.
-
-    The one shuffle of the log is written out first; numbering then reads the
-    distinct rows only. The result is a stage table itself, so that nothing
-    built on it comes back to the log.
-    """
+    """The same as a stage table, so that nothing built on it comes back to the
+    log."""
     folder = folder or shared_folder(log.sparkSession)
-    found = stage(distinct_texts(log, text, ordinal), f"{folder}/distinct_texts")
-    return stage(assign_ids(found, text=text, folder=folder), f"{folder}/distinct")
+    done = stage(number_distinct(log, folder, text, ordinal), f"{folder}/distinct")
+    drop_stages(log.sparkSession, f"{folder}/sorted")
+    return done

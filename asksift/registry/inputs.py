@@ -216,3 +216,18 @@ def document_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MANY_RATERS = [f"rater{i:02d}" for i in range(40)]
+
+
+def many_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty raters of every document, long: each follows the rules but for some
+    documents, and leaves some out."""
+    docs = documents(spark, sf_dir).select("doc_id", is_question(F.col("text")).cast("int").alias("rules"))
+    rater = F.explode(F.array(*[F.lit(r) for r in MANY_RATERS])).alias("rater")
+    digit = hex_digit(F.col("rater"), F.col("doc_id").cast("string"))
+    errs = (digit < F.lit("3")).cast("int")
+    return (
+        docs.select("doc_id", "rules", rater)
+        .where((digit != "f") | (F.col("doc_id") % 2 == 0))
+        .select("doc_id", "rater", (F.col("rules").bitwiseXOR(errs)).alias("rating"))
+    )

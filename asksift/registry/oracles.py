@@ -18,7 +18,7 @@ from ..functions.rules import (
 )
 from ..operators.batching import BATCH_SIZE
 from ..operators.triage import CLASSIFY
-from .inputs import DISPLAY, DOC_RATERS, LONG_TEXT, MODELS, RATER_SETS, RUN_NAMES, RUNS
+from .inputs import DISPLAY, DOC_RATERS, LONG_TEXT, MANY_RATERS, MODELS, RATER_SETS, RUN_NAMES, RUNS
 from .queries import PREAMBLE, SAMPLE_SIZE, SLICE
 
 BLANK = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
@@ -269,6 +269,12 @@ CTE = {
     )
     + "\n UNION ALL SELECT \"UniqueID\", 'any_run', CAST(max(CAST(label = 'YES' AS INTEGER)) AS VARCHAR)"
     + ' FROM labels GROUP BY "UniqueID"',
+    "many_votes": f"""
+        SELECT doc_id AS id, rater, CAST(CAST(rules <> errs AS INTEGER) AS VARCHAR) AS rating
+        FROM (SELECT doc_id, rater, {is_question('text')} AS rules, {digit('rater', 'doc_id')} AS d,
+                     {digit('rater', 'doc_id')} < '3' AS errs
+              FROM documents, {table_of("rater", [f"({text(r)})" for r in MANY_RATERS])} m)
+        WHERE d <> 'f' OR doc_id % 2 = 0""",
     "model_votes": "\n UNION ALL ".join(
         f"SELECT \"UniqueID\" AS id, model AS rater, category AS rating FROM triaged "
         f"WHERE model = {text(m)} AND category <> ''"
@@ -675,6 +681,10 @@ def oracles() -> dict[str, str]:
             OVERALL,
             sums=category_sums("model_votes", model_sets),
         ),
+        "agreement_pairs_many": using(["many_votes"], PAIRS, pairs=pair_sums(MANY_RATERS, "many_votes")),
+        "kappa_pairs_many": using(
+            ["many_votes"], "SELECT * REPLACE (round(kappa, 9) AS kappa) FROM kappas", **kappa("many_votes", MANY_RATERS)
+        ),
         "agreement_category_pairs": using(
             [*TRIAGED, "model_votes"], PAIRS, pairs=pair_sums(MODELS, "model_votes")
         ),
@@ -686,6 +696,23 @@ def oracles() -> dict[str, str]:
             f"""SELECT "UniqueID", "Query" FROM texts
                 ORDER BY md5('review:' || "UniqueID"), "UniqueID" LIMIT {SAMPLE_SIZE}""",
         ),
+        "review_sample_by_lang": f"""
+            WITH sizes AS (SELECT lang, count(*) AS n, least({SAMPLE_SIZE}, sum(count(*)) OVER ()) AS wanted,
+                                  sum(count(*)) OVER () AS total FROM documents GROUP BY lang),
+                 shares AS (SELECT lang, n * wanted // total AS least, n * wanted % total AS over, wanted FROM sizes),
+                 quotas AS (SELECT lang, least + CAST(row_number() OVER (ORDER BY over DESC, lang NULLS FIRST)
+                                   <= wanted - sum(least) OVER () AS INTEGER) AS quota FROM shares)
+            SELECT doc_id, lang FROM (
+                SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('review:' || doc_id), doc_id) AS place
+                FROM documents) JOIN quotas USING (lang) WHERE place <= quota""",
+        "detection_counts": using(
+            [*ALIGNED, "ruled"],
+            """SELECT (SELECT count(*) FROM log) AS log_rows,
+                      (SELECT count(*) FROM texts) AS distinct_texts,
+                      (SELECT count(*) FROM job_eligible) AS eligible_texts,
+                      (SELECT count(*) FROM log JOIN job_eligible USING ("Query")) AS eligible_rows""",
+            job_wide=job_wide, job_labelled=job_labelled, job_eligible=job_eligible,
+        ),
         "stage_funnel": using(
             ELIGIBLE,
             """SELECT (SELECT count(*) FROM log) AS log_rows,
@@ -718,6 +745,34 @@ def oracles() -> dict[str, str]:
             FROM turns t JOIN turn_texts u USING ("Query")
             LEFT JOIN turn_labels a ON a."UniqueID" = u."UniqueID" AND a.run_name = 'LLM_run1_x'
             LEFT JOIN turn_labels b ON b."UniqueID" = u."UniqueID" AND b.run_name = 'LLM_run2_x'""",
+        "detection_job_files": using(
+            [*ALIGNED, "ruled"],
+            f"""SELECT log.doc_id, log."Query", r."UniqueID", r."Rules", {wide_columns}
+                FROM log LEFT JOIN ruled r USING ("Query")
+                LEFT JOIN job_wide w USING ("UniqueID")""",
+            job_wide=job_wide,
+        ).replace(CTE["cells"], "SELECT 1").replace(
+            CTE["log"],
+            f"""SELECT doc_id AS ordinal, doc_id, {clean("regexp_extract(text, '^[^.]*')")} AS "Query"
+                FROM documents""",
+        ),
+        "detection_job_resumed": f"""
+            WITH turns AS ({turns}), turn_texts AS ({turn_texts}), turn_batches AS ({turn_batches}),
+                 asked AS (SELECT run_name, batch_id, NOT bool_or(contains("Query", '@')) AS usable
+                           FROM turn_batches GROUP BY run_name, batch_id)
+            SELECT run_name, CAST(r AS INTEGER) AS "round", usable, count(*) AS n_batches
+            FROM asked, range(1, 3) AS t(r) WHERE r = 1 OR NOT usable GROUP BY ALL""",
+        "triage_call_limit": using(
+            ELIGIBLE,
+            """SELECT "UniqueID", "Query", 'slow' AS model,
+                      CASE WHEN hangs THEN '' ELSE 'Background' END AS category,
+                      CASE WHEN hangs THEN '' ELSE 'answered' END AS reasoning, '' AS question,
+                      CASE WHEN hangs THEN 'no answer within 2 s' END AS error
+               FROM (SELECT *, substr(md5('slow:' || "Query"), 1, 2) = '00' AS hangs FROM eligible)""",
+        ),
+        "ratings_short_rows": """
+            SELECT CAST(doc_id AS INTEGER) AS doc_id, CASE WHEN doc_id % 3 <> 0 THEN quality END AS quality,
+                   CASE WHEN doc_id % 3 <> 0 THEN toxic END AS toxic FROM labels""",
         "triage_job": using(
             [*ALIGNED, "ruled"],
             'SELECT "UniqueID", "Query", '

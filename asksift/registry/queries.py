@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -24,6 +25,7 @@ from ..operators.batching import (
     render_prompts,
     run_matrix,
 )
+from ..operators.calls import Pool
 from ..operators.eligibility import eligible, eligible_from_long
 from ..operators.identity import keep_first
 from ..operators.labelling import (
@@ -41,7 +43,7 @@ from ..operators.merging import (
     merge_back,
     widen_labels,
 )
-from ..operators.reporting import head, review_sample, stage_funnel, tail
+from ..operators.reporting import head, review_sample, stage_funnel, stratified_sample, tail
 from ..operators.triage import (
     CLASSIFY,
     foreground,
@@ -60,7 +62,7 @@ from ..plans.question_detection import (
     write_requests,
 )
 from ..plans.triage_questions import triage_labelled_log, triage_questions
-from ..sources.readers import read_log, read_ratings
+from ..sources.readers import ROW_BITS, read_log, read_ratings
 from ..sources.stages import read_table, shared_folder, stage, write_table
 from ..sources.writers import append_dead_letters, write_csv
 from . import inputs as given
@@ -169,7 +171,8 @@ def keep_first_by_key(spark, sf_dir):
 @_query("file_order")
 def file_order(spark, sf_dir):
     log = read_log(spark, f"{sf_dir}/documents.parquet", text="text")
-    return log.select("doc_id", F.col("ordinal.row").alias("place"), F.length("text").alias("n_kept"))
+    place = F.col("ordinal").bitwiseAND((1 << ROW_BITS) - 1)
+    return log.select("doc_id", place.alias("place"), F.length("text").alias("n_kept"))
 
 
 # Batches and prompts
@@ -411,6 +414,22 @@ def triage_call_udf(spark, sf_dir):
     return triage_with_calls(texts, MODEL_CALLS)
 
 
+def _slow_call(system: str, user: str) -> str:
+    """A stand-in model that hangs on some texts, by the hash of the message."""
+    text = user.split("\n", 1)[1]
+    if hashlib.md5(f"slow:{text}".encode()).hexdigest().startswith("00"):
+        time.sleep(6)
+    return "Category: Background\nReasoning: answered"
+
+
+@_query("triage_call_limit")
+def triage_call_limit(spark, sf_dir):
+    """Calls in a pool of threads, each with a time limit: a hanging call ends
+    with an error row and the others go on."""
+    texts = eligible(given.labelled_texts(spark, sf_dir))
+    return triage_with_calls(texts, {"slow": _slow_call}, pool=Pool(8, 2))
+
+
 # Agreement
 
 
@@ -530,6 +549,21 @@ def kappa_categories(spark, sf_dir):
     return agree.cohen_kappa(_category_patterns(spark, sf_dir), given.MODELS)
 
 
+@_query("agreement_pairs_many")
+def agreement_pairs_many(spark, sf_dir):
+    """Forty raters, from long ratings."""
+    pairs = agree.pair_contingency(given.many_ratings(spark, sf_dir), "doc_id", given.MANY_RATERS)
+    return agree.agreement_of_pairs(pairs)
+
+
+@_query("kappa_pairs_many")
+def kappa_pairs_many(spark, sf_dir):
+    pairs = agree.pair_contingency(
+        given.many_ratings(spark, sf_dir), "doc_id", given.MANY_RATERS, complete=True, with_self=False
+    )
+    return agree.kappa_of_pairs(pairs).withColumn("kappa", F.round("kappa", 9))
+
+
 # Reports, sources and whole jobs
 
 
@@ -539,6 +573,20 @@ def review_sample_ids(spark, sf_dir):
     return review_sample(distinct, SAMPLE_SIZE, "review").select("UniqueID", "Query")
 
 
+@_query("review_sample_by_lang")
+def review_sample_by_lang(spark, sf_dir):
+    """The same number of documents, every language in proportion."""
+    docs = given.documents(spark, sf_dir).select("doc_id", "lang")
+    return stratified_sample(docs, "lang", SAMPLE_SIZE, "review", key="doc_id")
+
+
+@_query("detection_counts")
+def detection_counts(spark, sf_dir):
+    """The funnel of a detection job, from counts taken while it wrote."""
+    counts = _detection(spark, sf_dir).counts
+    return spark.createDataFrame([counts], ", ".join(f"{name} long" for name in counts))
+
+
 @_query("stage_funnel")
 def funnel(spark, sf_dir):
     return stage_funnel(given.labelled_texts(spark, sf_dir))
@@ -561,6 +609,22 @@ def csv_roundtrip(spark, sf_dir):
     return agree.rating_patterns(read_ratings(spark, path), given.DOC_RATERS)
 
 
+@_query("ratings_short_rows")
+def ratings_short_rows(spark, sf_dir):
+    """Rating rows that end early, or in separators without a cell."""
+    path = f"{shared_folder(spark)}/short"
+    labels = given.table(spark, sf_dir, "labels")
+    cells = F.concat_ws(";", "doc_id", "quality", "toxic")
+    line = (
+        F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string"))
+        .when(F.col("doc_id") % 3 == 1, F.concat(cells, F.lit(";;")))
+        .otherwise(cells)
+    )
+    rows = labels.select(line.alias("doc_id;quality;toxic"))
+    rows.write.options(header=True, quote="", sep="\t").csv(path)
+    return read_ratings(spark, path)
+
+
 @_query("ratings_cells")
 def ratings_cells(spark, sf_dir):
     """Labels in the cell texts of spreadsheets, read back as numbers."""
@@ -604,21 +668,53 @@ def detection_job(spark, sf_dir):
     return _detection(spark, sf_dir).log
 
 
-@_query("detection_job_calls")
-def detection_job_calls(spark, sf_dir):
-    """The whole first job with callables, on the conversation turns."""
+def _turns(spark, sf_dir):
     turns = given.table(spark, sf_dir, "conversations")
-    log = turns.select(
+    return turns.select(
         (F.col("conv_id") * given.ROW_STEP + F.col("turn")).alias("ordinal"),
         "role",
         normalize_text(F.col("text")).alias("Query"),
     )
+
+
+@_query("detection_job_calls")
+def detection_job_calls(spark, sf_dir):
+    """The whole first job with callables, on the conversation turns."""
+    log = _turns(spark, sf_dir)
     runs = [Run("LLM_run1_x"), Run("LLM_run2_x", "s"), Run("LLM_run1_off")]
     calls = {run.name: _answer_prompt for run in runs[:2]}
     done = detect_questions(log, shared_folder(spark), runs, calls, 7, PREAMBLE)
     return done.log
 
 
+@_query("detection_job_files")
+def detection_job_files(spark, sf_dir):
+    """The first job from files, in their order: texts are numbered by file and
+    row, and every run has its stand-in answers."""
+    docs = given.documents(spark, sf_dir)
+    folder = shared_folder(spark)
+    sentence = F.regexp_extract("text", r"^[^.]*", 0)
+    write_table(docs.orderBy("doc_id").select("doc_id", sentence.alias("Query")), f"{folder}/files")
+    log = read_log(spark, f"{folder}/files")
+    requests = write_requests(log, f"{folder}/job", given.RUNS, BATCH_SIZE, PREAMBLE)
+    return label_log(f"{folder}/job", given.RUNS, given.model_responses(requests)).log.drop("ordinal")
+
+
+@_query("detection_job_resumed")
+def detection_job_resumed(spark, sf_dir):
+    """The first job over the conversation turns with callables, called three
+    times on one folder: for one run alone, for both, and again for answers that
+    could not be read. The table of all calls says what each round asked."""
+    log = _turns(spark, sf_dir)
+    runs = [Run("LLM_run1_x"), Run("LLM_run2_x", "s")]
+    folder = shared_folder(spark)
+    for names, rounds in ((["LLM_run1_x"], 1), (["LLM_run1_x", "LLM_run2_x"], 1), (["LLM_run1_x", "LLM_run2_x"], 2)):
+        calls = {name: _answer_prompt for name in names}
+        detect_questions(log, folder, runs, calls, 7, PREAMBLE, pool=Pool(4, 60), waves=2, rounds=rounds)
+    asked = read_table(spark, f"{folder}/responses", "raw")
+    return asked.groupBy("run_name", "round", "usable").agg(F.count("*").alias("n_batches"))
+
+
 @_query("triage_job")
 def triage_job(spark, sf_dir):
     """The whole second job after the first: all distinct texts, triaged."""

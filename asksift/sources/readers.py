@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import normalize_text
@@ -14,6 +16,12 @@ EMPTY_CELLS = [
     "nan", "null",
 ]
 
+#: A list of files beyond that is not broadcast, and the bits of an ordinal that
+#: number the rows of a file.
+LISTING_BYTES = 32 << 20
+ROW_BITS = 40
+
+
 def drop_null_texts(df: DataFrame, text: str = "Query") -> DataFrame:
     """Rows without a text go; blank texts stay."""
     return df.na.drop(subset=[text])
@@ -47,15 +55,50 @@ def natural_key(path: Column) -> Column:
     return F.array_join(padded, "")
 
 
-def with_file_order(df: DataFrame, fmt: str) -> DataFrame:
-    """Add ``ordinal``: a struct that follows file name and row order.
+def natural_order(path: str) -> tuple[str, str]:
+    """The same order for a path on the driver; equal keys go by the path."""
+    return re.sub(r"[0-9]+", lambda run: run.group().rjust(40, "0"), path), path
+
 
-    It holds the file's sort key, where the row's split starts, and the row's
-    place: in the file for parquet, else a number that increases along the
-    split. Each row carries its own, so nothing is joined, ranked or shuffled.
-    Formats other than parquet are landed as a stage table, which fixes those
-    numbers and spares later passes the parsing.
+def _plain(path: str) -> str:
+    """A path as the scan writes it in its rows: the list of files has an empty
+    authority, the rows have none."""
+    return path.replace(":///", ":/")
+
+
+def with_file_order(df: DataFrame, fmt: str) -> DataFrame:
+    """Add ``ordinal``, a number that follows file name and row order.
+
+    The scan's own list of files, sorted with numbers as numbers, gives each file a
+    rank, which is broadcast. For parquet the ordinal is a long: the rank, then the
+    row's number in its file. Other formats know only where a row's split starts and
+    an id that increases along the split: rank, start and id make a decimal of fixed
+    width, and the log is landed as a stage table, which fixes those ids and spares
+    later passes the parsing. A list beyond ``LISTING_BYTES`` is not broadcast: then
+    every row carries its path's sort key in a struct instead.
     """
+    listing = sorted({_plain(p) for p in df.inputFiles()}, key=natural_order)
+    if sum(map(len, listing)) > LISTING_BYTES or len(listing) >= 1 << (63 - ROW_BITS):
+        return _with_carried_order(df, fmt)
+    parquet = fmt == "parquet"
+    start = F.lit(0).cast("long") if parquet else F.col("_metadata.file_block_start")
+    row = F.col("_metadata.row_index") if parquet else F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    path = F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/"))
+    ranks = df.sparkSession.createDataFrame(list(enumerate(listing)), "__rank long, __path string")
+    placed = df.select("*", path.alias("__path"), start.alias("__start"), row.alias("__row"))
+    placed = placed.join(F.broadcast(ranks), "__path", "left")
+    unknown = F.raise_error(F.concat(F.lit("not in the list of files: "), "__path")).cast("long")
+    rank = F.coalesce("__rank", unknown)
+    if parquet:
+        ordinal = F.shiftleft(rank, ROW_BITS) + F.col("__row")
+        return placed.select(*df.columns, ordinal.alias("ordinal"))
+    digits = [rank.cast("string"), F.lpad(F.col("__start").cast("string"), 15, "0"), F.lpad(F.col("__row").cast("string"), 10, "0")]
+    placed = placed.select(*df.columns, F.concat(*digits).cast("decimal(38,0)").alias("ordinal"))
+    return stage(placed, shared_folder(df.sparkSession))
+
+
+def _with_carried_order(df: DataFrame, fmt: str) -> DataFrame:
+    """The same as a struct that each row carries whole."""
     zero = F.lit(0).cast("long")
     if fmt == "parquet":
         start, row = zero, F.col("_metadata.row_index")
@@ -117,6 +160,23 @@ def to_numeric(df: DataFrame, columns: list[str], kind: str = "int") -> DataFram
 
 
 def read_ratings(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """Read a rating table: raters in columns, one case per row."""
-    raw = spark.read.options(sep=sep, header=True).csv(path)
-    return to_numeric(raw, raw.columns)
+    """Read a rating table: raters in columns, one case per row.
+
+    A row with fewer cells than the header has null ratings at its end. A row with
+    more is an error that shows it, as its ratings may belong to other raters;
+    separators without a cell behind them do no harm.
+    """
+    options = {"sep": sep, "header": True}
+    names = spark.read.options(**options).csv(path).columns
+    odd = "__odd"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, odd]])
+    # A row that does not fit the header is kept as text, if no column is left out.
+    whole = options | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": odd, "columnPruning": False}
+    raw = spark.read.options(**whole).schema(schema).csv(path)
+    quoted = F.regexp_replace(odd, r'"(?:[^"]|"")*"', "x")
+    bare = F.regexp_replace(quoted, f"(?:{re.escape(sep)}\\s*)+$", "")
+    surplus = F.size(F.split(bare, re.escape(sep))) > len(names)
+    error = F.raise_error(F.concat(F.lit(f"more than {len(names)} cells: "), odd)).cast("string")
+    # Every column checks its row, so that the check runs whichever is read.
+    fits = {n: F.when(surplus, error).otherwise(F.col(n)) for n in names}
+    return to_numeric(raw.withColumns(fits), names)

@@ -136,3 +136,24 @@ def test_long_and_wide_are_inverse(spark):
     long = a.long_ratings(df, "case", ["a", "b"])
     assert long.count() == 4
     assert sorted(map(tuple, a.wide_ratings(long, "case", ["a", "b"]).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_pairs_from_long_ratings_are_those_of_the_wide_form(spark):
+    raters = [f"r{i}" for i in range(12)]
+    rows = [(c, r, (c * (i + 3) + i) % 3 if (c + i) % 7 else None) for c in range(40) for i, r in enumerate(raters)]
+    rows += [(99, "r0", 1), (100, "other", 1)]
+    long = spark.createDataFrame(rows, "case long, rater string, rating int")
+    patterns = a.rating_patterns(a.wide_ratings(long, "case", raters), raters)
+    pairs = a.pair_contingency(long, "case", raters)
+    assert sorted(map(tuple, a.agreement_of_pairs(pairs).collect())) == sorted(map(tuple, a.pair_agreement(patterns, raters).collect()))
+    few = raters[:5]
+    patterns = a.rating_patterns(a.wide_ratings(long, "case", few), few)
+    pairs = a.pair_contingency(long, "case", few, complete=True, with_self=False)
+    got = sorted(map(tuple, a.kappa_of_pairs(pairs).collect()))
+    assert got == sorted(map(tuple, a.cohen_kappa(patterns, few).collect())) and len(got) == 10
+
+
+def test_pairs_of_many_raters_are_counted_before_the_shuffle(spark):
+    long = spark.createDataFrame([(1, "a", 1)], "case long, rater string, rating int")
+    plan = a.pair_contingency(long, "case", ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_count") == 1 and "Cartesian" not in plan and "NestedLoop" not in plan

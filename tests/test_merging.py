@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from asksift.operators import merging
 from asksift.operators.eligibility import columns_with_prefix, eligible, eligible_from_long, is_eligible
-from asksift.operators.reporting import head, review_sample, stage_funnel, tail
+from asksift.operators.reporting import head, review_sample, sample_quotas, stage_funnel, stratified_sample, tail
 
 
 def labels_of(spark):
@@ -122,3 +122,22 @@ def test_triage_columns_that_are_there_already(spark):
     texts = spark.createDataFrame([(1, "q", "x")], "UniqueID long, Query string, ARIA_Category_m string")
     with pytest.raises(ValueError, match="ARIA_Category_m"):
         merging.attach_triage(texts, texts)
+
+
+def test_stratified_sample(spark):
+    rows = [(i, "hot" if i % 10 < 7 else ("b", "c", None)[i % 3]) for i in range(500)] + [(900, "rare")]
+    df = spark.createDataFrame(rows, "UniqueID long, lang string")
+    sizes = {r.lang: r.n for r in df.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    for n in (0, 1, 7, 100, 501, 9000):
+        quotas = {r.lang: r.quota for r in sample_quotas(df, "lang", n).collect()}
+        wanted = min(n, 501)
+        exact = {k: v * wanted / 501 for k, v in sizes.items()}
+        assert sum(quotas.values()) == wanted and all(exact[k] - 1 < quotas[k] < exact[k] + 1 for k in sizes)
+        got = stratified_sample(df.repartition(5), "lang", n, "s").collect()
+        assert len({r.UniqueID for r in got}) == len(got) == wanted
+        for k in sizes:
+            assert sum(r.lang == k for r in got) == quotas[k]
+    one, two = ({r.UniqueID for r in stratified_sample(df, "lang", 100, seed).collect()} for seed in "st")
+    assert one != two
+    plan = stratified_sample(df, "lang", 100, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan

@@ -1,3 +1,7 @@
+import json
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,12 +31,48 @@ def test_readable(spark, raw):
 
 @pytest.mark.parametrize(
     "raw",
-    [None, "", "no array", GOOD[:-1], f"{GOOD} see [1]", f"{GOOD}{GOOD}", "[1,]", "[" * 100_000 + "]"],
+    [None, "", "no array", "[1],[2]", f"{GOOD},{GOOD}", f"{GOOD}, []", '[{"query": "a", "query": "b"}]', "[NaN]", "['a']", "[01]", '["a\tb"]', GOOD[:-1], f"{GOOD} see [1]", f"{GOOD}{GOOD}", "[1,]", "[" * 100_000 + "]"],
 )
 def test_unreadable(spark, raw):
     assert items(spark, raw) is None
 
 
+def test_labels_are_read_in_the_jvm(spark):
+    df = spark.createDataFrame([(GOOD,)], "raw string").select(p.parse_labels(F.col("raw")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_generated_texts_are_read_as_strictly_as_by_a_plain_parser(spark):
+    rng = random.Random(5)
+    parts = ['{"query": "a"}', '{"query":" \u00a0b ","explicit_question":"no"}', "1", "null", "[]", '"x"', "{}", ",", "]", "[", " ", "\n", "true", '{"explicit_question": 3}', '{"query": {"a": [1]}}', "-", "1e5", '"\\u00e9"']
+    raws = ["".join(rng.choice(parts) + rng.choice(["", "", ","]) for _ in range(rng.randrange(6))) for _ in range(3000)]
+    raws = [rng.choice(["", "[", "x ["]) + r + rng.choice(["", "]", "] y"]) for r in raws]
+
+    def plain(raw):
+        found = re.search(r"(?s)\[.*\]", raw)
+        try:
+            values = json.loads(found.group()) if found else None
+        except ValueError:
+            return None
+        if values is None:
+            return None
+        out = []
+        for v in values:
+            if not isinstance(v, dict):
+                out.append((None, None))
+                continue
+            q, e = v.get("query", ""), v.get("explicit_question", "NO")
+            out.append((q.strip() if isinstance(q, str) else None, e.strip().upper() if isinstance(e, str) else None))
+        return out
+
+    rows = spark.createDataFrame(list(enumerate(raws)), "i int, raw string").select("i", p.parse_labels(F.col("raw")).alias("x")).collect()
+    got = {r.i: None if r.x is None else [tuple(i) for i in r.x] for r in rows}
+    expected = {i: plain(raw) for i, raw in enumerate(raws)}
+    assert sum(x is not None for x in expected.values()) > 200
+    assert {i: (raws[i], got[i], expected[i]) for i in got if got[i] != expected[i]} == {}
+
+
 def test_odd_items_keep_their_place(spark):
     raw = '[1, null, {"explicit_question": null}, {"query": 5, "explicit_question": true}, {}]'
     assert items(spark, raw) == [

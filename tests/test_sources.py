@@ -95,10 +95,73 @@ def test_files_follow_each_other_by_number(spark):
     ]
 
 
+def test_both_natural_orders_agree(spark):
+    paths = ["a/1x", "a/01x", "a/10x", "a/9x", "b1/c", "b10/c", "b9/c", "x" * 50, "1" * 50, "2", "\u0663", "\u00b2"]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r.p for r in rows.orderBy(readers.natural_key(F.col("p")), "p").collect()]
+    assert got == sorted(paths, key=readers.natural_order)
+
+
 def test_file_order_costs_no_shuffle(spark, folder):
     spark.range(100).select(F.concat(F.lit("q"), "id").alias("Query")).repartition(3).write.parquet(f"{folder}/x")
-    plan = readers.read_log(spark, f"{folder}/x")._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+    log = readers.read_log(spark, f"{folder}/x")
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") and plan.count("BroadcastHashJoin") == 1
+    assert dict(log.dtypes)["ordinal"] == "bigint"
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_texts_of_files_meet_in_a_hash_aggregate(spark, folder, fmt):
+    from asksift.operators.identity import distinct_texts
+
+    rows = spark.range(300).select(F.concat(F.lit("q"), F.col("id") % 50).alias("Query")).repartition(3)
+    rows.write.format(fmt).save(f"{folder}/x")
+    log = readers.read_log(spark, f"{folder}/x", fmt, schema="Query string")
+    found = distinct_texts(log)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert found.count() == 50
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_order_of_files_in_odd_folders(spark, folder, fmt):
+    expected = []
+    for part in ("9 b", "10%41", "100+c"):
+        texts = [f"q{part}-{i}" for i in range(50)]
+        spark.createDataFrame([(t,) for t in texts], "Query string").coalesce(1).write.format(fmt).save(f"{folder}/{part}")
+        expected += texts
+    log = readers.read_log(spark, [f"{folder}/{p}" for p in ("100+c", "9 b", "10%41")], fmt, schema="Query string")
+    rows = log.collect()
+    assert [r.Query for r in sorted(rows, key=lambda r: r.ordinal)] == expected
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_list_of_files_that_is_too_long_to_send(spark, folder, fmt, monkeypatch):
+    monkeypatch.setattr(readers, "LISTING_BYTES", 10)
+    expected = []
+    for part in range(3):
+        texts = [f"q{part}-{i}" for i in range(50)]
+        spark.createDataFrame([(t,) for t in texts], "Query string").coalesce(1).write.format(fmt).save(f"{folder}/{part}")
+        expected += texts
+    rows = readers.read_log(spark, [f"{folder}/{p}" for p in (2, 0, 1)], fmt, schema="Query string").collect()
+    assert [r.Query for r in sorted(rows, key=lambda r: r.ordinal)] == expected
+
+
+def test_rows_that_do_not_fit_the_header(spark, folder):
+    write_text(f"{folder}/r.csv", ["a;b;c", "1;0;1", "1;0", "1", '"1";"0";', "1;0;1;; ;", ";;"])
+    rows = readers.read_ratings(spark, f"{folder}/r.csv").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [(1, 0, 1), (1, 0, None), (1, None, None), (1, 0, None), (1, 0, 1), (None, None, None)], key=str
+    )
+
+
+@pytest.mark.parametrize("row", ["1;0;1;0", "1;0;1;0;1", "1;0;1;;1", '1;0;1;"x"', '"1";0;1;"a;b"'])
+@pytest.mark.parametrize("column", ["a", "c"])
+def test_surplus_cells_are_an_error(spark, folder, row, column):
+    write_text(f"{folder}/r.csv", ["a;b;c", "1;0;1", row])
+    with pytest.raises(Exception, match="more than 3 cells: " + row.replace('"', '.')):
+        readers.read_ratings(spark, f"{folder}/r.csv").select(column).collect()
 
 
 def test_stage_table(spark, folder):
