@@ -1,7 +1,8 @@
 """Licence scans by a trained paragraph classifier.
 
 A sparse multinomial logistic regression over word n-grams names the licence
-family of a paragraph (a line). It is fitted here from the statements below,
+family of a paragraph: a line, or several lines up to an empty one, where a
+statement is wrapped. It is fitted here from the statements below,
 varied at random, against lines of the corpus and plain sentences. Its
 probabilities are calibrated on variants it was not fitted on; a licence-like
 paragraph of no sure family is ``unknown``. The predicted family's statements
@@ -11,8 +12,10 @@ Features are n-grams with at least one word of the model's vocabulary, so a
 paragraph without such a word has no feature and its class is that of the
 intercept, ``none``: only the others are scored, all in DataFrame operations.
 
-Nulls and empty texts have no paragraphs. Repeated rows are scanned one by one,
-and extra columns are ignored.
+Nulls and empty texts have no paragraphs. Repeated rows, and rows with equal or no
+ids, are scanned one by one, and extra columns are ignored. Of families with the same
+probability the first in the order of ``Model.classes`` counts, of statements with the
+same overlap the first. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import re
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..sources.stages import require_columns
 from .sampling import hash_sample
@@ -302,32 +305,34 @@ def _statements_table(spark: SparkSession) -> DataFrame:
 def scan_licences(
     docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per licence paragraph: ``doc_id, paragraph, text, family,
+    """One row per licence paragraph: ``doc_id, paragraph, lines, text, family,
     probability, statement, overlap, confirmed``.
 
-    ``paragraph`` counts lines from 0. ``family`` is ``unknown`` where no family
-    is sure enough; then nothing is compared or confirmed. Weights (at most as
-    many rows as the fitted n-grams) and statements are broadcast; paragraphs
-    meet by their own number, so no line that many documents share gathers
-    anywhere.
+    ``paragraph`` is the number of its first line, from 0, and ``lines`` how many it
+    has. Lines in a row are a paragraph of their own where they confirm a family by
+    more than any line of theirs does. ``family`` is ``unknown`` where no family is
+    sure enough; then nothing is compared or confirmed. Weights (at most as many
+    rows as the fitted n-grams) and statements are broadcast; paragraphs meet by their
+    own number, so no line that many documents share gathers anywhere.
     """
     require_columns(docs, doc_id, text)
     spark = docs.sparkSession
-    vocabulary = F.array(*[F.lit(w) for w in model.vocabulary])
-    lines = docs.select(
+    paragraphs = docs.select(
         F.col(doc_id).alias("doc_id"),
-        F.posexplode(F.split(F.col(text).cast("string"), "\n")).alias("paragraph", "text"),
-    ).withColumn("words", _native_words(F.col("text")))
-    near = lines.where(F.arrays_overlap("words", vocabulary)).withColumn(
+        F.monotonically_increasing_id().alias("doc"),
+        F.split(F.col(text).cast("string"), "\n").alias("all"),
+    ).select("doc_id", "doc", F.inline(_paragraphs("all")))
+    paragraphs = paragraphs.withColumn("words", _native_words(F.col("text")))
+    near = paragraphs.where(F.exists("words", lambda w: w.isin(model.vocabulary))).withColumn(
         "row", F.monotonically_increasing_id()
     )
     count = len(model.classes)
-    known = F.array(*[F.lit(g) for g in model.grams])
-    grams = F.array_intersect(_native_grams("words"), known)
-    features = near.select("row", "doc_id", "paragraph", "text", F.explode(grams).alias("gram"))
+    grams = F.filter(_native_grams("words"), lambda g: g.isin(model.grams))
+    keys = ["row", "doc_id", "doc", "paragraph", "lines", "text"]
+    features = near.select(*keys, F.explode(grams).alias("gram"))
     summed = (
         features.join(F.broadcast(_weights_table(spark, model)), "gram")
-        .groupBy("row", "doc_id", "paragraph", "text")
+        .groupBy(*keys)
         .agg(*[F.sum(f"w{k}").alias(f"w{k}") for k in range(count)])
     )
     logits = F.array(
@@ -343,8 +348,8 @@ def scan_licences(
         .withColumn("probability", F.array_max("raised") / total)
         .withColumn("best", F.element_at(names, F.array_position("raised", F.array_max("raised")).cast("int")))
         .withColumn("family", F.when((best != UNKNOWN) & (F.col("probability") >= model.threshold), best).otherwise(F.lit(UNKNOWN)))
-        .where(best != NONE)
-        .select("row", "doc_id", "paragraph", "text", "family", "probability")
+        .where((best != NONE) & ((F.col("lines") == 1) | (F.col("family") != UNKNOWN)))
+        .select(*keys, "family", "probability")
     )
     own = _native_grams("own_words")
     compared = (
@@ -353,15 +358,45 @@ def scan_licences(
         .join(F.broadcast(_statements_table(spark)), "family", "left")
         .withColumn("overlap", F.size(F.array_intersect("own", "statement_grams")) / F.size("statement_grams"))
     )
-    keys = ["row", "doc_id", "paragraph", "text", "family", "probability"]
     closest = F.max(F.struct(F.coalesce("overlap", F.lit(0.0)).alias("overlap"), (-F.col("statement")).alias("s")))
-    return (
-        compared.groupBy(*keys)
+    confirmed = (
+        compared.groupBy(*keys, "family", "probability")
         .agg(closest.alias("closest"))
-        .select(
-            "doc_id", "paragraph", "text", "family", "probability",
-            (-F.col("closest.s")).alias("statement"),
-            F.col("closest.overlap").alias("overlap"),
-            (F.col("closest.overlap") >= CONFIRMED_FROM).alias("confirmed"),
-        )
+        .withColumn("overlap", F.col("closest.overlap"))
+        .withColumn("confirmed", F.col("overlap") >= CONFIRMED_FROM)
+    )
+    line = F.when(F.col("lines") == 1, F.struct("paragraph", "overlap"))
+    of_document = F.collect_list(line).over(Window.partitionBy("doc", "family"))
+    stop = F.col("paragraph") + F.col("lines")
+    inside = F.filter("found", lambda x: (x["paragraph"] >= F.col("paragraph")) & (x["paragraph"] < stop))
+    by_line = F.array_max(F.transform(inside, lambda x: x["overlap"]))
+    more = F.col("confirmed") & (F.col("overlap") > F.coalesce(by_line, F.lit(0.0)))
+    kept = confirmed.withColumn("found", of_document).where((F.col("lines") == 1) | more)
+    return kept.select(
+        "doc_id", "paragraph", "lines", "text", "family", "probability",
+        (-F.col("closest.s")).alias("statement"), "overlap", "confirmed",
     )
+
+
+def _paragraphs(lines: str) -> Column:
+    """Every line of an array, and every run of two or more that are not blank:
+    ``paragraph, lines, text``."""
+    n = F.size(lines)
+
+    def blank(i: Column) -> Column:
+        return F.trim(F.get(F.col(lines), i)) == ""
+
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1))
+    begins = F.filter(places, lambda i: ~blank(i) & ((i == 0) | F.coalesce(blank(i - 1), F.lit(True))))
+    ends = F.filter(places, lambda i: ~blank(i) & ((i == n - 1) | F.coalesce(blank(i + 1), F.lit(True))))
+    runs = F.filter(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda r: r["b"] > r["a"])
+
+    def entry(first: Column, count: Column, text: Column) -> Column:
+        return F.struct(first.alias("paragraph"), count.alias("lines"), text.alias("text"))
+
+    def joined(run: Column) -> Column:
+        count = run["b"] - run["a"] + 1
+        return entry(run["a"], count, F.array_join(F.slice(F.col(lines), run["a"] + 1, count), "\n"))
+
+    single = F.transform(F.col(lines), lambda line, i: entry(i, F.lit(1), line))
+    return F.concat(single, F.transform(runs, joined))

@@ -126,13 +126,25 @@ def _revisit(page_id: int | None, url: str | None, payload: bytes, refers_to: in
     return _head("revisit", page_id, url, base32_sha1(payload), more, len(block)) + block + b"\r\n\r\n"
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """A folder without a scheme, with that of Spark's default file system, unless
+    that is the local one; so tasks write where Spark's own tables are."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.makeQualified(path).toString()
+    return folder if found.startswith("file:") else found
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
+    path = f"s3://{path[6:]}" if path.startswith("s3a://") else path
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
 def write_archives(marked: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
     """Write rows of ``mark_revisits`` as archives below ``folder``; one row per
-    file. Stage the result before reading, so that files are written once."""
+    file. Stage the result before reading, so that files are written once. A folder
+    without a scheme lies in Spark's default file system."""
+    folder = _qualified(marked.sparkSession, folder)
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

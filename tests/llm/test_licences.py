@@ -52,8 +52,34 @@ def test_against_plain_python(spark, model):
         for n, line in enumerate((text or "").split("\n")):
             if (found := plain(model, line)) is not None:
                 expected[i, n] = found
-    got = {(r.doc_id, r.paragraph): (r.family, round(r.probability, 9), round(r.overlap, 9)) for r in scan(spark, model, texts).collect()}
+    rows = scan(spark, model, texts).collect()
+    got = {(r.doc_id, r.paragraph): (r.family, round(r.probability, 9), round(r.overlap, 9)) for r in rows if r.lines == 1}
     assert got == expected
+    for r in rows:
+        if r.lines > 1:
+            assert r.confirmed and r.text == "\n".join(texts[r.doc_id].split("\n")[r.paragraph : r.paragraph + r.lines])
+            inside = [expected.get((r.doc_id, r.paragraph + i)) for i in range(r.lines)]
+            assert all(x is None or x[0] != r.family or x[2] < round(r.overlap, 9) for x in inside)
+
+
+def wrapped(text, width):
+    words, lines = text.split(), [""]
+    for w in words:
+        if lines[-1] and len(lines[-1]) + len(w) >= width:
+            lines.append("")
+        lines[-1] = f"{lines[-1]} {w}".strip()
+    return "\n".join(lines)
+
+
+def test_wrapped_statements_are_found_and_confirmed(spark, model):
+    long = [(f, t) for f, group in lic.STATEMENTS.items() for t in group if len(t) > 120]
+    texts = [f"Some text here.\n\n{wrapped(t, 45)}\n \nMore text, of rivers and stones." for _, t in long]
+    rows = scan(spark, model, texts).where("lines > 1").collect()
+    found = {r.doc_id: r for r in rows}
+    assert len(long) >= 3 and len(rows) == len(found)
+    for i, (family, text) in enumerate(long):
+        assert found[i].family == family and found[i].confirmed and found[i].paragraph == 2
+        assert found[i].text == wrapped(text, 45) and found[i].overlap == 1.0
 
 
 def test_statements_are_found_and_confirmed(spark, model):
