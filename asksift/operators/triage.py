@@ -164,23 +164,25 @@ def triage_with_responses(
 
     A missing response counts as an empty one. Answers of the second stage are
     used for foreground texts only; of several answers to one question the last
-    in text order counts. Answers are parsed first and gathered per text, a row
-    with one entry per model, so texts and both tables meet by id alone and no
-    text is copied per model before that.
+    in text order counts. Answers of both stages are parsed and gathered together,
+    a row per text with one entry per question and model, so texts and answers meet
+    by id alone and no text is copied per model before that.
     """
     parsed = parse_triage(classified.select("UniqueID", "model", "raw"))
-    first = _per_text(parsed, "first", "category", "reasoning")
-    second = _per_text(reformulated.select("UniqueID", "model", "raw"), "second", "raw")
-    joined = texts.select("UniqueID", "Query").join(first, "UniqueID", "left").join(second, "UniqueID", "left")
+    nothing = F.lit(None).cast("string").alias("b")
+    first = parsed.select("UniqueID", "model", F.lit(1).alias("asked"), F.col("category").alias("a"), F.col("reasoning").alias("b"))
+    second = reformulated.select("UniqueID", "model", F.lit(2).alias("asked"), F.col("raw").alias("a"), nothing)
+    answers = _per_text(first.unionByName(second), "answers", "asked", "a", "b")
+    joined = texts.select("UniqueID", "Query").join(answers, "UniqueID", "left")
 
     def row(model: str) -> Column:
-        answer, again = _of_model("first", model), _of_model("second", model)
-        category = F.coalesce(answer["category"], F.lit(""))
-        asked = F.when(category == FOREGROUND, again["raw"])
+        answer, again = _of_model("answers", model, 1), _of_model("answers", model, 2)
+        category = F.coalesce(answer["a"], F.lit(""))
+        asked = F.when(category == FOREGROUND, again["a"])
         return F.struct(
             F.lit(model).alias("model"),
             category.alias("category"),
-            F.coalesce(answer["reasoning"], F.lit("")).alias("reasoning"),
+            F.coalesce(answer["b"], F.lit("")).alias("reasoning"),
             structured_question(asked).alias("question"),
         )
 
@@ -194,9 +196,13 @@ def _per_text(answers: DataFrame, out: str, *fields: str) -> DataFrame:
     return answers.groupBy("UniqueID").agg(entries.alias(out))
 
 
-def _of_model(entries: str, model: str) -> Column:
+def _of_model(entries: str, model: str, asked: int | None = None) -> Column:
     """The last entry of a model, or null."""
-    return F.try_element_at(F.filter(F.col(entries), lambda e: e["model"] == model), F.lit(-1))
+
+    def its(e: Column) -> Column:
+        return e["model"] == model if asked is None else (e["model"] == model) & (e["asked"] == asked)
+
+    return F.try_element_at(F.filter(F.col(entries), its), F.lit(-1))
 
 
 def or_not_available(text: Column) -> Column:

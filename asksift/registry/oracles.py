@@ -787,6 +787,13 @@ def oracles() -> dict[str, str]:
             + ' FROM job_labelled LEFT JOIN job_triage USING ("UniqueID")',
             **job,
         ),
+        "triage_from_buckets": using(
+            [*ALIGNED, "ruled"],
+            'SELECT "UniqueID", "Query", '
+            + na(["Rules", *RUN_NAMES, *triage_names])
+            + ' FROM job_labelled LEFT JOIN job_triage USING ("UniqueID")',
+            **job,
+        ),
         "triage_from_log_without_rules": using(
             [*ALIGNED, "ruled"],
             'SELECT "UniqueID", "Query", '

@@ -63,7 +63,7 @@ from ..plans.question_detection import (
 )
 from ..plans.triage_questions import triage_labelled_log, triage_questions
 from ..sources.readers import ROW_BITS, read_log, read_ratings
-from ..sources.stages import read_table, shared_folder, stage, write_table
+from ..sources.stages import bucketed_stage, read_table, shared_folder, stage, write_table
 from ..sources.writers import append_dead_letters, write_csv
 from . import inputs as given
 
@@ -745,6 +745,16 @@ def triage_from_log_without_rules(spark, sf_dir):
     return _triage_log(spark, sf_dir, "Rules", "ordinal")
 
 
+@_query("triage_from_buckets")
+def triage_from_buckets(spark, sf_dir):
+    """The second job from a labelled log in buckets by id."""
+    detection = _detection(spark, sf_dir)
+    folder = shared_folder(spark)
+    log = bucketed_stage(detection.log, f"{folder}/log", "UniqueID", 8, "ordinal")
+    _, everything = triage_labelled_log(spark, log, folder, MODEL_CALLS)
+    return everything
+
+
 @_query("study_job")
 def study_job(spark, sf_dir):
     """The whole agreement study: every figure by name."""
