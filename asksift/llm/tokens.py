@@ -1,9 +1,9 @@
 """Token ids of many texts at once, by the files of public tokenizers.
 
 ``Encoder`` reads a file of the tokenizers library. If that describes a plain
-byte-level BPE, texts are first cut where a white space character follows a visible
-ASCII one: the tokenizer begins a new word there, whatever stands around it, so the
-pieces' ids in a row are the text's. Equal pieces are encoded once, by the same merges
+byte-level BPE, texts are first cut where a blank follows a visible ASCII character or
+a Latin letter, and where a mark or digit follows a Latin letter: the tokenizer begins
+a new word there, whatever stands around it, so the pieces' ids in a row are the text's. Equal pieces are encoded once, by the same merges
 in tiktoken; very long pieces and those with special tokens go through the tokenizers
 library, as do the whole texts of any other tokenizer.
 """
@@ -22,7 +22,7 @@ from .words import runs_of_texts, text_buffers
 #: Bytes of text whose pieces are told apart at once; a longer text is taken alone.
 RUN_BYTES = 4 << 20
 #: Distinct pieces that are kept with their ids; more are encoded when they come.
-MEMO_PIECES = 1 << 18
+MEMO_PIECES = 1 << 19
 LONGEST_PIECE = 1 << 11
 
 # How byte-level BPE splits a text into words.
@@ -77,9 +77,9 @@ class Encoder:
             self.words = tiktoken.Encoding(path, pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.memo: dict[bytes, bytes] = {}
 
-    def _piece(self, piece: bytes) -> bytes:
+    def _piece(self, piece: bytes, special: list[bytes]) -> bytes:
         text = piece.decode()
-        if len(piece) > LONGEST_PIECE or any(s in piece for s in self.special):
+        if len(piece) > LONGEST_PIECE or (special and any(s in piece for s in special)):
             ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
             ids = self.words.encode_ordinary(text)
@@ -96,7 +96,8 @@ class Encoder:
         for first, last in runs_of_texts(offsets, RUN_BYTES):
             run = data[offsets[first] : offsets[last]]
             inside = offsets[first : last + 1] - offsets[first]
-            ids, count = (self._by_pieces if self.words else self._by_texts)(run, inside)
+            by_pieces = self.words and not any(s.split() != [s] for s in self.special)
+            ids, count = (self._by_pieces if by_pieces else self._by_texts)(run, inside)
             parts.append(ids)
             counts.append(count)
         return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
@@ -108,18 +109,27 @@ class Encoder:
         return np.concatenate(found), np.array([len(x) for x in found], np.int64)
 
     def _by_pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        special = [s for s in self.special if s in raw]
         blank = (data == 32) | (data == 10)
         visible = (data > 32) & (data < 127)
+        low = data | 32
+        latin = (low >= ord("a")) & (low <= ord("z"))
+        mark = visible & ~latin
+        # U+00C0 to U+00FF, by their second byte, but for two signs.
+        latin[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
         begins = np.zeros(len(data) + 1, bool)
-        begins[1:-1] = blank[1:] & visible[:-1]
+        begins[1:-1] = blank[1:] & (visible | latin)[:-1]
+        if not special:  # these have marks inside
+            begins[1:-1] |= mark[1:] & latin[:-1]
         begins[offsets] = True
         cuts = np.flatnonzero(begins)
         cuts = cuts.astype(np.int32 if len(data) < 1 << 31 else np.int64)
         kind = pa.binary() if cuts.dtype == np.int32 else pa.large_binary()
-        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(raw)]
         pieces = pa.Array.from_buffers(kind, len(cuts) - 1, buffers).dictionary_encode()
         known = self.memo.get
-        found = [known(p) or self._piece(p) for p in pieces.dictionary.to_pylist()]
+        found = [known(p) or self._piece(p, special) for p in pieces.dictionary.to_pylist()]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), np.uint32)
         which = pieces.indices.to_numpy()

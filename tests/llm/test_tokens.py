@@ -35,7 +35,7 @@ def test_random_texts(monkeypatch):
     monkeypatch.setattr(t, "RUN_BYTES", 700)
     monkeypatch.setattr(t, "MEMO_PIECES", 40)
     rng = random.Random(1)
-    small = "aab -.'s \n\t  é1=_<|>"
+    small = "aab -.'s \n\t  éß×÷ÿ1=_<|>Ü\u0300"
     texts = ["".join(rng.choice(small) for _ in range(rng.randrange(200))) for _ in range(300)]
     texts += ["".join(rng.choice("aa==--__  ") * rng.randrange(1, 40) for _ in range(20)) for _ in range(200)]
     texts += ["".join(chr(rng.randrange(1, 0x3000)) for _ in range(50)) for _ in range(100)]
