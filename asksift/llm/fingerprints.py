@@ -4,7 +4,10 @@ A sketch keeps the k smallest hashes of a text's shingle set, sorted. Sketches
 of parts merge into the sketch of the whole, and two sketches estimate
 resemblance, containment and the number of distinct shingles. A text with at
 most k distinct shingles has an exact sketch. Null and empty texts, and texts
-without words, have the empty sketch.
+without words, have the empty sketch; two empty sketches are alike. Hashes that tie
+are one shingle. Repeated rows, and rows with equal or no ids, are fingerprinted one
+by one, in the order of id and text. Extra columns are ignored, whatever their names,
+and an empty table gives an empty result.
 """
 
 from __future__ import annotations
