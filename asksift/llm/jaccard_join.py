@@ -47,6 +47,8 @@ BRANCH = 3.0
 TARGET_RECALL = 0.9999
 MAX_DEPTH = 3
 SMALL_NODE = 64
+#: Members of a block against those of a small node; a member is sent once per block.
+BLOCK_NODES = 32
 SKETCH_SIZE = 64
 #: Estimated similarity from which a member is linked to a pivot, and from which
 #: it needs no other: whatever it links to is then linked to the pivot as well.
@@ -189,7 +191,7 @@ def _pivot_links(rows: DataFrame) -> DataFrame:
 def _brute_force(rows: DataFrame) -> DataFrame:
     """Links of candidates within nodes, by sketch; ``n`` is the size of a row's
     node. A node larger than a block is compared in pairs of blocks."""
-    blocks = F.ceil(F.col("n") / (8 * SMALL_NODE)).cast("int")
+    blocks = F.ceil(F.col("n") / (BLOCK_NODES * SMALL_NODE)).cast("int")
     placed = rows.withColumn("blocks", blocks)
     placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
