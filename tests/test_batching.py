@@ -70,3 +70,35 @@ def test_batch_sizes(texts):
 
 def test_default_preamble_names_the_answer_format():
     assert '"query"' in b.DEFAULT_PREAMBLE and '"explicit_question"' in b.DEFAULT_PREAMBLE
+
+
+@pytest.mark.parametrize("size", [1, 7, 50, 400])
+def test_batches_over_bucket_ends(spark, monkeypatch, size):
+    monkeypatch.setattr(b, "BUCKET_TEXTS", 20)
+
+    def rows(df):
+        return sorted((r.run_name, r.batch_id, r.n_queries, r.ids, r.queries) for r in df.collect())
+
+    ids = [(i, f"t{i}") for i in range(1, 331)]
+    texts = spark.createDataFrame(ids[::2] + ids[1::2], "UniqueID long, Query string").repartition(3)
+    assert rows(b.make_batches(texts, RUNS, size)) == rows(b.collect_batches(b.assign_batches(texts, RUNS, size)))
+
+
+def test_repeated_and_missing_ids_are_batched_as_assigned(spark):
+    ids = [(1, "a"), (1, "b"), (3, "c"), (None, "d"), (4, None)]
+    texts = spark.createDataFrame(ids, "UniqueID long, Query string")
+    assert b._count_ids(texts) == (5, False)
+    got = {r.batch_id: (r.n_queries, r.queries) for r in b.make_batches(texts, RUNS[:1], 2).collect()}
+    assert got == {0: (2, ["a", "b"]), 1: (2, ["c", None]), None: (1, ["d"])}
+
+
+def test_seeded_texts_are_moved_once_per_run(spark, texts, folder):
+    texts.write.parquet(f"{folder}/t")
+    made = b.make_batches(spark.read.parquet(f"{folder}/t"), RUNS[1:2])
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "UniqueID" in plan and "Join Inner, (UniqueID" not in plan
+
+
+def test_members_can_be_collected_without_texts(texts):
+    batches = b.collect_batches(b.assign_batches(texts, RUNS).drop("Query"))
+    assert batches.columns == ["run_name", "batch_id", "n_queries", "ids"] and batches.count() == 28
