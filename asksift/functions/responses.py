@@ -51,17 +51,11 @@ def _label_item(item: Column) -> Column:
     return _once(F.try_variant_get(item, "$", "map<string,variant>"), of_object)
 
 
-def parse_labels(raw: Column) -> Column:
-    """Response text to an array of (query, explicit_question).
-
-    Null when the text holds no well-formed JSON array. Spark's JSON readers stop
-    at the end of the first value and accept text behind it; so the array is read
-    inside brackets, where it has to be the only value, and inside an object: what
-    could end the one early is an error in the other. An item that is no object, or whose label is no string,
-    keeps its place with a null label. A key that comes twice in an item, or a
-    number that is none in JSON (NaN), makes the whole text unreadable.
-    """
-    text = json_array_text(raw)
+def _any_labels(text: Column) -> Column:
+    """The items of any JSON array. Spark's JSON readers stop at the end of the first
+    value and accept text behind it; so the array is read inside brackets, where it has
+    to be the only value, and inside an object: what could end the one early is an error
+    in the other."""
     inside = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     named = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
     values = F.try_variant_get(inside, "$", "array<variant>")
@@ -70,6 +64,47 @@ def parse_labels(raw: Column) -> Column:
     return F.transform(items, _label_item)
 
 
+def _tidy_item(item: Column) -> Column:
+    """The same for an item that was read by its schema."""
+
+    def field(name: str, default: str, tidy: Callable[[Column], Column]) -> Column:
+        return F.when(item.isNotNull(), F.coalesce(tidy(item[name]), F.lit(default))).alias(name)
+
+    return F.struct(field(TEXT_KEY, "", strip), field(LABEL_KEY, DEFAULT_LABEL, strip_upper))
+
+
+def parse_labels(raw: Column) -> Column:
+    """Response text to an array of (query, explicit_question).
+
+    Null when the text holds no well-formed JSON array. An item that is no object, or
+    whose label is no string, keeps its place with a null label. A key that comes twice
+    in an item, or a number that is none in JSON (NaN), makes the whole text unreadable.
+
+    A text in the form that was asked for is read by its schema, several times faster:
+    written as JSON again, what was read is the whole text, but for blanks. So nothing
+    stood there that the schema leaves out, turns to text or does not get to. Every other
+    text is read value by value (``_any_labels``).
+    """
+    schema = f"array<struct<{TEXT_KEY}:string,{LABEL_KEY}:string>>"
+
+    def bare(text: Column) -> Column:
+        return F.translate(text, " \t\r\n", "")
+
+    def read(found: Column) -> Column:
+        text, items, again = found["text"], found["items"], found["again"]
+        as_asked = (again == text) | (bare(again) == bare(text))
+        return F.when(as_asked, F.transform(items, _tidy_item)).otherwise(_any_labels(text))
+
+    def written(found: Column) -> Column:
+        again = F.to_json(found["items"], {"ignoreNullFields": "true"})
+        return _once(F.struct(found["text"], found["items"], again.alias("again")), read)
+
+    def by_schema(text: Column) -> Column:
+        return _once(F.struct(text.alias("text"), F.from_json(text, schema).alias("items")), written)
+
+    return _once(json_array_text(raw), by_schema)
+
+
 def triage_category(raw: Column) -> Column:
     """Rest of the line after ``Category:``, as one of the known names when it
     contains one, else as it stands; empty when absent."""
