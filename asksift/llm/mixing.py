@@ -58,24 +58,29 @@ def source_shares(counted: DataFrame) -> DataFrame:
     return sources.join(F.broadcast(total)).withColumn("share", F.col("tokens") / F.col("total"))
 
 
+def _at_each(shares: DataFrame, exponents: list[float], *sums: Column) -> list:
+    """Aggregates of the sources at each exponent ``a``, in the order of the exponents.
+
+    The exponents are rows, so all looks ahead have the same short code: as columns,
+    every job would have its own, with some sixty aggregates, for the driver to compile
+    and keep."""
+    points = F.posexplode(F.array(*[F.lit(float(a)) for a in exponents])).alias("k", "a")
+    rows = shares.select("share", points).groupBy("k", "a").agg(*sums).collect()
+    return sorted(rows, key=lambda row: row["k"])
+
+
 def _entropies(shares: DataFrame, exponents: list[float]) -> list[float]:
     """The weights' entropy at each exponent."""
-    columns = []
-    for i, a in enumerate(exponents):
-        power = F.pow("share", F.lit(a))
-        columns += [F.sum(power).alias(f"z{i}"), F.sum(power * F.log("share")).alias(f"l{i}")]
-    row = shares.agg(*columns).first()
-    return [math.log(row[f"z{i}"]) - a * row[f"l{i}"] / row[f"z{i}"] for i, a in enumerate(exponents)]
+    power = F.pow("share", F.col("a"))
+    rows = _at_each(shares, exponents, F.sum(power).alias("z"), F.sum(power * F.log("share")).alias("l"))
+    return [math.log(row["z"]) - row["a"] * row["l"] / row["z"] for row in rows]
 
 
 def _repeats(shares: DataFrame, exponents: list[float], budget_share: float) -> list[float]:
     """How often the most repeated source is drawn at each exponent."""
-    columns = []
-    for i, a in enumerate(exponents):
-        columns.append(F.sum(F.pow("share", F.lit(a))).alias(f"z{i}"))
-        columns.append(F.max(F.pow("share", F.lit(a - 1.0))).alias(f"m{i}"))
-    row = shares.agg(*columns).first()
-    return [budget_share * row[f"m{i}"] / row[f"z{i}"] for i in range(len(exponents))]
+    most = F.max(F.pow("share", F.col("a") - 1.0)).alias("m")
+    rows = _at_each(shares, exponents, F.sum(F.pow("share", F.col("a"))).alias("z"), most)
+    return [budget_share * row["m"] / row["z"] for row in rows]
 
 
 def bisect_exponent(measure, target: float) -> float:
