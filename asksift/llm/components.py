@@ -2,7 +2,8 @@
 
 Tasks join the edges that they read into trees, and every node then meets its
 labels of all tasks once: the smallest is its own, and the others are edges of a
-much smaller graph, with which the same is done, until no node has two labels.
+much smaller graph, with which the same is done in as few tasks as hold it, until no
+node has two labels.
 The levels are put together at the end. Where that does not shrink the graph, as
 with long paths, large-star and small-star steps alternate until the edges stop
 changing; what is left is one star per component around its smallest node.
@@ -112,11 +113,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now, before = edges.select("a", "b").where("a <> b"), None
     while True:
         path = f"{folder}/level-{len(levels)}"
-        table, seen = counted_stage(_labelled(now), path, edges=F.sum(F.size("others")))
+        table, seen = counted_stage(_labelled(now), path, edges=F.sum(F.size("others")), nodes=F.count("*"))
         levels.append(table.select("node", F.col("label").alias("component")))
         if not seen["edges"]:
             break
-        now = table.select(F.explode("others").alias("a"), F.col("label").alias("b"))
+        tasks = -(-max(seen["edges"], seen["nodes"]) // TREE_EDGES)
+        now = table.select(F.explode("others").alias("a"), F.col("label").alias("b")).coalesce(tasks)
         if before is not None and seen["edges"] > SHRINK * before:
             levels.append(_by_stars(now, folder))
             break

@@ -218,7 +218,8 @@ def _brute_force(rows: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
-    """The children that the members of large nodes choose."""
+    """The children that the members of large nodes choose; they differ, as a set's
+    shingles do."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,19 +236,20 @@ def _split(rows: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["node", "class", "sketch"])
 
     joined = rows.join(sets.hint("merge"), "class").select("node", "class", "sketch", "tokens")
-    return joined.mapInArrow(expand, "node long, class long, sketch binary").distinct()
+    return joined.mapInArrow(expand, "node long, class long, sketch binary")
 
 
 def candidate_links(classes: DataFrame, sets, folder: str, tenths: int = TENTHS) -> DataFrame:
     """Edges between classes that met and look alike.
 
     ``sets`` gives the shingle sets of some classes when a level needs them; the
-    rows of a level are those of nodes with more than one member.
+    rows of a level are those of nodes with more than one member. Members are joined
+    to the sizes of their nodes once, for both the small nodes and the large ones.
     """
     spark = classes.sparkSession
-    entered = classes.select(F.explode("nodes").alias("node"), "class")
+    entered = classes.select(F.explode(F.array_distinct("nodes")).alias("node"), "class")
     met = entered.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    shared = salted_join(entered, met, ["node"], "class").distinct()
+    shared = salted_join(entered, met, ["node"], "class")
     rows = shared.join(classes.select("class", "sketch"), "class").select("node", "class", "sketch")
     found = []
     for depth in range(1, MAX_DEPTH + 1):
@@ -256,17 +258,16 @@ def candidate_links(classes: DataFrame, sets, folder: str, tenths: int = TENTHS)
         links = links.select(F.col("class").alias("a"), F.col("pivot").alias("b"))
         left = compared.where((F.col("class") != F.col("pivot")) & (F.col("like") < DONE_FROM))
         left = left.select("node", "class", "sketch")
-        sizes = stage(left.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), f"{folder}/sizes-{depth}")
+        sizes = left.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+        sized = stage(salted_join(left, sizes, ["node"], "class"), f"{folder}/sized-{depth}")
         limit = SMALL_NODE if depth < MAX_DEPTH else 1 << 62
-        little = salted_join(left, sizes.where(F.col("n") <= limit), ["node"], "class")
-        links = links.unionByName(_brute_force(little))
+        links = links.unionByName(_brute_force(sized.where(F.col("n") <= limit)))
         found.append(stage(links, f"{folder}/links-{depth}"))
-        large = sizes.where(F.col("n") > limit).select("node")
+        drop_stages(spark, f"{folder}/depth-{depth}")
+        large = sized.where(F.col("n") > limit)
         if depth == MAX_DEPTH or large.isEmpty():
             break
-        large = stage(salted_join(left, large, ["node"], "class"), f"{folder}/large-{depth}")
         rows = _split(large, sets(large.select("class").distinct()), tenths)
-        drop_stages(spark, f"{folder}/depth-{depth}")
     edges = found[0]
     for links in found[1:]:
         edges = edges.unionByName(links)
@@ -352,8 +353,9 @@ def _sets_of_classes(docs: DataFrame, named: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["class", "tokens"])
 
     wanted = named.select("class", F.col("rep.doc_id").alias("doc_id"), F.col("rep.name").alias("name"))
-    texts = named_texts(docs).join(wanted, ["doc_id", "name"]).select("class", "text")
-    return texts.mapInArrow(sets, "class long, tokens binary").dropDuplicates(["class"])
+    # Repeated rows go where the texts meet their classes, so no set is moved for it.
+    texts = named_texts(docs).join(wanted, ["doc_id", "name"]).dropDuplicates(["doc_id", "name", "class"])
+    return texts.select("class", "text").mapInArrow(sets, "class long, tokens binary")
 
 
 def keep_one_of_each_group(docs: DataFrame, size: int = SHINGLE_WORDS, tenths: int = TENTHS) -> DataFrame:

@@ -49,3 +49,16 @@ def test_a_hot_node_among_small_groups(spark):
     edges = [(5, 1000 + i) for i in range(400)] + [(i, i + rng.randrange(1, 4)) for i in range(2000, 2300)]
     rng.shuffle(edges)
     check(spark, edges)
+
+
+def test_what_is_left_of_a_dealt_graph_is_joined_in_one_task(spark, monkeypatch):
+    """Edges of every component lie in several tasks; the second level has all that is left."""
+    written = []
+    counted = components.counted_stage
+    monkeypatch.setattr(components, "counted_stage", lambda df, path, **m: written.append(path) or counted(df, path, **m))
+    rng = random.Random(5)
+    edges = [(100 * g + i, 100 * g + rng.randrange(i)) for g in range(40) for i in range(1, 60)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(12)
+    rows = connected_components(df).collect()
+    assert sorted((r.node, r.component) for r in rows) == [(100 * g + i, 100 * g) for g in range(40) for i in range(60)]
+    assert len(written) == 2

@@ -125,3 +125,17 @@ def test_documents_without_an_id_of_their_own_stay(spark):
     assert len(first) == 1 and first[0][0] is None
     others = sorted((r for r in kept if r not in first), key=str)
     assert others == sorted([(None, t) for t in texts[1:4]] + [(7, t) for t in texts[4:]], key=str)
+
+
+def test_sets_and_children_are_not_moved_to_be_made_distinct(spark):
+    """Repeated rows go before their sets are made, and a set's children differ anyway:
+    behind the Python there is no shuffle."""
+    texts = [(i % 5, f"a b c d e f g h {i % 5}") for i in range(10)]
+    docs = spark.createDataFrame([("x", t, i) for i, t in texts], SCHEMA)
+    named = j.named_texts(docs).groupBy("name").agg(j.F.min(j.F.struct("doc_id", "name")).alias("rep"))
+    sets = j._sets_of_classes(docs, named.withColumnRenamed("name", "class"), 5)
+    rows = spark.createDataFrame([], "node long, class long, sketch binary")
+    for made in (sets, j._split(rows, sets, 8)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("MapInArrow")]
+    assert sets.count() == 5
