@@ -73,3 +73,25 @@ def test_prompts(texts):
     assert (row.system_prompt, row.user_prompt, row.single_prompt) == (
         "S", "L:\nspray safe", "S\n\nL:\nspray safe",
     )
+
+
+def test_answers_of_all_models_move_once_per_text(spark, folder):
+    """Rows of one text, also repeated ones, asked again, or without an id, give one row
+    per model; both stages meet in one shuffle."""
+    texts = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c"), (2, "d")], "UniqueID long, Query string")
+    failing = {"on": True}
+
+    def model(system, user):
+        lead, text = user.split("\n", 1)
+        if text == "d" and failing["on"]:
+            raise ValueError("down")
+        return f"Category: Foreground\nReasoning: {text}" if lead == t.CLASSIFY.lead else f"Should {text}?"
+
+    t.triage_with_calls(texts, {"m": model, "n": model}, folder=folder).collect()
+    failing["on"] = False
+    triaged = t.triage_with_calls(texts, {"m": model, "n": model}, folder=folder, rounds=2)
+    rows = sorted((r.UniqueID or 0, r.Query, r.model, r.category, r.reasoning, r.question, r.error) for r in triaged.collect())
+    found = [(u, q, m, "Foreground", q, f"Should {q}?" if u else "", None) for u, q in ((0, "c"), (1, "a"), (1, "b")) for m in "mn"]
+    assert rows == [*found, *[(2, "d", m, "Foreground", "d", "Should d?", None) for m in "mn"]]
+    plan = triaged.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
