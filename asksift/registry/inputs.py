@@ -107,13 +107,17 @@ def model_labels(distinct: DataFrame) -> DataFrame:
     )
 
 
-def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct texts with rule labels and one column per run, as the stage
-    table that the detection job leaves."""
-    labelled = label_by_rules(distinct_texts(spark, sf_dir)).withColumns(
+def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct texts with rule labels and one column per run, for what reads the
+    labels once: they are not written before."""
+    return label_by_rules(distinct_texts(spark, sf_dir)).withColumns(
         {name: model_label(F.lit(name)) for name in RUN_NAMES}
     )
-    return stage(labelled, f"{shared_folder(spark)}/distinct_labelled")
+
+
+def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as the stage table that the detection job leaves."""
+    return stage(labelled_rows(spark, sf_dir), f"{shared_folder(spark)}/distinct_labelled")
 
 
 def batches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,3 +141,21 @@ def test_stratified_sample(spark):
     assert one != two
     plan = stratified_sample(df, "lang", 100, "s")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_merge_back_query_writes_its_distinct_texts_once(spark, folder, monkeypatch):
+    from asksift.registry import inputs
+    from asksift.registry.queries import registered
+
+    docs = [(i, "en", f"what is it {i % 3}. it is {i}..") for i in range(9)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{folder}/documents.parquet")
+    staged = inputs.labelled_texts(spark, folder)
+    expected = merging.merge_back(inputs.sentence_log(spark, folder), staged)
+
+    def stage(*_):
+        raise AssertionError("labels that are read once are not written")
+
+    monkeypatch.setattr(inputs, "stage", stage)
+    merged = registered()["merge_back"](spark, folder)
+    assert merged.columns == expected.columns
+    assert sorted(map(str, merged.collect())) == sorted(map(str, expected.collect()))
