@@ -219,7 +219,8 @@ def _batches_reshuffled(texts: DataFrame, runs: list[Run], size: int, n: int) ->
     key = shuffle_key(seeds[run], F.col("UniqueID")).alias("key")
     sorted_ = F.sort_array(F.collect_list(F.struct(key, "UniqueID", "Query")))
     gathered = dealt.repartition("__bucket").groupBy("__bucket").agg(sorted_.alias("members"))
-    gathered = gathered.join(before, "__bucket")
+    # A row per bucket of a run, 65,536 at most: no whole bucket is sorted for this join.
+    gathered = gathered.join(F.broadcast(before), "__bucket")
 
     def piece(batch: Column) -> Column:
         begin = F.greatest(batch * size - F.col("__before"), F.lit(0)).cast("int")

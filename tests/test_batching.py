@@ -102,3 +102,17 @@ def test_seeded_texts_are_moved_once_per_run(spark, texts, folder):
 def test_members_can_be_collected_without_texts(texts):
     batches = b.collect_batches(b.assign_batches(texts, RUNS).drop("Query"))
     assert batches.columns == ["run_name", "batch_id", "n_queries", "ids"] and batches.count() == 28
+
+
+def test_no_bucket_of_texts_is_sorted_to_join_its_count(spark):
+    """Whatever Spark takes the counts for: a row per bucket is broadcast."""
+    texts = spark.createDataFrame([(i, f"text {i}") for i in range(1, 200)], "UniqueID long, Query string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        made = b.make_batches(texts, [b.Run("LLM_run2_a", "s")], 50)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        rows = made.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan
+    assert sorted(i for r in rows for i in r.ids) == list(range(1, 200))
