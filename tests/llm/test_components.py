@@ -59,6 +59,13 @@ def test_what_is_left_of_a_dealt_graph_is_joined_in_one_task(spark, monkeypatch)
     rng = random.Random(5)
     edges = [(100 * g + i, 100 * g + rng.randrange(i)) for g in range(40) for i in range(1, 60)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(12)
-    rows = connected_components(df).collect()
+    small = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        rows = connected_components(df).collect()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
     assert sorted((r.node, r.component) for r in rows) == [(100 * g + i, 100 * g) for g in range(40) for i in range(60)]
     assert len(written) == 2
